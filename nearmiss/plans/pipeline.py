@@ -1,0 +1,139 @@
+"""The analysis as stage chains: ingest → zone → encounters → events → report."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from nearmiss.config import EncounterConfig
+from nearmiss.operators import (
+    close_pairs,
+    closest_per_pair,
+    complete_events,
+    danger_score,
+    encounter_report,
+    event_targets,
+    event_track_points,
+    event_tracks,
+    exclude_named,
+    geofence,
+    incident_report,
+    incident_summary,
+    moving_pings,
+    ping_history,
+    reliable_vessels,
+    top_encounters,
+    with_time_bucket,
+)
+from nearmiss.operators.events import BROADCAST_TARGETS_MAX
+from nearmiss.plans.storage import materialize, run_dir
+from nearmiss.sources import (
+    normalize_pings,
+    read_ping_lake,
+    read_pings_csv,
+    rejected_pings,
+    with_source,
+    write_ping_lake,
+)
+
+
+def pair_tie_break(order_by) -> tuple[str, ...]:
+    """Tie-break of a pair's candidate moments, derived from the ping order."""
+    return tuple(f"{c}_a" for c in order_by) + tuple(f"{c}_b" for c in order_by)
+
+
+def ingest(spark: SparkSession, csv_path: str, lake_path: str, *,
+           rejected_path: str | None = None, cfg: EncounterConfig = EncounterConfig()) -> None:
+    """CSV directory → day-partitioned Parquet lake (+ rejected rows with reasons).
+
+    The CSV is scanned once per output; the rejected rows are written only when
+    ``rejected_path`` is given.
+    """
+    raw = read_pings_csv(spark, csv_path)
+    write_ping_lake(normalize_pings(raw, cfg.ts_format), lake_path)
+    if rejected_path:
+        rejected_pings(raw, cfg.ts_format).write.mode("overwrite").parquet(rejected_path)
+
+
+def zone_pings(pings: DataFrame, cfg: EncounterConfig = EncounterConfig(), *,
+               lineage: bool = False) -> DataFrame:
+    """Pings inside the zone, with ``group_key`` = the ping's date (pairs are
+    formed within a day). ``lineage`` adds ``source_file`` (file-read input)."""
+    out = geofence(pings, cfg.centre_lat, cfg.centre_lon, cfg.radius_nm,
+                   earth_radius_nm=cfg.earth_radius_nm)
+    if "group_key" not in out.columns:
+        out = out.withColumn("group_key", F.to_date("ts"))
+    if lineage:
+        out = with_source(out)
+    return out
+
+
+def detect_encounters(pings: DataFrame, cfg: EncounterConfig = EncounterConfig()) -> DataFrame:
+    """In-zone pings → sorted encounter report (one row per pair and group).
+
+    Order matters and follows the analysis: the deny list applies before the
+    history; history and the ping count are taken before the speed filter, so
+    slow pings still count and still feed the previous-ping values.
+    """
+    named = exclude_named(pings, cfg.deny_tokens, keep_null=cfg.keep_unnamed)
+    hist = ping_history(named, cfg.order_by, slice_seconds=cfg.history_slice_seconds)
+    moving = moving_pings(reliable_vessels(hist, cfg.min_pings), cfg.min_sog, cfg.max_sog)
+    bucketed = with_time_bucket(moving, cfg.bucket_seconds)
+    pairs = close_pairs(bucketed, cfg.dmax_nm, group_key=cfg.group_key, grid=cfg.grid,
+                        earth_radius_nm=cfg.earth_radius_nm)
+    best = closest_per_pair(pairs, group_key=cfg.group_key,
+                            tie_break=pair_tie_break(cfg.order_by))
+    return encounter_report(danger_score(best, cfg.weights), group_key=cfg.group_key)
+
+
+def extract_events(report: DataFrame, pings: DataFrame,
+                   cfg: EncounterConfig = EncounterConfig(), *,
+                   partition_days=None) -> dict[str, DataFrame]:
+    """Top-N events and the tables behind their maps, charts and report cards.
+
+    ``pings`` is the in-zone table before the quality filters, as drawn by the
+    analysis (slow pings of the vessels appear in the tracks).
+    """
+    top = top_encounters(report, cfg.top_n)
+    targets = event_targets(top, cfg.half_window_minutes)
+    tie = tuple(c for c in cfg.order_by if c != "ts")
+    points = event_track_points(
+        pings, targets, tie_break=tie, partition_days=partition_days,
+        broadcast_targets=2 * cfg.top_n <= BROADCAST_TARGETS_MAX,
+    )
+    complete = complete_events(points)
+    return {
+        "top": top,
+        "targets": targets,
+        "points": points,
+        "tracks": event_tracks(points).join(complete.select("event_rank"), "event_rank",
+                                            "left_semi"),
+        "complete": complete,
+        "summary": incident_summary(report),
+        "cards": incident_report(top, complete),
+    }
+
+
+def run_pipeline(spark: SparkSession, cfg: EncounterConfig = EncounterConfig(), *,
+                 csv_path: str | None = None, lake_path: str | None = None,
+                 start=None, end=None, workdir: str | None = None) -> dict[str, DataFrame]:
+    """All stages in order. Stage boundaries are written as Parquet tables
+    under ``workdir`` (default: a fresh folder in ``spark.checkpoint.dir``), so
+    each stage reads its input from shared storage, like the staged analysis,
+    and a lost executor never forces a recompute across stages.
+
+    With ``csv_path`` the CSV is ingested into ``lake_path`` (default inside
+    ``workdir``) first; ``start``/``end`` prune the lake to those days.
+    """
+    work = workdir or run_dir(spark, "pipeline")
+    if csv_path:
+        lake_path = lake_path or f"{work}/lake"
+        ingest(spark, csv_path, lake_path, rejected_path=f"{work}/rejected", cfg=cfg)
+    if not lake_path:
+        raise ValueError("run_pipeline needs csv_path or lake_path")
+    lake = read_ping_lake(spark, lake_path, start, end)
+    zone = materialize(zone_pings(lake, cfg), f"{work}/zone", partition_by=("group_key",))
+    report = materialize(detect_encounters(zone, cfg), f"{work}/report")
+    out = {"zone": zone, "report": report}
+    out.update(extract_events(report, zone, cfg, partition_days="group_key"))
+    return out
