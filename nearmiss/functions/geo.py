@@ -65,33 +65,37 @@ def zone_box(centre_lat: float, centre_lon: float, radius_nm: float,
     return lat_lo, lat_hi, centre_lon - dlon, centre_lon + dlon
 
 
+def grid_cell_height(distance_nm: float, radius: float = EARTH_RADIUS_NM) -> float:
+    """Height (degrees) of a grid row: twice the largest latitude difference of
+    two points ``distance_nm`` apart, so a point reaches at most one
+    neighbouring row."""
+    return 2.0 * lat_halfwidth_deg(distance_nm, radius)
+
+
 def grid_row(lat, distance_nm: float, radius: float = EARTH_RADIUS_NM) -> Column:
-    """Row index of a latitude band one encounter distance tall."""
-    return F.floor(_col(lat) / F.lit(lat_halfwidth_deg(distance_nm, radius)))
+    """Fractional row coordinate ``lat / height`` (floor it for the row index)."""
+    return _col(lat) / F.lit(grid_cell_height(distance_nm, radius))
 
 
 def grid_columns(row: Column, distance_nm: float, radius: float = EARTH_RADIUS_NM) -> Column:
-    """Number of equal longitude columns used in grid row ``row``.
-
-    The width is bounded with the largest |latitude| of rows ``row-1 .. row+1``,
-    so any two points within ``distance_nm`` of each other, one in ``row`` and
-    the other in an adjacent row, fall into the same or adjacent columns of
-    ``row``'s division. Near the poles the bound vanishes and the row has a
-    single column.
+    """Number of equal longitude columns in grid row ``row`` (a long).
+
+    A column is at least twice as wide as the largest longitude difference of
+    two points ``distance_nm`` apart whose latitudes lie in rows ``row-1 ..
+    row+1``; so for any two such points, one in ``row`` and the other in an
+    adjacent row, each is in the same column as the other or in the adjacent
+    column on its nearer side. Near the poles the bound vanishes and the row
+    has a single column.
     """
-    height = lat_halfwidth_deg(distance_nm, radius)
-    lo = (row - 1) * F.lit(height)
-    hi = (row + 2) * F.lit(height)
-    max_abs = F.greatest(F.abs(lo), F.abs(hi))
+    height = grid_cell_height(distance_nm, radius)
+    max_abs = F.greatest(F.abs(row - 1), F.abs(row + 2)) * F.lit(height)
     arg = F.lit(math.sin(distance_nm / (2 * radius))) / F.cos(F.radians(F.least(max_abs, F.lit(90.0))))
-    width = F.lit(2.0) * F.degrees(F.asin(arg)) * F.lit(1 + _SLACK)
-    n = F.floor(F.lit(360.0) / width)
-    return (
-        F.when((max_abs >= 90.0) | (arg >= 1.0) | n.isNull() | (n < 1), F.lit(1).cast("long"))
-        .otherwise(n)
-    )
+    width = F.lit(4.0 * (1 + _SLACK)) * F.degrees(F.asin(F.least(arg, F.lit(1.0))))
+    return F.when(arg < 1.0, F.floor(F.lit(360.0) / width)).otherwise(F.lit(1).cast("long"))
 
 
 def grid_column(lon, ncols: Column) -> Column:
-    """Column index of a longitude within a row divided into ``ncols`` columns."""
-    return F.pmod(F.floor((_col(lon) + F.lit(180.0)) / (F.lit(360.0) / ncols)), ncols)
+    """Fractional column coordinate of a longitude in a row of ``ncols`` equal
+    columns, in ``[0, ncols)`` (floor it for the column index)."""
+    x = (_col(lon) + F.lit(180.0)) / (F.lit(360.0) / ncols)
+    return x - F.floor(x / ncols) * ncols

@@ -17,6 +17,44 @@ def with_time_bucket(df: DataFrame, seconds: int = BUCKET_SECONDS, *, ts: str =
     return df.withColumn("epoch", epoch_seconds(ts)).withColumn(out, time_bucket(ts, seconds))
 
 
+def with_grid_cell(
+    df: DataFrame,
+    dmax_nm: float = ENCOUNTER_NM,
+    *,
+    lat: str = "lat",
+    lon: str = "lon",
+    neighbours: bool = False,
+    earth_radius_nm: float = EARTH_RADIUS_NM,
+) -> DataFrame:
+    """Add the grid cell ``(_cy, _cx)`` of each position for a pair distance
+    of ``dmax_nm`` (see ``close_pairs``).
+
+    With ``neighbours`` each row is instead replicated into its own cell and
+    the neighbouring cells it can reach: a cell is two distances tall and at
+    least two wide, so that is the nearer row and the nearer column, at most
+    2×2 cells. Every intermediate is its own column, so each trigonometric
+    expression runs once per row.
+    """
+    y = grid_row(lat, dmax_nm, earth_radius_nm)
+    df = df.withColumn("_fy", y)
+    cy = F.floor(F.col("_fy"))
+    if neighbours:
+        near_y = F.when(F.col("_fy") - cy < 0.5, cy - 1).otherwise(cy + 1)
+        df = df.withColumn("_cy", F.explode(F.array(cy, near_y)))
+    else:
+        df = df.withColumn("_cy", cy)
+    df = df.withColumn("_nc", grid_columns(F.col("_cy"), dmax_nm, earth_radius_nm))
+    df = df.withColumn("_fx", grid_column(lon, F.col("_nc")))
+    nc = F.col("_nc")
+    cx = F.floor(F.col("_fx"))
+    if neighbours:
+        near_x = F.pmod(F.when(F.col("_fx") - cx < 0.5, cx - 1).otherwise(cx + 1), nc)
+        df = df.withColumn("_cx", F.explode(F.array_distinct(F.array(F.pmod(cx, nc), near_x))))
+    else:
+        df = df.withColumn("_cx", F.pmod(cx, nc))
+    return df.drop("_fy", "_fx", "_nc")
+
+
 def _side(df: DataFrame, suffix: str, keep: tuple[str, ...]) -> DataFrame:
     return df.select(
         *[F.col(c).alias(c if c in keep else f"{c}{suffix}") for c in df.columns]
@@ -44,36 +82,33 @@ def close_pairs(
 
     ``grid=False`` compares every pair inside a (group, bucket) — quadratic in
     the bucket's size. ``grid=True`` adds a spatial cell to the equi-join keys:
-    rows one ``dmax`` tall, each divided into as many equal longitude columns
-    as the row's latitude allows (``functions.geo.grid_columns``). Side A keeps
-    its own cell, side B is replicated into the (at most) 3×3 neighbouring
-    cells, so every true pair meets in exactly one cell and the exact distance
-    test stays. The result equals the brute-force result at any latitude,
+    rows two ``dmax`` tall, each divided into as many equal longitude columns,
+    each at least two ``dmax`` wide, as the row's latitude allows
+    (``functions.geo.grid_columns``). Side A keeps its own cell, side B is
+    replicated into its own cell and the nearer neighbouring row and column
+    (at most 2×2 cells), so every true pair meets in exactly one cell and the
+    exact distance test stays. The result equals the brute-force result at any latitude,
     across the ±180° seam and at the poles.
     """
     keys = (group_key, bucket)
+    # Rows that can never pair are dropped before the shuffle explicitly, not
+    # left to inferred constraints.
+    df = df.filter(F.col(vessel).isNotNull() & F.col(lat).isNotNull() & F.col(lon).isNotNull()
+                   & F.col(group_key).isNotNull() & F.col(bucket).isNotNull())
     a = _side(df, "_a", keys)
     b = _side(df, "_b", keys)
     va, vb = f"{vessel}_a", f"{vessel}_b"
     la, loa, lb, lob = f"{lat}_a", f"{lon}_a", f"{lat}_b", f"{lon}_b"
 
     if grid:
-        a = a.withColumn("_cy", grid_row(la, dmax_nm, earth_radius_nm))
-        a = a.withColumn("_cx", grid_column(loa, grid_columns(F.col("_cy"), dmax_nm, earth_radius_nm)))
-        row_b = grid_row(lb, dmax_nm, earth_radius_nm)
-        b = b.withColumn("_cy", F.explode(F.array(row_b - 1, row_b, row_b + 1)))
-        ncols = grid_columns(F.col("_cy"), dmax_nm, earth_radius_nm)
-        col_b = grid_column(lob, ncols)
-        b = b.withColumn(
-            "_cx",
-            F.explode(F.array_distinct(F.array(
-                F.pmod(col_b - 1, ncols), col_b, F.pmod(col_b + 1, ncols)))),
-        )
-        on = [group_key, bucket, "_cy", "_cx"]
-    else:
-        on = [group_key, bucket]
-
-    b = b.withColumnRenamed(group_key, "_g").withColumnRenamed(bucket, "_k")
+        a = with_grid_cell(a, dmax_nm, lat=la, lon=loa, earth_radius_nm=earth_radius_nm)
+        b = with_grid_cell(b, dmax_nm, lat=lb, lon=lob, neighbours=True,
+                           earth_radius_nm=earth_radius_nm)
+
+    # Both sides grow with the data: keep the join a shuffle (sort-merge) join
+    # rather than let a size estimate that ignores the replication pick a
+    # broadcast. AQE still splits skewed partitions.
+    b = b.withColumnRenamed(group_key, "_g").withColumnRenamed(bucket, "_k").hint("merge")
     cond = [F.col(group_key) == F.col("_g"), F.col(bucket) == F.col("_k")]
     if grid:
         b = b.withColumnRenamed("_cy", "_cy_b").withColumnRenamed("_cx", "_cx_b")
