@@ -100,6 +100,9 @@ def event_track_points(
     if day_cols:
         t = t.withColumn("_day", F.explode(F.sequence(F.to_date("window_start"),
                                                       F.to_date("window_end"))))
+        # The day range stated as a comparison: Spark inserts dynamic partition
+        # pruning only when the pruning side carries such a predicate.
+        t = t.filter(F.col("_day").between(F.to_date("window_start"), F.to_date("window_end")))
         if len(day_cols) == 1:
             cond = cond & (F.col(day_cols[0]) == F.col("_day"))
         else:
