@@ -324,7 +324,10 @@ def q_report_csv_roundtrip(spark, d):
 def q_pipeline(spark, d):
     work = _work_dir(spark, "pipeline")
     raw_ping_text(spark, d).write.mode("overwrite").option("header", "true").csv(f"{work}/csv")
-    out = run_pipeline(spark, TEST_CFG, csv_path=f"{work}/csv", workdir=f"{work}/run")
+    schema = ("event_id long, `# Timestamp` string, MMSI string, Latitude string, "
+              "Longitude string, SOG string, COG string, Name string")
+    out = run_pipeline(spark, TEST_CFG, csv_path=f"{work}/csv", workdir=f"{work}/run",
+                       csv_schema=schema)
     return _report_out(out["report"])
 
 

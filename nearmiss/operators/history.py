@@ -52,9 +52,11 @@ def ping_history(
     With ``slice_seconds`` the window runs per (vessel, time slice), so a
     vessel id with a huge share of the rows is spread over many tasks; the
     first and last ping of every slice are then stitched to the neighbouring
-    slices through a per-slice summary (one row per vessel and slice), which is
-    joined back on the window's own partitioning keys, so the pings are
-    shuffled once.
+    slices through a per-slice summary (one row per vessel and slice, built by
+    a map-side-combined aggregate), which is joined back on the window's own
+    partitioning keys, so the pings are shuffled once. The slice's last ping
+    is picked by ``order_by`` in the aggregate as in the window, which is one
+    more reason the order must be total.
     """
     order = [F.col(c) for c in order_by]
     pings = df.filter(F.col(vessel).isNotNull())
@@ -73,21 +75,24 @@ def ping_history(
     slice_col = F.coalesce(
         F.floor(epoch_seconds(ts) / F.lit(slice_seconds)), F.lit(_NO_TIME_SLICE)
     )
+    pings = pings.withColumn("_slice", slice_col)
     w = Window.partitionBy(vessel, "_slice").orderBy(*order)
     local = (
-        pings.withColumn("_slice", slice_col)
-        .withColumn("_rn", F.row_number().over(w))
+        pings.withColumn("_rn", F.row_number().over(w))
         .withColumn("_more", F.lead(F.lit(1)).over(w))
         .withColumn("prev_sog", F.lag(sog).over(w))
         .withColumn("prev_cog", F.lag(cog).over(w))
         .withColumn("prev_ts", F.lag(ts).over(w))
         .withColumn("next_ts", F.lead(ts).over(w))
     )
-    per_slice = local.groupBy(vessel, "_slice").agg(
+    # One row per (vessel, slice), aggregated from the pings directly: partial
+    # aggregates are combined map-side, so only one row per vessel, slice and
+    # map task crosses the network (no second shuffle of the pings).
+    per_slice = pings.groupBy(vessel, "_slice").agg(
         F.count(F.lit(1)).alias("_n"),
         F.max_by(F.struct(F.col(sog).alias("s"), F.col(cog).alias("c"), F.col(ts).alias("t")),
-                 "_rn").alias("_last"),
-        F.min_by(F.col(ts), "_rn").alias("_first_ts"),
+                 F.struct(*order)).alias("_last"),
+        F.min(ts).alias("_first_ts"),
     )
     sw = Window.partitionBy(vessel).orderBy("_slice")
     stitch = per_slice.select(
@@ -99,8 +104,10 @@ def ping_history(
     )
     first = F.col("_rn") == 1
     last = F.col("_more").isNull()
+    # The stitch table grows with vessels × slices: keep it a shuffle join on
+    # the window's own partitioning keys (the pings are not shuffled again).
     out = (
-        local.join(stitch, [vessel, "_slice"], "inner")
+        local.join(stitch.hint("merge"), [vessel, "_slice"], "inner")
         .withColumn("prev_sog", F.when(first, F.col("_before.s")).otherwise(F.col("prev_sog")))
         .withColumn("prev_cog", F.when(first, F.col("_before.c")).otherwise(F.col("prev_cog")))
         .withColumn("prev_ts", F.when(first, F.col("_before.t")).otherwise(F.col("prev_ts")))

@@ -5,12 +5,14 @@ from nearmiss.plans.pipeline import (
     extract_events,
     ingest,
     pair_tie_break,
+    prepare_pings,
     run_pipeline,
+    score_encounters,
     zone_pings,
 )
 from nearmiss.plans.storage import ensure_checkpoint_dir, materialize, run_dir, shared_dir
 
 __all__ = [
     "detect_encounters", "ensure_checkpoint_dir", "extract_events", "ingest", "materialize",
-    "pair_tie_break", "run_dir", "run_pipeline", "shared_dir", "zone_pings",
+    "pair_tie_break", "prepare_pings", "run_dir", "run_pipeline", "score_encounters", "shared_dir", "zone_pings",
 ]

@@ -43,13 +43,14 @@ def pair_tie_break(order_by) -> tuple[str, ...]:
 
 
 def ingest(spark: SparkSession, csv_path: str, lake_path: str, *,
-           rejected_path: str | None = None, cfg: EncounterConfig = EncounterConfig()) -> None:
+           rejected_path: str | None = None, cfg: EncounterConfig = EncounterConfig(),
+           schema=None) -> None:
     """CSV directory → day-partitioned Parquet lake (+ rejected rows with reasons).
 
     The CSV is scanned once per output; the rejected rows are written only when
     ``rejected_path`` is given.
     """
-    raw = read_pings_csv(spark, csv_path)
+    raw = read_pings_csv(spark, csv_path, schema)
     write_ping_lake(normalize_pings(raw, cfg.ts_format), lake_path)
     if rejected_path:
         rejected_pings(raw, cfg.ts_format).write.mode("overwrite").parquet(rejected_path)
@@ -68,8 +69,9 @@ def zone_pings(pings: DataFrame, cfg: EncounterConfig = EncounterConfig(), *,
     return out
 
 
-def detect_encounters(pings: DataFrame, cfg: EncounterConfig = EncounterConfig()) -> DataFrame:
-    """In-zone pings → sorted encounter report (one row per pair and group).
+def prepare_pings(pings: DataFrame, cfg: EncounterConfig = EncounterConfig()) -> DataFrame:
+    """In-zone pings → the pings that may pair: deny list, history, reliable
+    vessels, moving pings, time bucket.
 
     Order matters and follows the analysis: the deny list applies before the
     history; history and the ping count are taken before the speed filter, so
@@ -78,14 +80,27 @@ def detect_encounters(pings: DataFrame, cfg: EncounterConfig = EncounterConfig()
     named = exclude_named(pings, cfg.deny_tokens, keep_null=cfg.keep_unnamed)
     hist = ping_history(named, cfg.order_by, slice_seconds=cfg.history_slice_seconds)
     moving = moving_pings(reliable_vessels(hist, cfg.min_pings), cfg.min_sog, cfg.max_sog)
-    bucketed = with_time_bucket(moving, cfg.bucket_seconds)
-    pairs = close_pairs(bucketed, cfg.dmax_nm, group_key=cfg.group_key, grid=cfg.grid,
+    return with_time_bucket(moving, cfg.bucket_seconds)
+
+
+def score_encounters(prepared: DataFrame, cfg: EncounterConfig = EncounterConfig()) -> DataFrame:
+    """Prepared pings → sorted encounter report: grid pair join, closest moment
+    per pair and group, danger score."""
+    pairs = close_pairs(prepared, cfg.dmax_nm, group_key=cfg.group_key, grid=cfg.grid,
                         earth_radius_nm=cfg.earth_radius_nm)
     best = closest_per_pair(pairs, group_key=cfg.group_key,
                             tie_break=pair_tie_break(cfg.order_by))
     return encounter_report(danger_score(best, cfg.weights), group_key=cfg.group_key)
 
 
+def detect_encounters(pings: DataFrame, cfg: EncounterConfig = EncounterConfig()) -> DataFrame:
+    """In-zone pings → sorted encounter report (one row per pair and group),
+    as one lazy plan. ``run_pipeline`` writes the prepared pings in between, so
+    the two sides of the pair self-join scan a table instead of each
+    recomputing the history."""
+    return score_encounters(prepare_pings(pings, cfg), cfg)
+
+
 def extract_events(report: DataFrame, pings: DataFrame,
                    cfg: EncounterConfig = EncounterConfig(), *,
                    partition_days=None) -> dict[str, DataFrame]:
@@ -116,7 +131,8 @@ def extract_events(report: DataFrame, pings: DataFrame,
 
 def run_pipeline(spark: SparkSession, cfg: EncounterConfig = EncounterConfig(), *,
                  csv_path: str | None = None, lake_path: str | None = None,
-                 start=None, end=None, workdir: str | None = None) -> dict[str, DataFrame]:
+                 start=None, end=None, workdir: str | None = None,
+                 csv_schema=None) -> dict[str, DataFrame]:
     """All stages in order. Stage boundaries are written as Parquet tables
     under ``workdir`` (default: a fresh folder in ``spark.checkpoint.dir``), so
     each stage reads its input from shared storage, like the staged analysis,
@@ -128,12 +144,15 @@ def run_pipeline(spark: SparkSession, cfg: EncounterConfig = EncounterConfig(),
     work = workdir or run_dir(spark, "pipeline")
     if csv_path:
         lake_path = lake_path or f"{work}/lake"
-        ingest(spark, csv_path, lake_path, rejected_path=f"{work}/rejected", cfg=cfg)
+        ingest(spark, csv_path, lake_path, rejected_path=f"{work}/rejected", cfg=cfg,
+               schema=csv_schema)
     if not lake_path:
         raise ValueError("run_pipeline needs csv_path or lake_path")
     lake = read_ping_lake(spark, lake_path, start, end)
     zone = materialize(zone_pings(lake, cfg), f"{work}/zone", partition_by=("group_key",))
-    report = materialize(detect_encounters(zone, cfg), f"{work}/report")
-    out = {"zone": zone, "report": report}
+    prepared = materialize(prepare_pings(zone, cfg), f"{work}/prepared",
+                           partition_by=("group_key",))
+    report = materialize(score_encounters(prepared, cfg), f"{work}/report")
+    out = {"zone": zone, "prepared": prepared, "report": report}
     out.update(extract_events(report, zone, cfg, partition_days="group_key"))
     return out
