@@ -58,6 +58,7 @@ from nearmiss.plans import (  # noqa: E402
     shared_dir,
     zone_pings,
 )
+from nearmiss.streaming import ingest_stream  # noqa: E402
 from nearmiss.sources import (  # noqa: E402
     normalize_pings,
     ping_view,
@@ -305,6 +306,22 @@ def q_lake_roundtrip(spark, d):
                        "name", "Year", "Month", "Day")
 
 
+RAW_CSV_SCHEMA = ("event_id long, `# Timestamp` string, MMSI string, Latitude string, "
+                  "Longitude string, SOG string, COG string, Name string")
+
+
+def q_stream_ingest(spark, d):
+    """The raw text as CSV drops, ingested by the streaming job, read back."""
+    work = _work_dir(spark, "stream")
+    raw_ping_text(spark, d).write.mode("overwrite").option("header", "true").csv(f"{work}/csv")
+    q = ingest_stream(spark, f"{work}/csv", f"{work}/lake", RAW_CSV_SCHEMA,
+                      checkpoint=f"{work}/checkpoint")
+    q.awaitTermination()
+    back = read_ping_lake(spark, f"{work}/lake")
+    return back.select("event_id", "vessel_id", "ts", _r("lat", 6).alias("lat"),
+                       _r("lon", 6).alias("lon"), "sog", "cog", "name", "Year", "Month", "Day")
+
+
 def q_with_source(spark, d):
     work = _lake(spark, d)
     back = with_source(read_ping_lake(spark, f"{work}/lake"))
@@ -324,10 +341,8 @@ def q_report_csv_roundtrip(spark, d):
 def q_pipeline(spark, d):
     work = _work_dir(spark, "pipeline")
     raw_ping_text(spark, d).write.mode("overwrite").option("header", "true").csv(f"{work}/csv")
-    schema = ("event_id long, `# Timestamp` string, MMSI string, Latitude string, "
-              "Longitude string, SOG string, COG string, Name string")
     out = run_pipeline(spark, TEST_CFG, csv_path=f"{work}/csv", workdir=f"{work}/run",
-                       csv_schema=schema)
+                       csv_schema=RAW_CSV_SCHEMA)
     return _report_out(out["report"])
 
 
@@ -363,6 +378,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incident_report": q_incident_report,
     "lake_roundtrip": q_lake_roundtrip,
     "with_source": q_with_source,
+    "stream_ingest": q_stream_ingest,
     "report_csv_roundtrip": q_report_csv_roundtrip,
     "pipeline": q_pipeline,
 }
@@ -639,6 +655,7 @@ FROM report"""),
          coalesce(strftime(ts_a, '%Y%m%d_%H%M%S'), 'date_error') || '_' || vessel_a || '_' || vessel_b AS event_key
 FROM top WHERE event_rank IN (SELECT event_rank FROM complete)"""),
         "lake_roundtrip": _with(_PINGS, lake_select),
+        "stream_ingest": _with(_PINGS, lake_select),
         "report_csv_roundtrip": _with(_SCORED_CHAIN, f"""SELECT danger_score AS "Danger_Score", vessel_a AS "MMSI_A",
        vessel_b AS "MMSI_B", {_sr('distance_nm', 6)} AS "Distance_NM", distance_m AS "Distance_Meters",
        strftime(ts_a, '%Y-%m-%d %H:%M:%S') AS "TS_A", lat AS "Latitude", lon AS "Longitude",

@@ -1,0 +1,5 @@
+"""Structured Streaming form of the ingest stage (CSV drops → Parquet lake)."""
+
+from nearmiss.streaming.ingest import ingest_stream, rejected_stream
+
+__all__ = ["ingest_stream", "rejected_stream"]

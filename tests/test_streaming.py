@@ -1,0 +1,29 @@
+from nearmiss.sources import read_ping_lake
+from nearmiss.streaming import ingest_stream, rejected_stream
+
+SCHEMA = ("`# Timestamp` string, MMSI string, Latitude string, Longitude string, SOG string, "
+          "COG string, Name string")
+HEADER = ["# Timestamp", "MMSI", "Latitude", "Longitude", "SOG", "COG", "Name"]
+
+
+def _drop(spark, path, rows):
+    spark.createDataFrame(rows, HEADER).coalesce(1).write.mode("append").option(
+        "header", "true").csv(path)
+
+
+def test_incremental_runs_ingest_each_file_once(spark, workdir):
+    csv, lake, ckpt = f"{workdir}/csv", f"{workdir}/lake", f"{workdir}/ckpt"
+    _drop(spark, csv, [("13/12/2021 02:27:29", "219", "55.2", "14.2", "10.3", "35.5", "A"),
+                       ("13/12/2021 02:27:30", "12x", "55.2", "14.2", "1", "2", "B")])
+    ingest_stream(spark, csv, lake, SCHEMA, checkpoint=ckpt).awaitTermination()
+    assert read_ping_lake(spark, lake).count() == 1
+
+    _drop(spark, csv, [("14/12/2021 00:00:01", "220", "55.3", "14.3", "5.0", "90.0", "C")])
+    ingest_stream(spark, csv, lake, SCHEMA, checkpoint=ckpt).awaitTermination()
+    days = sorted((r.Day, r.vessel_id) for r in read_ping_lake(spark, lake).collect())
+    assert days == [(13, "219"), (14, "220")]
+
+    rejected_stream(spark, csv, f"{workdir}/rejected", SCHEMA,
+                    checkpoint=f"{workdir}/rckpt").awaitTermination()
+    bad = spark.read.parquet(f"{workdir}/rejected").collect()
+    assert [(r.MMSI, r.reject_reason) for r in bad] == [("12x", "bad_vessel_id")]
