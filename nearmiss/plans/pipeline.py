@@ -150,8 +150,9 @@ def run_pipeline(spark: SparkSession, cfg: EncounterConfig = EncounterConfig(),
         raise ValueError("run_pipeline needs csv_path or lake_path")
     lake = read_ping_lake(spark, lake_path, start, end)
     zone = materialize(zone_pings(lake, cfg), f"{work}/zone", partition_by=("group_key",))
-    prepared = materialize(prepare_pings(zone, cfg), f"{work}/prepared",
-                           partition_by=("group_key",))
+    # The prepared pings come hash-partitioned by vessel: written per day they
+    # would make (tasks × days) small files, and the pair join reads all of them.
+    prepared = materialize(prepare_pings(zone, cfg), f"{work}/prepared")
     report = materialize(score_encounters(prepared, cfg), f"{work}/report")
     out = {"zone": zone, "prepared": prepared, "report": report}
     out.update(extract_events(report, zone, cfg, partition_days="group_key"))
