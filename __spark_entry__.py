@@ -202,6 +202,15 @@ def q_close_pairs_brute(spark, d):
     return _pairs_out(close_pairs(_pair_input(spark, d), TEST_CFG.dmax_nm, grid=False))
 
 
+PAIR_TOLERANCE_S = 1800  # time tolerance instead of tumbling buckets (half a test bucket)
+
+
+def q_close_pairs_tolerance(spark, d):
+    p = close_pairs(_pair_input(spark, d), TEST_CFG.dmax_nm, tolerance_s=PAIR_TOLERANCE_S)
+    return p.select("group_key", "vessel_id_a", "vessel_id_b", "event_id_a", "event_id_b",
+                    _r("distance_nm", 6).alias("distance_nm"))
+
+
 def q_closest_per_pair(spark, d):
     p = close_pairs(_pair_input(spark, d), TEST_CFG.dmax_nm)
     best = closest_per_pair(p, tie_break=pair_tie_break(TEST_CFG.order_by))
@@ -366,6 +375,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "time_bucket": q_time_bucket,
     "close_pairs_grid": q_close_pairs_grid,
     "close_pairs_brute": q_close_pairs_brute,
+    "close_pairs_tolerance": q_close_pairs_tolerance,
     "closest_per_pair": q_closest_per_pair,
     "danger_score": q_danger_score,
     "encounter_report": q_encounter_report,
@@ -623,6 +633,16 @@ WHERE vessel_id IN (SELECT vessel_id FROM pings GROUP BY vessel_id HAVING count(
                              "SELECT event_id, epoch, bucket FROM b"),
         "close_pairs_grid": _with(pair_input, pairs_select),
         "close_pairs_brute": _with(pair_input, pairs_select),
+        "close_pairs_tolerance": _with(",\n".join([
+            _PINGS,
+            "moving AS (SELECT * FROM pings WHERE vessel_id IS NOT NULL AND ts IS NOT NULL AND sog >= 2.0 AND sog <= 45.0)",
+            _bucketed("moving", "bucketed")]), f"""SELECT a.group_key, a.vessel_id AS vessel_id_a, b.vessel_id AS vessel_id_b,
+       a.event_id AS event_id_a, b.event_id AS event_id_b,
+       {_sr(_hav('a.lat', 'a.lon', 'b.lat', 'b.lon'), 6)} AS distance_nm
+FROM bucketed a JOIN bucketed b
+  ON a.group_key = b.group_key AND a.vessel_id < b.vessel_id
+ AND abs(a.epoch - b.epoch) <= {PAIR_TOLERANCE_S}
+WHERE {_hav('a.lat', 'a.lon', 'b.lat', 'b.lon')} <= {TEST_CFG.dmax_nm}"""),
         "closest_per_pair": _with(",\n".join([pair_input, _closest("pairs")]), f"""SELECT group_key, vessel_id_a, vessel_id_b, event_id_a, event_id_b,
        {_sr('distance_nm', 6)} AS distance_nm FROM best"""),
         "danger_score": _with(_SCORED_CHAIN, """SELECT group_key, vessel_a, vessel_b, event_id_a, event_id_b, distance_m,

@@ -100,6 +100,9 @@ class EncounterConfig:
     min_sog: float = MIN_SOG_KN
     max_sog: float = MAX_SOG_KN
     bucket_seconds: int = BUCKET_SECONDS
+    # None: pings pair within the same tumbling bucket (as published); seconds:
+    # pings pair when at most this far apart in time, whatever their bucket
+    pair_tolerance_s: int | None = None
     dmax_nm: float = ENCOUNTER_NM
     group_key: str = "group_key"
     grid: bool = True

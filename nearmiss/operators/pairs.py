@@ -71,6 +71,8 @@ def close_pairs(
     lat: str = "lat",
     lon: str = "lon",
     grid: bool = True,
+    tolerance_s: int | None = None,
+    epoch: str = "epoch",
     earth_radius_nm: float = EARTH_RADIUS_NM,
 ) -> DataFrame:
     """All ping pairs of two different vessels in the same group and time
@@ -89,14 +91,30 @@ def close_pairs(
     (at most 2×2 cells), so every true pair meets in exactly one cell and the
     exact distance test stays. The result equals the brute-force result at any latitude,
     across the ±180° seam and at the poles.
+
+    ``tolerance_s`` replaces the tumbling bucket by a time tolerance: two
+    pings pair when ``|epoch_a − epoch_b| ≤ tolerance_s`` (seconds, from the
+    ``epoch`` column), whatever bucket they fall in. Time is then cut into
+    cells ``2·tolerance_s`` long and side B is also copied into the nearer
+    neighbouring time cell, the same trick as the spatial grid. ``bucket``
+    holds A's bucket and ``bucket_b`` B's.
     """
-    keys = (group_key, bucket)
+    keys = (group_key,) if tolerance_s is not None else (group_key, bucket)
+    time_key = epoch if tolerance_s is not None else bucket
     # Rows that can never pair are dropped before the shuffle explicitly, not
     # left to inferred constraints.
     df = df.filter(F.col(vessel).isNotNull() & F.col(lat).isNotNull() & F.col(lon).isNotNull()
-                   & F.col(group_key).isNotNull() & F.col(bucket).isNotNull())
+                   & F.col(group_key).isNotNull() & F.col(time_key).isNotNull())
     a = _side(df, "_a", keys)
     b = _side(df, "_b", keys)
+    if tolerance_s is not None:
+        cell = 2 * max(int(tolerance_s), 1)
+        ea, eb = F.col(f"{epoch}_a"), F.col(f"{epoch}_b")
+        a = a.withColumn("_tk", F.floor(ea / F.lit(cell)))
+        own = F.floor(eb / F.lit(cell))
+        nearer = F.when(eb - own * cell < cell / 2, own - 1).otherwise(own + 1)
+        b = b.withColumn("_tk", F.explode(F.array(own, nearer)))
+        a = a.withColumnRenamed(f"{bucket}_a", bucket) if f"{bucket}_a" in a.columns else a
     va, vb = f"{vessel}_a", f"{vessel}_b"
     la, loa, lb, lob = f"{lat}_a", f"{lon}_a", f"{lat}_b", f"{lon}_b"
 
@@ -108,8 +126,14 @@ def close_pairs(
     # Both sides grow with the data: keep the join a shuffle (sort-merge) join
     # rather than let a size estimate that ignores the replication pick a
     # broadcast. AQE still splits skewed partitions.
-    b = b.withColumnRenamed(group_key, "_g").withColumnRenamed(bucket, "_k").hint("merge")
-    cond = [F.col(group_key) == F.col("_g"), F.col(bucket) == F.col("_k")]
+    if tolerance_s is not None:
+        b = b.withColumnRenamed(group_key, "_g").withColumnRenamed("_tk", "_k").hint("merge")
+        a = a.withColumnRenamed("_tk", "_ka")
+        cond = [F.col(group_key) == F.col("_g"), F.col("_ka") == F.col("_k"),
+                F.abs(F.col(f"{epoch}_a") - F.col(f"{epoch}_b")) <= F.lit(tolerance_s)]
+    else:
+        b = b.withColumnRenamed(group_key, "_g").withColumnRenamed(bucket, "_k").hint("merge")
+        cond = [F.col(group_key) == F.col("_g"), F.col(bucket) == F.col("_k")]
     if grid:
         b = b.withColumnRenamed("_cy", "_cy_b").withColumnRenamed("_cx", "_cx_b")
         cond += [F.col("_cy") == F.col("_cy_b"), F.col("_cx") == F.col("_cx_b")]
@@ -120,7 +144,7 @@ def close_pairs(
         a.join(b, on=cond, how="inner")
         .withColumn("distance_nm", dist)
         .filter(F.col("distance_nm") <= F.lit(dmax_nm))
-        .drop("_g", "_k", "_cy", "_cx", "_cy_b", "_cx_b")
+        .drop("_g", "_k", "_ka", "_cy", "_cx", "_cy_b", "_cx_b")
     )
     return pairs
 

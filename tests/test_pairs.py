@@ -92,3 +92,29 @@ def test_pair_join_is_a_shuffle_join(spark):
     df = _bucketed(spark, [(1, "a", 0, 55.0, 14.0, 5.0, 0.0), (2, "b", 1, 55.0, 14.0, 5.0, 0.0)])
     plan = plan_text(close_pairs(df, 0.054))
     assert "SortMergeJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("tol", [1, 5, 30])
+def test_time_tolerance_equals_brute_force(spark, tol):
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(tol)
+    rows = [(i, f"v{rnd.randint(0, 25)}", rnd.randint(0, 120), 55.0 + rnd.uniform(0, 0.002),
+             14.0 + rnd.uniform(0, 0.003), 5.0, 0.0) for i in range(300)]
+    df = _bucketed(spark, rows)
+    a = df.select(*[F.col(c).alias(f"{c}_a") for c in df.columns])
+    b = df.select(*[F.col(c).alias(f"{c}_b") for c in df.columns])
+    from nearmiss.functions import haversine_nm
+    brute = a.join(b, (F.col("group_key_a") == F.col("group_key_b"))
+                   & (F.col("vessel_id_a") < F.col("vessel_id_b"))
+                   & (F.abs(F.col("epoch_a") - F.col("epoch_b")) <= tol)
+                   & (haversine_nm("lat_a", "lon_a", "lat_b", "lon_b") <= 0.054))
+    want = sorted((r.event_id_a, r.event_id_b) for r in brute.collect())
+    assert want
+    for grid in (True, False):
+        got = close_pairs(df, 0.054, tolerance_s=tol, grid=grid).collect()
+        assert sorted((r.event_id_a, r.event_id_b) for r in got) == want
+    # one second apart across a bucket edge: missed by buckets, found by tolerance
+    edge = _bucketed(spark, [(1, "a", 9, 55.0, 14.0, 5.0, 0.0), (2, "b", 10, 55.0, 14.0, 5.0, 0.0)])
+    assert close_pairs(edge, 0.054).count() == 0
+    assert close_pairs(edge, 0.054, tolerance_s=tol).count() == 1
