@@ -19,12 +19,12 @@ _NO_TIME_SLICE = -(2**62)
 
 
 def _finish(df: DataFrame, ts: str, sog: str, cog: str) -> DataFrame:
-    return (
-        df.withColumn("interval_s", epoch_seconds(ts) - epoch_seconds("prev_ts"))
-        .withColumn("delta_sog", speed_change(sog, "prev_sog"))
-        .withColumn("delta_cog", course_change(cog, "prev_cog"))
-        .withColumn("is_last_signal", F.when(F.col("next_ts").isNull(), 1).otherwise(0))
-    )
+    return df.withColumns({
+        "interval_s": epoch_seconds(ts) - epoch_seconds("prev_ts"),
+        "delta_sog": speed_change(sog, "prev_sog"),
+        "delta_cog": course_change(cog, "prev_cog"),
+        "is_last_signal": F.when(F.col("next_ts").isNull(), 1).otherwise(0),
+    })
 
 
 def ping_history(
@@ -63,13 +63,13 @@ def ping_history(
 
     if not slice_seconds:
         w = Window.partitionBy(vessel).orderBy(*order)
-        out = (
-            pings.withColumn("prev_sog", F.lag(sog).over(w))
-            .withColumn("prev_cog", F.lag(cog).over(w))
-            .withColumn("prev_ts", F.lag(ts).over(w))
-            .withColumn("next_ts", F.lead(ts).over(w))
-            .withColumn("vessel_pings", F.count(F.lit(1)).over(Window.partitionBy(vessel)))
-        )
+        out = pings.withColumns({
+            "prev_sog": F.lag(sog).over(w),
+            "prev_cog": F.lag(cog).over(w),
+            "prev_ts": F.lag(ts).over(w),
+            "next_ts": F.lead(ts).over(w),
+            "vessel_pings": F.count(F.lit(1)).over(Window.partitionBy(vessel)),
+        })
         return _finish(out, ts, sog, cog)
 
     slice_col = F.coalesce(
@@ -77,14 +77,14 @@ def ping_history(
     )
     pings = pings.withColumn("_slice", slice_col)
     w = Window.partitionBy(vessel, "_slice").orderBy(*order)
-    local = (
-        pings.withColumn("_rn", F.row_number().over(w))
-        .withColumn("_more", F.lead(F.lit(1)).over(w))
-        .withColumn("prev_sog", F.lag(sog).over(w))
-        .withColumn("prev_cog", F.lag(cog).over(w))
-        .withColumn("prev_ts", F.lag(ts).over(w))
-        .withColumn("next_ts", F.lead(ts).over(w))
-    )
+    local = pings.withColumns({
+        "_rn": F.row_number().over(w),
+        "_more": F.lead(F.lit(1)).over(w),
+        "prev_sog": F.lag(sog).over(w),
+        "prev_cog": F.lag(cog).over(w),
+        "prev_ts": F.lag(ts).over(w),
+        "next_ts": F.lead(ts).over(w),
+    })
     # One row per (vessel, slice), aggregated from the pings directly: partial
     # aggregates are combined map-side, so only one row per vessel, slice and
     # map task crosses the network (no second shuffle of the pings).
@@ -108,10 +108,12 @@ def ping_history(
     # the window's own partitioning keys (the pings are not shuffled again).
     out = (
         local.join(stitch.hint("merge"), [vessel, "_slice"], "inner")
-        .withColumn("prev_sog", F.when(first, F.col("_before.s")).otherwise(F.col("prev_sog")))
-        .withColumn("prev_cog", F.when(first, F.col("_before.c")).otherwise(F.col("prev_cog")))
-        .withColumn("prev_ts", F.when(first, F.col("_before.t")).otherwise(F.col("prev_ts")))
-        .withColumn("next_ts", F.when(last, F.col("_after_ts")).otherwise(F.col("next_ts")))
+        .withColumns({
+            "prev_sog": F.when(first, F.col("_before.s")).otherwise(F.col("prev_sog")),
+            "prev_cog": F.when(first, F.col("_before.c")).otherwise(F.col("prev_cog")),
+            "prev_ts": F.when(first, F.col("_before.t")).otherwise(F.col("prev_ts")),
+            "next_ts": F.when(last, F.col("_after_ts")).otherwise(F.col("next_ts")),
+        })
         .drop("_slice", "_rn", "_more", "_before", "_after_ts")
     )
     return _finish(out, ts, sog, cog)

@@ -14,7 +14,7 @@ def with_time_bucket(df: DataFrame, seconds: int = BUCKET_SECONDS, *, ts: str =
                      out: str = "bucket") -> DataFrame:
     """Add ``epoch`` (seconds) and ``bucket``: the tumbling, epoch-aligned
     ``seconds``-long slot number (a long, free of time zones)."""
-    return df.withColumn("epoch", epoch_seconds(ts)).withColumn(out, time_bucket(ts, seconds))
+    return df.withColumns({"epoch": epoch_seconds(ts), out: time_bucket(ts, seconds)})
 
 
 def with_grid_cell(
@@ -25,40 +25,39 @@ def with_grid_cell(
     lon: str = "lon",
     neighbours: bool = False,
     earth_radius_nm: float = EARTH_RADIUS_NM,
+    row_col: str = "_cy",
+    col_col: str = "_cx",
 ) -> DataFrame:
-    """Add the grid cell ``(_cy, _cx)`` of each position for a pair distance
-    of ``dmax_nm`` (see ``close_pairs``).
+    """Add the grid cell ``(row_col, col_col)`` of each position for a pair
+    distance of ``dmax_nm`` (see ``close_pairs``).
 
     With ``neighbours`` each row is instead replicated into its own cell and
     the neighbouring cells it can reach: a cell is two distances tall and at
     least two wide, so that is the nearer row and the nearer column, at most
-    2×2 cells. Every intermediate is its own column, so each trigonometric
-    expression runs once per row.
+    2×2 cells. The column count of a row is its own column, so the
+    trigonometric expression runs once per row.
     """
     y = grid_row(lat, dmax_nm, earth_radius_nm)
-    df = df.withColumn("_fy", y)
-    cy = F.floor(F.col("_fy"))
+    cy = F.floor(y)
     if neighbours:
-        near_y = F.when(F.col("_fy") - cy < 0.5, cy - 1).otherwise(cy + 1)
-        df = df.withColumn("_cy", F.explode(F.array(cy, near_y)))
+        near_y = F.when(y - cy < 0.5, cy - 1).otherwise(cy + 1)
+        df = df.withColumn(row_col, F.explode(F.array(cy, near_y)))
     else:
-        df = df.withColumn("_cy", cy)
-    df = df.withColumn("_nc", grid_columns(F.col("_cy"), dmax_nm, earth_radius_nm))
-    df = df.withColumn("_fx", grid_column(lon, F.col("_nc")))
+        df = df.withColumn(row_col, cy)
+    df = df.withColumn("_nc", grid_columns(F.col(row_col), dmax_nm, earth_radius_nm))
     nc = F.col("_nc")
-    cx = F.floor(F.col("_fx"))
+    fx = grid_column(lon, nc)
+    cx = F.floor(fx)
     if neighbours:
-        near_x = F.pmod(F.when(F.col("_fx") - cx < 0.5, cx - 1).otherwise(cx + 1), nc)
-        df = df.withColumn("_cx", F.explode(F.array_distinct(F.array(F.pmod(cx, nc), near_x))))
+        near_x = F.pmod(F.when(fx - cx < 0.5, cx - 1).otherwise(cx + 1), nc)
+        cell = F.explode(F.array_distinct(F.array(F.pmod(cx, nc), near_x)))
     else:
-        df = df.withColumn("_cx", F.pmod(cx, nc))
-    return df.drop("_fy", "_fx", "_nc")
+        cell = F.pmod(cx, nc)
+    return df.withColumn(col_col, cell).drop("_nc")
 
 
-def _side(df: DataFrame, suffix: str, keep: tuple[str, ...]) -> DataFrame:
-    return df.select(
-        *[F.col(c).alias(c if c in keep else f"{c}{suffix}") for c in df.columns]
-    )
+def _side(df: DataFrame, suffix: str, rename: dict[str, str]) -> DataFrame:
+    return df.select(*[F.col(c).alias(rename.get(c, f"{c}{suffix}")) for c in df.columns])
 
 
 def close_pairs(
@@ -89,8 +88,8 @@ def close_pairs(
     (``functions.geo.grid_columns``). Side A keeps its own cell, side B is
     replicated into its own cell and the nearer neighbouring row and column
     (at most 2×2 cells), so every true pair meets in exactly one cell and the
-    exact distance test stays. The result equals the brute-force result at any latitude,
-    across the ±180° seam and at the poles.
+    exact distance test stays. The result equals the brute-force result at
+    any latitude, across the ±180° seam and at the poles.
 
     ``tolerance_s`` replaces the tumbling bucket by a time tolerance: two
     pings pair when ``|epoch_a − epoch_b| ≤ tolerance_s`` (seconds, from the
@@ -98,55 +97,46 @@ def close_pairs(
     cells ``2·tolerance_s`` long and side B is also copied into the nearer
     neighbouring time cell, the same trick as the spatial grid. ``bucket``
     holds A's bucket and ``bucket_b`` B's.
+
+    Both sides grow with the data, so the join is pinned to a shuffle
+    (sort-merge) join: a size estimate that ignores the replication must not
+    pick a broadcast. AQE still splits skewed partitions.
     """
-    keys = (group_key,) if tolerance_s is not None else (group_key, bucket)
-    time_key = epoch if tolerance_s is not None else bucket
+    tol = tolerance_s is not None
+    time_key = epoch if tol else bucket
     # Rows that can never pair are dropped before the shuffle explicitly, not
     # left to inferred constraints.
     df = df.filter(F.col(vessel).isNotNull() & F.col(lat).isNotNull() & F.col(lon).isNotNull()
                    & F.col(group_key).isNotNull() & F.col(time_key).isNotNull())
-    a = _side(df, "_a", keys)
-    b = _side(df, "_b", keys)
-    if tolerance_s is not None:
+    a = _side(df, "_a", {group_key: group_key, **({} if tol else {bucket: bucket})})
+    b = _side(df, "_b", {group_key: "_g", **({} if tol else {bucket: "_k"})})
+    la, loa, lb, lob = f"{lat}_a", f"{lon}_a", f"{lat}_b", f"{lon}_b"
+    cond = [F.col(group_key) == F.col("_g")]
+    if tol:
         cell = 2 * max(int(tolerance_s), 1)
         ea, eb = F.col(f"{epoch}_a"), F.col(f"{epoch}_b")
-        a = a.withColumn("_tk", F.floor(ea / F.lit(cell)))
         own = F.floor(eb / F.lit(cell))
         nearer = F.when(eb - own * cell < cell / 2, own - 1).otherwise(own + 1)
-        b = b.withColumn("_tk", F.explode(F.array(own, nearer)))
-        a = a.withColumnRenamed(f"{bucket}_a", bucket) if f"{bucket}_a" in a.columns else a
-    va, vb = f"{vessel}_a", f"{vessel}_b"
-    la, loa, lb, lob = f"{lat}_a", f"{lon}_a", f"{lat}_b", f"{lon}_b"
-
+        a = a.withColumns({"_ka": F.floor(ea / F.lit(cell)), bucket: F.col(f"{bucket}_a")}).drop(
+            f"{bucket}_a")
+        b = b.withColumn("_k", F.explode(F.array(own, nearer)))
+        cond += [F.col("_ka") == F.col("_k"), F.abs(ea - eb) <= F.lit(tolerance_s)]
+    else:
+        cond.append(F.col(bucket) == F.col("_k"))
     if grid:
         a = with_grid_cell(a, dmax_nm, lat=la, lon=loa, earth_radius_nm=earth_radius_nm)
         b = with_grid_cell(b, dmax_nm, lat=lb, lon=lob, neighbours=True,
-                           earth_radius_nm=earth_radius_nm)
-
-    # Both sides grow with the data: keep the join a shuffle (sort-merge) join
-    # rather than let a size estimate that ignores the replication pick a
-    # broadcast. AQE still splits skewed partitions.
-    if tolerance_s is not None:
-        b = b.withColumnRenamed(group_key, "_g").withColumnRenamed("_tk", "_k").hint("merge")
-        a = a.withColumnRenamed("_tk", "_ka")
-        cond = [F.col(group_key) == F.col("_g"), F.col("_ka") == F.col("_k"),
-                F.abs(F.col(f"{epoch}_a") - F.col(f"{epoch}_b")) <= F.lit(tolerance_s)]
-    else:
-        b = b.withColumnRenamed(group_key, "_g").withColumnRenamed(bucket, "_k").hint("merge")
-        cond = [F.col(group_key) == F.col("_g"), F.col(bucket) == F.col("_k")]
-    if grid:
-        b = b.withColumnRenamed("_cy", "_cy_b").withColumnRenamed("_cx", "_cx_b")
+                           earth_radius_nm=earth_radius_nm, row_col="_cy_b", col_col="_cx_b")
         cond += [F.col("_cy") == F.col("_cy_b"), F.col("_cx") == F.col("_cx_b")]
-    cond.append(F.col(va) < F.col(vb))
+    cond.append(F.col(f"{vessel}_a") < F.col(f"{vessel}_b"))
 
     dist = haversine_nm(la, loa, lb, lob, earth_radius_nm)
-    pairs = (
-        a.join(b, on=cond, how="inner")
+    return (
+        a.join(b.hint("merge"), on=cond, how="inner")
         .withColumn("distance_nm", dist)
         .filter(F.col("distance_nm") <= F.lit(dmax_nm))
         .drop("_g", "_k", "_ka", "_cy", "_cx", "_cy_b", "_cx_b")
     )
-    return pairs
 
 
 def closest_per_pair(

@@ -42,19 +42,19 @@ def danger_score(pairs: DataFrame, weights: ScoreWeights = ScoreWeights(), *,
     """Add ``distance_m`` (rounded to 0.1 m), the five score components and
     ``danger_score`` = proximity + course + speed − stale + signal."""
     w = weights
-    return (
-        pairs.withColumn("distance_m", F.round(F.col("distance_nm") * metres_per_nm, 1))
-        .withColumn("proximity_points", proximity_points("distance_m", w))
-        .withColumn("course_points",
-                    course_points("sog_a", "sog_b", "delta_cog_a", "delta_cog_b", w))
-        .withColumn("speed_points", speed_points("delta_sog_a", "delta_sog_b", w))
-        .withColumn("stale_penalty", stale_penalty("interval_s_a", w))
-        .withColumn("signal_points", signal_points("is_last_signal_a", "is_last_signal_b", w))
-        .withColumn(
-            "danger_score",
-            F.col("proximity_points") + F.col("course_points") + F.col("speed_points")
-            - F.col("stale_penalty") + F.col("signal_points"),
-        )
+    scored = pairs.withColumn(
+        "distance_m", F.round(F.col("distance_nm") * metres_per_nm, 1)
+    ).withColumns({
+        "proximity_points": proximity_points("distance_m", w),
+        "course_points": course_points("sog_a", "sog_b", "delta_cog_a", "delta_cog_b", w),
+        "speed_points": speed_points("delta_sog_a", "delta_sog_b", w),
+        "stale_penalty": stale_penalty("interval_s_a", w),
+        "signal_points": signal_points("is_last_signal_a", "is_last_signal_b", w),
+    })
+    return scored.withColumn(
+        "danger_score",
+        F.col("proximity_points") + F.col("course_points") + F.col("speed_points")
+        - F.col("stale_penalty") + F.col("signal_points"),
     )
 
 
@@ -64,7 +64,8 @@ def encounter_report(scored: DataFrame, *, group_key: str = "group_key",
     decimals, sorted by score (then distance, vessels, time for a total order).
     """
     out = scored.select(
-        "danger_score", "vessel_id_a", "vessel_id_b", "distance_nm", "distance_m", "ts_a",
+        "danger_score", F.col("vessel_id_a").alias("vessel_a"),
+        F.col("vessel_id_b").alias("vessel_b"), "distance_nm", "distance_m", "ts_a",
         F.round((F.col("lat_a") + F.col("lat_b")) / 2, 6).alias("lat"),
         F.round((F.col("lon_a") + F.col("lon_b")) / 2, 6).alias("lon"),
         "sog_a", "sog_b", "delta_sog_a", "delta_sog_b", "delta_cog_a", "delta_cog_b",
@@ -72,5 +73,5 @@ def encounter_report(scored: DataFrame, *, group_key: str = "group_key",
         F.col(group_key).alias("group_key"),
         "ts_b", F.col("interval_s_b").alias("interval_b"),
         "is_last_signal_a", "is_last_signal_b", *SCORE_COMPONENTS,
-    ).withColumnRenamed("vessel_id_a", "vessel_a").withColumnRenamed("vessel_id_b", "vessel_b")
+    )
     return out.orderBy(*report_order()) if sort else out
