@@ -149,7 +149,11 @@ def run_pipeline(spark: SparkSession, cfg: EncounterConfig = EncounterConfig(),
     if not lake_path:
         raise ValueError("run_pipeline needs csv_path or lake_path")
     lake = read_ping_lake(spark, lake_path, start, end)
-    zone = materialize(zone_pings(lake, cfg), f"{work}/zone", partition_by=("group_key",))
+    # group_key="source_file" pairs pings only within one lake file, as the
+    # staged analysis did; the file name is captured before the zone table is
+    # written.
+    zone = materialize(zone_pings(lake, cfg, lineage=cfg.group_key == "source_file"),
+                       f"{work}/zone", partition_by=("group_key",))
     # The prepared pings come hash-partitioned by vessel: written per day they
     # would make (tasks × days) small files, and the pair join reads all of them.
     prepared = materialize(prepare_pings(zone, cfg), f"{work}/prepared")
