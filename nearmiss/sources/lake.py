@@ -32,17 +32,19 @@ def write_ping_lake(
 ) -> None:
     """Write pings as Parquet partitioned by ``Year/Month/Day``.
 
-    Rows are range-partitioned on (day, vessel, time) and sorted within each
-    task: a busy day is split over many tasks instead of one, each task writes
-    one file per day it holds, and every file covers a narrow vessel/time range,
-    so Parquet min/max statistics prune row groups for vessel or time filters.
+    Rows are rebalanced on the day (Spark's ``rebalance`` hint): a hash
+    exchange on the partition columns whose partitions AQE sizes at run time,
+    splitting a busy day over several tasks and merging small days, so files
+    are few and of even size, and no sampling pass over the input is needed
+    (range partitioning would read a CSV input one more time). Each task sorts
+    by (day, vessel, time), so every file covers a narrow vessel/time range and
+    Parquet min/max statistics prune row groups for vessel or time filters.
     ``dynamic_overwrite`` replaces only the days present in ``df``.
     """
     if "Year" not in df.columns:
         df = with_calendar_parts(df, ts=ts)
-    keys = [*LAKE_PARTITIONS, vessel, ts]
-    laid = (df.repartitionByRange(partitions, *keys) if partitions
-            else df.repartitionByRange(*keys)).sortWithinPartitions(*keys)
+    hint = (partitions, *LAKE_PARTITIONS) if partitions else LAKE_PARTITIONS
+    laid = df.hint("rebalance", *hint).sortWithinPartitions(*LAKE_PARTITIONS, vessel, ts)
     writer = laid.write.mode(mode).partitionBy(*LAKE_PARTITIONS)
     if dynamic_overwrite and mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
