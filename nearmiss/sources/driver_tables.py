@@ -22,40 +22,48 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _ping_exprs() -> dict:
+    """The view's columns as expressions over the ``events`` table."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    step = (F.round(F.col("value") * 100).cast("long") * 37) % 1000 - 500
+    ts = truncate_to_second("ts")
+    return {
+        "event_id": F.col("event_id"),
+        "vessel_id": F.col("user_id").cast("string"),
+        "ts": ts,
+        "lat": F.lit(VIEW_LAT0) + step / F.lit(1000.0),
+        "lon": F.lit(VIEW_LON0) + (k - 50) / F.lit(100.0),
+        "sog": F.round(F.col("value") % 50, 1),
+        "cog": F.round(k * 3.6, 1),
+        "name": F.col("event_type"),
+        "group_key": F.to_date(ts),
+    }
+
+
 def ping_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id, vessel_id, ts, lat, lon, sog, cog, name, group_key`` from
     ``events``; ``ts`` is cut to whole seconds, ``group_key`` is its date."""
     ev = load_table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("int")
-    step = (F.round(F.col("value") * 100).cast("long") * 37) % 1000 - 500
-    ts = truncate_to_second("ts")
-    return ev.select(
-        "event_id",
-        F.col("user_id").cast("string").alias("vessel_id"),
-        ts.alias("ts"),
-        (F.lit(VIEW_LAT0) + step / F.lit(1000.0)).alias("lat"),
-        (F.lit(VIEW_LON0) + (k - 50) / F.lit(100.0)).alias("lon"),
-        F.round(F.col("value") % 50, 1).alias("sog"),
-        F.round(k * 3.6, 1).alias("cog"),
-        F.col("event_type").alias("name"),
-        F.to_date(ts).alias("group_key"),
-    )
+    return ev.select(*[c.alias(n) for n, c in _ping_exprs().items()])
 
 
 def raw_ping_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ping view as raw AIS text (CSV-like, all strings), with a fixed share
     of rows spoiled so that the reject path has work: ids of events divisible
     by 97 read ``12x``, times of events divisible by 89 are in ISO form."""
-    p = ping_view(spark, sf_dir)
-    return p.select(
-        F.col("event_id").cast("string").alias("event_id"),
-        F.when(F.col("event_id") % 89 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    ev = load_table(spark, sf_dir, "events")
+    e = _ping_exprs()
+    eid = F.col("event_id")
+    # the text patterns drop sub-seconds themselves, so the stored time is
+    # formatted directly
+    return ev.select(
+        eid.cast("string").alias("event_id"),
+        F.when(eid % 89 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
         .otherwise(F.date_format("ts", "dd/MM/yyyy HH:mm:ss")).alias("# Timestamp"),
-        F.when(F.col("event_id") % 97 == 0, F.lit("12x"))
-        .otherwise(F.col("vessel_id")).alias("MMSI"),
-        F.col("lat").cast("string").alias("Latitude"),
-        F.col("lon").cast("string").alias("Longitude"),
-        F.col("sog").cast("string").alias("SOG"),
-        F.col("cog").cast("string").alias("COG"),
-        F.col("name").alias("Name"),
+        F.when(eid % 97 == 0, F.lit("12x")).otherwise(e["vessel_id"]).alias("MMSI"),
+        e["lat"].cast("string").alias("Latitude"),
+        e["lon"].cast("string").alias("Longitude"),
+        e["sog"].cast("string").alias("SOG"),
+        e["cog"].cast("string").alias("COG"),
+        e["name"].alias("Name"),
     )
