@@ -66,3 +66,27 @@ def test_hot_vessel_is_spread_over_slices(spark):
     rows = _rows(h)
     assert rows == _rows(ping_history(df, ("ts", "event_id"), slice_seconds=None))
     assert sum(r[8] for r in rows) == 1
+
+
+def test_vessel_with_a_third_of_rows_spreads_over_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from nearmiss.sources import ping_view
+
+    view = ping_view(spark, "/root/testdata/sf0.01")
+    # a third of all rows under one vessel id (shared or spoofed ids do this)
+    hot = view.withColumn("vessel_id", F.when(F.col("event_id") % 3 == 0, F.lit("0"))
+                          .otherwise(F.col("vessel_id")))
+    sliced = ping_history(hot, ("ts", "event_id"), slice_seconds=3600)
+    # small test data would be coalesced into one partition; look at the keys
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = (sliced.filter(F.col("vessel_id") == "0")
+                 .select(F.spark_partition_id().alias("p")).distinct().count())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tasks == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    whole = ping_history(hot, ("ts", "event_id"), slice_seconds=None)
+    cols = ["event_id", "prev_ts", "next_ts", "delta_sog", "delta_cog", "vessel_pings"]
+    assert sorted(map(tuple, sliced.select(cols).collect())) == sorted(
+        map(tuple, whole.select(cols).collect()))
