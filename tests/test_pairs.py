@@ -118,3 +118,32 @@ def test_time_tolerance_equals_brute_force(spark, tol):
     edge = _bucketed(spark, [(1, "a", 9, 55.0, 14.0, 5.0, 0.0), (2, "b", 10, 55.0, 14.0, 5.0, 0.0)])
     assert close_pairs(edge, 0.054).count() == 0
     assert close_pairs(edge, 0.054, tolerance_s=tol).count() == 1
+
+
+def test_hot_cell_is_split_by_aqe(spark):
+    """One (day, bucket, cell) holds far more rows than the others: AQE's
+    skew-join handling splits it (thresholds lowered to the test's size), and
+    the pairs still equal brute force."""
+    rnd = random.Random(5)
+    rows = [(i, f"h{i % 150}", 3, 55.0 + rnd.uniform(0, 0.0002), 14.0 + rnd.uniform(0, 0.0003),
+             5.0, 0.0) for i in range(300)]
+    rows += [(1000 + i, f"v{i % 40}", rnd.randint(0, 7200), 55.0 + rnd.uniform(0, 0.05),
+              14.0 + rnd.uniform(0, 0.08), 5.0, 0.0) for i in range(1000)]
+    df = _bucketed(spark, rows)
+    keys = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        pairs = close_pairs(df, 0.054)
+        got = sorted((r.event_id_a, r.event_id_b) for r in pairs.collect())
+        final = pairs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    assert "isFinalPlan=true" in final and "skew" in final.lower()
+    assert got == sorted((r.event_id_a, r.event_id_b)
+                         for r in close_pairs(df, 0.054, grid=False).collect())
+    assert len(got) > 20000
