@@ -2,8 +2,10 @@
 
 from nearmiss.functions.display import event_key, severity, speed_band
 from nearmiss.functions.geo import (
+    GRID_CELL_FACTOR,
     grid_column,
     grid_columns,
+    grid_reach_deg,
     grid_row,
     haversine_nm,
     lat_halfwidth_deg,
@@ -26,8 +28,8 @@ from nearmiss.functions.scoring import (
 )
 
 __all__ = [
-    "course_change", "course_points", "epoch_seconds", "event_key", "grid_column",
-    "grid_columns", "grid_row", "haversine_nm", "lat_halfwidth_deg", "lon_halfwidth_deg",
+    "GRID_CELL_FACTOR", "course_change", "course_points", "epoch_seconds", "event_key",
+    "grid_column", "grid_columns", "grid_reach_deg", "grid_row", "haversine_nm", "lat_halfwidth_deg", "lon_halfwidth_deg",
     "proximity_points", "severity", "signal_points", "speed_band", "speed_change",
     "speed_points", "stale_penalty", "time_bucket", "truncate_to_second", "zone_box",
 ]

@@ -65,33 +65,42 @@ def zone_box(centre_lat: float, centre_lon: float, radius_nm: float,
     return lat_lo, lat_hi, centre_lon - dlon, centre_lon + dlon
 
 
-def grid_cell_height(distance_nm: float, radius: float = EARTH_RADIUS_NM) -> float:
-    """Height (degrees) of a grid row: twice the largest latitude difference of
-    two points ``distance_nm`` apart, so a point reaches at most one
-    neighbouring row."""
-    return 2.0 * lat_halfwidth_deg(distance_nm, radius)
+# Cell side of the pair grid in multiples of the pair distance. Larger cells
+# copy fewer points into neighbouring cells (less shuffle) but compare more
+# candidates per cell; 4 suits sparse traffic (about 2.25 copies per point).
+GRID_CELL_FACTOR = 4.0
 
 
-def grid_row(lat, distance_nm: float, radius: float = EARTH_RADIUS_NM) -> Column:
-    """Fractional row coordinate ``lat / height`` (floor it for the row index)."""
-    return _col(lat) / F.lit(grid_cell_height(distance_nm, radius))
+def grid_cell_height(distance_nm: float, radius: float = EARTH_RADIUS_NM,
+                     cell_factor: float = GRID_CELL_FACTOR) -> float:
+    """Height (degrees) of a grid row: ``cell_factor`` times the largest
+    latitude difference of two points ``distance_nm`` apart."""
+    return cell_factor * lat_halfwidth_deg(distance_nm, radius)
 
 
-def grid_columns(row: Column, distance_nm: float, radius: float = EARTH_RADIUS_NM) -> Column:
-    """Number of equal longitude columns in grid row ``row`` (a long).
+def grid_row(lat, distance_nm: float, radius: float = EARTH_RADIUS_NM,
+             cell_factor: float = GRID_CELL_FACTOR) -> Column:
+    """Fractional row coordinate ``lat / height`` (floor it for the row index)."""
+    return _col(lat) / F.lit(grid_cell_height(distance_nm, radius, cell_factor))
 
-    A column is at least twice as wide as the largest longitude difference of
-    two points ``distance_nm`` apart whose latitudes lie in rows ``row-1 ..
-    row+1``; so for any two such points, one in ``row`` and the other in an
-    adjacent row, each is in the same column as the other or in the adjacent
-    column on its nearer side. Near the poles the bound vanishes and the row
-    has a single column.
-    """
-    height = grid_cell_height(distance_nm, radius)
+
+def grid_reach_deg(row: Column, distance_nm: float, radius: float = EARTH_RADIUS_NM,
+                   cell_factor: float = GRID_CELL_FACTOR) -> Column:
+    """Largest longitude difference (degrees) of two points ``distance_nm``
+    apart whose latitudes lie in rows ``row-1 .. row+1``; 360 near the poles,
+    where longitude gives no bound."""
+    height = grid_cell_height(distance_nm, radius, cell_factor)
     max_abs = F.greatest(F.abs(row - 1), F.abs(row + 2)) * F.lit(height)
     arg = F.lit(math.sin(distance_nm / (2 * radius))) / F.cos(F.radians(F.least(max_abs, F.lit(90.0))))
-    width = F.lit(4.0 * (1 + _SLACK)) * F.degrees(F.asin(F.least(arg, F.lit(1.0))))
-    return F.when(arg < 1.0, F.floor(F.lit(360.0) / width)).otherwise(F.lit(1).cast("long"))
+    reach = F.lit(2.0 * (1 + _SLACK)) * F.degrees(F.asin(F.least(arg, F.lit(1.0))))
+    return F.when(arg < 1.0, reach).otherwise(F.lit(360.0))
+
+
+def grid_columns(reach_deg: Column, cell_factor: float = GRID_CELL_FACTOR) -> Column:
+    """Number of equal longitude columns of a row whose longitude reach is
+    ``reach_deg``: each column is at least ``cell_factor`` reaches wide, so a
+    point reaches at most its nearer neighbouring column (a long, at least 1)."""
+    return F.greatest(F.floor(F.lit(360.0) / (F.lit(cell_factor) * reach_deg)), F.lit(1).cast("long"))
 
 
 def grid_column(lon, ncols: Column) -> Column:

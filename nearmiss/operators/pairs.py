@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nearmiss.config import BUCKET_SECONDS, EARTH_RADIUS_NM, ENCOUNTER_NM
-from nearmiss.functions.geo import grid_column, grid_columns, grid_row, haversine_nm
+from nearmiss.functions.geo import (
+    GRID_CELL_FACTOR,
+    grid_column,
+    grid_columns,
+    grid_reach_deg,
+    grid_row,
+    haversine_nm,
+)
 from nearmiss.functions.motion import epoch_seconds, time_bucket
 
 
@@ -24,6 +31,7 @@ def with_grid_cell(
     lat: str = "lat",
     lon: str = "lon",
     neighbours: bool = False,
+    cell_factor: float = GRID_CELL_FACTOR,
     earth_radius_nm: float = EARTH_RADIUS_NM,
     row_col: str = "_cy",
     col_col: str = "_cx",
@@ -32,28 +40,39 @@ def with_grid_cell(
     distance of ``dmax_nm`` (see ``close_pairs``).
 
     With ``neighbours`` each row is instead replicated into its own cell and
-    the neighbouring cells it can reach: a cell is two distances tall and at
-    least two wide, so that is the nearer row and the nearer column, at most
-    2×2 cells. The column count of a row is its own column, so the
-    trigonometric expression runs once per row.
+    every neighbouring cell it can reach within ``dmax_nm``: cells are at
+    least ``cell_factor`` (≥ 2) reaches wide in both directions, so that is
+    at most the nearer row and the nearer column (≤ 2×2 cells, about
+    ``(1 + 2/cell_factor)²`` on average). The row's reach and column count
+    are columns of their own, so each trigonometric expression runs once per
+    row.
     """
-    y = grid_row(lat, dmax_nm, earth_radius_nm)
+    if cell_factor < 2:
+        raise ValueError("cell_factor must be at least 2")
+    y = grid_row(lat, dmax_nm, earth_radius_nm, cell_factor)
     cy = F.floor(y)
     if neighbours:
-        near_y = F.when(y - cy < 0.5, cy - 1).otherwise(cy + 1)
-        df = df.withColumn(row_col, F.explode(F.array(cy, near_y)))
+        fy, r = y - cy, 1.0 / cell_factor
+        rows = F.array_compact(F.array(cy, F.when(fy <= r, cy - 1), F.when(fy >= 1 - r, cy + 1)))
+        df = df.withColumn(row_col, F.explode(rows))
     else:
         df = df.withColumn(row_col, cy)
-    df = df.withColumn("_nc", grid_columns(F.col(row_col), dmax_nm, earth_radius_nm))
+    df = df.withColumn("_wr", grid_reach_deg(F.col(row_col), dmax_nm, earth_radius_nm, cell_factor))
+    df = df.withColumn("_nc", grid_columns(F.col("_wr"), cell_factor))
     nc = F.col("_nc")
     fx = grid_column(lon, nc)
     cx = F.floor(fx)
     if neighbours:
-        near_x = F.pmod(F.when(fx - cx < 0.5, cx - 1).otherwise(cx + 1), nc)
-        cell = F.explode(F.array_distinct(F.array(F.pmod(cx, nc), near_x)))
+        gx, rx = fx - cx, F.col("_wr") * nc / F.lit(360.0)
+        cols = F.array_distinct(F.array_compact(F.array(
+            F.pmod(cx, nc),
+            F.when(gx <= rx, F.pmod(cx - 1, nc)),
+            F.when(gx >= 1 - rx, F.pmod(cx + 1, nc)),
+        )))
+        cell = F.explode(cols)
     else:
         cell = F.pmod(cx, nc)
-    return df.withColumn(col_col, cell).drop("_nc")
+    return df.withColumn(col_col, cell).drop("_wr", "_nc")
 
 
 def _side(df: DataFrame, suffix: str, rename: dict[str, str]) -> DataFrame:
@@ -70,6 +89,7 @@ def close_pairs(
     lat: str = "lat",
     lon: str = "lon",
     grid: bool = True,
+    cell_factor: float = GRID_CELL_FACTOR,
     tolerance_s: int | None = None,
     epoch: str = "epoch",
     earth_radius_nm: float = EARTH_RADIUS_NM,
@@ -83,12 +103,12 @@ def close_pairs(
 
     ``grid=False`` compares every pair inside a (group, bucket) — quadratic in
     the bucket's size. ``grid=True`` adds a spatial cell to the equi-join keys:
-    rows two ``dmax`` tall, each divided into as many equal longitude columns,
-    each at least two ``dmax`` wide, as the row's latitude allows
-    (``functions.geo.grid_columns``). Side A keeps its own cell, side B is
-    replicated into its own cell and the nearer neighbouring row and column
-    (at most 2×2 cells), so every true pair meets in exactly one cell and the
-    exact distance test stays. The result equals the brute-force result at
+    rows ``cell_factor`` reaches tall, each divided into as many equal
+    longitude columns, each at least ``cell_factor`` reaches wide, as the row's
+    latitude allows (``functions.geo``). Side A keeps its own cell, side B is
+    replicated into its own cell and each neighbouring row and column it can
+    reach (at most 2×2 cells), so every true pair meets in exactly one cell and
+    the exact distance test stays. The result equals the brute-force result at
     any latitude, across the ±180° seam and at the poles.
 
     ``tolerance_s`` replaces the tumbling bucket by a time tolerance: two
@@ -124,8 +144,9 @@ def close_pairs(
     else:
         cond.append(F.col(bucket) == F.col("_k"))
     if grid:
-        a = with_grid_cell(a, dmax_nm, lat=la, lon=loa, earth_radius_nm=earth_radius_nm)
-        b = with_grid_cell(b, dmax_nm, lat=lb, lon=lob, neighbours=True,
+        a = with_grid_cell(a, dmax_nm, lat=la, lon=loa, cell_factor=cell_factor,
+                           earth_radius_nm=earth_radius_nm)
+        b = with_grid_cell(b, dmax_nm, lat=lb, lon=lob, neighbours=True, cell_factor=cell_factor,
                            earth_radius_nm=earth_radius_nm, row_col="_cy_b", col_col="_cx_b")
         cond += [F.col("_cy") == F.col("_cy_b"), F.col("_cx") == F.col("_cx_b")]
     cond.append(F.col(f"{vessel}_a") < F.col(f"{vessel}_b"))

@@ -41,7 +41,8 @@ def test_bucket_edge_splits_pairs(spark):
     (-75.0, 60.0, 1.0, 20.0),
     (70.0, -120.0, 2.0, 200.0),
 ])
-def test_grid_equals_brute_force(spark, centre_lat, centre_lon, spread, dmax):
+@pytest.mark.parametrize("cell_factor", [2.0, 4.0, 8.0])
+def test_grid_equals_brute_force(spark, centre_lat, centre_lon, spread, dmax, cell_factor):
     rnd = random.Random(hash((centre_lat, centre_lon, dmax)) & 0xFFFF)
     rows = []
     for i in range(700):
@@ -52,7 +53,7 @@ def test_grid_equals_brute_force(spark, centre_lat, centre_lon, spread, dmax):
     df = _bucketed(spark, rows, 10)
     brute = _keys(close_pairs(df, dmax, grid=False))
     assert brute, "fixture must contain pairs"
-    assert _keys(close_pairs(df, dmax, grid=True)) == brute
+    assert _keys(close_pairs(df, dmax, grid=True, cell_factor=cell_factor)) == brute
 
 
 def test_grid_pair_over_cell_corner_found_once(spark):
