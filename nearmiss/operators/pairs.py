@@ -114,8 +114,8 @@ def close_pairs(
     ``tolerance_s`` replaces the tumbling bucket by a time tolerance: two
     pings pair when ``|epoch_a − epoch_b| ≤ tolerance_s`` (seconds, from the
     ``epoch`` column), whatever bucket they fall in. Time is then cut into
-    cells ``2·tolerance_s`` long and side B is also copied into the nearer
-    neighbouring time cell, the same trick as the spatial grid. ``bucket``
+    cells ``cell_factor·tolerance_s`` long and side B is also copied into a
+    neighbouring time cell it can reach, the same trick as the spatial grid. ``bucket``
     holds A's bucket and ``bucket_b`` B's.
 
     Both sides grow with the data, so the join is pinned to a shuffle
@@ -133,13 +133,16 @@ def close_pairs(
     la, loa, lb, lob = f"{lat}_a", f"{lon}_a", f"{lat}_b", f"{lon}_b"
     cond = [F.col(group_key) == F.col("_g")]
     if tol:
-        cell = 2 * max(int(tolerance_s), 1)
+        tol_s = max(int(tolerance_s), 1)
+        cell = int(cell_factor * tol_s)
         ea, eb = F.col(f"{epoch}_a"), F.col(f"{epoch}_b")
         own = F.floor(eb / F.lit(cell))
-        nearer = F.when(eb - own * cell < cell / 2, own - 1).otherwise(own + 1)
+        pos = eb - own * cell
+        cells = F.array_compact(F.array(own, F.when(pos <= tol_s, own - 1),
+                                        F.when(pos >= cell - tol_s, own + 1)))
         a = a.withColumns({"_ka": F.floor(ea / F.lit(cell)), bucket: F.col(f"{bucket}_a")}).drop(
             f"{bucket}_a")
-        b = b.withColumn("_k", F.explode(F.array(own, nearer)))
+        b = b.withColumn("_k", F.explode(cells))
         cond += [F.col("_ka") == F.col("_k"), F.abs(ea - eb) <= F.lit(tolerance_s)]
     else:
         cond.append(F.col(bucket) == F.col("_k"))
