@@ -75,3 +75,16 @@ def test_report_csv_roundtrip(spark, workdir):
     (r,) = read_report(spark, f"{workdir}/report").collect()
     assert (r.Danger_Score, r.MMSI_A, r.TS_A, r.Report_Interval_Sec_1, r.File_Source) == (
         165, "219", "2021-12-01 06:01:34", 11, "2021-12-01")
+
+
+def test_with_source_keeps_pushdown(spark, workdir):
+    from pyspark.sql import functions as F
+
+    p = pings(spark, [(1, "a", 0, 55.0, 14.0, 5.0, 0.0), (2, "a", 86400, 55.5, 14.0, 5.0, 0.0)])
+    write_ping_lake(p, f"{workdir}/lake")
+    lake = with_source(read_ping_lake(spark, f"{workdir}/lake", "2021-12-14", "2021-12-14"))
+    q = lake.filter(F.col("lat") > 55.2)
+    plan = plan_text(q)
+    assert "GreaterThan(lat,55.2)" in plan.split("PushedFilters:")[1].split("\n")[0]
+    assert "make_date" in plan.split("PartitionFilters:")[1].split("\n")[0].lower()
+    assert [r.event_id for r in q.collect()] == [2]
