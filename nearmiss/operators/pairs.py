@@ -52,9 +52,11 @@ def with_grid_cell(
     y = grid_row(lat, dmax_nm, earth_radius_nm, cell_factor)
     cy = F.floor(y)
     if neighbours:
+        # unreachable neighbours are null entries, dropped after the explode
+        # (a plain filter keeps the stage in generated code)
         fy, r = y - cy, 1.0 / cell_factor
-        rows = F.array_compact(F.array(cy, F.when(fy <= r, cy - 1), F.when(fy >= 1 - r, cy + 1)))
-        df = df.withColumn(row_col, F.explode(rows))
+        rows = F.array(cy, F.when(fy <= r, cy - 1), F.when(fy >= 1 - r, cy + 1))
+        df = df.withColumn(row_col, F.explode(rows)).filter(F.col(row_col).isNotNull())
     else:
         df = df.withColumn(row_col, cy)
     df = df.withColumn("_wr", grid_reach_deg(F.col(row_col), dmax_nm, earth_radius_nm, cell_factor))
@@ -64,15 +66,14 @@ def with_grid_cell(
     cx = F.floor(fx)
     if neighbours:
         gx, rx = fx - cx, F.col("_wr") * nc / F.lit(360.0)
-        cols = F.array_distinct(F.array_compact(F.array(
+        cols = F.array_distinct(F.array(
             F.pmod(cx, nc),
             F.when(gx <= rx, F.pmod(cx - 1, nc)),
             F.when(gx >= 1 - rx, F.pmod(cx + 1, nc)),
-        )))
-        cell = F.explode(cols)
-    else:
-        cell = F.pmod(cx, nc)
-    return df.withColumn(col_col, cell).drop("_wr", "_nc")
+        ))
+        df = df.withColumn(col_col, F.explode(cols)).filter(F.col(col_col).isNotNull())
+        return df.drop("_wr", "_nc")
+    return df.withColumn(col_col, F.pmod(cx, nc)).drop("_wr", "_nc")
 
 
 def _side(df: DataFrame, suffix: str, rename: dict[str, str]) -> DataFrame:
@@ -138,11 +139,10 @@ def close_pairs(
         ea, eb = F.col(f"{epoch}_a"), F.col(f"{epoch}_b")
         own = F.floor(eb / F.lit(cell))
         pos = eb - own * cell
-        cells = F.array_compact(F.array(own, F.when(pos <= tol_s, own - 1),
-                                        F.when(pos >= cell - tol_s, own + 1)))
+        cells = F.array(own, F.when(pos <= tol_s, own - 1), F.when(pos >= cell - tol_s, own + 1))
         a = a.withColumns({"_ka": F.floor(ea / F.lit(cell)), bucket: F.col(f"{bucket}_a")}).drop(
             f"{bucket}_a")
-        b = b.withColumn("_k", F.explode(cells))
+        b = b.withColumn("_k", F.explode(cells)).filter(F.col("_k").isNotNull())
         cond += [F.col("_ka") == F.col("_k"), F.abs(ea - eb) <= F.lit(tolerance_s)]
     else:
         cond.append(F.col(bucket) == F.col("_k"))
