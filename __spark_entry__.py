@@ -248,8 +248,9 @@ def q_top_encounters(spark, d):
                     _r("distance_nm", 6).alias("distance_nm"), "distance_m", "ts_a", "ts_b")
 
 
-def _targets(spark, d):
-    return event_targets(_top(spark, d), TEST_CFG.half_window_minutes)
+def _targets(spark, d, top=None):
+    top = _top(spark, d) if top is None else top
+    return event_targets(top, TEST_CFG.half_window_minutes)
 
 
 def q_event_targets(spark, d):
@@ -259,8 +260,8 @@ def q_event_targets(spark, d):
         "window_end", "event_key")
 
 
-def _points(spark, d):
-    return event_track_points(_zone(spark, d), _targets(spark, d), tie_break=("event_id",),
+def _points(spark, d, top=None):
+    return event_track_points(_zone(spark, d), _targets(spark, d, top), tie_break=("event_id",),
                               broadcast_targets=True)
 
 
@@ -294,7 +295,8 @@ def q_incident_summary(spark, d):
 
 
 def q_incident_report(spark, d):
-    return incident_report(_top(spark, d), complete_events(_points(spark, d)))
+    top = _top(spark, d)
+    return incident_report(top, complete_events(_points(spark, d, top)))
 
 
 def _lake(spark, d):
