@@ -94,3 +94,11 @@ def test_incident_summary(spark):
                           (90, "3", "5", 0.03, 55.6, ts(9), ts(1), 5.0, 5.0)])
     (s,) = incident_summary(rep).collect()
     assert (s.total_incidents, s.top_score, s.top_vessel_a, s.top_vessel_b) == (3, 90, "3", "5")
+
+
+def test_track_points_without_name_column(spark):
+    _, zone, targets = _points(spark)
+    pts = event_track_points(zone.drop("name"), targets, tie_break=("event_id",))
+    assert {r.vessel_name for r in pts.collect()} == {""}
+    labels = {(r.event_rank, r.side): r.vessel_label for r in event_tracks(pts).collect()}
+    assert labels[(1, "A")] == "MMSI a" and labels[(1, "B")] == "MMSI b"
