@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from nearmiss.config import EARTH_RADIUS_NM
 
-# Relative slack on every bound so that rounding in the trig functions can never
-# push a true neighbour out of its cell or box.
-_SLACK = 1e-9
+# Relative slack on every bound so that rounding (in the trig functions and in
+# fractional cell coordinates far from the origin) can never push a true
+# neighbour out of its cell or box. It only widens candidate sets; the exact
+# distance test decides.
+_SLACK = 1e-7
 
 
 def _col(x) -> Column:
