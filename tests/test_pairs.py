@@ -40,6 +40,7 @@ def test_bucket_edge_splits_pairs(spark):
     (89.95, 0.0, 0.2, 3.0),         # polar cap
     (-75.0, 60.0, 1.0, 20.0),
     (70.0, -120.0, 2.0, 200.0),
+    (0.0, 179.9995, 0.00002, 0.001),  # ~2 m pairs far from the grid origin
 ])
 @pytest.mark.parametrize("cell_factor", [2.0, 4.0, 8.0])
 def test_grid_equals_brute_force(spark, centre_lat, centre_lon, spread, dmax, cell_factor):
