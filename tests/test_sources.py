@@ -88,3 +88,22 @@ def test_with_source_keeps_pushdown(spark, workdir):
     assert "GreaterThan(lat,55.2)" in plan.split("PushedFilters:")[1].split("\n")[0]
     assert "make_date" in plan.split("PartitionFilters:")[1].split("\n")[0].lower()
     assert [r.event_id for r in q.collect()] == [2]
+
+
+def test_report_parts_in_name_order_are_report_order(spark, workdir):
+    import csv
+    import glob
+
+    import __spark_entry__ as E
+
+    rep = E._report(spark, "/root/testdata/sf0.001", E.FLAGSHIP_CFG)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_report(rep, f"{workdir}/report")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = sorted(glob.glob(f"{workdir}/report/part-*.csv"))
+    assert len(parts) > 1
+    rows = [r for p in parts for r in csv.DictReader(open(p))]
+    want = [(r.danger_score, r.vessel_a, r.vessel_b) for r in rep.collect()]
+    assert [(int(r["Danger_Score"]), r["MMSI_A"], r["MMSI_B"]) for r in rows] == want
