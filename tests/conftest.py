@@ -26,10 +26,12 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.constraintPropagation.enabled", "false")
         .config("spark.local.dir", scratch)
-        .config("spark.checkpoint.dir", f"{scratch}/checkpoints")
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
+    # use the configured shared checkpoint folder; set one only where unset
+    if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
+        s.sparkContext.setCheckpointDir(f"{scratch}/checkpoints")
     yield s
     s.stop()
 
