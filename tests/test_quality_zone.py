@@ -1,7 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
-
 from nearmiss.functions import haversine_nm
 from nearmiss.operators import (
     exclude_named,
@@ -67,4 +65,3 @@ def test_geofence_box_reaches_parquet(spark, workdir):
     df.write.parquet(f"{workdir}/p")
     plan = plan_text(geofence(spark.read.parquet(f"{workdir}/p")))
     assert "GreaterThanOrEqual(lat" in plan and "LessThanOrEqual(lon" in plan
-    assert F is not None
