@@ -102,3 +102,17 @@ def test_track_points_without_name_column(spark):
     assert {r.vessel_name for r in pts.collect()} == {""}
     labels = {(r.event_rank, r.side): r.vessel_label for r in event_tracks(pts).collect()}
     assert labels[(1, "A")] == "MMSI a" and labels[(1, "B")] == "MMSI b"
+
+
+def test_track_points_prune_year_month_day_lake(spark, workdir):
+    from nearmiss.sources import read_ping_lake, write_ping_lake
+
+    _, zone, targets = _points(spark)
+    write_ping_lake(zone, f"{workdir}/lake")
+    lake = read_ping_lake(spark, f"{workdir}/lake")
+    plain = event_track_points(zone, targets, tie_break=("event_id",))
+    pruned = event_track_points(lake, targets, tie_break=("event_id",),
+                                partition_days=("Year", "Month", "Day"), broadcast_targets=True)
+    key = lambda d: sorted((r.event_rank, r.side, r.point_no, r.ts) for r in d.collect())
+    assert key(pruned) == key(plain)
+    assert "dynamicpruning" in plan_text(pruned).lower()
