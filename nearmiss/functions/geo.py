@@ -30,7 +30,14 @@ def haversine_nm(lat1, lon1, lat2, lon2, radius: float = EARTH_RADIUS_NM) -> Col
     Arguments are column names, Columns or numbers (degrees). A null coordinate
     gives a null distance.
     """
-    la1, lo1, la2, lo2 = (_col(v) for v in (lat1, lon1, lat2, lon2))
+    args = (lat1, lon1, lat2, lon2)
+    if all(isinstance(v, (str, int, float)) for v in args):
+        # names and numbers: one parsed expression instead of a Column tree
+        a1, o1, a2, o2 = (f"`{v}`" if isinstance(v, str) else f"{float(v)!r}D" for v in args)
+        h = (f"(pow(sin(radians({a2} - {a1}) / 2.0D), 2.0D) + cos(radians({a1})) * "
+             f"cos(radians({a2})) * pow(sin(radians({o2} - {o1}) / 2.0D), 2.0D))")
+        return F.expr(f"2.0D * atan2(sqrt({h}), sqrt(1.0D - {h})) * {float(radius)!r}D")
+    la1, lo1, la2, lo2 = (_col(v) for v in args)
     h = F.pow(F.sin(F.radians(la2 - la1) / 2), 2) + F.cos(F.radians(la1)) * F.cos(
         F.radians(la2)
     ) * F.pow(F.sin(F.radians(lo2 - lo1) / 2), 2)

@@ -77,7 +77,8 @@ def with_grid_cell(
 
 
 def _side(df: DataFrame, suffix: str, rename: dict[str, str]) -> DataFrame:
-    return df.select(*[F.col(c).alias(rename.get(c, f"{c}{suffix}")) for c in df.columns])
+    # one call renames every column (and gives the side fresh attribute ids)
+    return df.toDF(*[rename.get(c, f"{c}{suffix}") for c in df.columns])
 
 
 def close_pairs(

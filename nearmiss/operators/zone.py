@@ -29,7 +29,7 @@ def geofence(
     which the trigonometric test alone cannot. ``distance_col`` keeps the
     distance from the centre in that column.
     """
-    dist = haversine_nm(F.lit(centre_lat), F.lit(centre_lon), lat, lon, earth_radius_nm)
+    dist = haversine_nm(float(centre_lat), float(centre_lon), lat, lon, earth_radius_nm)
     cond = dist <= F.lit(radius_nm)
     if box:
         lat_lo, lat_hi, lon_lo, lon_hi = zone_box(centre_lat, centre_lon, radius_nm, earth_radius_nm)
