@@ -65,3 +65,14 @@ def test_geofence_box_reaches_parquet(spark, workdir):
     df.write.parquet(f"{workdir}/p")
     plan = plan_text(geofence(spark.read.parquet(f"{workdir}/p")))
     assert "GreaterThanOrEqual(lat" in plan and "LessThanOrEqual(lon" in plan
+
+
+def test_reliable_vessels_two_paths_agree(spark):
+    from nearmiss.operators import ping_history
+    from nearmiss.sources import ping_view
+
+    view = ping_view(spark, "/root/testdata/sf0.01")
+    by_join = {r.event_id for r in reliable_vessels(view, 65).collect()}
+    by_history = {r.event_id for r in reliable_vessels(ping_history(view, ("ts", "event_id")), 65)
+                  .collect()}
+    assert by_join == by_history and by_join
