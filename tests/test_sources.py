@@ -107,3 +107,15 @@ def test_report_parts_in_name_order_are_report_order(spark, workdir):
     rows = [r for p in parts for r in csv.DictReader(open(p))]
     want = [(r.danger_score, r.vessel_a, r.vessel_b) for r in rep.collect()]
     assert [(int(r["Danger_Score"]), r["MMSI_A"], r["MMSI_B"]) for r in rows] == want
+
+
+def test_wall_clock_kept_in_a_daylight_saving_gap(spark):
+    raw = spark.createDataFrame([("27/03/2022 02:30:00", "219")], ["# Timestamp", "MMSI"])
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Copenhagen")
+    try:
+        (r,) = normalize_pings(raw).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert r.ts == dt.datetime(2022, 3, 27, 2, 30)
+    (u,) = normalize_pings(raw).collect()
+    assert u.ts == dt.datetime(2022, 3, 27, 2, 30)
