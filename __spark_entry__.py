@@ -103,6 +103,7 @@ def _work_dir(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     if base.startswith("/"):
+        os.makedirs(base, exist_ok=True)
         return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
