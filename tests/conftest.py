@@ -40,7 +40,10 @@ def spark():
 def workdir(spark):
     from nearmiss.plans import shared_dir
 
-    return tempfile.mkdtemp(prefix="case-", dir=shared_dir(spark))
+    base = shared_dir(spark)
+    base = base[len("file:"):] if base.startswith("file:") else base
+    os.makedirs(base, exist_ok=True)
+    return tempfile.mkdtemp(prefix="case-", dir=base)
 
 
 T0 = dt.datetime(2021, 12, 13, 2, 0, 0)
