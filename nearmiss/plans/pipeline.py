@@ -132,19 +132,22 @@ def extract_events(report: DataFrame, pings: DataFrame,
 def run_pipeline(spark: SparkSession, cfg: EncounterConfig = EncounterConfig(), *,
                  csv_path: str | None = None, lake_path: str | None = None,
                  start=None, end=None, workdir: str | None = None,
-                 csv_schema=None) -> dict[str, DataFrame]:
+                 csv_schema=None, keep_rejected: bool = True) -> dict[str, DataFrame]:
     """All stages in order. Stage boundaries are written as Parquet tables
     under ``workdir`` (default: a fresh folder in ``spark.checkpoint.dir``), so
     each stage reads its input from shared storage, like the staged analysis,
     and a lost executor never forces a recompute across stages.
 
     With ``csv_path`` the CSV is ingested into ``lake_path`` (default inside
-    ``workdir``) first; ``start``/``end`` prune the lake to those days.
+    ``workdir``) first, with the rejected rows in ``workdir/rejected`` unless
+    ``keep_rejected`` is off (which saves the second scan of the CSV);
+    ``start``/``end`` prune the lake to those days.
     """
     work = workdir or run_dir(spark, "pipeline")
     if csv_path:
         lake_path = lake_path or f"{work}/lake"
-        ingest(spark, csv_path, lake_path, rejected_path=f"{work}/rejected", cfg=cfg,
+        ingest(spark, csv_path, lake_path,
+               rejected_path=f"{work}/rejected" if keep_rejected else None, cfg=cfg,
                schema=csv_schema)
     if not lake_path:
         raise ValueError("run_pipeline needs csv_path or lake_path")
