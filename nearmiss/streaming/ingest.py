@@ -9,6 +9,8 @@ where it stopped without duplicates.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -78,6 +80,4 @@ def rejected_stream(
 
 
 def _slug(path: str) -> str:
-    import hashlib
-
     return hashlib.sha1(path.encode()).hexdigest()[:16]
