@@ -20,6 +20,11 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 
 
+# Spark type → DuckDB type name the oracle must produce
+DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+              "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
@@ -46,11 +51,17 @@ def compare(spark, con, name, fn, sql, sf_dir):
         return res
     rel = con.sql(sql)
     o_cols = rel.columns
+    o_types = {c: str(t) for c, t in zip(o_cols, rel.types)}
     o_rows = rel.fetchall()
     res["oracle_rows"] = len(o_rows)
     if sorted(s_cols) != sorted(o_cols):
         res["status"] = f"COLUMNS {sorted(s_cols)} vs {sorted(o_cols)}"
         return res
+    s_types = {f.name: DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in sdf.schema.fields}
+    if s_types != o_types:
+        res["status"] = f"TYPES {sorted((k, s_types[k], o_types[k]) for k in s_types if s_types[k] != o_types[k])}"
+        return res
     order = sorted(range(len(s_cols)), key=lambda i: s_cols[i])
     o_index = {c: i for i, c in enumerate(o_cols)}
     sc = Counter(tuple(_norm(r[i]) for i in order) for r in s_rows)
