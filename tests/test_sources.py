@@ -119,3 +119,15 @@ def test_wall_clock_kept_in_a_daylight_saving_gap(spark):
     assert r.ts == dt.datetime(2022, 3, 27, 2, 30)
     (u,) = normalize_pings(raw).collect()
     assert u.ts == dt.datetime(2022, 3, 27, 2, 30)
+
+
+def test_lake_writes_few_files_per_day(spark, workdir):
+    import glob
+
+    from nearmiss.sources import ping_view
+
+    # 30 days of pings from an input spread over many tasks
+    write_ping_lake(ping_view(spark, "/root/testdata/sf0.01").repartition(16), f"{workdir}/lake")
+    days = glob.glob(f"{workdir}/lake/Year=*/Month=*/Day=*")
+    files = glob.glob(f"{workdir}/lake/Year=*/Month=*/Day=*/*.parquet")
+    assert len(days) == 30 and len(files) <= 2 * len(days)
