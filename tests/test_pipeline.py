@@ -26,6 +26,11 @@ def test_run_pipeline_from_lake_equals_lazy_chain(spark, workdir):
     assert _report_rows(out["report"]) == want and want
     assert out["summary"].first().total_incidents == len(want)
     assert out["cards"].count() <= CFG.top_n
+    # stage outputs are tables in the shared folder: lineage is cut
+    from tests.conftest import plan_text
+    rplan = plan_text(out["report"])
+    assert "Scan parquet" in rplan and "/run/report" in rplan
+    assert "Window" not in rplan and "Join" not in rplan and "Exchange" not in rplan
 
 
 def test_group_by_source_file(spark, workdir):
