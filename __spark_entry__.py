@@ -350,8 +350,8 @@ def q_report_csv_roundtrip(spark, d):
         "Delta_SOG_2", "Delta_COG_1", "Delta_COG_2", "Report_Interval_Sec_1", "File_Source")
 
 
-def q_pipeline(spark, d):
-    work = _work_dir(spark, "pipeline")
+def q_all_stages(spark, d):
+    work = _work_dir(spark, "stages")
     raw_ping_text(spark, d).write.mode("overwrite").option("header", "true").csv(f"{work}/csv")
     out = run_pipeline(spark, TEST_CFG, csv_path=f"{work}/csv", workdir=f"{work}/run",
                        csv_schema=RAW_CSV_SCHEMA)
@@ -393,7 +393,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "with_source": q_with_source,
     "stream_ingest": q_stream_ingest,
     "report_csv_roundtrip": q_report_csv_roundtrip,
-    "pipeline": q_pipeline,
+    "all_stages": q_all_stages,
 }
 
 
@@ -686,7 +686,7 @@ FROM top WHERE event_rank IN (SELECT event_rank FROM complete)"""),
        delta_cog_a AS "Delta_COG_1", delta_cog_b AS "Delta_COG_2",
        interval_a AS "Report_Interval_Sec_1", CAST(group_key AS VARCHAR) AS "File_Source"
 FROM report"""),
-        "pipeline": _with(
+        "all_stages": _with(
             _SCORED_CHAIN.replace(
                 "  FROM events)", "  FROM events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0)", 1),
             _REPORT_SELECT),

@@ -1,6 +1,6 @@
 """Stage chains composed from the operators, and where their outputs live."""
 
-from nearmiss.plans.pipeline import (
+from nearmiss.plans.stages import (
     detect_encounters,
     extract_events,
     ingest,

@@ -143,7 +143,7 @@ def run_pipeline(spark: SparkSession, cfg: EncounterConfig = EncounterConfig(),
     ``keep_rejected`` is off (which saves the second scan of the CSV);
     ``start``/``end`` prune the lake to those days.
     """
-    work = workdir or run_dir(spark, "pipeline")
+    work = workdir or run_dir(spark, "stages")
     if csv_path:
         lake_path = lake_path or f"{work}/lake"
         ingest(spark, csv_path, lake_path,

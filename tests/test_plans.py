@@ -5,7 +5,7 @@ import re
 from nearmiss.plans import prepare_pings, score_encounters, zone_pings
 from nearmiss.sources import ping_view, read_ping_lake, write_ping_lake
 from tests.conftest import plan_text
-from tests.test_pipeline import CFG
+from tests.test_stages import CFG
 
 SF = "/root/testdata/sf0.001"
 

@@ -48,7 +48,7 @@ def test_group_by_source_file(spark, workdir):
 @settings(max_examples=60, deadline=None)
 @given(st.floats(0, 359.9), st.floats(0, 359.9))
 def test_course_change_symmetric_and_bounded(spark, a, b):
-    from tests.test_pipeline_helpers import course_change_value
+    from tests.column_eval import course_change_value
 
     x, y = course_change_value(a, b), course_change_value(b, a)
     assert x == y and 0.0 <= x <= 180.0
