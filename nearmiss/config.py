@@ -106,6 +106,9 @@ class EncounterConfig:
     dmax_nm: float = ENCOUNTER_NM
     group_key: str = "group_key"
     grid: bool = True
+    # grid cell side in pair distances (≥ 2): larger cells copy fewer pings
+    # into neighbouring cells but compare more candidates per cell
+    grid_cell_factor: float = 4.0
     order_by: tuple[str, ...] = ("ts", "lat", "lon", "sog", "cog")
     history_slice_seconds: int | None = HISTORY_SLICE_SECONDS
     weights: ScoreWeights = field(default_factory=ScoreWeights)

@@ -87,7 +87,8 @@ def score_encounters(prepared: DataFrame, cfg: EncounterConfig = EncounterConfig
     """Prepared pings → sorted encounter report: grid pair join, closest moment
     per pair and group, danger score."""
     pairs = close_pairs(prepared, cfg.dmax_nm, group_key=cfg.group_key, grid=cfg.grid,
-                        tolerance_s=cfg.pair_tolerance_s, earth_radius_nm=cfg.earth_radius_nm)
+                        cell_factor=cfg.grid_cell_factor, tolerance_s=cfg.pair_tolerance_s,
+                        earth_radius_nm=cfg.earth_radius_nm)
     best = closest_per_pair(pairs, group_key=cfg.group_key,
                             tie_break=pair_tie_break(cfg.order_by))
     return encounter_report(danger_score(best, cfg.weights), group_key=cfg.group_key)
