@@ -20,7 +20,8 @@ def top_encounters(report: DataFrame, n: int = TOP_N) -> DataFrame:
 
     ``orderBy().limit(n)`` plans as TakeOrderedAndProject: each task keeps its
     own top n, so only ``n × tasks`` rows reach the final merge. The rank is
-    numbered over those ``n`` rows only.
+    numbered over those ``n`` rows only (the one window without a partition
+    key in the library, bounded by ``n``, a top-k report size).
     """
     order = report_order()
     top = report.orderBy(*order).limit(n)
