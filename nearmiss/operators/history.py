@@ -56,7 +56,8 @@ def ping_history(
     a map-side-combined aggregate), which is joined back on the window's own
     partitioning keys, so the pings are shuffled once. The slice's last ping
     is picked by ``order_by`` in the aggregate as in the window, which is one
-    more reason the order must be total.
+    more reason the order must be total. ``slice_seconds=None`` runs one window
+    per vessel (one task holds each vessel's whole history): small data only.
     """
     order = [F.col(c) for c in order_by]
     pings = df.filter(F.col(vessel).isNotNull())
