@@ -97,3 +97,12 @@ def segments(lengths: Iterable[int]) -> tuple[np.ndarray, np.ndarray]:
     starts = np.zeros(len(lengths), dtype=np.int64)
     np.cumsum(lengths[:-1], out=starts[1:])
     return lengths, starts
+
+
+def dealt(rows: np.ndarray, bucket: np.ndarray) -> dict[str, list]:
+    """Rows of an array as one packed row for each bucket: ``bucket``, ``packed``."""
+    order = np.argsort(bucket, kind="stable")
+    rows, bucket = rows[order], bucket[order].astype(np.int64)
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][: len(bucket)])
+    ends = np.r_[starts[1:], len(rows)]
+    return {"bucket": bucket[starts].tolist(), "packed": [rows[a:b].tobytes() for a, b in zip(starts, ends)]}

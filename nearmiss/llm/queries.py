@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from nearmiss.llm.common import table
 from nearmiss.llm.html_extract import extract_main_text
+from nearmiss.llm.jaccard_join import near_duplicates
 from nearmiss.llm.language_id import identify_languages, train_languages
+from nearmiss.llm.mixing import mix, quality_domains
 from nearmiss.llm.neighbours import nearest_neighbours
 from nearmiss.llm.packing import pack_documents
 from nearmiss.llm.quality_lines import label_lines, train_field
+from nearmiss.llm.suffix_dedup import remove_repeats
 from nearmiss.llm.token_count import load_tables, token_counts
 from nearmiss.llm.url_filter import filter_urls
 
@@ -24,6 +27,8 @@ BLOCKED_HOSTS = tuple(
     for name in ("ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
     for top in ("com", "net", "org")
 )
+#: Shares of all tokens that domains may have.
+DOMAIN_WEIGHTS = {"good": 0.97, "low": 0.02, "toxic": 0.01}
 SEQUENCE_TOKENS = 2048
 TOKEN_LIMIT = 4096
 
@@ -38,6 +43,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tables, TOKEN_LIMIT)
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
@@ -46,6 +55,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES, BLOCKED_HOSTS)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
@@ -56,6 +69,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(documents, train_languages(documents.filter(~held_out)), held_out)
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates, domains = mix(table(spark, sf_dir, "documents"), quality_domains(table(spark, sf_dir, "labels")), DOMAIN_WEIGHTS)
+    names = {f"p{k}": f"p_{d}" for k, d in enumerate(domains)}
+    return rates.withColumnsRenamed(names)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -66,8 +85,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_quality_lines, op2_token_counts, op4_html_extract, op5_url_filter, op7_neighbours, op8_language_id,
-        op10_packing,
+        op1_quality_lines, op2_token_counts, op3_jaccard_join, op4_html_extract, op5_url_filter,
+        op6_suffix_dedup, op7_neighbours, op8_language_id, op9_mixing, op10_packing,
     )
 }
 ORACLE_SQL: dict[str, str] = {}
