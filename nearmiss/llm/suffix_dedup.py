@@ -300,7 +300,7 @@ def side_repeats(rows: np.ndarray, wanted: np.ndarray) -> Iterator[tuple[int, in
         yield int(i), int(best_back[i]), int(best_ahead[i])
 
 
-def cut_texts(ranges: DataFrame, texts: DataFrame, with_text: bool) -> DataFrame:
+def cut_texts(ranges: DataFrame, texts: DataFrame, with_text: bool, whole_characters: bool) -> DataFrame:
     """``text, n_removed, n_spans, kept_sha256`` (and ``kept``) of every distinct text."""
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -309,14 +309,20 @@ def cut_texts(ranges: DataFrame, texts: DataFrame, with_text: bool) -> DataFrame
         found = []
         for own, body in bodies(right).items():
             a, b = (int(np.searchsorted(rows["text"], own, side=side)) for side in ("left", "right"))
-            kept, spans, at = [], 0, 0
+            spans: list[list[int]] = []
             for start, end in zip(rows["start"][a:b].tolist(), rows["end"][a:b].tolist()):
-                if start > at or not spans:
-                    kept.append(body[at:start])
-                    spans += 1
-                at = max(at, end)
+                if spans and start <= spans[-1][1]:
+                    spans[-1][1] = max(spans[-1][1], end)
+                else:
+                    spans.append([start, end])
+            if whole_characters:
+                spans = [within_characters(body, *span) for span in spans]
+            kept, at = [], 0
+            for start, end in spans:
+                kept.append(body[at:start])
+                at = end
             rest = b"".join(kept) + body[at:]
-            row = (own, len(body) - len(rest), spans, hashlib.sha256(rest).hexdigest())
+            row = (own, len(body) - len(rest), len(spans), hashlib.sha256(rest).hexdigest())
             found.append((*row, rest) if with_text else row)
         return pd.DataFrame(found, columns=["text", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text)
 
@@ -324,15 +330,26 @@ def cut_texts(ranges: DataFrame, texts: DataFrame, with_text: bool) -> DataFrame
     return ranges.groupBy("bucket").cogroup(texts.groupBy("place")).applyInPandas(run, schema)
 
 
+def within_characters(body: bytes, start: int, end: int) -> list[int]:
+    """A span without the characters that it only has a part of."""
+    while start < end and body[start] & 0xC0 == 0x80:
+        start += 1
+    while end > start and end < len(body) and body[end] & 0xC0 == 0x80:
+        end -= 1
+    return [start, end]
+
+
 def remove_repeats(
-    documents: DataFrame, *, id_col="doc_id", text_col="text", with_text: bool = False, carry: tuple[str, ...] = ()
+    documents: DataFrame, *, id_col="doc_id", text_col="text", with_text: bool = False,
+    whole_characters: bool = False, carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every row (with ``with_text`` also
     ``kept``, the bytes that are left, and the columns ``carry`` as ``_carry_<name>``).
 
     A byte goes if a string of WINDOW bytes covers it that starts elsewhere too, in any row;
     strings are judged on the texts as they come. A text that several rows have is repeated
-    as a whole if it is long enough. Null texts are empty; null ids stay null, repeated rows
+    as a whole if it is long enough. With ``whole_characters`` a UTF-8 character stays unless
+    all its bytes go, so that what is left is text. Null texts are empty; null ids stay null, repeated rows
     stay repeated, an empty table gives no rows; other columns are not read.
     """
     texts = documents.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -357,7 +374,7 @@ def remove_repeats(
     found = repeated_anchors(anchor_rows(texts, buckets), buckets)
     contexts = context_rows(found, text_rows(texts, buckets), buckets)
     ranges = repeated_ranges(contexts, buckets)
-    done = cut_texts(ranges, text_rows(texts, buckets), with_text)
+    done = cut_texts(ranges, text_rows(texts, buckets), with_text, whole_characters)
     copies = rows.groupBy("text").agg(F.count("*").alias("copies"))
     joined = rows.join(done, "text").join(copies, "text")
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= WINDOW)
