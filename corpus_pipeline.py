@@ -1,5 +1,9 @@
-"""The training-data pipeline over ``documents``: each stage reads what its predecessor
-wrote. ``run`` returns the rows of the last stage."""
+"""The training-data pipeline over ``documents``.
+
+Each stage reads what its predecessor wrote, so a lost executor costs a part of one
+stage. All but the last return the columns of ``documents``; ``run`` returns the rows of
+the last.
+"""
 
 from __future__ import annotations
 
@@ -10,20 +14,55 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearmiss.llm.common import ensure_checkpoint_dir, table
+from nearmiss.llm.jaccard_join import near_duplicates
+from nearmiss.llm.mixing import draws, mix, quality_domains
 from nearmiss.llm.packing import pack_documents
 from nearmiss.llm.quality_lines import label_lines, train_field
-from nearmiss.llm.queries import SEQUENCE_TOKENS
+from nearmiss.llm.queries import DOMAIN_WEIGHTS, SEQUENCE_TOKENS
+from nearmiss.llm.suffix_dedup import remove_repeats
 
-#: The stages hold models and numpy kernels, which SQL can't express.
+#: The stages hold trained models and numpy kernels, which SQL can't express.
 ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose lines pass the base rules and are mostly content."""
+    """Documents that pass the base rules and are mostly content lines."""
     field = train_field(docs, table(spark, sf_dir, "labels"))
-    names = docs.columns
-    judged = label_lines(docs, field, keep_columns=True)
-    return judged.filter("_kept").select(*names)
+    return label_lines(docs, field, keep_columns=True).filter("_kept").select(*docs.columns)
+
+
+def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, that with the smallest id.
+
+    Five-word shingles, similarity 0.8. Of rows that repeat an id that stays, one stays;
+    rows without an id stay, as they can't be told apart.
+    """
+    groups = near_duplicates(docs, width=5, percent=80)
+    stay = groups.filter("doc_id = component_id").select("doc_id").distinct()
+    named = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that occur more than once. A character is cut only if all its
+    bytes are, and ``n_chars`` counts what is left. Null texts become empty; all rows stay."""
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
+    left = remove_repeats(docs, with_text=True, whole_characters=True, carry=others)
+    text = F.decode("kept", "UTF-8")
+    rows = left.select(
+        "doc_id", text.alias("text"), *(F.col(f"_carry_{c}").alias(c) for c in others)
+    )
+    kind = docs.schema["n_chars"].dataType
+    return rows.withColumn("n_chars", F.length("text").cast(kind)).select(*docs.columns)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their rates say, so that the domains meet their target weights."""
+    names = tuple(c for c in docs.columns if c != "doc_id")
+    rates, _ = mix(docs, quality_domains(table(spark, sf_dir, "labels")), DOMAIN_WEIGHTS, carry=names)
+    taken = rates.withColumn("_times", draws(F.col("rate"), "doc_id", "_carry_text")).filter("_times > 0")
+    back = taken.select("doc_id", *(F.col(f"_carry_{c}").alias(c) for c in names), "_times")
+    return back.withColumn("_times", F.explode(F.sequence(F.lit(1), "_times"))).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +73,13 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
-STAGES = [("quality rules", quality_rules), ("packing", packing)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicate_groups),
+    ("suffix-array dedup", repeated_passages),
+    ("mixing sources to target weights", source_mixing),
+    ("best-fit packing", packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +87,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        path = f"{folder}/{k}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
     return docs
