@@ -25,8 +25,9 @@ TERMS, TERM_DOCUMENTS = 200, 5
 #: A term counts as a marker of a domain if it is so many times as frequent there as in all
 #: documents. Others say more about a document's length and language than about its domain.
 LIFT = 2.5
-#: The descent ends at this mismatch of every domain, relative to the domain, or after these steps.
-TOLERANCE, STEPS = 1e-4, 60
+#: The descent ends at this mismatch of every domain, relative to the domain, or after so many
+#: steps; after so many the rates are written down.
+TOLERANCE, STEPS, STORED = 1e-4, 200, 40
 
 #: Runs of letters are terms, and so is each of these marks.
 MARKS = "#*$%&|<>!"
@@ -149,27 +150,32 @@ def domain_targets(totals: Sequence[float], weights: Sequence[float], epochs: fl
     return [min(epochs * t, w / whole * sum(totals)) for t, w in zip(totals, weights)]
 
 
-def fit_rates(soft: DataFrame, n_domains: int, targets: Sequence[float], totals: Sequence[float]) -> Column:
-    """The rate of each row of a ``domain_table`` as an expression over its columns.
+def fit_rates(soft: DataFrame, n_domains: int, targets: Sequence[float], totals: Sequence[float]) -> DataFrame:
+    """A ``domain_table`` with the ``rate`` of each row.
 
     Minimises the sum over domains of mismatch^2 / tokens over all nonnegative rates, from
     rate 1 on. Measured by tokens, this problem's largest curvature is exactly 1 (the
-    posteriors of a row add up to 1), so the gradient step is 1. Every step only depends on
-    the mismatches of the steps before, so the rates are never stored: each aggregate
-    works them out anew.
+    posteriors of a row add up to 1), so the gradient step is 1. A step only depends on the
+    mismatches of the steps before, so rates are worked out anew in each aggregate and
+    written down only every STORED steps. It ends when all targets are met, a step gains less
+    than a thousandth of what is left, or after STEPS; contrary targets are met the worse
+    the farther they are from the totals at rate 1.
     """
-    rate = F.lit(1.0)
+    rate, loss = F.lit(1.0), math.inf
     live = [k for k in range(n_domains) if totals[k] > 0]
-    for _ in range(STEPS):
-        tokens = soft.withColumn("_rate", rate).agg(
-            *(F.sum(F.col("n_tokens") * F.col(f"p{k}") * F.col("_rate")).alias(f"t{k}") for k in live)
+    for step in range(1, STEPS + 1):
+        tokens = soft.withColumn("_now", rate).agg(
+            *(F.sum(F.col("n_tokens") * F.col(f"p{k}") * F.col("_now")).alias(f"t{k}") for k in live)
         ).first()
         off = {k: (tokens[f"t{k}"] - targets[k]) / totals[k] for k in live}
-        if not off or max(map(abs, off.values())) <= TOLERANCE:
+        before, loss = loss, sum(totals[k] * off[k] ** 2 for k in live)
+        if max(map(abs, off.values())) <= TOLERANCE or before - loss <= 1e-3 * loss:
             break
-        step = sum((F.col(f"p{k}") * F.lit(float(off[k])) for k in live), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), rate - step)
-    return rate
+        change = sum((F.col(f"p{k}") * F.lit(float(off[k])) for k in live), F.lit(0.0))
+        rate = F.greatest(F.lit(0.0), rate - change)
+        if step % STORED == 0:
+            soft, rate = cut(soft.withColumn("rate", rate)), F.col("rate")
+    return soft.withColumn("rate", rate)
 
 
 def mix(
@@ -199,8 +205,7 @@ def mix(
     wanted = [float(weights.get(d, 0.0)) for d in model.domains]
     if sum(wanted) <= 0 or sum(totals) <= 0:
         return soft.withColumn("rate", F.lit(1.0)), model.domains
-    rate = fit_rates(soft, n, domain_targets(totals, wanted, epochs), totals)
-    return soft.withColumn("rate", rate), model.domains
+    return fit_rates(soft, n, domain_targets(totals, wanted, epochs), totals), model.domains
 
 
 def draws(rate: Column, *keys: str | Column) -> Column:

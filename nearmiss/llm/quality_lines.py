@@ -301,13 +301,11 @@ def train_field(
 
 
 def label_lines(
-    documents: DataFrame, field: Field, *, share: float = CONTENT_SHARE, id_col="doc_id", text_col="text",
-    keep_columns: bool = False,
+    documents: DataFrame, field: Field, *, share: float = CONTENT_SHARE, id_col="doc_id", text_col="text"
 ) -> DataFrame:
     """One row for each row of ``documents``: word, symbol, line and repetition counts, the
     base rules, and whether enough words stand in lines that the field calls content.
 
-    With ``keep_columns`` the rows are those of ``documents`` with the verdict as ``_kept``.
     Null, empty and blank texts have no words and fail the base rules. Repeated rows stay
     repeated, null ids stay null, an empty table gives no rows; other columns are not read.
     """
@@ -316,23 +314,32 @@ def label_lines(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Field(**shared.value)
         for batch in batches:
-            texts = batch.column(at).to_pylist()
+            texts = batch.column(1).to_pylist()
             for lo, hi in text_slices(texts):
-                part, found = batch.slice(lo, hi - lo), judge(texts[lo:hi], own, share)
-                if keep_columns:
-                    kept = pa.array(found["kept"])
-                    yield pa.RecordBatch.from_arrays([*part.columns, kept], names=[*part.schema.names, "_kept"])
-                else:
-                    yield arrow_batch({"doc_id": part.column(0)} | found, TYPES)
-
-    if keep_columns:
-        at = documents.columns.index(text_col)
-        return documents.mapInArrow(run, documents.drop("_kept").schema.add("_kept", "boolean"))
-    at = 1
+                found = judge(texts[lo:hi], own, share)
+                yield arrow_batch({"doc_id": batch.column(0).slice(lo, hi - lo)} | found, TYPES)
+
     slim = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return slim.mapInArrow(run, SCHEMA)
 
 
+def keep_content(
+    documents: DataFrame, field: Field, *, share: float = CONTENT_SHARE, text_col="text"
+) -> DataFrame:
+    """The rows of ``documents`` that ``label_lines`` keeps, with all their columns."""
+    shared = documents.sparkSession.sparkContext.broadcast(vars(field))
+    at = documents.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Field(**shared.value)
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            for lo, hi in text_slices(texts):
+                yield batch.slice(lo, hi - lo).filter(pa.array(judge(texts[lo:hi], own, share)["kept"]))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def judge(texts: list[str | None], field: Field, share: float) -> dict[str, np.ndarray]:
     counts, n_lines, features, words = describe(texts)
     labels = viterbi(field, n_lines, features)

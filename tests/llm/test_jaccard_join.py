@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from nearmiss.llm import jaccard_join as j
+from nearmiss.llm.graph import components
+
+
+def shingles(text, width):
+    words = (text or "").encode().lower().split()
+    if len(words) < width:
+        return frozenset([tuple(words)]) if words else frozenset()
+    return frozenset(tuple(words[i : i + width]) for i in range(len(words) - width + 1))
+
+
+def brute(rows, width, percent):
+    sets = [(i, shingles(t, width)) for i, t in rows]
+    up = {i: i for i, _ in sets}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, (i, x) in enumerate(sets):
+        for k, y in sets[:a]:
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
+                up[max(root(i), root(k))] = min(root(i), root(k))
+    return {i: (len(s), root(i)) for i, s in sets}
+
+
+def texts(seed, n=60):
+    """A family of near copies, chains, copies, shared passages, short and odd texts."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(4000)}"
+    base = [word() for _ in range(120)]
+    out = []
+    for _ in range(n):
+        own = list(base)
+        for _ in range(rng.randrange(6)):
+            own[rng.randrange(len(own))] = word()
+        out.append(" ".join(own))
+    own = list(base)
+    for _ in range(12):  # a chain that ends far from where it began
+        own = [word()] + own[:-1]
+        out.append(" ".join(own))
+    passage = " ".join(word() for _ in range(60))
+    out += [passage + " " + " ".join(word() for _ in range(rng.randrange(5, 80))) for _ in range(25)]
+    out += [" ".join(word() for _ in range(rng.randrange(1, 90))) for _ in range(30)]
+    out += [out[0], out[0].upper(), "", None, " \n ", "one", "ONE", "one two", "two one", "one two three", "a a a a a a", "a a a"]
+    return out
+
+
+@pytest.mark.parametrize("seed,width,percent,paired,block", [(1, 3, 90, 16, 1024), (2, 3, 90, 2, 16), (3, 5, 80, 1, 20), (4, 2, 60, 1000, 8)])
+def test_components_match_brute_force(docs, crowded, seed, width, percent, paired, block):
+    rows = list(enumerate(texts(seed)))
+    got = j.near_duplicates(crowded(docs(rows)), width=width, percent=percent, paired=paired, block=block).collect()
+    assert len(got) == len(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, width, percent)
+
+
+def test_null_ids_and_repeated_rows(docs):
+    base = " ".join(f"w{i}" for i in range(80))
+    rows = [(None, base), (7, base), (7, base), (5, base + " more"), (None, None), (9, None)]
+    got = j.near_duplicates(docs(rows)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got if r.doc_id is not None) == [(5, 5), (7, 5), (7, 5), (9, 9)]
+    assert [r.component_id for r in got if r.doc_id is None] == [None, None]
+    assert j.near_duplicates(docs([])).count() == 0
+
+
+def test_prefix_length_leaves_room_for_no_similar_set():
+    for percent in (60, 80, 90):
+        for n in range(1, 200):
+            kept = n - j.prefix_length(n, percent)  # so many tokens may be shared without meeting in a prefix
+            assert 100 * kept < percent * n <= 100 * (kept + 1)
+
+
+def test_blocks_give_a_forest():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(np.r_[np.arange(50), rng.integers(100, 10000, rng.integers(0, 6))]) for _ in range(40)]
+    everywhere = np.ones(40, dtype=bool)
+    links = list(j.link_blocks([sets, sets], sets, everywhere, everywhere, 90))
+    assert len(links) < 40
+    assert all(len(np.intersect1d(sets[a], sets[b])) * 100 >= 90 * len(np.union1d(sets[a], sets[b])) for a, b in links)
+
+
+def test_connected_components(spark):
+    rng = random.Random(2)
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + k) for k in range(1, 30)] + [(500, 500), (None, 3)]
+    edges += [(rng.randrange(1000, 1100), rng.randrange(1000, 1100)) for _ in range(60)]
+    up = {}
+
+    def root(x):
+        up.setdefault(x, x)
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        if a is not None:
+            up[max(root(a), root(b))] = min(root(a), root(b))
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+    assert got == {x: root(x) for x in up if root(x) != x}

@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from nearmiss.llm import mixing as m
+
+PLAIN = "the river and the stone"
+
+
+def rows(n=120):
+    out = []
+    for i in range(n):
+        kind = "good" if i % 3 else "low" if i % 2 else "toxic"
+        mark = {"good": "", "low": " ### &&&", "toxic": " idiot clown"}[kind]
+        out.append((i, f"{PLAIN} w{chr(97 + i % 26)}{mark}", kind))
+    return out
+
+
+def frames(docs, spark, some):
+    return docs([(i, t) for i, t, _ in some]), spark.createDataFrame([(i, k) for i, _, k in some if i % 2 or i % 5], "doc_id long, domain string")
+
+
+def test_totals_meet_targets(docs, spark, crowded):
+    some = rows()
+    documents, labelled = frames(docs, spark, some)
+    weights = {"good": 0.9, "low": 0.06, "toxic": 0.04}
+    rates, domains = m.mix(crowded(documents), labelled, weights)
+    got = rates.toPandas()
+    assert domains == ["good", "low", "toxic"] and len(got) == len(some) and (got.rate >= 0).all()
+    posterior = got[["p0", "p1", "p2"]].to_numpy()
+    assert np.allclose(posterior.sum(axis=1), 1)
+    kind = dict((i, k) for i, _, k in some)
+    assert (posterior.argmax(axis=1) == [domains.index(kind[i]) for i in got.doc_id]).all()
+    tokens = got.n_tokens.to_numpy()
+    totals = posterior.T @ tokens
+    targets = m.domain_targets(totals, [weights[d] for d in domains])
+    assert np.abs(posterior.T @ (tokens * got.rate) - targets).max() <= 1e-3 * totals.max()
+
+
+def test_rates_are_the_nonnegative_least_squares_fit(docs, spark):
+    """Against projected gradient descent on stored rates, to targets that can't all be met."""
+    rng = np.random.default_rng(1)
+    p = rng.dirichlet([0.4, 0.4, 0.4], 50)
+    tokens = rng.integers(0, 100, 50)
+    soft = spark.createDataFrame([(int(t), *map(float, x)) for t, x in zip(tokens, p)], "n_tokens long, p0 double, p1 double, p2 double")
+    totals = p.T @ tokens
+    targets = totals * [0.2, 0.5, 1.8]
+    got = m.fit_rates(soft, 3, targets.tolist(), totals.tolist()).toPandas()
+    x = got.rate.to_numpy()
+    p, tokens = got[["p0", "p1", "p2"]].to_numpy(), got.n_tokens.to_numpy()
+    loss = lambda r: (((p.T @ (tokens * r) - targets) ** 2) / totals).sum()
+    long = np.ones(50)
+    for _ in range(20_000):
+        long = np.maximum(0, long - p @ ((p.T @ (tokens * long) - targets) / totals))
+    assert (x >= 0).all() and loss(x) <= 1.05 * loss(long) + 1e-3 * loss(np.ones(50))
+
+
+def test_native_plan(docs, spark):
+    documents, labelled = frames(docs, spark, rows(30))
+    soft = m.domain_table(documents, m.fit_domains(documents, labelled))
+    plan = soft._jdf.queryExecution().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_edge_rows(docs, spark):
+    some = [*rows(60), (None, PLAIN, "good"), (200, None, "good"), (201, "", "good"), (202, "12 34", "good"), (1, PLAIN, "good")]
+    documents = docs([(i, t) for i, t, _ in some])
+    labelled = spark.createDataFrame([(i, k) for i, _, k in some] + [(3, None), (None, "low")], "doc_id long, domain string")
+    rates, domains = m.mix(documents, labelled, {"good": 1.0}, carry=("lang", "text"))
+    got = rates.collect()
+    assert len(got) == len(some) and {r["_carry_lang"] for r in got} == {"en"}
+    assert all(r.n_tokens == 0 for r in got if r.doc_id in (200, 201, 202))
+    assert all(r.rate == 1.0 for r in m.mix(documents, labelled.limit(0), {"good": 1.0})[0].collect())
+    assert m.mix(documents.limit(0), labelled, {"good": 1.0})[0].count() == 0
+    assert all(r.rate == 1.0 for r in m.mix(documents, labelled, {"other": 1.0})[0].collect())
+
+
+def test_draws_meet_the_rate(spark):
+    got = spark.range(20000).select(m.draws(F.lit(1.25), "id").alias("n")).agg(F.avg("n"), F.min("n"), F.max("n")).first()
+    assert got[0] == pytest.approx(1.25, abs=0.02) and (got[1], got[2]) == (1, 2)
+    assert spark.range(500).select(m.draws(F.lit(0.999), "id").alias("n")).filter("n != 1").count() == 0
+
+
+def test_domains_of_labels(spark):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 0, 1), (4, None, None), (5, 1, None)], "doc_id long, quality int, toxic int")
+    assert [r.domain for r in m.quality_domains(labels).orderBy("doc_id").collect()] == ["good", "low", "toxic", None, "good"]
