@@ -17,7 +17,7 @@ from nearmiss.llm.common import ensure_checkpoint_dir, table
 from nearmiss.llm.jaccard_join import near_duplicates
 from nearmiss.llm.mixing import draws, mix, quality_domains
 from nearmiss.llm.packing import pack_documents
-from nearmiss.llm.quality_lines import label_lines, train_field
+from nearmiss.llm.quality_lines import keep_content, train_field
 from nearmiss.llm.queries import DOMAIN_WEIGHTS, SEQUENCE_TOKENS
 from nearmiss.llm.suffix_dedup import remove_repeats
 
@@ -27,8 +27,7 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are mostly content lines."""
-    field = train_field(docs, table(spark, sf_dir, "labels"))
-    return label_lines(docs, field, keep_columns=True).filter("_kept").select(*docs.columns)
+    return keep_content(docs, train_field(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,9 +59,9 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents as often as their rates say, so that the domains meet their target weights."""
     names = tuple(c for c in docs.columns if c != "doc_id")
     rates, _ = mix(docs, quality_domains(table(spark, sf_dir, "labels")), DOMAIN_WEIGHTS, carry=names)
-    taken = rates.withColumn("_times", draws(F.col("rate"), "doc_id", "_carry_text")).filter("_times > 0")
-    back = taken.select("doc_id", *(F.col(f"_carry_{c}").alias(c) for c in names), "_times")
-    return back.withColumn("_times", F.explode(F.sequence(F.lit(1), "_times"))).select(*docs.columns)
+    times = draws(F.col("rate"), "doc_id", "_carry_text")
+    taken = rates.select("*", F.explode(F.array_repeat(F.lit(True), times)).alias("taken"))
+    return taken.select("doc_id", *(F.col(f"_carry_{c}").alias(c) for c in names)).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
