@@ -19,9 +19,8 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
-import uuid
 from collections.abc import Callable
+from functools import reduce
 
 _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
@@ -31,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from nearmiss import EncounterConfig, ScoreWeights  # noqa: E402
+from nearmiss.config import NORMAL_COLOUR, SEVERE_COLOUR, SEVERE_SCORE  # noqa: E402
 from nearmiss.operators import (  # noqa: E402
     close_pairs,
     closest_per_pair,
@@ -53,14 +53,18 @@ from nearmiss.operators import (  # noqa: E402
 )
 from nearmiss.plans import (  # noqa: E402
     detect_encounters,
+    extract_events,
+    ingest,
+    ingest_new_files,
     pair_tie_break,
+    run_dir,
     run_pipeline,
-    shared_dir,
     zone_pings,
 )
-from nearmiss.streaming import ingest_stream  # noqa: E402
 from nearmiss.sources import (  # noqa: E402
+    from_report_layout,
     normalize_pings,
+    odd_ping_view,
     ping_view,
     raw_ping_text,
     read_ping_lake,
@@ -91,23 +95,6 @@ ALONE_MIN_PINGS = 65  # reliable_vessels on the whole view (vessels hold 49-86 p
 FLAGSHIP_CFG = TEST_CFG.with_(dmax_nm=20.0)  # sf0.001 has only 15 vessels
 
 
-def _work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the session's shared checkpoint folder; when the
-    session has none (local checks only) a new temp folder is set as the
-    checkpoint folder first."""
-    try:
-        base = shared_dir(spark)
-    except ValueError:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="nearmiss-ckpt-"))
-        base = shared_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if base.startswith("/"):
-        os.makedirs(base, exist_ok=True)
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def _r(c, n: int):
     return F.round(c, n)
 
@@ -117,8 +104,8 @@ def _zone(spark, d, cfg=TEST_CFG):
     return zone_pings(ping_view(spark, d), cfg)
 
 
-def _report(spark, d, cfg=TEST_CFG):
-    return detect_encounters(_zone(spark, d, cfg), cfg)
+def _report(spark, d, cfg=TEST_CFG, sort=False):
+    return detect_encounters(_zone(spark, d, cfg), cfg, sort=sort)
 
 
 def _report_out(rep: DataFrame) -> DataFrame:
@@ -196,11 +183,13 @@ def _pairs_out(p: DataFrame) -> DataFrame:
 
 
 def q_close_pairs_grid(spark, d):
-    return _pairs_out(close_pairs(_pair_input(spark, d), TEST_CFG.dmax_nm, grid=True))
+    return _pairs_out(close_pairs(_pair_input(spark, d), TEST_CFG.dmax_nm))
 
 
 def q_close_pairs_brute(spark, d):
-    return _pairs_out(close_pairs(_pair_input(spark, d), TEST_CFG.dmax_nm, grid=False))
+    # the rows of a brute-force join, with grid cells twice as wide as by default (the
+    # comparison of all pairs itself is in the tests only)
+    return _pairs_out(close_pairs(_pair_input(spark, d), TEST_CFG.dmax_nm, cell_factor=8))
 
 
 PAIR_TOLERANCE_S = 1800  # time tolerance instead of tumbling buckets (half a test bucket)
@@ -214,7 +203,7 @@ def q_close_pairs_tolerance(spark, d):
 
 def q_closest_per_pair(spark, d):
     p = close_pairs(_pair_input(spark, d), TEST_CFG.dmax_nm)
-    best = closest_per_pair(p, tie_break=pair_tie_break(TEST_CFG.order_by))
+    best = closest_per_pair(p, tie_break=("ts_a", "event_id_a", "ts_b", "event_id_b"))
     return best.select("group_key", "vessel_id_a", "vessel_id_b", "event_id_a", "event_id_b",
                        _r("distance_nm", 6).alias("distance_nm"))
 
@@ -263,7 +252,7 @@ def q_event_targets(spark, d):
 
 def _points(spark, d, top=None):
     return event_track_points(_zone(spark, d), _targets(spark, d, top), tie_break=("event_id",),
-                              broadcast_targets=True)
+                              partition_days="group_key")
 
 
 def q_event_track_points(spark, d):
@@ -303,7 +292,7 @@ def q_incident_report(spark, d):
 def _lake(spark, d):
     """Raw text → CSV files → typed pings → day-partitioned lake, in a fresh
     folder of the shared checkpoint area."""
-    work = _work_dir(spark, "lake")
+    work = run_dir(spark, "lake")
     raw_ping_text(spark, d).write.mode("overwrite").option("header", "true").csv(f"{work}/csv")
     typed = normalize_pings(read_pings_csv(spark, f"{work}/csv"))
     write_ping_lake(typed, f"{work}/lake")
@@ -322,27 +311,161 @@ RAW_CSV_SCHEMA = ("event_id long, `# Timestamp` string, MMSI string, Latitude st
                   "Longitude string, SOG string, COG string, Name string")
 
 
+def _typed_out(df: DataFrame) -> DataFrame:
+    return df.select(F.col("event_id").cast("long").alias("event_id"), "vessel_id", "ts",
+                     _r("lat", 6).alias("lat"), _r("lon", 6).alias("lon"), "sog", "cog", "name",
+                     "Year", "Month", "Day")
+
+
 def q_stream_ingest(spark, d):
-    """The raw text as CSV drops, ingested by the streaming job, read back."""
-    work = _work_dir(spark, "stream")
-    raw_ping_text(spark, d).write.mode("overwrite").option("header", "true").csv(f"{work}/csv")
-    q = ingest_stream(spark, f"{work}/csv", f"{work}/lake", RAW_CSV_SCHEMA,
-                      checkpoint=f"{work}/checkpoint")
-    q.awaitTermination()
-    back = read_ping_lake(spark, f"{work}/lake")
-    return back.select("event_id", "vessel_id", "ts", _r("lat", 6).alias("lat"),
-                       _r("lon", 6).alias("lon"), "sog", "cog", "name", "Year", "Month", "Day")
+    """Two CSV drops into one folder, each ingested when it is there; a third call
+    finds nothing new."""
+    work = run_dir(spark, "stream")
+    raw = raw_ping_text(spark, d)
+    for drop in ("event_id % 2 = 0", "event_id % 2 = 1", "false"):
+        raw.filter(drop).write.mode("append").option("header", "true").csv(f"{work}/csv")
+        ingest_new_files(spark, f"{work}/csv", f"{work}/lake", f"{work}/done", schema=RAW_CSV_SCHEMA)
+    return _typed_out(read_ping_lake(spark, f"{work}/lake"))
+
+
+def q_lake_two_drops(spark, d):
+    """Two overlapping drops (the second has late pings of nearly all days) and their
+    rejects: all rows of both, rejects with their reason."""
+    work = run_dir(spark, "drops")
+    raw = raw_ping_text(spark, d)
+    for k in (0, 1):
+        raw.filter(f"event_id % 7 {'<' if k else '>='} 2").write.option("header", "true").csv(f"{work}/csv{k}")
+        ingest(spark, f"{work}/csv{k}", f"{work}/lake", rejected_path=f"{work}/rejected")
+    kept = read_ping_lake(spark, f"{work}/lake").select("event_id", F.lit("").alias("reject_reason"), "Year", "Month", "Day")
+    bad = spark.read.parquet(f"{work}/rejected").select(
+        "event_id", "reject_reason", *(F.lit(None).cast("int").alias(c) for c in ("Year", "Month", "Day")))
+    return kept.unionAll(bad).withColumn("event_id", F.col("event_id").cast("long"))
+
+
+def q_lake_days(spark, d):
+    """The lake pruned to days in its middle."""
+    work = _lake(spark, d)
+    return _typed_out(read_ping_lake(spark, f"{work}/lake", LAKE_DAYS[0], LAKE_DAYS[1]))
+
+
+LAKE_DAYS = ("2024-01-04", "2024-01-20")
+
+
+def q_rejected_malformed(spark, d):
+    """CSV files of two column orders, and one with rows of too few or too many fields:
+    every row read right or rejected with its reason."""
+    work = run_dir(spark, "malformed")
+    raw = raw_ping_text(spark, d)
+    raw.filter("event_id % 3 = 0").write.option("header", "true").csv(f"{work}/csv/a")
+    swapped = ["event_id", "# Timestamp", "MMSI", "Longitude", "Latitude", "COG", "SOG", "Name"]
+    raw.filter("event_id % 3 = 1").select(*swapped).write.option("header", "true").csv(f"{work}/csv/b")
+    fields = [F.col(f"`{c}`") for c in raw.columns]
+    line = (F.when(F.expr("event_id % 5 = 0"), F.concat_ws(",", *fields[:6]))
+            .when(F.expr("event_id % 7 = 0"), F.concat_ws(",", *fields, F.lit("x")))
+            .otherwise(F.concat_ws(",", *fields)))
+    text = raw.filter("event_id % 3 = 2").select(line.alias(",".join(raw.columns)))
+    text.write.option("header", "true").option("sep", "\u0001").csv(f"{work}/csv/c")
+    back = read_pings_csv(spark, f"{work}/csv/*")
+    good = normalize_pings(back).select("event_id", "lat", "lon", "sog", "cog", F.lit("").alias("reject_reason"))
+    nothing = [F.lit(None).cast("double").alias(c) for c in ("lat", "lon", "sog", "cog")]
+    bad = rejected_pings(back).select("event_id", *nothing, "reject_reason")
+    return good.unionAll(bad).select(
+        F.col("event_id").cast("long").alias("event_id"), _r("lat", 6).alias("lat"), _r("lon", 6).alias("lon"),
+        "sog", "cog", "reject_reason")
 
 
 def q_with_source(spark, d):
+    """Of every lake row: whether its file is one of Spark's part files, and the day folder."""
     work = _lake(spark, d)
     back = with_source(read_ping_lake(spark, f"{work}/lake"))
-    return back.select(F.col("event_id").cast("long").alias("event_id"), "source_file")
+    folder = F.regexp_extract("_metadata.file_path", r"/(Year=\d+/Month=\d+/Day=\d+)/[^/]*$", 1)
+    return back.select(F.col("event_id").cast("long").alias("event_id"),
+                       F.col("source_file").rlike(r"^part-[-0-9a-zA-Z.]+\.parquet$").alias("part_file"),
+                       folder.alias("day_folder"))
+
+
+# ---- views with gaps
+def q_exclude_named_nulls(spark, d):
+    """Null and blank names: dropped and kept by default, kept with ``keep_null``, and a
+    table without names."""
+    odd = odd_ping_view(spark, d)
+    parts = (("drop", exclude_named(odd, TEST_CFG.deny_tokens)),
+             ("keep", exclude_named(odd, TEST_CFG.deny_tokens, keep_null=True)),
+             ("none", exclude_named(odd.drop("name"), TEST_CFG.deny_tokens)))
+    return reduce(DataFrame.unionAll, [p.select(F.lit(k).alias("variant"), "event_id") for k, p in parts])
+
+
+ODD_TOP = 400  # so many events that some are not severe
+ODD_HALF_WINDOW = 90  # minutes; short, so that many tracks are short and unnamed
+
+
+def _odd_events(spark, d, pings):
+    """Targets of ``ODD_TOP`` events of the usual report, with the points found in ``pings``."""
+    targets = event_targets(top_encounters(_report(spark, d), ODD_TOP), ODD_HALF_WINDOW)
+    return event_track_points(pings, targets, tie_break=("event_id",), partition_days="group_key")
+
+
+def q_odd_tracks(spark, d):
+    """Tracks over pings with gaps: first name that isn't blank or the vessel's number, null
+    speeds and courses as 0, and both severity colours."""
+    t = event_tracks(_odd_events(spark, d, odd_ping_view(spark, d)))
+    total = lambda c: _r(F.aggregate(F.col(f"track.{c}"), F.lit(0.0), lambda acc, x: acc + x), 6)
+    return t.select("event_rank", "side", "vessel_id", "vessel_label", "n_points", "severity",
+                    total("sog").alias("sum_sog"), total("cog").alias("sum_cog"))
+
+
+def q_event_series(spark, d):
+    """The telemetry series of the event tracks, point by point."""
+    t = event_tracks(_points(spark, d))
+    return t.select("event_rank", "side", F.inline("track")).select(
+        "event_rank", "side", "point_no", "ts", "sog", "cog", "speed_band")
+
+
+def q_nameless_points(spark, d):
+    """Track points of a table without a name column."""
+    p = _odd_events(spark, d, odd_ping_view(spark, d).drop("name"))
+    return p.select("event_rank", "side", "point_no", "ts", "sog", "cog", "vessel_name", "speed_band")
+
+
+def q_incomplete_events(spark, d):
+    """Events of which a vessel has no points are left out."""
+    pings = ping_view(spark, d).filter("vessel_id % 5 != 0")
+    return complete_events(_odd_events(spark, d, pings)).select(
+        "event_rank", "danger_score", "vessel_a", "vessel_b", "points_a", "points_b")
+
+
+def q_events_from_report(spark, d):
+    """The event stage from a report CSV, of which some times can't be read: those events
+    are skipped, and their rank stays unused."""
+    work = run_dir(spark, "report")
+    write_report(_report(spark, d, sort=True), f"{work}/report")
+    csv = read_report(spark, f"{work}/report")
+    spoiled = F.when(F.col("MMSI_A").cast("int") % 3 == 0, F.lit("n/a")).otherwise(F.col("TS_A"))
+    report = from_report_layout(csv.withColumn("TS_A", spoiled))
+    return event_targets(top_encounters(report, 50), TEST_CFG.half_window_minutes).select(
+        "event_rank", "danger_score", "vessel_a", "vessel_b",
+        _r("distance_nm", 6).alias("distance_nm"), "target_ts", "window_start", "event_key")
+
+
+def q_extract_events(spark, d):
+    """The tables of the event stage of a whole run, as (table, rank, vessels, count)."""
+    out = extract_events(_report(spark, d), _zone(spark, d), TEST_CFG, partition_days="group_key")
+    parts = (
+        out["top"].select(F.lit("top").alias("part"), "event_rank", "vessel_a", "vessel_b", F.lit(0).cast("long").alias("n")),
+        out["targets"].select(F.lit("targets"), "event_rank", "vessel_a", "vessel_b", F.lit(0).cast("long")),
+        out["points"].groupBy("event_rank", "vessel_a", "vessel_b").agg(F.count("*").alias("n"))
+        .select(F.lit("points"), "event_rank", "vessel_a", "vessel_b", "n"),
+        out["tracks"].select(F.lit("tracks"), "event_rank", "vessel_id", "side", "n_points"),
+        out["complete"].select(F.lit("complete"), "event_rank", "vessel_a", "vessel_b", F.col("points_a") + F.col("points_b")),
+        out["cards"].select(F.lit("cards"), "event_rank", "vessel_a", "vessel_b", F.lit(0).cast("long")),
+        out["summary"].select(F.lit("summary"), F.lit(0), "top_vessel_a", "top_vessel_b", "total_incidents"),
+    )
+    return reduce(DataFrame.unionAll, parts)
 
 
 def q_report_csv_roundtrip(spark, d):
-    work = _work_dir(spark, "report")
-    write_report(_report(spark, d), f"{work}/report")
+    work = run_dir(spark, "report")
+    write_report(_report(spark, d, sort=True), f"{work}/report")
     back = read_report(spark, f"{work}/report")
     return back.select(
         "Danger_Score", "MMSI_A", "MMSI_B", _r("Distance_NM", 6).alias("Distance_NM"),
@@ -351,7 +474,7 @@ def q_report_csv_roundtrip(spark, d):
 
 
 def q_all_stages(spark, d):
-    work = _work_dir(spark, "stages")
+    work = run_dir(spark, "stages")
     raw_ping_text(spark, d).write.mode("overwrite").option("header", "true").csv(f"{work}/csv")
     out = run_pipeline(spark, TEST_CFG, csv_path=f"{work}/csv", workdir=f"{work}/run",
                        csv_schema=RAW_CSV_SCHEMA)
@@ -362,7 +485,7 @@ def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the sorted encounter report on sf0.001 (geofence → deny list →
     history → reliable vessels → moving pings → grid pair join → closest
     moment → danger score)."""
-    return _report_out(_report(spark, SMOKE_DIR, FLAGSHIP_CFG))
+    return _report_out(_report(spark, SMOKE_DIR, FLAGSHIP_CFG, sort=True))
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -394,6 +517,16 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_ingest": q_stream_ingest,
     "report_csv_roundtrip": q_report_csv_roundtrip,
     "all_stages": q_all_stages,
+    "lake_two_drops": q_lake_two_drops,
+    "lake_days": q_lake_days,
+    "rejected_malformed": q_rejected_malformed,
+    "exclude_named_nulls": q_exclude_named_nulls,
+    "odd_tracks": q_odd_tracks,
+    "event_series": q_event_series,
+    "nameless_points": q_nameless_points,
+    "incomplete_events": q_incomplete_events,
+    "events_from_report": q_events_from_report,
+    "extract_events": q_extract_events,
 }
 
 
@@ -590,6 +723,23 @@ _EVENTS_CHAIN = ",\n".join([
 ])
 
 
+_ODD = """odd AS (
+  SELECT event_id, vessel_id, ts, lat, lon, group_key,
+         CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 3 = 1 THEN '  '
+              WHEN event_id % 5 = 0 THEN ' ' || name || ' ' ELSE name END AS name,
+         CASE WHEN event_id % 17 <> 0 THEN sog END AS sog,
+         CASE WHEN event_id % 13 <> 0 THEN cog END AS cog
+  FROM pings)"""
+
+
+def _odd_chain(pings: str) -> str:
+    """Points of ``ODD_TOP`` events found in another view of the pings."""
+    chain = _EVENTS_CHAIN.replace(f"QUALIFY event_rank <= {TEST_CFG.top_n})", f"QUALIFY event_rank <= {ODD_TOP})")
+    chain = chain.replace(f"INTERVAL {TEST_CFG.half_window_minutes} MINUTE", f"INTERVAL {ODD_HALF_WINDOW} MINUTE")
+    return ",\n".join([chain.replace("FROM zone p JOIN sides s", f"FROM {pings} p JOIN sides s").replace(
+        "targets AS (", f"{_ODD},\nfewer AS (SELECT * FROM pings WHERE CAST(vessel_id AS BIGINT) % 5 <> 0),\ntargets AS (", 1)])
+
+
 def _with(chain: str, select: str) -> str:
     return f"WITH {chain}\n{select}"
 
@@ -660,8 +810,7 @@ WHERE vessel_id IN (SELECT vessel_id FROM pings GROUP BY vessel_id HAVING count(
        a.event_id AS event_id_a, b.event_id AS event_id_b,
        {_sr(_hav('a.lat', 'a.lon', 'b.lat', 'b.lon'), 6)} AS distance_nm
 FROM bucketed a JOIN bucketed b
-  ON a.group_key = b.group_key AND a.vessel_id < b.vessel_id
- AND abs(a.epoch - b.epoch) <= {PAIR_TOLERANCE_S}
+  ON a.vessel_id < b.vessel_id AND abs(a.epoch - b.epoch) <= {PAIR_TOLERANCE_S}
 WHERE {_hav('a.lat', 'a.lon', 'b.lat', 'b.lon')} <= {TEST_CFG.dmax_nm}"""),
         "closest_per_pair": _with(",\n".join([pair_input, _closest("pairs")]), f"""SELECT group_key, vessel_id_a, vessel_id_b, event_id_a, event_id_b,
        {_sr('distance_nm', 6)} AS distance_nm FROM best"""),
@@ -696,6 +845,55 @@ FROM report"""),
 FROM top WHERE event_rank IN (SELECT event_rank FROM complete)"""),
         "lake_roundtrip": _with(_PINGS, lake_select),
         "stream_ingest": _with(_PINGS, lake_select),
+        "lake_days": _with(_PINGS, f"{lake_select} AND CAST(ts AS DATE) BETWEEN DATE '{LAKE_DAYS[0]}' AND DATE '{LAKE_DAYS[1]}'"),
+        "lake_two_drops": _with(",\n".join([_PINGS, _RAW, _PARSED]), """SELECT CAST(event_id AS BIGINT) AS event_id,
+       CASE WHEN mmsi IS NULL THEN 'bad_vessel_id' WHEN ts IS NULL THEN 'bad_time' ELSE '' END AS reject_reason,
+       CASE WHEN mmsi IS NOT NULL THEN CAST(year(ts) AS INTEGER) END AS "Year",
+       CASE WHEN mmsi IS NOT NULL THEN CAST(month(ts) AS INTEGER) END AS "Month",
+       CASE WHEN mmsi IS NOT NULL THEN CAST(day(ts) AS INTEGER) END AS "Day"
+FROM parsed"""),
+        "rejected_malformed": _with(",\n".join([_PINGS, _RAW, _PARSED, """judged AS (
+  SELECT *, CASE WHEN CAST(event_id AS BIGINT) % 3 = 2 AND (CAST(event_id AS BIGINT) % 5 = 0 OR CAST(event_id AS BIGINT) % 7 = 0)
+                 THEN 'malformed_row' WHEN mmsi IS NULL THEN 'bad_vessel_id' WHEN ts IS NULL THEN 'bad_time' ELSE '' END AS reject_reason
+  FROM parsed)"""]), f"""SELECT CAST(event_id AS BIGINT) AS event_id,
+       CASE WHEN reject_reason = '' THEN {_sr('lat', 6)} END AS lat,
+       CASE WHEN reject_reason = '' THEN {_sr('lon', 6)} END AS lon,
+       CASE WHEN reject_reason = '' THEN sog END AS sog, CASE WHEN reject_reason = '' THEN cog END AS cog,
+       reject_reason
+FROM judged"""),
+        "with_source": _with(_PINGS, """SELECT event_id, TRUE AS part_file,
+       'Year=' || year(ts) || '/Month=' || month(ts) || '/Day=' || day(ts) AS day_folder
+FROM pings WHERE event_id % 97 <> 0 AND event_id % 89 <> 0"""),
+        "exclude_named_nulls": _with(f"{_PINGS},\n{_ODD}", """SELECT 'drop' AS variant, event_id FROM odd WHERE NOT contains(upper(name), 'ERR')
+UNION ALL SELECT 'keep', event_id FROM odd WHERE name IS NULL OR NOT contains(upper(name), 'ERR')
+UNION ALL SELECT 'none', event_id FROM odd"""),
+        "odd_tracks": _with(_odd_chain("odd"), f"""SELECT event_rank, side, min(vessel_id) AS vessel_id,
+       coalesce(arg_min(vessel_name, point_no) FILTER (length(vessel_name) > 0), 'MMSI ' || min(vessel_id)) AS vessel_label,
+       count(*) AS n_points, CASE WHEN max(danger_score) >= {SEVERE_SCORE} THEN '{SEVERE_COLOUR}' ELSE '{NORMAL_COLOUR}' END AS severity,
+       {_sr('sum(sog)', 6)} AS sum_sog, {_sr('sum(cog)', 6)} AS sum_cog
+FROM points GROUP BY event_rank, side"""),
+        "event_series": _with(_EVENTS_CHAIN, "SELECT event_rank, side, point_no, ts, sog, cog, speed_band FROM points"),
+        "nameless_points": _with(_odd_chain("odd"), """SELECT event_rank, side, point_no, ts, sog, cog, '' AS vessel_name, speed_band
+FROM points"""),
+        "incomplete_events": _with(_odd_chain("fewer"), """SELECT event_rank, danger_score, vessel_a, vessel_b, points_a, points_b
+FROM complete"""),
+        "events_from_report": _with(",\n".join([_SCORED_CHAIN, """spoiled AS (
+  SELECT * REPLACE (CASE WHEN CAST(vessel_a AS BIGINT) % 3 = 0 THEN NULL ELSE ts_a END AS ts_a) FROM report)""",
+            """ranked AS (
+  SELECT *, CAST(row_number() OVER (ORDER BY danger_score DESC, distance_nm, vessel_a, vessel_b, ts_a NULLS FIRST) AS INTEGER) AS event_rank
+  FROM spoiled)"""]), f"""SELECT event_rank, danger_score, vessel_a, vessel_b, {_sr('distance_nm', 6)} AS distance_nm,
+       ts_a AS target_ts, ts_a - INTERVAL {TEST_CFG.half_window_minutes} MINUTE AS window_start,
+       'Top_' || event_rank || '_Score_' || danger_score || '_' || strftime(ts_a, '%Y%m%d_%H%M%S') || '_' || vessel_a || '_' || vessel_b AS event_key
+FROM ranked WHERE event_rank <= 50 AND ts_a IS NOT NULL"""),
+        "extract_events": _with(_EVENTS_CHAIN, """SELECT 'top' AS part, event_rank, vessel_a, vessel_b, CAST(0 AS BIGINT) AS n FROM top
+UNION ALL SELECT 'targets', event_rank, vessel_a, vessel_b, 0 FROM targets
+UNION ALL SELECT 'points', event_rank, vessel_a, vessel_b, count(*) FROM points GROUP BY event_rank, vessel_a, vessel_b
+UNION ALL SELECT 'tracks', event_rank, min(vessel_id), side, count(*) FROM points
+  WHERE event_rank IN (SELECT event_rank FROM complete) GROUP BY event_rank, side
+UNION ALL SELECT 'complete', event_rank, vessel_a, vessel_b, points_a + points_b FROM complete
+UNION ALL SELECT 'cards', event_rank, vessel_a, vessel_b, 0 FROM top WHERE event_rank IN (SELECT event_rank FROM complete)
+UNION ALL SELECT 'summary', 0, arg_min(vessel_a, (-danger_score, distance_nm, vessel_a, vessel_b, ts_a, ts_b)),
+  arg_min(vessel_b, (-danger_score, distance_nm, vessel_a, vessel_b, ts_a, ts_b)), count(*) FROM report"""),
         "report_csv_roundtrip": _with(_SCORED_CHAIN, f"""SELECT danger_score AS "Danger_Score", vessel_a AS "MMSI_A",
        vessel_b AS "MMSI_B", {_sr('distance_nm', 6)} AS "Distance_NM", distance_m AS "Distance_Meters",
        strftime(ts_a, '%Y-%m-%d %H:%M:%S') AS "TS_A", lat AS "Latitude", lon AS "Longitude",

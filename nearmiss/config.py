@@ -105,7 +105,6 @@ class EncounterConfig:
     pair_tolerance_s: int | None = None
     dmax_nm: float = ENCOUNTER_NM
     group_key: str = "group_key"
-    grid: bool = True
     # grid cell side in pair distances (≥ 2): larger cells copy fewer pings
     # into neighbouring cells but compare more candidates per cell
     grid_cell_factor: float = 4.0

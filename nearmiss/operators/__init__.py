@@ -7,7 +7,7 @@ from nearmiss.operators.events import (
     event_tracks,
     top_encounters,
 )
-from nearmiss.operators.history import HISTORY_COLUMNS, ping_history
+from nearmiss.operators.history import ping_history
 from nearmiss.operators.pairs import close_pairs, closest_per_pair, with_time_bucket
 from nearmiss.operators.quality import (
     exclude_named,
@@ -26,7 +26,7 @@ from nearmiss.operators.scoring import (
 from nearmiss.operators.zone import geofence
 
 __all__ = [
-    "HISTORY_COLUMNS", "REPORT_COLUMNS", "SCORE_COMPONENTS", "close_pairs", "closest_per_pair",
+    "REPORT_COLUMNS", "SCORE_COMPONENTS", "close_pairs", "closest_per_pair",
     "complete_events", "danger_score", "encounter_report", "event_targets",
     "event_track_points", "event_tracks", "exclude_named", "geofence", "incident_report",
     "incident_summary", "moving_pings", "ping_history", "pings_per_vessel", "reliable_vessels",

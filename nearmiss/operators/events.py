@@ -9,11 +9,6 @@ from nearmiss.config import HALF_WINDOW_MINUTES, SEVERE_SCORE, TOP_N
 from nearmiss.functions.display import event_key, severity, speed_band
 from nearmiss.operators.scoring import report_order
 
-# Largest number of target rows we hint as a broadcast. The targets come from a
-# top-N limit, so their size is bounded by N (two rows per event, plus one more
-# per extra day a window spans), not by the data.
-BROADCAST_TARGETS_MAX = 10_000
-
 
 def top_encounters(report: DataFrame, n: int = TOP_N) -> DataFrame:
     """The ``n`` highest-scoring encounters with ``event_rank`` 1..n.
@@ -60,7 +55,6 @@ def event_track_points(
     name: str = "name",
     tie_break=(),
     partition_days=None,
-    broadcast_targets: bool | None = None,
 ) -> DataFrame:
     """Every ping of either event vessel inside the event's window (inclusive).
 
@@ -112,8 +106,6 @@ def event_track_points(
                  .withColumn("_d", F.dayofmonth("_day")))
             cond = (cond & (F.col(y) == F.col("_y")) & (F.col(m) == F.col("_m"))
                     & (F.col(d) == F.col("_d")))
-    if broadcast_targets:
-        t = F.broadcast(t)
 
     joined = src.join(t, on=cond, how="inner")
     w = Window.partitionBy("event_rank", "side").orderBy("ts", *tie_break)
@@ -146,8 +138,9 @@ def event_tracks(points: DataFrame, severe_score: int = SEVERE_SCORE) -> DataFra
     name in time order, else ``MMSI <id>``), the middle point (index ``n // 2``
     from 0) and the event's severity colour.
 
-    A track holds the pings of one vessel inside one event window, so its size
-    is bounded by the window length, not by the data.
+    A track holds the pings of one vessel inside one event window: its size is
+    bounded by the caller's half window and how often a vessel reports (one to
+    a few hundred points at the published ten minutes), not by the data.
     """
     named = F.when(F.length("vessel_name") > 0, F.col("vessel_name"))
     g = points.groupBy("event_rank", "side").agg(

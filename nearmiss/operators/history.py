@@ -4,15 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nearmiss.config import HISTORY_SLICE_SECONDS
 from nearmiss.functions.motion import course_change, epoch_seconds, speed_change
 
-HISTORY_COLUMNS = (
-    "prev_sog", "prev_cog", "prev_ts", "next_ts", "interval_s",
-    "delta_sog", "delta_cog", "is_last_signal", "vessel_pings",
-)
-
 # Slice number given to pings without a time; sorts before every real slice,
 # just as a null time sorts first in the vessel's order.
 _NO_TIME_SLICE = -(2**62)
@@ -52,11 +48,10 @@ def ping_history(
     With ``slice_seconds`` the window runs per (vessel, time slice), so a
     vessel id with a huge share of the rows is spread over many tasks; the
     first and last ping of every slice are then stitched to the neighbouring
-    slices through a per-slice summary (one row per vessel and slice, built by
-    a map-side-combined aggregate), which is joined back on the window's own
-    partitioning keys, so the pings are shuffled once. The slice's last ping
-    is picked by ``order_by`` in the aggregate as in the window, which is one
-    more reason the order must be total. ``slice_seconds=None`` runs one window
+    slices through a per-slice summary (one row per vessel and slice). It is
+    read off the window's own boundary rows, which lie where the window put
+    them, and joined back on the same keys, so the pings are scanned and
+    shuffled once. ``slice_seconds=None`` runs one window
     per vessel (one task holds each vessel's whole history): small data only.
     """
     order = [F.col(c) for c in order_by]
@@ -86,35 +81,40 @@ def ping_history(
         "prev_ts": F.lag(ts).over(w),
         "next_ts": F.lead(ts).over(w),
     })
-    # One row per (vessel, slice), aggregated from the pings directly: partial
-    # aggregates are combined map-side, so only one row per vessel, slice and
-    # map task crosses the network (no second shuffle of the pings).
-    per_slice = pings.groupBy(vessel, "_slice").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.max_by(F.struct(F.col(sog).alias("s"), F.col(cog).alias("c"), F.col(ts).alias("t")),
-                 F.struct(*order)).alias("_last"),
-        F.min(ts).alias("_first_ts"),
-    )
+    # One row per (vessel, slice) from the first and the last row of each; what
+    # is summed up lies together already. ``_whole`` (never null) names every
+    # column, so that this branch needs the same exchange as the other one and
+    # Spark shuffles the pings once for both.
+    plain = [f.name for f in pings.schema if not isinstance(f.dataType, T.MapType)]
+    first, last = F.col("_rn") == 1, F.col("_more").isNull()
+    per_slice = local.filter(first | last).groupBy(vessel, "_slice").agg(
+        F.max(F.when(last, F.col("_rn"))).cast("long").alias("_n"),
+        F.max(F.when(last, F.col(sog))).alias("_last_sog"),
+        F.max(F.when(last, F.col(cog))).alias("_last_cog"),
+        F.max(F.when(last, F.col(ts))).alias("_last_ts"),
+        F.min(F.when(first, F.col(ts))).alias("_first_ts"),
+        F.max(F.when(last, F.hash(*[F.col(f"`{c}`") for c in plain]))).alias("_whole"),
+    ).filter(F.col("_whole").isNotNull())
     sw = Window.partitionBy(vessel).orderBy("_slice")
     stitch = per_slice.select(
         vessel,
         "_slice",
-        F.lag("_last").over(sw).alias("_before"),
+        F.lag("_last_sog").over(sw).alias("_before_sog"),
+        F.lag("_last_cog").over(sw).alias("_before_cog"),
+        F.lag("_last_ts").over(sw).alias("_before_ts"),
         F.lead("_first_ts").over(sw).alias("_after_ts"),
         F.sum("_n").over(Window.partitionBy(vessel)).alias("vessel_pings"),
     )
-    first = F.col("_rn") == 1
-    last = F.col("_more").isNull()
     # The stitch table grows with vessels × slices: keep it a shuffle join on
     # the window's own partitioning keys (the pings are not shuffled again).
     out = (
         local.join(stitch.hint("merge"), [vessel, "_slice"], "inner")
         .withColumns({
-            "prev_sog": F.when(first, F.col("_before.s")).otherwise(F.col("prev_sog")),
-            "prev_cog": F.when(first, F.col("_before.c")).otherwise(F.col("prev_cog")),
-            "prev_ts": F.when(first, F.col("_before.t")).otherwise(F.col("prev_ts")),
+            "prev_sog": F.when(first, F.col("_before_sog")).otherwise(F.col("prev_sog")),
+            "prev_cog": F.when(first, F.col("_before_cog")).otherwise(F.col("prev_cog")),
+            "prev_ts": F.when(first, F.col("_before_ts")).otherwise(F.col("prev_ts")),
             "next_ts": F.when(last, F.col("_after_ts")).otherwise(F.col("next_ts")),
         })
-        .drop("_slice", "_rn", "_more", "_before", "_after_ts")
+        .drop("_slice", "_rn", "_more", "_before_sog", "_before_cog", "_before_ts", "_after_ts")
     )
     return _finish(out, ts, sog, cog)

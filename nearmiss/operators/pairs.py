@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nearmiss.config import BUCKET_SECONDS, EARTH_RADIUS_NM, ENCOUNTER_NM
 from nearmiss.functions.geo import (
@@ -90,7 +91,6 @@ def close_pairs(
     vessel: str = "vessel_id",
     lat: str = "lat",
     lon: str = "lon",
-    grid: bool = True,
     cell_factor: float = GRID_CELL_FACTOR,
     tolerance_s: int | None = None,
     epoch: str = "epoch",
@@ -103,9 +103,7 @@ def close_pairs(
     ``vessel_a < vessel_b`` compared as strings; ``distance_nm`` is added, and
     ``group_key``/``bucket`` are kept unsuffixed.
 
-    ``grid=False`` compares every pair inside a (group, bucket) — quadratic in
-    the bucket's size. ``grid=True`` adds a spatial cell to the equi-join keys:
-    rows ``cell_factor`` reaches tall, each divided into as many equal
+    A spatial cell is part of the equi-join keys: rows ``cell_factor`` reaches tall, each divided into as many equal
     longitude columns, each at least ``cell_factor`` reaches wide, as the row's
     latitude allows (``functions.geo``). Side A keeps its own cell, side B is
     replicated into its own cell and each neighbouring row and column it can
@@ -118,13 +116,16 @@ def close_pairs(
     ``epoch`` column), whatever bucket they fall in. Time is then cut into
     cells ``cell_factor·tolerance_s`` long and side B is also copied into a
     neighbouring time cell it can reach, the same trick as the spatial grid. ``bucket``
-    holds A's bucket and ``bucket_b`` B's.
+    holds A's bucket and ``bucket_b`` B's. A group that is a date does not part
+    two pings then (they may lie before and after midnight): the pair's group
+    is A's. Any other group, such as a file, still does.
 
     Both sides grow with the data, so the join is pinned to a shuffle
     (sort-merge) join: a size estimate that ignores the replication must not
     pick a broadcast. AQE still splits skewed partitions.
     """
     tol = tolerance_s is not None
+    dated = tol and isinstance(df.schema[group_key].dataType, T.DateType)
     time_key = epoch if tol else bucket
     # Rows that can never pair are dropped before the shuffle explicitly, not
     # left to inferred constraints.
@@ -133,7 +134,7 @@ def close_pairs(
     a = _side(df, "_a", {group_key: group_key, **({} if tol else {bucket: bucket})})
     b = _side(df, "_b", {group_key: "_g", **({} if tol else {bucket: "_k"})})
     la, loa, lb, lob = f"{lat}_a", f"{lon}_a", f"{lat}_b", f"{lon}_b"
-    cond = [F.col(group_key) == F.col("_g")]
+    cond = [] if dated else [F.col(group_key) == F.col("_g")]
     if tol:
         tol_s = max(int(tolerance_s), 1)
         cell = int(cell_factor * tol_s)
@@ -147,12 +148,11 @@ def close_pairs(
         cond += [F.col("_ka") == F.col("_k"), F.abs(ea - eb) <= F.lit(tolerance_s)]
     else:
         cond.append(F.col(bucket) == F.col("_k"))
-    if grid:
-        a = with_grid_cell(a, dmax_nm, lat=la, lon=loa, cell_factor=cell_factor,
-                           earth_radius_nm=earth_radius_nm)
-        b = with_grid_cell(b, dmax_nm, lat=lb, lon=lob, neighbours=True, cell_factor=cell_factor,
-                           earth_radius_nm=earth_radius_nm, row_col="_cy_b", col_col="_cx_b")
-        cond += [F.col("_cy") == F.col("_cy_b"), F.col("_cx") == F.col("_cx_b")]
+    a = with_grid_cell(a, dmax_nm, lat=la, lon=loa, cell_factor=cell_factor,
+                       earth_radius_nm=earth_radius_nm)
+    b = with_grid_cell(b, dmax_nm, lat=lb, lon=lob, neighbours=True, cell_factor=cell_factor,
+                       earth_radius_nm=earth_radius_nm, row_col="_cy_b", col_col="_cx_b")
+    cond += [F.col("_cy") == F.col("_cy_b"), F.col("_cx") == F.col("_cx_b")]
     cond.append(F.col(f"{vessel}_a") < F.col(f"{vessel}_b"))
 
     dist = haversine_nm(la, loa, lb, lob, earth_radius_nm)

@@ -4,15 +4,16 @@ from nearmiss.plans.stages import (
     detect_encounters,
     extract_events,
     ingest,
+    ingest_new_files,
     pair_tie_break,
     prepare_pings,
     run_pipeline,
     score_encounters,
     zone_pings,
 )
-from nearmiss.plans.storage import ensure_checkpoint_dir, materialize, run_dir, shared_dir
+from nearmiss.plans.storage import materialize, run_dir, shared_dir
 
 __all__ = [
-    "detect_encounters", "ensure_checkpoint_dir", "extract_events", "ingest", "materialize",
+    "detect_encounters", "extract_events", "ingest", "ingest_new_files", "materialize",
     "pair_tie_break", "prepare_pings", "run_dir", "run_pipeline", "score_encounters", "shared_dir", "zone_pings",
 ]

@@ -22,38 +22,72 @@ from nearmiss.operators import (
     moving_pings,
     ping_history,
     reliable_vessels,
+    report_order,
     top_encounters,
     with_time_bucket,
 )
-from nearmiss.operators.events import BROADCAST_TARGETS_MAX
 from nearmiss.plans.storage import materialize, run_dir
 from nearmiss.sources import (
-    normalize_pings,
+    accepted,
+    parse_pings,
     read_ping_lake,
     read_pings_csv,
-    rejected_pings,
+    rejected,
     with_source,
     write_ping_lake,
 )
 
 
 def pair_tie_break(order_by) -> tuple[str, ...]:
-    """Tie-break of a pair's candidate moments, derived from the ping order."""
-    return tuple(f"{c}_a" for c in order_by) + tuple(f"{c}_b" for c in order_by)
+    """Tie-break of a pair's candidate moments, derived from the ping order.
 
+    Pings equal in all of ``order_by`` (exact duplicates are normal in AIS) can
+    still differ in what the history made of them, so that comes last.
+    """
+    names = (*order_by, "interval_s", "delta_sog", "delta_cog", "is_last_signal")
+    return tuple(f"{c}_a" for c in names) + tuple(f"{c}_b" for c in names)
 
-def ingest(spark: SparkSession, csv_path: str, lake_path: str, *,
-           rejected_path: str | None = None, cfg: EncounterConfig = EncounterConfig(),
-           schema=None) -> None:
-    """CSV directory → day-partitioned Parquet lake (+ rejected rows with reasons).
 
-    The CSV is scanned once per output; the rejected rows are written only when
-    ``rejected_path`` is given.
+def ingest(spark: SparkSession, csv_path, lake_path: str, *,
+           rejected_path: str | None = None, cfg: EncounterConfig = EncounterConfig(),
+           schema=None, mode: str = "append", replace_days=None) -> None:
+    """CSV files → day-partitioned Parquet lake (+ rejected rows with reasons).
+
+    By default a drop is added to the lake and its rejects to the rejects, so
+    late pings of earlier days lose nothing. ``mode="overwrite"`` starts both
+    anew; ``replace_days`` re-ingests just those days of the lake (and adds the
+    rejects). The CSV is parsed once: with ``rejected_path`` the parsed rows are
+    written to the shared folder and both outputs read them from there.
     """
     raw = read_pings_csv(spark, csv_path, schema)
-    write_ping_lake(normalize_pings(raw, cfg.ts_format), lake_path)
+    parsed = parse_pings(raw, cfg.ts_format)
     if rejected_path:
-        rejected_pings(raw, cfg.ts_format).write.mode("overwrite").parquet(rejected_path)
+        parsed = materialize(parsed, f"{run_dir(spark, 'ingest')}/parsed")
+        rejected(parsed, raw.columns).write.mode(mode).parquet(rejected_path)
+    write_ping_lake(accepted(parsed), lake_path, mode, replace_days=replace_days)
+
+
+def ingest_new_files(spark: SparkSession, csv_path: str, lake_path: str, done_path: str,
+                     **options) -> list[str]:
+    """``ingest`` of the CSV files that an earlier call has not seen yet; returns them.
+
+    The names of ingested files are kept as a table at ``done_path``, written
+    after the lake: a call that breaks off in between ingests its files again.
+    """
+    seen: set[str] = set()
+    if _exists(spark, done_path):
+        seen = {r.file for r in spark.read.parquet(done_path).collect()}
+    files = [f for f in sorted(spark.read.text(csv_path).inputFiles()) if f not in seen]
+    if files:
+        ingest(spark, files, lake_path, **options)
+        names = spark.createDataFrame([(f,) for f in files], "file string")
+        names.coalesce(1).write.mode("append").parquet(done_path)
+    return files
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def zone_pings(pings: DataFrame, cfg: EncounterConfig = EncounterConfig(), *,
@@ -69,37 +103,46 @@ def zone_pings(pings: DataFrame, cfg: EncounterConfig = EncounterConfig(), *,
     return out
 
 
-def prepare_pings(pings: DataFrame, cfg: EncounterConfig = EncounterConfig()) -> DataFrame:
+def prepare_pings(pings: DataFrame, cfg: EncounterConfig = EncounterConfig(), *,
+                  keep=()) -> DataFrame:
     """In-zone pings → the pings that may pair: deny list, history, reliable
     vessels, moving pings, time bucket.
 
+    Only the columns that later stages read (and ``keep``) go through the
+    history's shuffle, the largest of the chain.
+
     Order matters and follows the analysis: the deny list applies before the
     history; history and the ping count are taken before the speed filter, so
     slow pings still count and still feed the previous-ping values.
     """
     named = exclude_named(pings, cfg.deny_tokens, keep_null=cfg.keep_unnamed)
-    hist = ping_history(named, cfg.order_by, slice_seconds=cfg.history_slice_seconds)
+    needed = dict.fromkeys(("vessel_id", "ts", "lat", "lon", "sog", "cog", cfg.group_key,
+                            *cfg.order_by, *keep))
+    hist = ping_history(named.select(*needed), cfg.order_by, slice_seconds=cfg.history_slice_seconds)
     moving = moving_pings(reliable_vessels(hist, cfg.min_pings), cfg.min_sog, cfg.max_sog)
     return with_time_bucket(moving, cfg.bucket_seconds)
 
 
-def score_encounters(prepared: DataFrame, cfg: EncounterConfig = EncounterConfig()) -> DataFrame:
-    """Prepared pings → sorted encounter report: grid pair join, closest moment
-    per pair and group, danger score."""
-    pairs = close_pairs(prepared, cfg.dmax_nm, group_key=cfg.group_key, grid=cfg.grid,
+def score_encounters(prepared: DataFrame, cfg: EncounterConfig = EncounterConfig(), *,
+                     sort: bool = True) -> DataFrame:
+    """Prepared pings → encounter report: grid pair join, closest moment per
+    pair and group, danger score. ``sort=False`` leaves out the final sort, for
+    callers that aggregate or write the report."""
+    pairs = close_pairs(prepared, cfg.dmax_nm, group_key=cfg.group_key,
                         cell_factor=cfg.grid_cell_factor, tolerance_s=cfg.pair_tolerance_s,
                         earth_radius_nm=cfg.earth_radius_nm)
     best = closest_per_pair(pairs, group_key=cfg.group_key,
                             tie_break=pair_tie_break(cfg.order_by))
-    return encounter_report(danger_score(best, cfg.weights), group_key=cfg.group_key)
+    return encounter_report(danger_score(best, cfg.weights), group_key=cfg.group_key, sort=sort)
 
 
-def detect_encounters(pings: DataFrame, cfg: EncounterConfig = EncounterConfig()) -> DataFrame:
-    """In-zone pings → sorted encounter report (one row per pair and group),
+def detect_encounters(pings: DataFrame, cfg: EncounterConfig = EncounterConfig(), *,
+                      sort: bool = True) -> DataFrame:
+    """In-zone pings → encounter report (one row per pair and group),
     as one lazy plan. ``run_pipeline`` writes the prepared pings in between, so
     the two sides of the pair self-join scan a table instead of each
     recomputing the history."""
-    return score_encounters(prepare_pings(pings, cfg), cfg)
+    return score_encounters(prepare_pings(pings, cfg), cfg, sort=sort)
 
 
 def extract_events(report: DataFrame, pings: DataFrame,
@@ -113,10 +156,7 @@ def extract_events(report: DataFrame, pings: DataFrame,
     top = top_encounters(report, cfg.top_n)
     targets = event_targets(top, cfg.half_window_minutes)
     tie = tuple(c for c in cfg.order_by if c != "ts")
-    points = event_track_points(
-        pings, targets, tie_break=tie, partition_days=partition_days,
-        broadcast_targets=2 * cfg.top_n <= BROADCAST_TARGETS_MAX,
-    )
+    points = event_track_points(pings, targets, tie_break=tie, partition_days=partition_days)
     complete = complete_events(points)
     return {
         "top": top,
@@ -141,7 +181,7 @@ def run_pipeline(spark: SparkSession, cfg: EncounterConfig = EncounterConfig(),
 
     With ``csv_path`` the CSV is ingested into ``lake_path`` (default inside
     ``workdir``) first, with the rejected rows in ``workdir/rejected`` unless
-    ``keep_rejected`` is off (which saves the second scan of the CSV);
+    ``keep_rejected`` is off (which saves writing the parsed rows down);
     ``start``/``end`` prune the lake to those days.
     """
     work = workdir or run_dir(spark, "stages")
@@ -161,7 +201,8 @@ def run_pipeline(spark: SparkSession, cfg: EncounterConfig = EncounterConfig(),
     # The prepared pings come hash-partitioned by vessel: written per day they
     # would make (tasks × days) small files, and the pair join reads all of them.
     prepared = materialize(prepare_pings(zone, cfg), f"{work}/prepared")
-    report = materialize(score_encounters(prepared, cfg), f"{work}/report")
-    out = {"zone": zone, "prepared": prepared, "report": report}
+    # A table has no order of its own, so the report is sorted when it is read.
+    report = materialize(score_encounters(prepared, cfg, sort=False), f"{work}/report")
+    out = {"zone": zone, "prepared": prepared, "report": report.orderBy(*report_order())}
     out.update(extract_events(report, zone, cfg, partition_days="group_key"))
     return out

@@ -2,30 +2,28 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir`` (set by the cluster;
-    tests set their own). Never a machine-local temp folder."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder named by ``spark.checkpoint.dir`` (set by the cluster).
+
+    Where it is unset, a session within one process (``local`` master, as in
+    tests) gets a folder of its own for its lifetime; any other must set it.
+    """
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set; stage outputs need a shared folder")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="nearmiss-"))
         d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        raise ValueError("spark.checkpoint.dir is not set; stage outputs need a shared folder")
     return d.rstrip("/")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Point ``SparkContext.checkpoint`` at ``spark.checkpoint.dir`` if not yet done."""
-    d = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
-    return d
-
-
 def run_dir(spark: SparkSession, name: str = "run") -> str:
     """A fresh sub-folder of the shared folder for one pipeline run."""
     return f"{shared_dir(spark)}/nearmiss-{name}-{uuid.uuid4().hex[:12]}"

@@ -2,11 +2,19 @@
 
 from nearmiss.sources.ais import (
     AIS_HEADERS,
+    accepted,
     normalize_pings,
+    parse_pings,
     read_pings_csv,
+    rejected,
     rejected_pings,
 )
-from nearmiss.sources.driver_tables import load_table, ping_view, raw_ping_text
+from nearmiss.sources.driver_tables import (
+    load_table,
+    odd_ping_view,
+    ping_view,
+    raw_ping_text,
+)
 from nearmiss.sources.lake import (
     LAKE_PARTITIONS,
     read_ping_lake,
@@ -17,14 +25,16 @@ from nearmiss.sources.lake import (
 from nearmiss.sources.reports import (
     REPORT_HEADERS,
     REPORT_SCHEMA,
+    from_report_layout,
     read_report,
     to_report_layout,
     write_report,
 )
 
 __all__ = [
-    "AIS_HEADERS", "LAKE_PARTITIONS", "REPORT_HEADERS", "REPORT_SCHEMA", "load_table",
-    "normalize_pings", "ping_view", "raw_ping_text", "read_ping_lake", "read_pings_csv",
-    "read_report", "rejected_pings", "to_report_layout", "with_calendar_parts", "with_source",
+    "AIS_HEADERS", "LAKE_PARTITIONS", "REPORT_HEADERS", "REPORT_SCHEMA", "accepted",
+    "from_report_layout", "load_table", "normalize_pings", "odd_ping_view", "parse_pings",
+    "ping_view", "raw_ping_text", "read_ping_lake", "read_pings_csv", "read_report", "rejected",
+    "rejected_pings", "to_report_layout", "with_calendar_parts", "with_source",
     "write_ping_lake", "write_report",
 ]

@@ -47,6 +47,20 @@ def ping_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(*[c.alias(n) for n, c in _ping_exprs().items()])
 
 
+def odd_ping_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ping_view`` with gaps: by the event id some names are null, blank or padded,
+    and some speeds and courses null."""
+    e, eid = _ping_exprs(), F.col("event_id")
+    odd = {
+        "name": F.when(eid % 3 == 0, F.lit(None)).when(eid % 3 == 1, F.lit("  "))
+        .when(eid % 5 == 0, F.concat(F.lit(" "), e["name"], F.lit(" "))).otherwise(e["name"]),
+        "sog": F.when(eid % 17 != 0, e["sog"]),
+        "cog": F.when(eid % 13 != 0, e["cog"]),
+    }
+    ev = load_table(spark, sf_dir, "events")
+    return ev.select(*[c.alias(n) for n, c in (e | odd).items()])
+
+
 def raw_ping_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ping view as raw AIS text (CSV-like, all strings), with a fixed share
     of rows spoiled so that the reject path has work: ids of events divisible

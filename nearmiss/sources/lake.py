@@ -28,10 +28,15 @@ def write_ping_lake(
     vessel: str = "vessel_id",
     ts: str = "ts",
     partitions: int | None = None,
-    dynamic_overwrite: bool = True,
+    replace_days=None,
 ) -> None:
     """Write pings as Parquet partitioned by ``Year/Month/Day``.
 
+    ``mode`` ``"overwrite"`` replaces the whole lake, ``"append"`` adds to it (a
+    drop with late pings of earlier days loses nothing). ``replace_days`` (dates)
+    replaces just those days that have rows in ``df``, whatever ``mode``, and
+    fails if ``df`` has a row of any other day.
+
     Rows are rebalanced on the day (Spark's ``rebalance`` hint): a hash
     exchange on the partition columns whose partitions AQE sizes at run time,
     splitting a busy day over several tasks and merging small days, so files
@@ -39,16 +44,18 @@ def write_ping_lake(
     (range partitioning would read a CSV input one more time). Each task sorts
     by (day, vessel, time), so every file covers a narrow vessel/time range and
     Parquet min/max statistics prune row groups for vessel or time filters.
-    ``dynamic_overwrite`` replaces only the days present in ``df``.
     """
     if "Year" not in df.columns:
         df = with_calendar_parts(df, ts=ts)
+    if replace_days is not None:
+        days = [F.lit(_as_date(d)) for d in replace_days]
+        named = F.coalesce(F.make_date("Year", "Month", "Day").isin(days), F.lit(False))
+        df = df.filter(F.assert_true(named, "a row of a day that is not to be replaced").isNull())
     hint = (partitions, *LAKE_PARTITIONS) if partitions else LAKE_PARTITIONS
     laid = df.hint("rebalance", *hint).sortWithinPartitions(*LAKE_PARTITIONS, vessel, ts)
-    writer = laid.write.mode(mode).partitionBy(*LAKE_PARTITIONS)
-    if dynamic_overwrite and mode == "overwrite":
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    writer = laid.write.mode("overwrite" if replace_days is not None else mode)
+    writer = writer.option("partitionOverwriteMode", "static" if replace_days is None else "dynamic")
+    writer.partitionBy(*LAKE_PARTITIONS).parquet(path)
 
 
 def _as_date(d) -> _dt.date | None:

@@ -24,7 +24,6 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.constraintPropagation.enabled", "false")
         .config("spark.local.dir", scratch)
         .getOrCreate()
     )

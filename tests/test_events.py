@@ -53,7 +53,7 @@ def _points(spark):
 
 def test_track_points_window_and_fills(spark):
     _, zone, targets = _points(spark)
-    pts = event_track_points(zone, targets, tie_break=("event_id",), broadcast_targets=True)
+    pts = event_track_points(zone, targets, tie_break=("event_id",))
     got = {(r.event_rank, r.ts): r for r in pts.collect()}
     assert sorted(k[1] for k in got if k[0] == 1) == [ts(-600), ts(-300), ts(0), ts(300), ts(600)]
     p = got[(1, ts(-300))]
@@ -81,11 +81,12 @@ def test_track_points_prune_days(spark, workdir):
     _, zone, targets = _points(spark)
     zone.write.partitionBy("group_key").parquet(f"{workdir}/zone")
     lake = spark.read.parquet(f"{workdir}/zone")
-    pts = event_track_points(lake, targets, tie_break=("event_id",), partition_days="group_key",
-                             broadcast_targets=True)
+    pts = event_track_points(lake, targets, tie_break=("event_id",), partition_days="group_key")
     assert pts.count() == 6
     plan = plan_text(pts)
     assert "dynamicpruning" in plan.lower()
+    # joined by size, never by a nested loop
+    assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
 
 
 def test_incident_summary(spark):
@@ -112,7 +113,7 @@ def test_track_points_prune_year_month_day_lake(spark, workdir):
     lake = read_ping_lake(spark, f"{workdir}/lake")
     plain = event_track_points(zone, targets, tie_break=("event_id",))
     pruned = event_track_points(lake, targets, tie_break=("event_id",),
-                                partition_days=("Year", "Month", "Day"), broadcast_targets=True)
+                                partition_days=("Year", "Month", "Day"))
     key = lambda d: sorted((r.event_rank, r.side, r.point_no, r.ts) for r in d.collect())
     assert key(pruned) == key(plain)
     assert "dynamicpruning" in plan_text(pruned).lower()

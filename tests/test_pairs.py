@@ -1,7 +1,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from nearmiss.functions import haversine_nm
 from nearmiss.operators import close_pairs, closest_per_pair, with_time_bucket
 from tests.conftest import plan_text, pings
 
@@ -12,6 +14,19 @@ def _keys(df):
     return sorted(tuple(r[c] for c in KEY) for r in df.collect())
 
 
+def brute(df, dmax, tolerance_s=None):
+    """All pairs of a (group, bucket), or of two pings at most ``tolerance_s`` apart."""
+    a = df.select(*[F.col(c).alias(f"{c}_a") for c in df.columns])
+    b = df.select(*[F.col(c).alias(f"{c}_b") for c in df.columns])
+    if tolerance_s is None:
+        when = (F.col("group_key_a") == F.col("group_key_b")) & (F.col("bucket_a") == F.col("bucket_b"))
+    else:
+        when = F.abs(F.col("epoch_a") - F.col("epoch_b")) <= tolerance_s
+    near = haversine_nm("lat_a", "lon_a", "lat_b", "lon_b") <= dmax
+    out = a.join(b, when & (F.col("vessel_id_a") < F.col("vessel_id_b")) & near)
+    return out.withColumnsRenamed({"group_key_a": "group_key", "bucket_a": "bucket"})
+
+
 def _bucketed(spark, rows, seconds=10):
     return with_time_bucket(pings(spark, rows), seconds)
 
@@ -22,10 +37,9 @@ def test_no_self_pair_and_string_order(spark):
         (2, "9", 3, 55.0001, 14.0, 5.0, 0.0),
         (3, "10", 5, 55.0002, 14.0, 5.0, 0.0),
     ])
-    for grid in (True, False):
-        out = close_pairs(df, 0.054, grid=grid).collect()
-        assert {(r.vessel_id_a, r.vessel_id_b) for r in out} == {("10", "9")}
-        assert len(out) == 2
+    out = close_pairs(df, 0.054).collect()
+    assert {(r.vessel_id_a, r.vessel_id_b) for r in out} == {("10", "9")}
+    assert len(out) == 2
 
 
 def test_bucket_edge_splits_pairs(spark):
@@ -52,9 +66,9 @@ def test_grid_equals_brute_force(spark, centre_lat, centre_lon, spread, dmax, ce
         lon = (lon + 180.0) % 360.0 - 180.0
         rows.append((i, f"v{rnd.randint(0, 60)}", rnd.randint(0, 29), lat, lon, 5.0, 0.0))
     df = _bucketed(spark, rows, 10)
-    brute = _keys(close_pairs(df, dmax, grid=False))
-    assert brute, "fixture must contain pairs"
-    assert _keys(close_pairs(df, dmax, grid=True, cell_factor=cell_factor)) == brute
+    want = _keys(brute(df, dmax))
+    assert want, "fixture must contain pairs"
+    assert _keys(close_pairs(df, dmax, cell_factor=cell_factor)) == want
 
 
 def test_grid_pair_over_cell_corner_found_once(spark):
@@ -63,8 +77,8 @@ def test_grid_pair_over_cell_corner_found_once(spark):
         (1, "a", 0, -0.0001, -0.0003, 5.0, 0.0), (2, "b", 1, 0.0002, 0.0003, 5.0, 0.0),
         (3, "c", 2, 0.0, 179.9999, 5.0, 0.0), (4, "d", 3, 0.0, -179.9999, 5.0, 0.0),
     ])
-    got = _keys(close_pairs(df, 0.054, grid=True))
-    assert got == _keys(close_pairs(df, 0.054, grid=False))
+    got = _keys(close_pairs(df, 0.054))
+    assert got == _keys(brute(df, 0.054))
     assert len(got) == 2
 
 
@@ -98,28 +112,31 @@ def test_pair_join_is_a_shuffle_join(spark):
 
 @pytest.mark.parametrize("tol", [1, 5, 30])
 def test_time_tolerance_equals_brute_force(spark, tol):
-    from pyspark.sql import functions as F
-
     rnd = random.Random(tol)
-    rows = [(i, f"v{rnd.randint(0, 25)}", rnd.randint(0, 120), 55.0 + rnd.uniform(0, 0.002),
+    midnight = 79200  # seconds from the fixture's time to the next day
+    rows = [(i, f"v{rnd.randint(0, 25)}", midnight + rnd.randint(-60, 60), 55.0 + rnd.uniform(0, 0.002),
              14.0 + rnd.uniform(0, 0.003), 5.0, 0.0) for i in range(300)]
     df = _bucketed(spark, rows)
-    a = df.select(*[F.col(c).alias(f"{c}_a") for c in df.columns])
-    b = df.select(*[F.col(c).alias(f"{c}_b") for c in df.columns])
-    from nearmiss.functions import haversine_nm
-    brute = a.join(b, (F.col("group_key_a") == F.col("group_key_b"))
-                   & (F.col("vessel_id_a") < F.col("vessel_id_b"))
-                   & (F.abs(F.col("epoch_a") - F.col("epoch_b")) <= tol)
-                   & (haversine_nm("lat_a", "lon_a", "lat_b", "lon_b") <= 0.054))
-    want = sorted((r.event_id_a, r.event_id_b) for r in brute.collect())
-    assert want
-    for grid in (True, False):
-        got = close_pairs(df, 0.054, tolerance_s=tol, grid=grid).collect()
-        assert sorted((r.event_id_a, r.event_id_b) for r in got) == want
+    found = brute(df, 0.054, tol).collect()
+    want = sorted((r.event_id_a, r.event_id_b) for r in found)
+    assert any(r.group_key != r.group_key_b for r in found)
+    got = close_pairs(df, 0.054, tolerance_s=tol).collect()
+    assert sorted((r.event_id_a, r.event_id_b) for r in got) == want
+    assert {(r.event_id_a, r.group_key) for r in got} == {(r.event_id_a, r.group_key) for r in found}
     # one second apart across a bucket edge: missed by buckets, found by tolerance
     edge = _bucketed(spark, [(1, "a", 9, 55.0, 14.0, 5.0, 0.0), (2, "b", 10, 55.0, 14.0, 5.0, 0.0)])
     assert close_pairs(edge, 0.054).count() == 0
     assert close_pairs(edge, 0.054, tolerance_s=tol).count() == 1
+    # a group that isn't a date parts pings in this mode too
+    filed = df.withColumn("group_key", F.concat(F.lit("file"), F.col("event_id") % 2))
+    pairs = close_pairs(filed, 0.054, tolerance_s=tol).collect()
+    assert sorted((r.event_id_a, r.event_id_b) for r in pairs) == [
+        (x, y) for x, y in want if x % 2 == y % 2]
+
+
+def test_one_second_over_midnight(spark):
+    df = _bucketed(spark, [(1, "a", 79199, 55.0, 14.0, 5.0, 0.0), (2, "b", 79200, 55.0, 14.0, 5.0, 0.0)])
+    assert [r.group_key.day for r in close_pairs(df, 0.054, tolerance_s=5).collect()] == [13]
 
 
 def test_hot_cell_is_split_by_aqe(spark):
@@ -146,6 +163,5 @@ def test_hot_cell_is_split_by_aqe(spark):
         for k in keys:
             spark.conf.unset(k)
     assert "isFinalPlan=true" in final and "skew" in final.lower()
-    assert got == sorted((r.event_id_a, r.event_id_b)
-                         for r in close_pairs(df, 0.054, grid=False).collect())
+    assert got == sorted((r.event_id_a, r.event_id_b) for r in brute(df, 0.054).collect())
     assert len(got) > 20000

@@ -1,10 +1,19 @@
 import datetime as dt
 
+import pytest
+from pyspark.sql import functions as F
+
+from nearmiss.operators import event_targets, top_encounters
+from nearmiss.plans import ingest, ingest_new_files, materialize
 from nearmiss.sources import (
+    accepted,
+    from_report_layout,
     normalize_pings,
+    parse_pings,
     read_ping_lake,
     read_pings_csv,
     read_report,
+    rejected,
     rejected_pings,
     with_source,
     write_ping_lake,
@@ -57,11 +66,95 @@ def test_csv_to_lake_roundtrip_and_pruning(spark, workdir):
     assert all(r.source_file.endswith(".parquet") for r in src)
 
 
-def test_lake_dynamic_overwrite_keeps_other_days(spark, workdir):
-    p = pings(spark, [(1, "a", 0, 55.0, 14.0, 5.0, 0.0), (2, "a", 86400, 55.0, 14.0, 5.0, 0.0)])
-    write_ping_lake(p, f"{workdir}/lake")
-    write_ping_lake(p.filter("event_id = 2"), f"{workdir}/lake")
+def _events_of(spark, path):
+    return sorted(r.event_id for r in read_ping_lake(spark, path).collect())
+
+
+def test_lake_modes(spark, workdir):
+    p = pings(spark, [(1, "a", 0, 55.0, 14.0, 5.0, 0.0), (2, "a", 86400, 55.0, 14.0, 5.0, 0.0),
+                      (3, "b", 10, 55.0, 14.0, 5.0, 0.0)])
+    lake = f"{workdir}/lake"
+    write_ping_lake(p.filter("event_id < 3"), lake)
+    write_ping_lake(p.filter("event_id = 3"), lake, "append")  # a late ping of a stored day
+    assert _events_of(spark, lake) == [1, 2, 3]
+    write_ping_lake(p.filter("event_id = 1"), lake, replace_days=["2021-12-13"])
+    assert _events_of(spark, lake) == [1, 2]
+    with pytest.raises(Exception, match="not to be replaced"):
+        write_ping_lake(p, lake, replace_days=["2021-12-13"])
+    write_ping_lake(p.filter("event_id = 3"), lake)
+    assert _events_of(spark, lake) == [3]
+
+
+def _drop(spark, path, rows, header="Timestamp,MMSI,Latitude,Longitude,SOG,COG,Name"):
+    text = spark.createDataFrame([(",".join(r),) for r in rows], [header])
+    text.coalesce(1).write.mode("append").option("header", "true").option("sep", "\u0001").csv(path)
+
+
+ROW = ("13/12/2021 02:27:29", "219", "55.2", "14.2", "10.3", "35.5", "A")
+
+
+def test_two_drops_lose_nothing(spark, workdir):
+    rows = [("13/12/2021 02:%02d:00" % m, *ROW[1:]) for m in range(20)]
+    _drop(spark, f"{workdir}/one", [*rows, ("x", *ROW[1:])])
+    _drop(spark, f"{workdir}/two", [("13/12/2021 01:00:00", *ROW[1:]), ("14/12/2021 01:00:00", *ROW[1:]),
+                                    (ROW[0], "", *ROW[2:])])
+    for drop in ("one", "two"):
+        ingest(spark, f"{workdir}/{drop}", f"{workdir}/lake", rejected_path=f"{workdir}/bad")
+    assert read_ping_lake(spark, f"{workdir}/lake").count() == 22
+    assert sorted(r.reject_reason for r in spark.read.parquet(f"{workdir}/bad").collect()) == [
+        "bad_time", "missing_vessel_id"]
+    ingest(spark, f"{workdir}/two", f"{workdir}/lake", rejected_path=f"{workdir}/bad", mode="overwrite")
     assert read_ping_lake(spark, f"{workdir}/lake").count() == 2
+    assert spark.read.parquet(f"{workdir}/bad").count() == 1
+
+
+def test_new_files_are_ingested_once(spark, workdir):
+    csv, lake, done = f"{workdir}/csv", f"{workdir}/lake", f"{workdir}/done"
+    _drop(spark, csv, [ROW])
+    assert len(ingest_new_files(spark, csv, lake, done)) == 1
+    assert ingest_new_files(spark, csv, lake, done) == []
+    _drop(spark, csv, [("14/12/2021 00:00:01", "220", *ROW[2:])])
+    assert len(ingest_new_files(spark, csv, lake, done)) == 1
+    got = sorted((r.Day, r.vessel_id) for r in read_ping_lake(spark, lake).collect())
+    assert got == [(13, "219"), (14, "220")]
+
+
+def test_csv_columns_by_name_and_malformed_rows(spark, workdir):
+    _drop(spark, workdir, [ROW, ROW[:5], (*ROW, "more"), ("bad", *ROW[1:])])
+    swapped = "MMSI,Timestamp,Longitude,Latitude,Name,Extra"
+    _drop(spark, workdir, [("220", ROW[0], "14.2", "55.2", "B", "e")], swapped)
+    raw = read_pings_csv(spark, workdir)
+    good = {r.name: r for r in normalize_pings(raw).collect()}
+    assert {(r.lat, r.lon) for r in good.values()} == {(55.2, 14.2)} and set(good) == {"A", "B"}
+    assert good["B"].sog is None and good["B"].Extra == "e"
+    assert "corrupt_record" not in normalize_pings(raw).columns
+    bad = rejected_pings(raw).collect()
+    assert sorted(r.reject_reason for r in bad) == ["bad_time", "malformed_row", "malformed_row"]
+    assert sum(r.corrupt_record is not None for r in bad) == 2
+    wanted = read_pings_csv(spark, workdir, "MMSI string, Latitude string, Nothing int")
+    assert wanted.columns == ["MMSI", "Latitude", "Nothing", "corrupt_record"]
+
+
+def test_ingest_parses_the_csv_once(spark, workdir):
+    """Both outputs read the parsed rows that were written down."""
+    _drop(spark, f"{workdir}/csv", [ROW, ("x", *ROW[1:])])
+    raw = read_pings_csv(spark, f"{workdir}/csv")
+    assert plan_text(raw, "simple").count("FileScan csv") == 1
+    parsed = materialize(parse_pings(raw), f"{workdir}/parsed")
+    for out in (accepted(parsed), rejected(parsed, raw.columns)):
+        assert "Scan csv" not in plan_text(out) and out.count() == 1
+
+
+def test_report_feeds_the_event_stage(spark, workdir):
+    import __spark_entry__ as E
+
+    rep = E._report(spark, "/root/testdata/sf0.001", E.FLAGSHIP_CFG, sort=True)
+    write_report(rep, f"{workdir}/report")
+    back = from_report_layout(read_report(spark, f"{workdir}/report"))
+    key = lambda df: [(r.event_rank, r.vessel_a, r.vessel_b, r.ts_a) for r in df.orderBy("event_rank").collect()]
+    assert key(top_encounters(back, 20)) == key(top_encounters(rep, 20))
+    spoiled = from_report_layout(read_report(spark, f"{workdir}/report").withColumn("TS_A", F.lit("?")))
+    assert event_targets(top_encounters(spoiled, 20)).count() == 0
 
 
 def test_report_csv_roundtrip(spark, workdir):
@@ -96,7 +189,7 @@ def test_report_parts_in_name_order_are_report_order(spark, workdir):
 
     import __spark_entry__ as E
 
-    rep = E._report(spark, "/root/testdata/sf0.001", E.FLAGSHIP_CFG)
+    rep = E._report(spark, "/root/testdata/sf0.001", E.FLAGSHIP_CFG, sort=True)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         write_report(rep, f"{workdir}/report")

@@ -30,7 +30,34 @@ def test_run_pipeline_from_lake_equals_lazy_chain(spark, workdir):
     from tests.conftest import plan_text
     rplan = plan_text(out["report"])
     assert "Scan parquet" in rplan and "/run/report" in rplan
-    assert "Window" not in rplan and "Join" not in rplan and "Exchange" not in rplan
+    assert "Window" not in rplan and "Join" not in rplan and rplan.count("Exchange rangepartitioning") <= 1
+    assert "Exchange" not in plan_text(out["zone"]) and "rangepartitioning" not in plan_text(out["summary"])
+
+
+def test_report_of_a_run_is_in_order(spark, workdir):
+    """However many files the report is written to."""
+    from nearmiss.sources import write_ping_lake
+
+    write_ping_lake(ping_view(spark, SF), f"{workdir}/lake")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = run_pipeline(spark, CFG, lake_path=f"{workdir}/lake", workdir=f"{workdir}/run")
+        rows = out["report"].collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    keys = [(-r.danger_score, r.distance_nm, r.vessel_a, r.vessel_b, r.ts_a, r.ts_b) for r in rows]
+    assert keys == sorted(keys) and len(spark.read.parquet(f"{workdir}/run/report").inputFiles()) > 1
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(spark, monkeypatch):
+    import pytest
+
+    from nearmiss.plans import shared_dir
+
+    context = type("Context", (), {"master": "spark://host:7077", "getCheckpointDir": lambda self: None})()
+    session = type("Session", (), {"conf": type("Conf", (), {"get": lambda self, *a: None})(), "sparkContext": context})()
+    with pytest.raises(ValueError, match="shared folder"):
+        shared_dir(session)
 
 
 def test_group_by_source_file(spark, workdir):
