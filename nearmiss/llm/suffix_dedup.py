@@ -39,6 +39,8 @@ SIDE = BEFORE // 2
 PLACE_BITS = 26
 PIECE = 1 << 24
 SLICE = 2 << 20
+#: Anchors that a task gathers before it deals them out.
+GATHERED = 1 << 20
 
 ANCHOR = np.dtype([("key", "<u8"), ("text", "<i8"), ("at", "<u4")])
 FOUND = np.dtype([("text", "<i8"), ("key", "<u8"), ("at", "<u4"), ("frequent", "u1")])
@@ -131,13 +133,23 @@ def anchor_rows(documents: DataFrame, buckets: int) -> DataFrame:
     """Anchors of all distinct texts, dealt by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def deal() -> pa.RecordBatch:
+            rows = np.concatenate(held)
+            held.clear()
+            return arrow_batch(dealt(rows, bucket_of(rows["key"].copy(), buckets)), PACKED_TYPES)
+
         for texts in distinct_texts(batches):
             number, place, key = anchors(texts)
-            if len(key):
-                rows = np.zeros(len(key), dtype=ANCHOR)
-                rows["key"], rows["at"] = key, place
-                rows["text"] = np.array([text_id(t) for t in texts], dtype=np.int64)[number]
-                yield arrow_batch(dealt(rows, bucket_of(key, buckets)), PACKED_TYPES)
+            rows = np.zeros(len(key), dtype=ANCHOR)
+            rows["key"], rows["at"] = key, place
+            rows["text"] = np.array([text_id(t) for t in texts], dtype=np.int64)[number]
+            held.append(rows)
+            if sum(map(len, held)) >= GATHERED:
+                yield deal()
+        if sum(map(len, held)):
+            yield deal()
 
     return documents.select("text").mapInArrow(run, PACKED)
 
