@@ -39,6 +39,8 @@ SIDE = BEFORE // 2
 PLACE_BITS = 26
 PIECE = 1 << 24
 SLICE = 2 << 20
+#: Fills the place of bytes beyond a text; no UTF-8 text has it.
+NO_BYTE = b"\xff"
 #: Anchors that a task gathers before it deals them out.
 GATHERED = 1 << 20
 
@@ -208,7 +210,7 @@ def context_rows(found: DataFrame, texts: DataFrame, buckets: int) -> DataFrame:
         starts = np.flatnonzero(np.r_[True, rows["text"][1:] != rows["text"][:-1]])
         for a, b in zip(starts.tolist(), np.r_[starts[1:], len(rows)].tolist()):
             body = known[int(rows["text"][a])]
-            padded = np.frombuffer(b"\0" * BEFORE + body + b"\0" * WINDOW, dtype=np.uint8)
+            padded = np.frombuffer(NO_BYTE * BEFORE + body + NO_BYTE * WINDOW, dtype=np.uint8)
             at = rows["at"][a:b].astype(np.int64)
             out["bytes"][a:b] = padded[at[:, None] + np.arange(BEFORE + WINDOW)]
             out["before"][a:b] = np.minimum(at, BEFORE)
@@ -263,53 +265,90 @@ def longest_repeats(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ahead[order[same]] = rows["after"][order[same]]
     # the others meet all different surroundings of their hash
     groups = np.flatnonzero(new_key[firsts])
-    for a, b in zip(groups.tolist(), np.r_[groups[1:], len(firsts)].tolist()):
-        if b - a > 1 and (copies[a:b] == 1).any():
+    sizes = np.diff(np.r_[groups, len(firsts)])
+    pairs = groups[sizes == 2]
+    if len(pairs):  # two members need one comparison
+        one, two = order[firsts[pairs]], order[firsts[pairs + 1]]
+        x, y = shared_around(rows[one], rows[two])
+        found = x + y >= WINDOW
+        for i in (one[found], two[found]):
+            back[i], ahead[i] = np.maximum(back[i], x[found]), np.maximum(ahead[i], y[found])
+    for a, b in zip(groups[sizes > 2].tolist(), (groups + sizes)[sizes > 2].tolist()):
+        if (copies[a:b] == 1).any():
             members = order[firsts[a:b]]
-            for i, x, y in side_repeats(rows[members], copies[a:b] == 1):
-                back[members[i]], ahead[members[i]] = x, y
+            x, y = group_repeats(rows[members])
+            better = (x >= 0) & (copies[a:b] == 1)
+            back[members[better]], ahead[members[better]] = x[better], y[better]
     return back, ahead
 
 
-def side_repeats(rows: np.ndarray, wanted: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(member, bytes back, bytes ahead) of the wanted members that share a window with another.
+def sides(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes before the anchors, backwards, and those from them on. What lies beyond a
+    text is filled with a byte that UTF-8 never has, so it only equals the like."""
+    return np.ascontiguousarray(rows["bytes"][:, :BEFORE][:, ::-1]), np.ascontiguousarray(rows["bytes"][:, BEFORE:])
 
-    Members that share one agree on SIDE bytes before the anchor or on SIDE bytes behind
-    its gram, so only those next to each other in one of the two sorted orders are compared.
+
+def shared_around(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes before and from the anchor on that the members of pairs share."""
+    (left, right), (other_left, other_right) = sides(one), sides(two)
+    back = np.minimum(common_length(left, other_left), np.minimum(one["before"], two["before"]))
+    ahead = np.minimum(common_length(right, other_right), np.minimum(one["after"], two["after"]))
+    return back.astype(np.int64), ahead.astype(np.int64)
+
+
+def group_repeats(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``longest_repeats`` for members of one hash with different surroundings.
+
+    The sorted order of the bytes ahead is a tree: each run of members that share so many
+    bytes, the longest such runs first. Within a run, the member that shares most bytes
+    before the anchor stands next in the sorted order of the bytes before.
     """
-    left = np.ascontiguousarray(rows["bytes"][:, :BEFORE][:, ::-1])
-    right = np.ascontiguousarray(rows["bytes"][:, BEFORE:])
+    left, right = sides(rows)
     before, after = rows["before"].astype(np.int64), rows["after"].astype(np.int64)
-    best_back, best_ahead = np.full(len(rows), -1), np.full(len(rows), -1)
-    for near, far, near_limit, far_limit, least in (
-        (right, left, after, before, GRAM + SIDE),
-        (left, right, before, after, SIDE),
-    ):
-        order, prefix = sort_with_prefixes(near)
-        runs = np.flatnonzero(np.r_[True, prefix[1:] < least])
-        for a, b in zip(runs.tolist(), np.r_[runs[1:], len(order)].tolist()):
-            if b - a < 2:
-                continue
-            members = order[a:b]
-            for k in np.flatnonzero(wanted[members]).tolist():
-                i = members[k]
-                # the common prefix with others falls off to both sides of the sorted order
-                shared = np.empty(b - a, dtype=np.int64)
-                shared[k] = -1
-                shared[k + 1 :] = np.minimum.accumulate(prefix[a + k + 1 : b])
-                shared[:k] = np.minimum.accumulate(prefix[a + 1 : a + k + 1][::-1])[::-1]
-                shared = np.minimum(shared, np.minimum(near_limit[members], near_limit[i]))
-                other = common_length(far[members], np.broadcast_to(far[i], (b - a, far.shape[1])))
-                other = np.minimum(other, np.minimum(far_limit[members], far_limit[i]))
-                fits = shared + other >= WINDOW
-                fits[k] = False
-                if fits.any():
-                    x, y = int(shared[fits].max()), int(other[fits].max())
-                    if near is left:
-                        x, y = y, x
-                    best_ahead[i], best_back[i] = max(best_ahead[i], x), max(best_back[i], y)
-    for i in np.flatnonzero(best_back >= 0):
-        yield int(i), int(best_back[i]), int(best_ahead[i])
+    rank = np.empty(len(rows), dtype=np.int64)
+    rank[sort_with_prefixes(left)[0]] = np.arange(len(rows))
+    order, prefix = sort_with_prefixes(right)
+    back, ahead = np.full(len(rows), -1, dtype=np.int64), np.full(len(rows), -1, dtype=np.int64)
+    for a, b, shared in runs_of(prefix):
+        if shared < WINDOW - BEFORE:
+            continue
+        members = order[a:b]
+        members = members[np.argsort(rank[members])]
+        near = common_length(left[members[1:]], left[members[:-1]])
+        x = np.minimum(np.maximum(np.r_[near, 0], np.r_[0, near]), before[members])
+        y = np.minimum(shared, after[members])
+        found = x + y >= WINDOW
+        members, x, y = members[found], x[found], y[found]
+        back[members], ahead[members] = np.maximum(back[members], x), np.maximum(ahead[members], y)
+    return back, ahead
+
+
+def runs_of(prefix: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(from, to, bytes) of every longest run in a sorted order whose members share so many
+    leading bytes, with two members or more; ``prefix`` as ``sort_with_prefixes`` gives it."""
+    open_runs: list[tuple[int, int]] = []  # (bytes, from)
+    for i, shared in enumerate([*prefix.tolist()[1:], -1], start=1):
+        start = i - 1
+        while open_runs and open_runs[-1][0] > shared:
+            n, start = open_runs.pop()
+            yield start, i, n
+        if shared >= 0 and (not open_runs or open_runs[-1][0] < shared):
+            open_runs.append((shared, start))
+
+
+def whole_ranges(rows: DataFrame, buckets: int) -> DataFrame:
+    """The whole of every text that several rows have, as a range dealt by text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = np.zeros(batch.num_rows, dtype=RANGE)
+            out["text"], out["end"] = batch.column("text").to_numpy(), batch.column("n_bytes").to_numpy()
+            yield arrow_batch(dealt(out, bucket_of(out["text"].copy(), buckets)), PACKED_TYPES)
+
+    repeated = rows.filter(F.col("n_bytes") >= WINDOW).groupBy("text").agg(
+        F.count("*").alias("copies"), F.max("n_bytes").alias("n_bytes")
+    )
+    return repeated.filter("copies > 1").select("text", "n_bytes").mapInArrow(run, PACKED)
 
 
 def cut_texts(ranges: DataFrame, texts: DataFrame, with_text: bool, whole_characters: bool) -> DataFrame:
@@ -386,17 +425,8 @@ def remove_repeats(
     found = repeated_anchors(anchor_rows(texts, buckets), buckets)
     contexts = context_rows(found, text_rows(texts, buckets), buckets)
     ranges = repeated_ranges(contexts, buckets)
+    ranges = ranges.unionAll(whole_ranges(rows, buckets))
     done = cut_texts(ranges, text_rows(texts, buckets), with_text, whole_characters)
-    copies = rows.groupBy("text").agg(F.count("*").alias("copies"))
-    joined = rows.join(done, "text").join(copies, "text")
-    gone = (F.col("copies") > 1) & (F.col("n_bytes") >= WINDOW)
-    nothing = hashlib.sha256(b"").hexdigest()
-    out = [
-        "doc_id", "n_bytes", F.when(gone, F.col("n_bytes")).otherwise(F.col("n_removed")).alias("n_removed"),
-        F.when(gone, F.lit(1)).otherwise(F.col("n_spans")).cast("long").alias("n_spans"),
-        F.when(gone, F.lit(nothing)).otherwise(F.col("kept_sha256")).alias("kept_sha256"),
-    ]
-    if with_text:
-        out.append(F.when(gone, F.lit(b"")).otherwise(F.col("kept")).alias("kept"))
-    return joined.select(*out, *(f"_carry_{c}" for c in carry))
+    out = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_text]
+    return rows.join(done, "text").select(*out, *(f"_carry_{c}" for c in carry))
 

@@ -31,6 +31,20 @@ def test_blind_trie_alone(strings):
     assert [strings[i] for i in order] == sorted(strings)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=12))
+def test_runs_of_a_sorted_order(shared):
+    prefix = np.array([0, *shared])
+    want = set()
+    for a in range(len(prefix)):
+        for b in range(a + 2, len(prefix) + 1):
+            n = min(prefix[a + 1 : b])
+            if (a == 0 or prefix[a] < n) and (b == len(prefix) or prefix[b] < n):
+                want.add((a, b, int(n)))
+    found = list(s.runs_of(prefix))
+    assert set(found) == want and len(found) == len(want)
+
+
 def brute(texts):
     encoded = [(t or "").encode() for t in texts]
     seen = Counter(e[i : i + s.WINDOW] for e in encoded for i in range(len(e) - s.WINDOW + 1))
