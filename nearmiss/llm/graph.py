@@ -18,15 +18,19 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     """
     high, low = F.greatest(left, right), F.least(left, right)
     edges = cut(edges.dropna().select(high.alias("high"), low.alias("low")).filter("high != low").distinct())
+    if edges.isEmpty():
+        return edges.toDF("node", "component")
     state = None
     while True:
         around = edges.select(F.col("high").alias("node"), F.col("low").alias("other")).unionAll(
             edges.select(F.col("low").alias("node"), F.col("high").alias("other"))
         )
         least = around.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("least", "node").alias("least"))
-        larger = around.filter("other > node").join(least, "node").select(F.col("other").alias("high"), F.col("least").alias("low"))
-        larger = larger.distinct()
-        least = larger.groupBy("high").agg(F.min("low").alias("least"))
+        # written down, the least neighbours are a table of their own in the join, so that Spark
+        # can split the rows of a node with very many neighbours over tasks
+        larger = around.filter("other > node").join(cut(least), "node").select(F.col("other").alias("high"), F.col("least").alias("low"))
+        larger = cut(larger.distinct())
+        least = cut(larger.groupBy("high").agg(F.min("low").alias("least")))
         smaller = larger.join(least, "high").filter("low != least").select(F.col("low").alias("high"), F.col("least").alias("low"))
         edges = cut(smaller.unionAll(least.select("high", F.col("least").alias("low"))).distinct())
         # xor and sum of hashes stand for the set of edges

@@ -37,6 +37,8 @@ ORDERS = 3
 PAIRED = 16
 #: Sets of a block.
 BLOCK = 1024
+#: Tokens that a task gathers before it deals them out.
+GATHERED = 1 << 20
 #: Words that a worker remembers the hash of before it starts anew.
 REMEMBERED = 400_000
 
@@ -131,19 +133,28 @@ def token_rows(documents: DataFrame, width: int, percent: int, id_col: str, text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = {"bucket": pa.int32(), "packed": pa.binary()}
         shingler, seen = Shingler(width), set()
+        tokens: list[np.ndarray] = []
+        owners: list[np.ndarray] = []
+
+        def deal() -> pa.RecordBatch:
+            t = np.concatenate(tokens)
+            rows = np.stack([t, np.concatenate(owners).view(np.uint64)], axis=1)
+            tokens.clear()
+            owners.clear()
+            return arrow_batch(dealt(rows, mix64(t) % np.uint64(buckets)), types)
+
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for lo, hi in text_slices(texts):
-                tokens, owners = [], []
                 for s in shingler.sets(texts[lo:hi]):
                     if len(s) and (own := set_id(s)) not in seen:
                         seen.add(own)
                         tokens.append(emitted(s, percent)[0])
                         owners.append(np.full(len(tokens[-1]), own, dtype=np.int64))
-                if tokens:
-                    t = np.concatenate(tokens)
-                    rows = np.stack([t, np.concatenate(owners).view(np.uint64)], axis=1)
-                    yield arrow_batch(dealt(rows, mix64(t) % np.uint64(buckets)), types)
+                if sum(map(len, tokens)) >= GATHERED:
+                    yield deal()
+        if tokens:
+            yield deal()
 
     return slim(documents, id_col, text_col).mapInArrow(run, "bucket int, packed binary")
 
@@ -330,7 +341,7 @@ def block_links(candidates: DataFrame, prefix: DataFrame, sets: DataFrame, perce
     Sets connected by such tokens are a family, cut into blocks; each pair of blocks of a
     family is one task.
     """
-    least = prefix.groupBy("token").agg(F.min("set_id").alias("least"))
+    least = cut(prefix.groupBy("token").agg(F.min("set_id").alias("least")))
     star = prefix.join(least, "token").select("set_id", "least").distinct()
     families = components(star, "set_id", "least")
     heads = families.select(F.col("component").alias("node"), "component").distinct()
@@ -385,7 +396,9 @@ def near_duplicates(
     shared = shared_tokens(token_rows(documents, width, percent, id_col, text_col, buckets), fewer)
     candidates = cut(prefixes(shared, sets.select("set_id", "n", "counted"), percent, fewer))
     prefix = candidates.select("set_id", "n", F.explode("order0").alias("token"))
-    counts = prefix.groupBy("token").agg(F.count("*").alias("sharing")).filter("sharing > 1")
+    # tables that are joined back to what they sum up are written down first: then Spark can
+    # split the rows of a hot key
+    counts = cut(prefix.groupBy("token").agg(F.count("*").alias("sharing")).filter("sharing > 1"))
     prefix = cut(prefix.join(counts, "token"))
     # only sets that share a prefix token with another one are looked at again
     meeting = prefix.select("set_id").distinct().join(sets.select("set_id", "doc_id"), "set_id")
