@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -10,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from nearmiss.plans import shared_dir
+
 #: Text bytes that one step of a numpy kernel works on at a time.
 SLICE_BYTES = 4 << 20
 
@@ -20,18 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session.
-
-    ``spark.checkpoint.dir`` names it on a cluster. Only where nothing is set, as in
-    local tests, a folder of this machine is set for the session.
-    """
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return configured or current.get()
-    folder = configured or tempfile.mkdtemp(prefix="checkpoint-")
-    sc.setCheckpointDir(folder)
+    """The shared folder of the session (``nearmiss.plans.shared_dir``), set for checkpoints."""
+    folder = shared_dir(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
@@ -49,7 +42,7 @@ def put_file(spark: SparkSession, data: bytes, stem: str) -> str:
     """
     sc = spark.sparkContext
     name = f"{stem}-{uuid.uuid4().hex}"
-    path = sc._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/files/{name}")
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/files/{name}")
     out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
     try:
         for at in range(0, len(data), 1 << 20):

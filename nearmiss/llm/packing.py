@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from nearmiss.llm.common import arrow_batch, cut, text_slices
 
-#: Groups that the pieces of one length are numbered in, so that a frequent length is no hot key.
-SHARDS = 64
+#: Pieces for each group that those of one length are numbered in, so that a frequent length
+#: is no hot key, and the least and the most such groups.
+SHARD_PIECES, SHARDS = 1_000_000, (16, 1 << 14)
 
 PIECE_TYPES = {
     "doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(),
@@ -196,7 +197,9 @@ def pack(pieces: DataFrame, size: int) -> DataFrame:
     runs sent back is bounded by ``size`` as well (one pattern uses up a length).
     """
     spark = pieces.sparkSession
-    pieces = cut(pieces.withColumn("_shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SHARDS)).cast("int")))
+    pieces = cut(pieces)
+    shards = min(max(pieces.count() // SHARD_PIECES, SHARDS[0]), SHARDS[1])
+    pieces = pieces.withColumn("_shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)).cast("int"))
     groups = cut(pieces.groupBy("length", "_shard").agg(F.count("*").alias("_n")))
     counts = np.zeros(size + 1, dtype=np.int64)
     for length, n in groups.groupBy("length").agg(F.sum("_n")).collect():
