@@ -19,10 +19,8 @@ from pyspark.sql import functions as F
 
 from nearmiss.llm.common import arrow_batch, mix64, segments, text_slices
 
-#: Labelled documents the model is fitted on, the first by a hash of the id for each language.
-TRAINING_DOCUMENTS = 400
-#: Bytes of those documents that become training texts: passages over the whole of a document.
-PASSAGES, PASSAGE_BYTES = 12, 400
+#: Labelled documents the model is fitted on, of each language the first by a hash of the id.
+TRAINING_DOCUMENTS = 1000
 BUCKETS, WIDTH = 1 << 15, 16
 GRAMS = (2, 3, 4)
 UNKNOWN = "und"
@@ -66,14 +64,14 @@ def buckets(encoded: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out, lengths
 
 
-def train(texts: list[bytes], languages: list[str], *, epochs: int = 4, rate: float = 0.4, seed: int = 7) -> LanguageModel:
-    """Trains on texts of known language; every fifth is kept out for the calibration."""
+def train(bags: list[tuple], languages: list[str], *, epochs: int = 5, rate: float = 1.0, seed: int = 7) -> LanguageModel:
+    """Trains on the bags of texts of known language; every fifth is kept out for the calibration."""
     names = sorted(set(languages))
     y = np.array([names.index(x) for x in languages])
     rng = np.random.default_rng(seed)
-    grams = [buckets([t])[0].ravel() for t in texts]
-    out = np.arange(len(texts)) % 5 == 4
-    if len(texts) < 20:
+    grams, shares = zip(*bags)
+    out = np.arange(len(bags)) % 5 == 4
+    if len(bags) < 20:
         out[:] = False
     embed = rng.uniform(-1, 1, (BUCKETS, WIDTH)) / WIDTH
     layer, bias = np.zeros((WIDTH, len(names))), np.zeros(len(names))
@@ -81,8 +79,8 @@ def train(texts: list[bytes], languages: list[str], *, epochs: int = 4, rate: fl
     steps, step = epochs * len(learn), 0
     for _ in range(epochs):
         for i in rng.permutation(learn):
-            g = grams[i]
-            hidden = embed[g].mean(axis=0)
+            g, share = grams[i], shares[i]
+            hidden = share @ embed[g]
             z = hidden @ layer + bias
             p = np.exp(z - z.max())
             p /= p.sum()
@@ -91,12 +89,12 @@ def train(texts: list[bytes], languages: list[str], *, epochs: int = 4, rate: fl
             back = layer @ p
             layer -= now * np.outer(hidden, p)
             bias -= now * p
-            np.subtract.at(embed, g, now * back / len(g) * 20)
+            embed[g] -= now * 20 * share[:, None] * back
             step += 1
     embed[0] = 0
     table = embed @ layer
     kept_out = np.flatnonzero(out) if out.any() else learn
-    z = np.stack([table[grams[i]].sum(axis=0) / np.count_nonzero(grams[i]) for i in kept_out]) + bias
+    z = np.stack([shares[i] @ table[grams[i]] for i in kept_out]) + bias
     best, temperature = np.inf, 1.0
     for t in np.exp(np.linspace(-3, 3, 61)):
         s = z / t
@@ -113,6 +111,13 @@ def train(texts: list[bytes], languages: list[str], *, epochs: int = 4, rate: fl
     return LanguageModel(names, table, bias, temperature, min(threshold, 0.5))
 
 
+def bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The different buckets of a text's n-grams, and the share of n-grams in each."""
+    own = buckets([text])[0].ravel()
+    found, counts = np.unique(own[own > 0], return_counts=True)
+    return found, counts / max(counts.sum(), 1)
+
+
 def softmax(z: np.ndarray) -> np.ndarray:
     p = np.exp(z - z.max(axis=1, keepdims=True))
     return p / p.sum(axis=1, keepdims=True)
@@ -141,8 +146,9 @@ def predict(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], n
 def train_languages(
     documents: DataFrame, *, id_col="doc_id", text_col="text", lang_col="lang", n_documents: int = TRAINING_DOCUMENTS
 ) -> LanguageModel:
-    """The model fitted on labelled documents: of each language the first ``n_documents`` by a
-    hash of the id, and of each the passages that ``passages`` takes."""
+    """The model fitted on labelled documents, whole: of each language the first ``n_documents``
+    by a hash of the id. The driver gets their bags, each of at most BUCKETS numbers however
+    long the text is."""
     learnable = documents.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
         F.col(lang_col).cast("string").alias("lang"),
@@ -158,46 +164,35 @@ def train_languages(
         chosen = part if chosen is None else chosen.unionAll(part)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = {"doc_id": pa.int64(), "lang": pa.string(), "found": pa.binary(), "shares": pa.binary()}
         for batch in batches:
-            rows = [
-                (doc_id, lang, p)
-                for doc_id, lang, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "lang", "text")))
-                if LETTER.search(text)
-                for p in passages(text.encode())
-            ]
-            doc_ids, langs, texts = zip(*rows) if rows else ((), (), ())
+            columns = (batch.column(c).to_pylist() for c in ("doc_id", "lang", "text"))
+            rows = [(i, lang, *bag(text.encode())) for i, lang, text in zip(*columns) if LETTER.search(text)]
             yield arrow_batch(
-                {"doc_id": doc_ids, "lang": langs, "text": texts},
-                {"doc_id": pa.int64(), "lang": pa.string(), "text": pa.binary()},
-            )
+                {
+                    "doc_id": [r[0] for r in rows], "lang": [r[1] for r in rows],
+                    "found": [r[2].astype("<i4").tobytes() for r in rows],
+                    "shares": [r[3].astype("<f4").tobytes() for r in rows],
+                },
+                types,
+            )
 
     rows = (
-        learnable.join(F.broadcast(chosen.distinct()), "doc_id")  # n_documents rows for each language at most
-        .mapInArrow(run, "doc_id long, lang string, text binary")
+        learnable.join(F.broadcast(chosen.distinct()), "doc_id")  # n_documents of each language at most
+        .mapInArrow(run, "doc_id long, lang string, found binary, shares binary")
         .collect()
     )
     if not rows:
         return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 1.0)
-    rows.sort(key=lambda r: (hash_of(r.doc_id), r.doc_id, r.lang, bytes(r.text)))
-    return train([bytes(r.text) for r in rows], [r.lang for r in rows])
+    rows.sort(key=lambda r: (hash_of(r.doc_id), r.doc_id, r.lang, bytes(r.found), bytes(r.shares)))
+    bags = [(np.frombuffer(r.found, "<i4"), np.frombuffer(r.shares, "<f4").astype(np.float64)) for r in rows]
+    return train(bags, [r.lang for r in rows])
 
 
 def hash_of(doc_id: int) -> int:
     return int(mix64(np.array([doc_id & 0xFFFFFFFFFFFFFFFF], dtype=np.uint64))[0])
 
 
-def passages(text: bytes) -> list[bytes]:
-    """A short text whole, else passages spread evenly over all of it, cut at white space."""
-    if len(text) <= 2 * PASSAGE_BYTES:
-        return [text]
-    n = min(PASSAGES, len(text) // PASSAGE_BYTES)
-    out = []
-    for k in range(n):
-        at = (len(text) - PASSAGE_BYTES) * k // max(n - 1, 1)
-        out.append(text[at : at + PASSAGE_BYTES])
-    return out
-
-
 def identify_languages(
     documents: DataFrame, model: LanguageModel, held_out, *, id_col="doc_id", text_col="text"
 ) -> DataFrame:

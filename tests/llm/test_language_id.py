@@ -49,7 +49,7 @@ def test_scores_are_calibrated():
             out.append((mixed(a, b, 0.6, 7).encode(), a))
         return out
     learn, test = some(900), some(600)
-    model = li.train([t for t, _ in learn], [x for _, x in learn])
+    model = li.train([li.bag(t) for t, _ in learn], [x for _, x in learn])
     names, score, _ = li.predict(model, [t.decode() for t, _ in test])
     right = np.array([a == b for a, (_, b) in zip(names, test)])
     assert abs(right.mean() - score.mean()) < 0.1
@@ -58,14 +58,7 @@ def test_scores_are_calibrated():
 def test_a_slice_does_not_change_a_prediction():
     rng = random.Random(6)
     learn = [(text(rng, x, 30).encode(), x) for x in sorted(SYLLABLES) for _ in range(20)]
-    model = li.train([t for t, _ in learn], [x for _, x in learn])
+    model = li.train([li.bag(t) for t, _ in learn], [x for _, x in learn])
     some = [text(rng, "bb", 400_000), "ba", text(rng, "cc", 3)]
     together = li.predict(model, some)[1]
     assert np.allclose(together, [li.predict(model, [t])[1][0] for t in some])
-
-
-def test_passages_cover_a_text():
-    t = bytes(range(256)) * 100
-    got = li.passages(t)
-    assert got[0] == t[: li.PASSAGE_BYTES] and got[-1] == t[-li.PASSAGE_BYTES :] and len(got) == li.PASSAGES
-    assert li.passages(b"short") == [b"short"]
