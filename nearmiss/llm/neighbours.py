@@ -68,7 +68,7 @@ def tile(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: n
 def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Euclidean distances in double precision; where squares leave the range, scaled."""
     d = np.abs(y - x)
-    plain = np.sqrt((d * d).sum(axis=1))
+    plain = np.sqrt(np.add.accumulate(d * d, axis=1)[:, -1])  # added in order, as SQL does
     odd = ~np.isfinite(plain) | (plain < 1e-140)
     if odd.any():
         top = d[odd].max(axis=1)

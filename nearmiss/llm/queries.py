@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nearmiss.llm import oracles
 from nearmiss.llm.common import table
 from nearmiss.llm.html_extract import extract_main_text
 from nearmiss.llm.jaccard_join import near_duplicates
@@ -89,4 +90,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_suffix_dedup, op7_neighbours, op8_language_id, op9_mixing, op10_packing,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_jaccard_join": oracles.jaccard_join(3, 90),
+    "op5_url_filter": oracles.url_filter(URL_RULES, BLOCKED_HOSTS),
+    "op7_neighbours": oracles.neighbours(10, 100),
+}
