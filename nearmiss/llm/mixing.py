@@ -27,7 +27,7 @@ TERMS, TERM_DOCUMENTS = 200, 5
 LIFT = 2.5
 #: The descent ends at this mismatch of every domain, relative to the domain, or after so many
 #: steps; after so many the rates are written down.
-TOLERANCE, STEPS, STORED = 1e-4, 200, 40
+TOLERANCE, STEPS, STORED = 1e-4, 200, 15
 
 #: Runs of letters are terms, and so is each of these marks.
 MARKS = "#*$%&|<>!"

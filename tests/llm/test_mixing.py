@@ -44,7 +44,7 @@ def test_rates_are_the_nonnegative_least_squares_fit(docs, spark):
     rng = np.random.default_rng(1)
     p = rng.dirichlet([0.4, 0.4, 0.4], 50)
     tokens = rng.integers(0, 100, 50)
-    soft = spark.createDataFrame([(int(t), *map(float, x)) for t, x in zip(tokens, p)], "n_tokens long, p0 double, p1 double, p2 double")
+    soft = spark.createDataFrame([(int(t), *map(float, x)) for t, x in zip(tokens, p)], "n_tokens long, p0 double, p1 double, p2 double").coalesce(1)
     totals = p.T @ tokens
     targets = totals * [0.2, 0.5, 1.8]
     got = m.fit_rates(soft, 3, targets.tolist(), totals.tolist()).toPandas()
