@@ -39,3 +39,20 @@ def test_chain_equals_plain_variant(spark):
     a = {tuple(r) for r in E._report_out(E._report(spark, SF, cfg)).collect()}
     b = {tuple(r) for r in E._report_out(E._report(spark, SF, plain)).collect()}
     assert a == b and a
+
+
+def test_views_with_gaps_make_the_operators_act():
+    """What the plain view never shows: both severities, unnamed vessels, null speeds, events
+    of which a vessel has no points, and events without a time."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql("CREATE VIEW events AS SELECT * FROM '/root/testdata/sf0.01/events.parquet'")
+    sql = E.oracle_sql()
+    count = lambda name, where="true": con.sql(f"SELECT count(*) FROM ({sql[name]}) WHERE {where}").fetchall()[0][0]
+    for where in ("severity = 'red'", "severity <> 'red'", "vessel_label LIKE 'MMSI %'", "vessel_label NOT LIKE 'MMSI %'"):
+        assert count("odd_tracks", where), where
+    assert count("nameless_points", "sog = 0.0") and count("nameless_points", "cog = 0.0")
+    ranks = con.sql(f"SELECT count(DISTINCT event_rank) FROM ({sql['odd_tracks']})").fetchall()[0][0]
+    assert 0 < count("incomplete_events") < ranks
+    assert 0 < count("events_from_report") < 50
