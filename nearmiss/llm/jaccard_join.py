@@ -36,7 +36,7 @@ ORDERS = 3
 #: A prefix token that more sets share is linked by blocks of sets instead of pairs of rows.
 PAIRED = 16
 #: Sets of a block.
-BLOCK = 1024
+BLOCK = 2048
 #: Tokens that a task gathers before it deals them out.
 GATHERED = 1 << 20
 #: Words that a worker remembers the hash of before it starts anew.
