@@ -143,11 +143,21 @@ def domain_table(
     return scored.withColumns(exps).withColumns(shares).drop(*names, *exps)
 
 
-def domain_targets(totals: Sequence[float], weights: Sequence[float], epochs: float = 1.0) -> list[float]:
-    """Target tokens of each domain: its weight of all tokens there are, but at most what
-    ``epochs`` rounds over the domain give."""
-    whole = sum(weights)
-    return [min(epochs * t, w / whole * sum(totals)) for t, w in zip(totals, weights)]
+def domain_targets(totals: Sequence[float], weights: Sequence[float], epochs: float | None = None) -> list[float]:
+    """Target tokens of each domain: its weight of one total that all domains share.
+
+    The total is that of all tokens there are, so a domain shorter than its weight gets rates
+    above 1. With ``epochs`` it is made smaller until no domain needs more than so many rounds
+    over what it has. Domains without tokens get none; the others share their weight.
+    """
+    live = [w if t > 0 else 0.0 for t, w in zip(totals, weights)]
+    whole = sum(live)
+    if whole <= 0:
+        return list(totals)
+    common = sum(totals)
+    if epochs is not None:
+        common = min(common, *(epochs * t * whole / w for t, w in zip(totals, live) if w > 0))
+    return [w / whole * common for w in live]
 
 
 def fit_rates(soft: DataFrame, n_domains: int, targets: Sequence[float], totals: Sequence[float]) -> DataFrame:
@@ -179,13 +189,15 @@ def fit_rates(soft: DataFrame, n_domains: int, targets: Sequence[float], totals:
 
 
 def mix(
-    documents: DataFrame, labelled: DataFrame, weights: Mapping[str, float], *, epochs: float = 1.0,
+    documents: DataFrame, labelled: DataFrame, weights: Mapping[str, float], *, epochs: float | None = None,
     id_col="doc_id", text_col="text", domain_col="domain", carry: Sequence[str] = (),
 ) -> tuple[DataFrame, list[str]]:
     """Rates of all rows of ``documents`` and the domains in the order of ``p0, p1, ...``:
     ``doc_id, n_tokens, p0, ..., rate`` and the columns ``carry`` as ``_carry_<name>``.
 
-    ``weights``: target weight of each domain; 0 for one not named. A null text has no
+    ``weights``: target weight of each domain; 0 for one not named. Rates above 1 make up for
+    a domain shorter than its weight; with ``epochs`` less of all domains is taken instead
+    (``domain_targets``). A null text has no
     tokens and the posteriors of a text without terms. Without labelled documents, or any
     tokens, every rate is 1. Repeated rows stay repeated, null ids stay null, an empty
     table gives no rows; equal documents get equal rates.
@@ -210,9 +222,10 @@ def mix(
 
 def draws(rate: Column, *keys: str | Column) -> Column:
     """How often a row with this rate is taken: the rate rounded to hundredths, up or down by
-    a hash of the keys, so that the expected number is the rate."""
+    a hash of the keys, so that the expected number is the rate. Rates below a half stay as they
+    are, as hundredths are too coarse for them."""
     even = F.pmod(F.xxhash64(*keys), F.lit(1 << 32)) / F.lit(float(1 << 32))
-    return F.floor(F.round(rate, 2) + even).cast("int")
+    return F.floor(F.when(rate < 0.5, rate).otherwise(F.round(rate, 2)) + even).cast("int")
 
 
 def quality_domains(labels: DataFrame, *, id_col="doc_id") -> DataFrame:

@@ -39,6 +39,29 @@ def test_totals_meet_targets(docs, spark, crowded):
     assert np.abs(posterior.T @ (tokens * got.rate) - targets).max() <= 1e-3 * totals.max()
 
 
+@pytest.mark.parametrize("epochs", [None, 1.0])
+def test_shares_meet_weights_of_a_short_domain(docs, spark, epochs):
+    documents, labelled = frames(docs, spark, rows(240))
+    weights = {"good": 0.9, "low": 0.07, "toxic": 0.03}  # good has two thirds of the documents
+    got = m.mix(documents, labelled, weights, epochs=epochs)[0].toPandas()
+    posterior, tokens = got[["p0", "p1", "p2"]].to_numpy(), got.n_tokens.to_numpy()
+    taken = posterior.T @ (tokens * got.rate.to_numpy())
+    assert taken / taken.sum() == pytest.approx(list(weights.values()), abs=1e-3)
+    totals = posterior.T @ tokens
+    assert taken.sum() == pytest.approx(totals.sum() if epochs is None else totals[0] / 0.9, rel=1e-2)
+
+
+def test_targets_share_one_total():
+    assert m.domain_targets([50, 30, 20], [97, 2, 1]) == pytest.approx([97, 2, 1])
+    assert m.domain_targets([50, 30, 20], [97, 2, 1], 1.0) == pytest.approx([50, 100 / 97, 50 / 97])
+    assert m.domain_targets([50, 0, 50], [1, 2, 1]) == pytest.approx([50, 0, 50])
+    assert m.domain_targets([50, 0], [0, 1]) == [50, 0]
+
+
+def test_draws_keep_low_rates(spark):
+    assert spark.range(40000).select(m.draws(F.lit(0.004), "id").alias("n")).agg(F.sum("n")).first()[0] == pytest.approx(160, abs=50)
+
+
 def test_rates_are_the_nonnegative_least_squares_fit(docs, spark):
     """Against projected gradient descent on stored rates, to targets that can't all be met."""
     rng = np.random.default_rng(1)
