@@ -33,13 +33,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that with the smallest id.
 
-    Five-word shingles, similarity 0.8. Of rows that repeat an id that stays, one stays;
-    rows without an id stay, as they can't be told apart.
+    Five-word shingles, similarity 0.8. Rows that share an id but not the text are told apart by
+    their sets: of a group's smallest id the smallest set stays, and of texts of one set one.
+    Rows without an id link with none that has one; of those with equal sets one stays. Texts
+    without words stay, one of each id and text.
     """
-    groups = near_duplicates(docs, width=5, percent=80)
-    stay = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
+    groups = near_duplicates(docs, width=5, percent=80, with_sets=True)
+    heads = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & F.col("set_id").eqNullSafe(F.col("head_set_id")))
+    blank = F.when(F.col("set_id").isNull(), F.col("text_hash"))
+    stay = heads.groupBy("doc_id", "set_id", blank.alias("blank")).agg(F.min("text_hash").alias("_text"))
+    # null ids as keys that can be joined
+    keys = {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_null": F.col("doc_id").isNull()}
+    stay = stay.withColumns(keys).select(*keys, "_text")
+    named = docs.withColumns({**keys, "_text": F.xxhash64(F.col("text").cast("string"))})
+    return named.join(stay, [*keys, "_text"], "left_semi").dropDuplicates([*keys, "_text"]).select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

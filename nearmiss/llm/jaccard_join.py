@@ -101,11 +101,13 @@ def set_id(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
-def shingle_sets(documents: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, n, counted, set_id`` of every row; no id for an empty set."""
+def shingle_sets(documents: DataFrame, width: int, id_col: str, text_col: str, with_text: bool = False) -> DataFrame:
+    """``doc_id, n, counted, set_id`` of every row (and ``text_hash``); no id for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = {"doc_id": pa.int64(), "n": pa.int64(), "counted": pa.int64(), "set_id": pa.int64()}
+        if with_text:
+            types["text_hash"] = pa.int64()
         shingler = Shingler(width)
         for batch in batches:
             texts = batch.column(1).to_pylist()
@@ -116,11 +118,14 @@ def shingle_sets(documents: DataFrame, width: int, id_col: str, text_col: str) -
                         "doc_id": batch.column(0).slice(lo, hi - lo), "n": [len(s) for s in sets],
                         "counted": [int(np.searchsorted(s, COUNTED)) for s in sets],
                         "set_id": [set_id(s) if len(s) else None for s in sets],
+                        "text_hash": batch.column(2).slice(lo, hi - lo) if with_text else None,
                     },
                     types,
                 )
 
-    return slim(documents, id_col, text_col).mapInArrow(run, "doc_id long, n long, counted long, set_id long")
+    schema = "doc_id long, n long, counted long, set_id long" + ", text_hash long" * with_text
+    rows = slim(documents, id_col, text_col)
+    return (rows.withColumn("text_hash", F.xxhash64("text")) if with_text else rows).mapInArrow(run, schema)
 
 
 def slim(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -371,9 +376,11 @@ def block_links(candidates: DataFrame, prefix: DataFrame, sets: DataFrame, perce
 
 def near_duplicates(
     documents: DataFrame, *, width: int = 3, percent: int = PERCENT, id_col="doc_id", text_col="text",
-    paired: int = PAIRED, block: int = BLOCK,
+    paired: int = PAIRED, block: int = BLOCK, with_sets: bool = False,
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``documents``.
+    """``doc_id, n_shingles, component_id`` of every row of ``documents`` (with ``with_sets`` also
+    ``text_hash``, ``set_id`` and ``head_set_id``, the smallest set of those the component's
+    smallest id has in it).
 
     A set holds the distinct shingles of ``width`` words of the whole text, A-Z in lower
     case; a shorter text is one shingle. Two rows link if their sets' intersection is at
@@ -384,7 +391,7 @@ def near_duplicates(
     null. Repeated rows stay repeated. An empty table gives no rows; other columns are not
     read.
     """
-    rows = cut(shingle_sets(documents, width, id_col, text_col))
+    rows = cut(shingle_sets(documents, width, id_col, text_col, with_sets))
     documents = documents.filter(F.col(id_col).isNotNull())
     able = F.col("set_id").isNotNull() & F.col("doc_id").isNotNull()
     full = rows.filter(able)
@@ -410,8 +417,13 @@ def near_duplicates(
     whole = sets.join(found, sets["set_id"] == found["node"], "left").select(
         "set_id", "doc_id", F.coalesce("component", "set_id").alias("component")
     )
-    heads = whole.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = whole.join(heads, "component").select("set_id", "component_id")
-    linked = full.join(named, "set_id").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    empty = rows.filter(~able).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    smallest = [F.min("doc_id").alias("component_id")]
+    if with_sets:
+        smallest.append(F.min(F.struct("doc_id", "set_id"))["set_id"].alias("head_set_id"))
+    heads = whole.groupBy("component").agg(*smallest)
+    more = ["text_hash", "set_id", "head_set_id"] if with_sets else []
+    alone = ["text_hash", "set_id", F.col("set_id").alias("head_set_id")] if with_sets else []
+    named = whole.join(heads, "component").select("set_id", "component_id", *["head_set_id"] * with_sets)
+    linked = full.join(named, "set_id").select("doc_id", F.col("n").alias("n_shingles"), "component_id", *more)
+    empty = rows.filter(~able).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), *alone)
     return linked.unionAll(empty)

@@ -66,3 +66,20 @@ def test_stages_on_odd_rows(spark, docs, crowded):
         out.collect()
         assert stage(spark, frame.limit(0), SF).count() == 0, name
     assert sorted(str(r.doc_id) for r in cp.near_duplicate_groups(spark, frame, SF).collect()) == ["1", "2", "3", "5", "6", "None"]
+
+
+def test_near_duplicate_groups_of_repeated_and_null_ids(spark, docs):
+    text = lambda stem: " ".join(f"{stem}{i}" for i in range(60))
+    rows = [
+        (3, text("a")), (5, text("a") + " tail"), (5, text("b")),  # one of 5 is near 3, the other near nothing
+        (7, text("c")), (7, text("d")), (7, text("c")), (8, text("d")),  # 7 heads two groups
+        (9, text("e")), (9, text("e").upper()), (9, text("e") + " tail"),  # one group, one id
+        (None, text("f")), (None, text("f")), (None, text("g")), (None, text("a")), (None, ""), (None, ""),
+        (10, ""), (10, " "), (10, ""),
+    ]
+    got = [(r.doc_id, r.text) for r in cp.near_duplicate_groups(spark, docs(rows), SF).collect()]
+    nine = [r for r in got if r[0] == 9]
+    assert len(nine) == 1 and nine[0] in rows
+    want = [(3, "a"), (5, "b"), (7, "c"), (7, "d"), (None, "f"), (None, "g"), (None, "a")]
+    want = [(i, text(stem)) for i, stem in want] + [(None, ""), (10, ""), (10, " ")]
+    assert sorted(map(str, set(got) - set(nine))) == sorted(map(str, want)) and len(got) == len(want) + 1
