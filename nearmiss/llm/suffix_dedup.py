@@ -7,6 +7,10 @@ them, to where their hash is dealt, and sorted there as suffixes (``suffix_sort`
 bytes before the anchor backwards in a second sort. The common prefixes of both sides
 give the longest repeated string around each anchor; every repeated window lies in such
 a string of WINDOW bytes or more.
+
+Anchors of a hash that very many have aren't sorted: the windows around them are told
+apart by their hashes, one row for each different window of a few dozen texts, so that
+no task gets all occurrences of a passage.
 """
 
 from __future__ import annotations
@@ -29,11 +33,9 @@ WINDOW, GRAM = 200, 64
 #: Grams of a window, and how many bytes of it can stand before its anchor.
 GRAMS = WINDOW - GRAM + 1
 BEFORE = WINDOW - GRAM
-#: An anchor hash with more occurrences is split by the bytes next to it.
-FREQUENT = 2000
-#: Bytes that decide that split: of two strings that share a window around an anchor, these
-#: many agree on one side at least.
-SIDE = BEFORE // 2
+#: An anchor hash with more occurrences is frequent, and so is one with more than SURE among the
+#: anchors that a task gathers: the task then sends one of them to be counted.
+FREQUENT, SURE = 2000, 64
 #: A text is cut at this length for the search of anchors (with overlap), as places are
 #: kept in the low bits of the hashes.
 PLACE_BITS = 26
@@ -44,11 +46,13 @@ NO_BYTE = b"\xff"
 #: Anchors that a task gathers before it deals them out.
 GATHERED = 1 << 20
 
-ANCHOR = np.dtype([("key", "<u8"), ("text", "<i8"), ("at", "<u4")])
+#: ``sure`` is 1 for the one anchor that stands for a frequent hash of its task, 2 for the others.
+ANCHOR = np.dtype([("key", "<u8"), ("text", "<i8"), ("at", "<u4"), ("sure", "u1")])
 FOUND = np.dtype([("text", "<i8"), ("key", "<u8"), ("at", "<u4"), ("frequent", "u1")])
 CONTEXT = np.dtype(
     [("key", "<u8"), ("text", "<i8"), ("at", "<u4"), ("before", "<u2"), ("after", "<u2"), ("bytes", "u1", BEFORE + WINDOW)]
 )
+WINDOWED = np.dtype([("hash", "<u8"), ("text", "<i8"), ("at", "<u4")])
 RANGE = np.dtype([("text", "<i8"), ("start", "<u4"), ("end", "<u4")])
 
 PACKED = "bucket int, packed binary"
@@ -63,6 +67,12 @@ def bucket_of(numbers: np.ndarray, buckets: int) -> np.ndarray:
     return (mix64(numbers.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
 
+def runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and length of each run of equal values."""
+    starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]][: len(ordered)])
+    return starts, np.diff(np.r_[starts, len(ordered)])
+
+
 def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, place, hash) of the anchors of all windows of the texts."""
     numbers, shifts, pieces = [], [], []
@@ -132,7 +142,7 @@ def distinct_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
 
 
 def anchor_rows(documents: DataFrame, buckets: int) -> DataFrame:
-    """Anchors of all distinct texts, dealt by hash."""
+    """Anchors of all distinct texts, dealt by hash; those known to be frequent by text, but for one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -140,7 +150,12 @@ def anchor_rows(documents: DataFrame, buckets: int) -> DataFrame:
         def deal() -> pa.RecordBatch:
             rows = np.concatenate(held)
             held.clear()
-            return arrow_batch(dealt(rows, bucket_of(rows["key"].copy(), buckets)), PACKED_TYPES)
+            rows = rows[np.argsort(rows["key"], kind="stable")]
+            starts, counts = runs(rows["key"])
+            rows["sure"] = np.repeat(np.where(counts > SURE, 2, 0), counts)
+            rows["sure"][starts[counts > SURE]] = 1
+            by = np.where(rows["sure"] == 2, rows["text"].view(np.uint64), rows["key"])
+            return arrow_batch(dealt(rows, bucket_of(by, buckets)), PACKED_TYPES)
 
         for texts in distinct_texts(batches):
             number, place, key = anchors(texts)
@@ -161,16 +176,24 @@ def repeated_anchors(rows: DataFrame, buckets: int) -> DataFrame:
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         rows = np.frombuffer(b"".join(part["packed"]), dtype=ANCHOR)
+        known, rows = rows[rows["sure"] == 2], rows[rows["sure"] < 2]
         rows = rows[np.lexsort((rows["at"], rows["text"], rows["key"]))]
-        rows = rows[np.r_[True, rows[1:] != rows[:-1]]]  # a text can come from several tasks
-        starts = np.flatnonzero(np.r_[True, rows["key"][1:] != rows["key"][:-1]])
-        counts = np.diff(np.r_[starts, len(rows)])
-        count = np.repeat(counts, counts)
-        rows, count = rows[count > 1], count[count > 1]
-        out = np.zeros(len(rows), dtype=FOUND)
+        if len(rows):
+            starts, counts = runs(rows["key"])
+            sure = np.repeat(np.maximum.reduceat(rows["sure"], starts), counts) > 0
+            place = rows[["key", "text", "at"]]
+            once = np.r_[True, place[1:] != place[:-1]]  # a text can come from several tasks
+            rows, sure = rows[once], sure[once]
+            counts = runs(rows["key"])[1]
+            count = np.repeat(counts, counts)
+            keep, frequent = sure | (count > 1), sure | (count > FREQUENT)
+            rows, frequent = rows[keep], frequent[keep]
+        else:
+            frequent = np.zeros(0, dtype=bool)
+        out = np.zeros(len(rows) + len(known), dtype=FOUND)
         for name in ("text", "key", "at"):
-            out[name] = rows[name]
-        out["frequent"] = count > FREQUENT
+            out[name] = np.r_[rows[name], known[name]]
+        out["frequent"] = np.r_[frequent, np.ones(len(known), dtype=bool)]
         return pd.DataFrame(dealt(out, bucket_of(out["text"].copy(), buckets)))
 
     return rows.groupBy("bucket").applyInPandas(run, PACKED)
@@ -195,44 +218,117 @@ def bodies(right: pd.DataFrame) -> dict[int, bytes]:
 
 
 def context_rows(found: DataFrame, texts: DataFrame, buckets: int) -> DataFrame:
-    """Repeated anchors with the bytes around them, dealt by hash. Frequent hashes are dealt
-    twice, joined with the bytes before and with those behind."""
+    """Repeated anchors with the bytes around them, dealt by hash; for frequent ones the windows
+    they are in, one of each hash, dealt to ``buckets`` more, and to as many again the ranges of
+    those that are repeated among these texts."""
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"bucket": [], "packed": []})
         rows = np.frombuffer(b"".join(left["packed"]), dtype=FOUND)
-        rows = rows[np.argsort(rows["text"], kind="stable")]
+        rows = rows[np.lexsort((rows["at"], rows["text"]))]
+        # a text can come from several tasks
+        rows = rows[np.r_[True, (rows["text"][1:] != rows["text"][:-1]) | (rows["at"][1:] != rows["at"][:-1])]]
         known = bodies(right)
+        frequent = rows["frequent"] > 0
+        windows, repeated = frequent_windows(rows[frequent], known)
+        rows = rows[~frequent]
         out = np.zeros(len(rows), dtype=CONTEXT)
         for name in ("key", "text", "at"):
             out[name] = rows[name]
-        starts = np.flatnonzero(np.r_[True, rows["text"][1:] != rows["text"][:-1]])
-        for a, b in zip(starts.tolist(), np.r_[starts[1:], len(rows)].tolist()):
+        starts, counts = runs(rows["text"])
+        for a, b in zip(starts.tolist(), (starts + counts).tolist()):
             body = known[int(rows["text"][a])]
             padded = np.frombuffer(NO_BYTE * BEFORE + body + NO_BYTE * WINDOW, dtype=np.uint8)
             at = rows["at"][a:b].astype(np.int64)
             out["bytes"][a:b] = padded[at[:, None] + np.arange(BEFORE + WINDOW)]
             out["before"][a:b] = np.minimum(at, BEFORE)
             out["after"][a:b] = np.minimum(len(body) - at, WINDOW)
-        frequent = rows["frequent"] > 0
-        if frequent.any():
-            hot = out[frequent]
-            behind, before = hot.copy(), hot.copy()
-            middle = BEFORE + GRAM
-            for part, lo, hi, seed in ((behind, middle, middle + SIDE, 1), (before, BEFORE - SIDE, BEFORE, 2)):
-                sides = [xxhash.xxh3_64_intdigest(x.tobytes(), seed=seed) for x in hot["bytes"][:, lo:hi]]
-                part["key"] = mix64(hot["key"] ^ np.array(sides, dtype=np.uint64))
-            out = np.concatenate([out[~frequent], behind, before])
-        return pd.DataFrame(dealt(out, bucket_of(out["key"].copy(), buckets)))
+        parts = (
+            dealt(out, bucket_of(out["key"].copy(), buckets)),
+            dealt(windows, bucket_of(windows["hash"].copy(), buckets) + buckets),
+            dealt(repeated, bucket_of(repeated["text"].copy(), buckets) + 2 * buckets),
+        )
+        return pd.DataFrame({name: [x for part in parts for x in part[name]] for name in ("bucket", "packed")})
 
     return found.groupBy("bucket").cogroup(texts.groupBy("place")).applyInPandas(run, PACKED)
 
 
+def frequent_windows(rows: np.ndarray, known: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The windows that hold one of these anchors (sorted by text and place): one for each hash
+    (WINDOWED), and the ranges of all that several have."""
+    pieces, texts, shifts = [], [], []
+    starts, counts = runs(rows["text"])
+    for a, b in zip(starts.tolist(), (starts + counts).tolist()):
+        own = int(rows["text"][a])
+        body = known[own]
+        at = rows["at"][a:b].astype(np.int64)
+        first, last = np.maximum(at - BEFORE, 0), np.minimum(at, len(body) - WINDOW)
+        new = np.r_[True, first[1:] > last[:-1] + 1]
+        for lo, hi in zip(first[new].tolist(), last[np.r_[new[1:], True]].tolist()):
+            for x in range(lo, hi + 1, SLICE):
+                pieces.append(body[x : min(x + SLICE, hi + 1) + WINDOW - 1])
+                texts.append(own)
+                shifts.append(x)
+    found = [np.zeros(0, dtype=WINDOWED)]
+    lo = 0
+    while lo < len(pieces):
+        hi, held = lo, 0
+        while hi < len(pieces) and (hi == lo or held + len(pieces[hi]) <= SLICE):
+            held += len(pieces[hi])
+            hi += 1
+        lengths = np.array([len(p) for p in pieces[lo:hi]])
+        n = lengths - WINDOW + 1
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        part = np.zeros(len(within), dtype=WINDOWED)
+        part["hash"] = window_hashes(b"".join(pieces[lo:hi]))[within + np.repeat(np.cumsum(lengths) - lengths, n)]
+        part["text"] = np.repeat(np.array(texts[lo:hi], dtype=np.int64), n)
+        part["at"] = within + np.repeat(np.array(shifts[lo:hi]), n)
+        found.append(part)
+        lo = hi
+    windows = np.concatenate(found)
+    windows = windows[np.argsort(windows["hash"], kind="stable")]
+    starts, counts = runs(windows["hash"])
+    several = windows[np.repeat(counts > 1, counts)]
+    several = several[np.lexsort((several["at"], several["text"]))]
+    new = np.r_[True, (several["text"][1:] != several["text"][:-1]) | (several["at"][1:] > several["at"][:-1] + 1)][: len(several)]
+    ranges = np.zeros(int(new.sum()), dtype=RANGE)
+    ranges["text"], ranges["start"] = several["text"][new], several["at"][new]
+    ranges["end"] = several["at"][np.r_[new[1:], True][: len(several)]] + WINDOW
+    return windows[starts], ranges
+
+
+def window_hashes(body: bytes) -> np.ndarray:
+    """A hash of every WINDOW bytes."""
+    n = len(body) - WINDOW + 1
+    grams = mix64(np.arange(1, 257, dtype=np.uint64))[np.frombuffer(body, dtype=np.uint8)]
+    out, at, width = np.zeros(n, dtype=np.uint64), 0, 1
+    while True:  # a window is made of grams of the lengths that its own length is a sum of
+        if WINDOW & width:
+            out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + grams[at : at + n])
+            at += width
+        if at == WINDOW:
+            return out
+        grams = grams[:-width] * np.uint64(0x9E3779B97F4A7C15 + 2 * width) + grams[width:]
+        grams ^= grams >> np.uint64(29)
+        width *= 2
+
+
 def repeated_ranges(contexts: DataFrame, buckets: int) -> DataFrame:
     """Ranges of bytes that repeated windows cover, dealt by text."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
+        kind = int(part["bucket"].iloc[0]) // buckets
+        if kind == 2:  # ranges already
+            return pd.DataFrame({"bucket": part["bucket"] - 2 * buckets, "packed": part["packed"]})
+        if kind == 1:
+            windows = np.frombuffer(b"".join(part["packed"]), dtype=WINDOWED)
+            windows = windows[np.argsort(windows["hash"], kind="stable")]
+            counts = runs(windows["hash"])[1]
+            windows = windows[np.repeat(counts > 1, counts)]
+            out = np.zeros(len(windows), dtype=RANGE)
+            out["text"], out["start"], out["end"] = windows["text"], windows["at"], windows["at"] + WINDOW
+            return pd.DataFrame(dealt(out, bucket_of(out["text"].copy(), buckets)))
         rows = np.frombuffer(b"".join(part["packed"]), dtype=CONTEXT)
         back, ahead = longest_repeats(rows)
         covered = back >= 0

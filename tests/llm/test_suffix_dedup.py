@@ -108,3 +108,29 @@ def test_null_ids_repeated_rows_and_kept_text(docs):
         text = r.kept.decode()
         assert (r.n_removed == r.n_bytes) == (text == "")
     assert s.remove_repeats(docs([])).count() == 0
+
+
+@pytest.mark.parametrize("sure,gathered", [(1, 40), (3, 1 << 20)])
+def test_anchors_frequent_in_one_task(docs, monkeypatch, sure, gathered):
+    monkeypatch.setattr(s, "SURE", sure)
+    monkeypatch.setattr(s, "GATHERED", gathered)
+    texts = corpus(4)
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in s.remove_repeats(docs(texts)).collect()}
+    assert [found[i] for i in range(len(texts))] == brute(texts)
+
+
+def test_passage_of_most_texts_is_not_gathered(docs, monkeypatch):
+    monkeypatch.setattr(s, "FREQUENT", 50)
+    rng = random.Random(5)
+    prose = lambda n: " ".join(str(rng.randrange(10**6)) for _ in range(n))
+    passage = prose(100)
+    texts = [prose(40) + passage + prose(40) for _ in range(600)]
+    anchors = s.anchor_rows(docs(texts).select("text"), 64).cache()
+    rows = np.concatenate([np.frombuffer(r.packed, dtype=s.ANCHOR) for r in anchors.collect()])
+    counted = Counter(rows["key"][rows["sure"] < 2].tolist())
+    assert max(Counter(rows["key"].tolist()).values()) == 600 and max(counted.values()) <= 3 * s.SURE
+    contexts = s.context_rows(s.repeated_anchors(anchors, 64), s.text_rows(docs(texts).select("text"), 64), 64)
+    held = Counter()
+    for r in contexts.collect():
+        held[r.bucket] += len(r.packed)
+    assert max(held.values()) < 600 * s.CONTEXT.itemsize / 2  # one anchor of all texts with its surroundings
