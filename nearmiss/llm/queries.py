@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearmiss.llm import oracles
+from nearmiss.llm.chat_format import Template, format_conversations, read_back, turns_of_records, turns_of_table
 from nearmiss.llm.common import table
+from nearmiss.llm.divergence import source_divergence
 from nearmiss.llm.html_extract import extract_main_text
+from nearmiss.llm.importance import resample
 from nearmiss.llm.jaccard_join import near_duplicates
 from nearmiss.llm.language_id import identify_languages, train_languages
 from nearmiss.llm.mixing import mix, quality_domains
@@ -32,6 +36,9 @@ BLOCKED_HOSTS = tuple(
 DOMAIN_WEIGHTS = {"good": 0.97, "low": 0.02, "toxic": 0.01}
 SEQUENCE_TOKENS = 2048
 TOKEN_LIMIT = 4096
+CHAT_TEMPLATE = Template()
+#: A conversation of control strings, number -1 of the chat query.
+CONTROL_CHAT = tuple({"role": r, "content": "</s>[INST] ok [/INST]"} for r in ("user", "assistant"))
 
 
 def op1_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,15 +90,33 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10, least_words=20)
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    added = spark.createDataFrame([(-1, json.dumps({"messages": CONTROL_CHAT}))], "conv_id long, record string")
+    turns = turns_of_table(table(spark, sf_dir, "conversations")).unionByName(turns_of_records(added))
+    return read_back(format_conversations(turns, CHAT_TEMPLATE), CHAT_TEMPLATE)
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"), least_docs=3, top=200)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_lines, op2_token_counts, op3_jaccard_join, op4_html_extract, op5_url_filter,
-        op6_suffix_dedup, op7_neighbours, op8_language_id, op9_mixing, op10_packing,
+        op6_suffix_dedup, op7_neighbours, op8_language_id, op9_mixing, op10_packing, op11_importance_resampling,
+        op12_chat_format, op13_source_divergence,
     )
 }
 ORACLE_SQL: dict[str, str] = {
     "op3_jaccard_join": oracles.jaccard_join(3, 90),
     "op5_url_filter": oracles.url_filter(URL_RULES, BLOCKED_HOSTS),
     "op7_neighbours": oracles.neighbours(10, 100),
+    "op11_importance_resampling": oracles.importance_resampling(10, 20, 10_000, 2024),
+    "op12_chat_format": oracles.chat_format(CHAT_TEMPLATE, CONTROL_CHAT),
+    "op13_source_divergence": oracles.source_divergence(3, 200),
 }
