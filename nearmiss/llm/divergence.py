@@ -29,10 +29,9 @@ LETTER = np.array([65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(25
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
 #: Masks of the first 0 to 8 bytes of a big-endian word.
 _FIRST_BYTES = np.array([(1 << 64) - (1 << 8 * (8 - k)) for k in range(9)], dtype=np.uint64)
-#: Bytes of text that are sorted at a time.
-SORTED_BYTES = 8 << 20
-#: Runs that a task gathers before it hands them on.
-HELD_RUNS = 1 << 18
+#: Bytes of text that are sorted at a time, and rows of a batch that goes back to Spark.
+SORTED_BYTES = 16 << 20
+BATCH_ROWS = 1 << 16
 #: Terms of one packed row, and cells (terms × sources) of one matrix.
 PACKED_TERMS = 4096
 MATRIX_CELLS = 1 << 20
@@ -63,11 +62,17 @@ def packed_words(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, n_wo
     ]
 
 
-def unpacked(words: list[np.ndarray]) -> list[bytes]:
-    """The byte strings of packed words."""
-    wide = np.stack(words, axis=1).astype(">u8").tobytes()
-    size = 8 * len(words)
-    return [wide[a : a + size].rstrip(b"\0") for a in range(0, len(wide), size)]
+def unpacked(words: list[np.ndarray]) -> pa.Array:
+    """The byte strings of packed words, as text."""
+    wide = np.stack(words, axis=1).astype(">u8").view(np.uint8)
+    there = wide != 0
+    return _strings(there.sum(axis=1), wide[there].tobytes())
+
+
+def _strings(lengths: np.ndarray, data: bytes) -> pa.Array:
+    offsets = np.zeros(len(lengths) + 1, dtype=np.int32)
+    np.cumsum(lengths, out=offsets[1:])
+    return pa.Array.from_buffers(pa.string(), len(lengths), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
 
 
 def _runs(keys: list[np.ndarray]) -> np.ndarray:
@@ -79,8 +84,11 @@ def _runs(keys: list[np.ndarray]) -> np.ndarray:
     return new
 
 
-def count_terms(texts: list[bytes | None], groups: np.ndarray) -> Iterator[tuple[int, bytes, int, int]]:
-    """(group, term, occurrences, documents) of some texts, each of a numbered group."""
+def count_terms(
+    texts: list[bytes | None], groups: np.ndarray
+) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]]:
+    """Groups, terms, occurrences and documents of some texts, each of a numbered group; arrays
+    for each kind of term."""
     sizes = np.array([len(x) if x else 0 for x in texts], dtype=np.int64)
     # a zero byte ends each text, so that no term goes over it; 16 more for the packing
     data = np.frombuffer(b"\0".join(x or b"" for x in texts) + bytes(17), dtype=np.uint8)
@@ -109,22 +117,20 @@ def count_terms(texts: list[bytes | None], groups: np.ndarray) -> Iterator[tuple
         term = np.flatnonzero(_runs(keys))
         sums = np.add.reduceat(occurrences, term)
         documents = np.diff(np.r_[term, len(first)])
-        named = unpacked([k[term] for k in reversed(keys[:-1])])
-        yield from zip(keys[-1][term].tolist(), named, sums.tolist(), documents.tolist())
+        yield keys[-1][term].astype(np.int64), unpacked([k[term] for k in reversed(keys[:-1])]), sums, documents
     # long terms: few, and sorted as bytes
     at = np.flatnonzero(kind == 3)
-    raw = data.tobytes()
-    found = sorted(
-        (int(g), raw[s : s + n], int(d)) for g, s, n, d in zip(group[at], starts[at], lengths[at], doc[at])
-    )
-    i = 0
-    while i < len(found):
-        j, documents = i, 0
-        while j < len(found) and found[j][:2] == found[i][:2]:
-            documents += j == i or found[j][2] != found[j - 1][2]
-            j += 1
-        yield *found[i][:2], j - i, documents
-        i = j
+    raw = data.tobytes() if len(at) else b""
+    found = sorted((int(g), raw[s : s + n], int(d)) for g, s, n, d in zip(group[at], starts[at], lengths[at], doc[at]))
+    rows: list[list] = []
+    for k, (g, term, d) in enumerate(found):
+        if not rows or rows[-1][:2] != [g, term]:
+            rows.append([g, term, 0, 0])
+        rows[-1][2] += 1
+        rows[-1][3] += rows[-1][2] == 1 or found[k - 1][2] != d
+    if rows:
+        g, terms, sums, documents = zip(*rows)
+        yield np.array(g), _strings(np.array(list(map(len, terms))), b"".join(terms)), np.array(sums), np.array(documents)
 
 
 _COUNT_TYPES = {"lang": pa.string(), "source": pa.string(), "term": pa.string(), "n": pa.int64(), "docs": pa.int64()}
@@ -132,41 +138,32 @@ _COUNT_SCHEMA = "lang string, source string, term string, n long, docs long"
 
 
 def term_counts(named: DataFrame) -> DataFrame:
-    """``lang, source, term, n, docs`` of texts (``lang, source, text``), partly summed: a task
-    may give a row several times."""
+    """``lang, source, term, n, docs`` of texts (``lang, source, text``), partly summed: a row may
+    come once for every SORTED_BYTES of text."""
 
     def run(batches):
-        held: dict[tuple, list[int]] = {}
         for batch in batches:
             groups: dict[tuple, int] = {}
             pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             numbers = np.array([groups.setdefault(g, len(groups)) for g in pairs], dtype=np.int64)
-            names = list(groups)
+            langs, sources = (pa.array(names, pa.string()) for names in list(zip(*groups)) or ((), ()))
             texts = batch.column(2).cast(pa.binary())
             lengths = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
             for lo, hi in text_slices([range(n) for n in lengths], SORTED_BYTES):
                 part = texts.slice(lo, hi - lo).to_pylist()
-                counted = count_terms(part, numbers[lo:hi])
-                if lengths[lo] > SORTED_BYTES:  # a text alone, longer than a slice
-                    counted = count_long_text(part[0], int(numbers[lo]))
-                for g, term, n, docs in counted:
-                    both = held.get(key := (g, term))
-                    if both is None:
-                        held[key] = [n, docs]
-                    else:
-                        both[0] += n
-                        both[1] += docs
-                if len(held) > HELD_RUNS:
-                    yield from _counted(held, names)
-                    held = {}
-            yield from _counted(held, names)
-            held = {}
+                # a text longer than a slice stands alone
+                long = lengths[lo] > SORTED_BYTES
+                for g, *rest in count_long_text(part[0], numbers[lo]) if long else count_terms(part, numbers[lo:hi]):
+                    whole = arrow_batch(dict(zip(_COUNT_TYPES, (langs.take(g), sources.take(g), *rest))), _COUNT_TYPES)
+                    for a in range(0, len(g), BATCH_ROWS):
+                        yield whole.slice(a, BATCH_ROWS)
 
     return named.select("lang", "source", "text").mapInArrow(run, _COUNT_SCHEMA)
 
 
-def count_long_text(text: bytes, group: int, size: int = SORTED_BYTES) -> Iterator[tuple[int, bytes, int, int]]:
+def count_long_text(text: bytes, group: int, size: int | None = None):
     """``count_terms`` of one text, cut between terms into pieces of about ``size`` bytes."""
+    size = size or SORTED_BYTES
     found: dict[bytes, int] = {}
     at = 0
     while at < len(text):
@@ -177,16 +174,12 @@ def count_long_text(text: bytes, group: int, size: int = SORTED_BYTES) -> Iterat
                 end = at + int(ends[-1]) + 1
                 break
             end += size  # one term fills the piece
-        for _, term, n, _ in count_terms([text[at:end]], np.array([group])):
-            found[term] = found.get(term, 0) + n
+        for _, terms, sums, _ in count_terms([text[at:end]], np.array([group])):
+            for term, n in zip(terms.cast(pa.binary()).to_pylist(), sums.tolist()):
+                found[term] = found.get(term, 0) + n
         at = end
-    return ((group, term, n, 1) for term, n in found.items())
-
-
-def _counted(held: dict, names: list[tuple]) -> Iterator[pa.RecordBatch]:
-    rows = [(*names[g], term.decode("utf-8", "replace"), n, docs) for (g, term), (n, docs) in held.items()]
-    for a in range(0, len(rows), 1 << 16):
-        yield arrow_batch(dict(zip(_COUNT_TYPES, zip(*rows[a : a + (1 << 16)]))), _COUNT_TYPES)
+    terms = _strings(np.fromiter(map(len, found), dtype=np.int64, count=len(found)), b"".join(found))
+    yield np.full(len(found), group), terms, np.fromiter(found.values(), dtype=np.int64), np.ones(len(found), dtype=np.int64)
 
 
 # ---------------------------------------------------------------- divergence

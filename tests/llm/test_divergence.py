@@ -46,6 +46,10 @@ def brute(rows, top=200):
     return out
 
 
+def rows_in(parts):
+    return [r for g, t, n, m in parts for r in zip(g.tolist(), t.cast("binary").to_pylist(), n.tolist(), m.tolist())]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(st.sampled_from("abAZéß日 0-_@[`{\x00"), max_size=60), max_size=6))
 def test_terms_are_counted_as_by_a_plain_loop(texts):
@@ -55,7 +59,7 @@ def test_terms_are_counted_as_by_a_plain_loop(texts):
     for g, text in zip(groups.tolist(), texts):
         want.update((g, t.encode()) for t in terms_of(text))
         docs.update({(g, t.encode()) for t in terms_of(text)})
-    got = list(d.count_terms([None if t is None else t.encode() for t in texts], groups))
+    got = rows_in(d.count_terms([None if t is None else t.encode() for t in texts], groups))
     assert {(g, t): (n, m) for g, t, n, m in got} == {k: (n, docs[k]) for k, n in want.items()}
     assert len(got) == len(want)
 
@@ -64,7 +68,7 @@ def test_long_texts_are_cut_between_terms():
     text = "one two ÀÉ " + "y" * 100 + " two one-two " * 20
     want = Counter(t.encode() for t in terms_of(text))
     for size in (1, 5, 64, 10_000):
-        assert {t: n for _, t, n, m in d.count_long_text(text.encode(), 0, size) if m == 1} == want
+        assert {t: n for _, t, n, m in rows_in(d.count_long_text(text.encode(), 0, size)) if m == 1} == want
 
 
 def test_radix_order_is_stable_and_in_order():
@@ -92,7 +96,7 @@ def rows_of(seed, n):
 @pytest.mark.parametrize("small", [False, True])
 def test_equals_brute_force(spark, crowded, monkeypatch, small):
     if small:  # many packed rows and tiles, long texts in pieces, tables joined without broadcast
-        for name, value in (("PACKED_TERMS", 3), ("MATRIX_CELLS", 8), ("HELD_RUNS", 5), ("SORTED_BYTES", 64), ("BROADCAST_GROUPS", 0)):
+        for name, value in (("PACKED_TERMS", 3), ("MATRIX_CELLS", 8), ("BATCH_ROWS", 5), ("SORTED_BYTES", 64), ("BROADCAST_GROUPS", 0)):
             monkeypatch.setattr(d, name, value)
     rows = rows_of(4, 120)
     df = crowded(spark.createDataFrame(rows, DOCS).repartition(4))
