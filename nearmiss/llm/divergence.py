@@ -37,6 +37,8 @@ PACKED_TERMS = 4096
 MATRIX_CELLS = 1 << 20
 #: Sources, over all languages, up to which their tables are broadcast (some 10 MB).
 BROADCAST_GROUPS = 100_000
+#: Groups that a source's terms are ranked in before they are ranked together.
+TERM_SALTS = 64
 SCALE = 1_000_000_000
 
 
@@ -355,5 +357,10 @@ def source_divergence(
     pairs = parts.filter("part = 'pair'").union(zeros)
     pairs = pairs.groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
     order = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
-    terms = parts.filter("part = 'term'").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    # every packed row hands on its top terms: a salt keeps one source's from meeting in one task
+    salt = F.pmod(F.xxhash64("item"), F.lit(TERM_SALTS)).alias("salt")
+    within = Window.partitionBy("lang", "source", "part", "salt").orderBy(F.desc("value"), "item")
+    terms = parts.filter("part = 'term'").select("*", salt).withColumn("rank", F.row_number().over(within))
+    terms = terms.filter(F.col("rank") <= top).drop("salt", "rank")
+    terms = terms.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
     return pairs.withColumn("rank", F.row_number().over(order)).unionByName(terms)
