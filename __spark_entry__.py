@@ -56,12 +56,15 @@ from nearmiss.plans import (  # noqa: E402
     extract_events,
     ingest,
     ingest_new_files,
+    materialize,
     pair_tie_break,
     run_dir,
     run_pipeline,
     zone_pings,
 )
 from nearmiss.sources import (  # noqa: E402
+    batches,
+    compact_ping_lake,
     from_report_layout,
     normalize_pings,
     odd_ping_view,
@@ -71,6 +74,8 @@ from nearmiss.sources import (  # noqa: E402
     read_pings_csv,
     read_report,
     rejected_pings,
+    rejected_report,
+    to_report_layout,
     with_calendar_parts,
     with_source,
     write_ping_lake,
@@ -186,9 +191,8 @@ def q_close_pairs_grid(spark, d):
     return _pairs_out(close_pairs(_pair_input(spark, d), TEST_CFG.dmax_nm))
 
 
-def q_close_pairs_brute(spark, d):
-    # the rows of a brute-force join, with grid cells twice as wide as by default (the
-    # comparison of all pairs itself is in the tests only)
+def q_close_pairs_wide_cells(spark, d):
+    # grid cells twice as wide as by default (the comparison of all pairs is in the tests only)
     return _pairs_out(close_pairs(_pair_input(spark, d), TEST_CFG.dmax_nm, cell_factor=8))
 
 
@@ -317,15 +321,40 @@ def _typed_out(df: DataFrame) -> DataFrame:
                      "Year", "Month", "Day")
 
 
-def q_stream_ingest(spark, d):
-    """Two CSV drops into one folder, each ingested when it is there; a third call
-    finds nothing new."""
-    work = run_dir(spark, "stream")
+def q_ingest_new_files(spark, d):
+    """Two CSV drops into one folder. Of the second, a first call breaks off before its batch is
+    committed and a second one before the batch is published; a third call finishes it, and a
+    fourth finds nothing new."""
+    work = run_dir(spark, "ingest")
+    lake, journal = f"{work}/lake", f"{work}/journal"
     raw = raw_ping_text(spark, d)
-    for drop in ("event_id % 2 = 0", "event_id % 2 = 1", "false"):
-        raw.filter(drop).write.mode("append").option("header", "true").csv(f"{work}/csv")
-        ingest_new_files(spark, f"{work}/csv", f"{work}/lake", f"{work}/done", schema=RAW_CSV_SCHEMA)
-    return _typed_out(read_ping_lake(spark, f"{work}/lake"))
+    go = lambda: ingest_new_files(spark, f"{work}/csv", lake, journal, schema=RAW_CSV_SCHEMA)
+    for drop in (0, 1):
+        raw.filter(f"event_id % 2 = {drop}").write.mode("append").option("header", "true").csv(f"{work}/csv")
+        if drop == 0:
+            go()
+            continue
+        files = batches.new_inputs(spark, f"{work}/csv", journal)
+        for committed in (False, True):
+            name, folder = batches.stage(lake)
+            ingest(spark, files, f"{folder}/lake", schema=RAW_CSV_SCHEMA)
+            if committed:
+                batches.commit(spark, lake, name, into={"lake": lake}, inputs=files, journal=journal)
+        go()
+    go()
+    return _typed_out(read_ping_lake(spark, lake))
+
+
+def q_lake_compacted(spark, d):
+    """A lake of many small drops, compacted: all rows, and how many files each day has."""
+    work = run_dir(spark, "compact")
+    typed = normalize_pings(raw_ping_text(spark, d))
+    for k in range(4):
+        write_ping_lake(typed.filter(f"event_id % 4 = {k}"), f"{work}/lake", "append")
+    compact_ping_lake(spark, f"{work}/lake")
+    back = with_source(read_ping_lake(spark, f"{work}/lake"))
+    files = back.groupBy("Year", "Month", "Day").agg(F.count_distinct("source_file").alias("day_files"))
+    return _typed_out(back).join(files, ["Year", "Month", "Day"])
 
 
 def q_lake_two_drops(spark, d):
@@ -410,7 +439,7 @@ def q_odd_tracks(spark, d):
     speeds and courses as 0, and both severity colours."""
     t = event_tracks(_odd_events(spark, d, odd_ping_view(spark, d)))
     total = lambda c: _r(F.aggregate(F.col(f"track.{c}"), F.lit(0.0), lambda acc, x: acc + x), 6)
-    return t.select("event_rank", "side", "vessel_id", "vessel_label", "n_points", "severity",
+    return t.select("event_rank", "side", "vessel_id", "vessel_label", "legend_label", "n_points", "severity",
                     total("sog").alias("sum_sog"), total("cog").alias("sum_cog"))
 
 
@@ -463,6 +492,39 @@ def q_extract_events(spark, d):
     return reduce(DataFrame.unionAll, parts)
 
 
+def q_report_by_name(spark, d):
+    """Report files of two column orders, one without a column and with one that isn't known; rows
+    of too few fields and of a score that is no number are rejected with their text."""
+    work = run_dir(spark, "report")
+    rep = materialize(_report(spark, d), f"{work}/table")  # written out three times below
+    plain = to_report_layout(rep).withColumns(
+        {c: F.col(c).cast("string") for c in ("Danger_Score", "Distance_NM")})
+    part = F.col("MMSI_A").cast("int") % 3
+    plain.filter(part == 0).write.option("header", "true").csv(f"{work}/csv/a")
+    other = plain.drop("File_Source", "Latitude").withColumn("Note", F.lit("x"))
+    other.filter(part == 1).select(*reversed(other.columns)).write.option("header", "true").csv(f"{work}/csv/b")
+    shorter = ("Danger_Score", "MMSI_A", "MMSI_B", "TS_A")
+    fields = [F.col(c) for c in shorter]
+    line = (F.when(F.col("MMSI_B").cast("int") % 4 == 0, F.concat_ws(",", *fields[:3]))
+            .when(F.col("MMSI_B").cast("int") % 4 == 1, F.concat_ws(",", F.lit("?"), *fields[1:]))
+            .otherwise(F.concat_ws(",", *fields)))
+    text = plain.filter(part == 2).select(line.alias(",".join(shorter)))
+    text.write.option("header", "true").option("sep", "\u0001").csv(f"{work}/csv/c")
+    good = read_report(spark, f"{work}/csv/*").select(
+        "Danger_Score", "MMSI_A", "MMSI_B", "TS_A", "SOG_A", "Latitude", "File_Source", F.lit("").alias("rejected"))
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (
+        ("Danger_Score", "int"), ("MMSI_A", "string"), ("MMSI_B", "string"), ("TS_A", "string"), ("SOG_A", "double"),
+        ("Latitude", "double"), ("File_Source", "string"))]
+    return good.unionAll(rejected_report(spark, f"{work}/csv/*").select(*nothing, F.col("corrupt_record").alias("rejected")))
+
+
+def q_zone_pings(spark, d):
+    """The zone table: its own columns only, of pings with others beside them."""
+    wide = with_calendar_parts(ping_view(spark, d)).withColumns({"Extra": F.lit("x"), "cog_raw": F.lit("y")})
+    out = zone_pings(wide, TEST_CFG)
+    return out.withColumns({c: _r(c, 6) for c in ("lat", "lon")})
+
+
 def q_report_csv_roundtrip(spark, d):
     work = run_dir(spark, "report")
     write_report(_report(spark, d, sort=True), f"{work}/report")
@@ -500,7 +562,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ping_history": q_ping_history,
     "time_bucket": q_time_bucket,
     "close_pairs_grid": q_close_pairs_grid,
-    "close_pairs_brute": q_close_pairs_brute,
+    "close_pairs_wide_cells": q_close_pairs_wide_cells,
     "close_pairs_tolerance": q_close_pairs_tolerance,
     "closest_per_pair": q_closest_per_pair,
     "danger_score": q_danger_score,
@@ -514,7 +576,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incident_report": q_incident_report,
     "lake_roundtrip": q_lake_roundtrip,
     "with_source": q_with_source,
-    "stream_ingest": q_stream_ingest,
+    "ingest_new_files": q_ingest_new_files,
+    "lake_compacted": q_lake_compacted,
+    "report_by_name": q_report_by_name,
+    "zone_pings": q_zone_pings,
     "report_csv_roundtrip": q_report_csv_roundtrip,
     "all_stages": q_all_stages,
     "lake_two_drops": q_lake_two_drops,
@@ -802,7 +867,7 @@ WHERE vessel_id IN (SELECT vessel_id FROM pings GROUP BY vessel_id HAVING count(
         "time_bucket": _with(",\n".join([_PINGS, _bucketed("pings", "b")]),
                              "SELECT event_id, epoch, bucket FROM b"),
         "close_pairs_grid": _with(pair_input, pairs_select),
-        "close_pairs_brute": _with(pair_input, pairs_select),
+        "close_pairs_wide_cells": _with(pair_input, pairs_select),
         "close_pairs_tolerance": _with(",\n".join([
             _PINGS,
             "moving AS (SELECT * FROM pings WHERE vessel_id IS NOT NULL AND ts IS NOT NULL AND sog >= 2.0 AND sog <= 45.0)",
@@ -844,7 +909,20 @@ FROM report"""),
          coalesce(strftime(ts_a, '%Y%m%d_%H%M%S'), 'date_error') || '_' || vessel_a || '_' || vessel_b AS event_key
 FROM top WHERE event_rank IN (SELECT event_rank FROM complete)"""),
         "lake_roundtrip": _with(_PINGS, lake_select),
-        "stream_ingest": _with(_PINGS, lake_select),
+        "ingest_new_files": _with(_PINGS, lake_select),
+        "lake_compacted": _with(_PINGS, lake_select.replace("SELECT event_id", "SELECT CAST(1 AS BIGINT) AS day_files, event_id", 1)),
+        "report_by_name": _with(_SCORED_CHAIN, f"""SELECT CASE WHEN reason = '' THEN danger_score END AS "Danger_Score",
+       CASE WHEN reason = '' THEN vessel_a END AS "MMSI_A", CASE WHEN reason = '' THEN vessel_b END AS "MMSI_B",
+       CASE WHEN reason = '' THEN strftime(ts_a, '%Y-%m-%d %H:%M:%S') END AS "TS_A",
+       CASE WHEN k < 2 THEN sog_a END AS "SOG_A", CASE WHEN k = 0 THEN lat END AS "Latitude",
+       CASE WHEN k = 0 THEN CAST(group_key AS VARCHAR) END AS "File_Source", reason AS rejected
+FROM (SELECT *, CAST(vessel_a AS BIGINT) % 3 AS k,
+        CASE WHEN CAST(vessel_a AS BIGINT) % 3 <> 2 OR CAST(vessel_b AS BIGINT) % 4 > 1 THEN ''
+             WHEN CAST(vessel_b AS BIGINT) % 4 = 0 THEN danger_score || ',' || vessel_a || ',' || vessel_b
+             ELSE '?,' || vessel_a || ',' || vessel_b || ',' || strftime(ts_a, '%Y-%m-%d %H:%M:%S') END AS reason
+      FROM report)"""),
+        "zone_pings": _with(f"{_PINGS},\n{_ZONE}", f"""SELECT ts, vessel_id, {_sr('lat', 6)} AS lat, {_sr('lon', 6)} AS lon,
+       sog, cog, name, group_key, event_id FROM zone"""),
         "lake_days": _with(_PINGS, f"{lake_select} AND CAST(ts AS DATE) BETWEEN DATE '{LAKE_DAYS[0]}' AND DATE '{LAKE_DAYS[1]}'"),
         "lake_two_drops": _with(",\n".join([_PINGS, _RAW, _PARSED]), """SELECT CAST(event_id AS BIGINT) AS event_id,
        CASE WHEN mmsi IS NULL THEN 'bad_vessel_id' WHEN ts IS NULL THEN 'bad_time' ELSE '' END AS reject_reason,
@@ -867,11 +945,12 @@ FROM pings WHERE event_id % 97 <> 0 AND event_id % 89 <> 0"""),
         "exclude_named_nulls": _with(f"{_PINGS},\n{_ODD}", """SELECT 'drop' AS variant, event_id FROM odd WHERE NOT contains(upper(name), 'ERR')
 UNION ALL SELECT 'keep', event_id FROM odd WHERE name IS NULL OR NOT contains(upper(name), 'ERR')
 UNION ALL SELECT 'none', event_id FROM odd"""),
-        "odd_tracks": _with(_odd_chain("odd"), f"""SELECT event_rank, side, min(vessel_id) AS vessel_id,
+        "odd_tracks": _with(_odd_chain("odd"), f"""SELECT *, substr(vessel_label, 1, 15) AS legend_label FROM (
+SELECT event_rank, side, min(vessel_id) AS vessel_id,
        coalesce(arg_min(vessel_name, point_no) FILTER (length(vessel_name) > 0), 'MMSI ' || min(vessel_id)) AS vessel_label,
        count(*) AS n_points, CASE WHEN max(danger_score) >= {SEVERE_SCORE} THEN '{SEVERE_COLOUR}' ELSE '{NORMAL_COLOUR}' END AS severity,
        {_sr('sum(sog)', 6)} AS sum_sog, {_sr('sum(cog)', 6)} AS sum_cog
-FROM points GROUP BY event_rank, side"""),
+FROM points GROUP BY event_rank, side)"""),
         "event_series": _with(_EVENTS_CHAIN, "SELECT event_rank, side, point_no, ts, sog, cog, speed_band FROM points"),
         "nameless_points": _with(_odd_chain("odd"), """SELECT event_rank, side, point_no, ts, sog, cog, '' AS vessel_name, speed_band
 FROM points"""),

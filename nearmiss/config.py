@@ -50,6 +50,7 @@ LAST_SIGNAL_POINTS = 100
 TOP_N = 5
 HALF_WINDOW_MINUTES = 10
 SEVERE_SCORE = 90
+LEGEND_CHARS = 15
 SEVERE_COLOUR = "red"
 NORMAL_COLOUR = "purple"
 # speed bands: upper edge (inclusive) -> colour; faster than the last edge is "green",

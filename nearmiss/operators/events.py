@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nearmiss.config import HALF_WINDOW_MINUTES, SEVERE_SCORE, TOP_N
+from nearmiss.config import HALF_WINDOW_MINUTES, LEGEND_CHARS, SEVERE_SCORE, TOP_N
 from nearmiss.functions.display import event_key, severity, speed_band
 from nearmiss.operators.scoring import report_order
 
@@ -136,7 +136,8 @@ def event_tracks(points: DataFrame, severe_score: int = SEVERE_SCORE) -> DataFra
     """One row per (event, vessel): the time-ordered track (telemetry series)
     as an array of structs, the point count, the display name (first non-empty
     name in time order, else ``MMSI <id>``), the middle point (index ``n // 2``
-    from 0) and the event's severity colour.
+    from 0) and the event's severity colour. ``legend_label`` is the name cut to
+    the legend's ``LEGEND_CHARS`` characters.
 
     A track holds the pings of one vessel inside one event window: its size is
     bounded by the caller's half window and how often a vessel reports (one to
@@ -154,6 +155,7 @@ def event_tracks(points: DataFrame, severe_score: int = SEVERE_SCORE) -> DataFra
     return (
         g.withColumn("vessel_label",
                      F.coalesce(F.col("_name"), F.concat(F.lit("MMSI "), F.col("vessel_id"))))
+        .withColumn("legend_label", F.substring("vessel_label", 1, LEGEND_CHARS))
         .withColumn("middle", F.element_at("track", (F.floor(F.col("n_points") / 2) + 1).cast("int")))
         .withColumn("severity", severity("danger_score", severe_score))
         .drop("_name")

@@ -29,6 +29,7 @@ from nearmiss.operators import (
 from nearmiss.plans.storage import materialize, run_dir
 from nearmiss.sources import (
     accepted,
+    batches,
     parse_pings,
     read_ping_lake,
     read_pings_csv,
@@ -67,40 +68,51 @@ def ingest(spark: SparkSession, csv_path, lake_path: str, *,
     write_ping_lake(accepted(parsed), lake_path, mode, replace_days=replace_days)
 
 
-def ingest_new_files(spark: SparkSession, csv_path: str, lake_path: str, done_path: str,
-                     **options) -> list[str]:
-    """``ingest`` of the CSV files that an earlier call has not seen yet; returns them.
+def ingest_new_files(spark: SparkSession, csv_path, lake_path: str, journal_path: str, *,
+                     rejected_path: str | None = None, **options) -> list[str]:
+    """``ingest`` of the CSV files that no earlier call has ingested; returns them.
 
-    The names of ingested files are kept as a table at ``done_path``, written
-    after the lake: a call that breaks off in between ingests its files again.
+    Each file's rows enter the lake exactly once, also when a call breaks off at any point and is
+    repeated: the new files are one batch (``sources.batches``), written aside and committed by
+    one record, which also enters their names in the journal at ``journal_path``. What is new is
+    found by an anti-join with the journal; only new names reach the driver. A call
+    first finishes what an earlier one has committed. One call at a time for a lake.
     """
-    seen: set[str] = set()
-    if _exists(spark, done_path):
-        seen = {r.file for r in spark.read.parquet(done_path).collect()}
-    files = [f for f in sorted(spark.read.text(csv_path).inputFiles()) if f not in seen]
+    batches.finish(spark, lake_path)
+    files = batches.new_inputs(spark, csv_path, journal_path)
     if files:
-        ingest(spark, files, lake_path, **options)
-        names = spark.createDataFrame([(f,) for f in files], "file string")
-        names.coalesce(1).write.mode("append").parquet(done_path)
+        name, folder = batches.stage(lake_path)
+        bad = f"{folder}/rejected" if rejected_path else None
+        ingest(spark, files, f"{folder}/lake", rejected_path=bad, mode="overwrite", **options)
+        into = {"lake": lake_path} | ({"rejected": rejected_path} if rejected_path else {})
+        batches.commit(spark, lake_path, name, into=into, inputs=files, journal=journal_path)
+        batches.finish(spark, lake_path)
     return files
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+# The columns that the zone table keeps of a ping, where they are there.
+ZONE_COLUMNS = (
+    "ts", "mmsi", "vessel_id", "lat", "lon", "nav_status", "rot", "sog", "cog", "heading", "imo",
+    "callsign", "name", "ship_type", "cargo_type", "width", "length", "source_file",
+)
 
 
 def zone_pings(pings: DataFrame, cfg: EncounterConfig = EncounterConfig(), *,
-               lineage: bool = False) -> DataFrame:
+               lineage: bool = False, keep=()) -> DataFrame:
     """Pings inside the zone, with ``group_key`` = the ping's date (pairs are
-    formed within a day). ``lineage`` adds ``source_file`` (file-read input)."""
+    formed within a day). ``lineage`` adds ``source_file`` (file-read input).
+
+    Only ``ZONE_COLUMNS``, the columns that order and group pings and those
+    named in ``keep`` are kept; no other column is read from the lake or written
+    to the zone table."""
     out = geofence(pings, cfg.centre_lat, cfg.centre_lon, cfg.radius_nm,
                    earth_radius_nm=cfg.earth_radius_nm)
     if "group_key" not in out.columns:
         out = out.withColumn("group_key", F.to_date("ts"))
     if lineage:
         out = with_source(out)
-    return out
+    kept = dict.fromkeys((*ZONE_COLUMNS, "group_key", cfg.group_key, *cfg.order_by, *keep))
+    return out.select(*[c for c in kept if c in out.columns])
 
 
 def prepare_pings(pings: DataFrame, cfg: EncounterConfig = EncounterConfig(), *,

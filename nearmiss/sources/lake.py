@@ -8,6 +8,9 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nearmiss.sources import batches
+from nearmiss.sources.batches import read_consistently
+
 LAKE_PARTITIONS = ("Year", "Month", "Day")
 
 
@@ -66,8 +69,12 @@ def _as_date(d) -> _dt.date | None:
 
 def read_ping_lake(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
     """Read the lake; ``start``/``end`` (dates, inclusive) become a predicate on
-    the partition columns only, so Spark lists and reads just those days."""
-    df = spark.read.parquet(path)
+    the partition columns only, so Spark reads just those days. Batches that are
+    just being published or compacted are seen as a whole or not at all."""
+    return _between(read_consistently(spark, path), start, end)
+
+
+def _between(df: DataFrame, start, end) -> DataFrame:
     day = F.make_date("Year", "Month", "Day")
     start, end = _as_date(start), _as_date(end)
     if start is not None:
@@ -77,6 +84,50 @@ def read_ping_lake(spark: SparkSession, path: str, start=None, end=None) -> Data
     return df
 
 
+#: Size that lake files should have, and the share of it from which a file is left alone.
+FILE_BYTES = 256 << 20
+FULL = 0.75
+#: Files that one batch of a compaction replaces, about.
+BATCH_FILES = 20_000
+
+
+def compact_ping_lake(spark: SparkSession, path: str, *, file_bytes: int = FILE_BYTES, start=None, end=None) -> int:
+    """Rewrite the small files of days that have more of them than they need; returns how
+    many files were replaced.
+
+    Many drops leave many small files in a day. Of each day the files under three quarters of
+    ``file_bytes`` are rewritten together if that makes them fewer; full ones are left alone, so
+    a day that grows isn't rewritten as a whole each time. The rewrite has the layout of
+    ``write_ping_lake``, and replaces the old files in one step for the readers of the lake
+    (``batches``): no row is lost or read twice, whatever breaks off, and a broken-off
+    compaction is finished by the next writer. The driver sees one number for each day, and the
+    names of the files of one batch. ``start`` and ``end`` limit it to those days.
+    """
+    batches.finish(spark, path)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    listed = _between(listed, start, end).filter(F.col("length") < FULL * file_bytes)
+    small = listed.select(*LAKE_PARTITIONS, "path", "length")
+    days = small.groupBy(*LAKE_PARTITIONS).agg(F.count("*").alias("n"), F.sum("length").alias("bytes"))
+    days = days.filter(F.make_date(*LAKE_PARTITIONS).isNotNull() & (F.col("n") > F.greatest(F.ceil(F.col("bytes") / F.lit(file_bytes)), F.lit(1))))
+    rounds: list[list] = []
+    for day in days.orderBy(*LAKE_PARTITIONS).collect():
+        if not rounds or sum(d.n for d in rounds[-1]) + day.n > BATCH_FILES:
+            rounds.append([])
+        rounds[-1].append(day)
+    done = 0
+    for chosen in rounds:
+        # a filter on the partition columns: files of days that an earlier round replaced aren't looked at
+        dates = [F.lit(_dt.date(d.Year, d.Month, d.Day)) for d in chosen]
+        names = sorted(r.path for r in small.filter(F.make_date(*LAKE_PARTITIONS).isin(dates)).collect())
+        name, folder = batches.stage(path)
+        rows = spark.read.option("basePath", path).parquet(*names)
+        write_ping_lake(rows, f"{folder}/lake", "overwrite")
+        batches.commit(spark, path, name, into={"lake": path}, gone=names)
+        batches.finish(spark, path)
+        done += len(names)
+    return done
+
+
 def with_source(df: DataFrame, out: str = "source_file") -> DataFrame:
     """Add the base name of the file each row was read from.
 

@@ -1,0 +1,176 @@
+"""Batches of a lake: exactly once whatever breaks off, compaction, consistent reading."""
+
+import glob
+from collections import Counter
+
+import pytest
+
+from nearmiss.plans import ingest, ingest_new_files
+from nearmiss.sources import batches, compact_ping_lake, lake, read_ping_lake, with_source
+from nearmiss.sources.files import Files
+from tests.conftest import pings
+from tests.test_sources import ROW, _drop
+
+
+class Broken(Exception):
+    pass
+
+
+def _break_after(monkeypatch, owner, name, calls):
+    """Makes the given call of a function fail, before or after it has done its work."""
+    real, left = getattr(owner, name), [calls]
+
+    def fake(*args, **kwargs):
+        left[0] -= 1
+        if left[0] < 0:
+            raise Broken(name)
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(owner, name, fake)
+
+
+# the steps of an ingest at which it can break off: a function and how often it works before
+STEPS = [
+    (batches, "stage", 0), (batches, "commit", 0), (Files, "write", 0), (batches, "finish", 1), (batches, "_enter", 0),
+    (Files, "move_all", 0), (Files, "move", 1), (Files, "move", 3), (Files, "move", 4), (Files, "delete_all", 0),
+    (Files, "delete", 0), (Files, "delete", 1),
+]
+
+
+@pytest.mark.parametrize(("owner", "name", "calls"), STEPS, ids=[f"{n}-{k}" for _, n, k in STEPS])
+def test_an_ingest_that_breaks_off_counts_each_row_once(spark, workdir, monkeypatch, owner, name, calls):
+    csv, at, journal, bad = (f"{workdir}/{x}" for x in ("csv", "lake", "journal", "bad"))
+    hours = lambda day, n: [(f"{day}/12/2021 {h:02d}:00:00", *ROW[1:]) for h in range(n)]
+    go = lambda: ingest_new_files(spark, csv, at, journal, rejected_path=bad)
+    _drop(spark, csv, [*hours(13, 3), ("x", *ROW[1:])])
+    go()
+    _drop(spark, csv, [*hours(13, 2), *hours(14, 4), *hours(15, 1), ("y", *ROW[1:])])
+    with monkeypatch.context() as m:
+        _break_after(m, owner, name, calls)
+        try:
+            go()
+            broke = False
+        except Broken:
+            broke = True
+    if Files(spark).names(f"{at}/{batches.RECORDS}"):  # committed: readers see all of it or nothing
+        assert read_ping_lake(spark, at).count() in (3, 10)
+    _drop(spark, csv, hours(16, 2))  # a later call finds another file, too
+    for _ in range(2):
+        go()
+    got = Counter(r.Day for r in read_ping_lake(spark, at).collect())
+    assert got == {13: 5, 14: 4, 15: 1, 16: 2}
+    assert Counter(r.Day for r in spark.read.parquet(at).collect()) == got  # plain Parquet again
+    assert sorted(r["# Timestamp"] if "# Timestamp" in r else r.Timestamp for r in spark.read.parquet(bad).collect()) == ["x", "y"]
+    assert not Files(spark).names(f"{at}/{batches.RECORDS}") and not Files(spark).names(f"{at}/{batches.STAGING}")
+    assert spark.read.parquet(journal).count() == 3
+    assert broke, "the step was not reached"
+
+
+def test_what_is_new_is_found_without_collecting_the_journal(spark, workdir, monkeypatch):
+    from tests.conftest import plan_text
+
+    csv, at, journal = (f"{workdir}/{x}" for x in ("csv", "lake", "journal"))
+    _drop(spark, csv, [ROW])
+    ingest_new_files(spark, csv, at, journal)
+    _drop(spark, csv, [ROW])
+    _drop(spark, csv, [ROW])
+    seen = []
+    frame = type(spark.range(1))
+    real = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: seen.append((plan_text(self), real(self))) or seen[-1][1])
+    assert len(batches.new_inputs(spark, csv, journal)) == 2
+    ((plan, rows),) = seen
+    assert "LeftAnti" in plan and len(rows) == 2 and "content" not in plan.split("ReadSchema")[1].split("\n")[0]
+
+
+def _drops(spark, workdir, n):
+    p = pings(spark, [(k, f"v{k % 7}", (k * 5 * 3600) % (86400 * 3) - 7200, 55.0, 14.0, 5.0, 0.0) for k in range(n * 4)])
+    for k in range(n):
+        lake.write_ping_lake(p.filter(f"event_id % {n} = {k}"), f"{workdir}/lake", "append")
+    lake.write_ping_lake(p, f"{workdir}/once")
+    return p
+
+
+def _files(workdir, name):
+    return glob.glob(f"{workdir}/{name}/Year=*/Month=*/Day=*/*.parquet")
+
+
+def test_compaction_of_many_late_drops(spark, workdir):
+    """The same rows, and the files of one load; a second compaction has nothing to do."""
+    p = _drops(spark, workdir, 50)
+    assert len(_files(workdir, "lake")) > 100
+    replaced = len(_files(workdir, "lake"))
+    assert compact_ping_lake(spark, f"{workdir}/lake") == replaced
+    assert len(_files(workdir, "lake")) == len(_files(workdir, "once")) == 3
+    back = read_ping_lake(spark, f"{workdir}/lake")
+    assert back.columns == read_ping_lake(spark, f"{workdir}/once").columns
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, read_ping_lake(spark, f"{workdir}/once").collect()))
+    assert back.count() == p.count()
+    assert compact_ping_lake(spark, f"{workdir}/lake") == 0
+
+
+def test_compaction_leaves_full_files_and_other_days_alone(spark, workdir, monkeypatch):
+    _drops(spark, workdir, 4)
+    at = f"{workdir}/lake"
+    before = set(_files(workdir, "lake"))
+    day14 = {f for f in before if "Day=14" in f}
+    monkeypatch.setattr(lake, "BATCH_FILES", 1)  # a batch for each day
+    assert compact_ping_lake(spark, at, start="2021-12-14", end="2021-12-14") == len(day14)
+    assert before - day14 <= set(_files(workdir, "lake"))
+    assert compact_ping_lake(spark, at, file_bytes=1) == 0  # all are full
+    assert compact_ping_lake(spark, at) == len(before - day14)
+    assert len(_files(workdir, "lake")) == 3
+
+
+COMPACTION_STEPS = [
+    (batches, "commit", 0), (Files, "move_all", 0), (Files, "move", 1), (Files, "move", 3), (Files, "delete_all", 0),
+    (Files, "delete", 0), (Files, "delete", 3), (Files, "delete", 12), (Files, "delete", 13),
+]
+
+
+@pytest.mark.parametrize(("owner", "name", "calls"), COMPACTION_STEPS, ids=[f"{n}-{k}" for _, n, k in COMPACTION_STEPS])
+def test_a_compaction_that_breaks_off(spark, workdir, monkeypatch, owner, name, calls):
+    """At every step all rows are read once, and the next writer finishes it."""
+    p = _drops(spark, workdir, 4)
+    want, at = sorted(r.event_id for r in p.collect()), f"{workdir}/lake"
+    assert len(_files(workdir, "lake")) == 12
+    with monkeypatch.context() as m:
+        _break_after(m, owner, name, calls)
+        with pytest.raises(Broken):
+            compact_ping_lake(spark, at)
+    got = with_source(read_ping_lake(spark, at)).collect()
+    assert sorted(r.event_id for r in got) == want and all(r.source_file.endswith(".parquet") for r in got)
+    assert read_ping_lake(spark, at, "2021-12-14", "2021-12-14").count() == sum(r.Day == 14 for r in got)
+    compact_ping_lake(spark, at)
+    assert sorted(r.event_id for r in spark.read.parquet(at).collect()) == want
+    assert len(_files(workdir, "lake")) == 3
+
+
+def test_a_reader_looks_again_when_a_batch_moves_on(spark, workdir, monkeypatch):
+    """The records change between the first look and the listing of files."""
+    _drops(spark, workdir, 4)
+    at = f"{workdir}/lake"
+    with monkeypatch.context() as m:
+        _break_after(m, Files, "move", 1)
+        with pytest.raises(Broken):
+            compact_ping_lake(spark, at)
+    real, looks = batches._records, []
+
+    def records(files, path):
+        looks.append(real(files, path))
+        if len(looks) == 1:
+            monkeypatch.setattr(batches, "_records", real)
+            batches.finish(spark, at)
+            monkeypatch.setattr(batches, "_records", records)
+        return looks[-1]
+
+    monkeypatch.setattr(batches, "_records", records)
+    assert read_ping_lake(spark, at).count() == 16
+    assert len(looks) == 4 and looks[0] and not looks[-1]
+
+
+def test_plain_ingest_adds_what_it_is_given(spark, workdir):
+    _drop(spark, f"{workdir}/csv", [ROW])
+    for _ in range(2):
+        ingest(spark, f"{workdir}/csv", f"{workdir}/lake")
+    assert read_ping_lake(spark, f"{workdir}/lake").count() == 2

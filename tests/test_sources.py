@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from nearmiss.operators import event_targets, top_encounters
 from nearmiss.plans import ingest, ingest_new_files, materialize
 from nearmiss.sources import (
+    REPORT_SCHEMA,
     accepted,
     from_report_layout,
     normalize_pings,
@@ -15,6 +16,7 @@ from nearmiss.sources import (
     read_report,
     rejected,
     rejected_pings,
+    rejected_report,
     with_source,
     write_ping_lake,
     write_report,
@@ -183,6 +185,38 @@ def test_with_source_keeps_pushdown(spark, workdir):
     assert [r.event_id for r in q.collect()] == [2]
 
 
+def test_report_is_read_by_name_and_bad_rows_rejected(spark, workdir):
+    _drop(spark, workdir, [("220", "7", "2021-12-01 06:01:34", "1.5"), ("220", "7", "x"), ("220", "7", "y", "far")],
+          "MMSI_B,Danger_Score,TS_A,Distance_NM")
+    (r,) = read_report(spark, workdir).collect()
+    assert (r.Danger_Score, r.MMSI_B, r.TS_A, r.Distance_NM, r.MMSI_A) == (7, "220", "2021-12-01 06:01:34", 1.5, None)
+    assert list(r.asDict()) == [f.name for f in REPORT_SCHEMA]
+    assert sorted(x.corrupt_record for x in rejected_report(spark, workdir).collect()) == ["220,7,x", "220,7,y,far"]
+    nothing = f"{workdir}/none"
+    spark.range(0).select(F.lit("").alias("v")).write.text(nothing)
+    assert read_report(spark, nothing).count() == 0 == rejected_report(spark, nothing).count()
+
+
+def test_headers_are_found_in_one_job(spark, workdir):
+    """However many files and headers there are; long files are read a block, empty ones skipped."""
+    import os
+
+    from nearmiss.sources.headers import LAST_BATCH, LINES, files_by_header
+
+    for i in range(60):
+        with open(f"{workdir}/f{i}.csv", "w") as f:
+            f.write("\ufeffA,B\r\n1,2\r\n" if i % 2 else "B,A\n" + "2,1\n" * (LINES * (LAST_BATCH + 3) if i == 0 else 1))
+    open(f"{workdir}/empty.csv", "w").close()
+    spark.sparkContext.setJobGroup("headers", "")
+    try:
+        found = files_by_header(spark, workdir)
+    finally:
+        spark.sparkContext.setJobGroup(None, None)
+    assert {h: len(f) for h, f in found.items()} == {"A,B": 30, "B,A": 30}
+    assert all(os.path.exists(f.removeprefix("file:")) for files in found.values() for f in files)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers")) == 1
+
+
 def test_report_parts_in_name_order_are_report_order(spark, workdir):
     import csv
     import glob

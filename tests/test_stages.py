@@ -34,6 +34,22 @@ def test_run_pipeline_from_lake_equals_lazy_chain(spark, workdir):
     assert "Exchange" not in plan_text(out["zone"]) and "rangepartitioning" not in plan_text(out["summary"])
 
 
+def test_zone_table_holds_and_reads_its_columns_only(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from nearmiss.plans import materialize
+    from tests.conftest import plan_text
+
+    wide = ping_view(spark, SF).withColumns({"heading": F.lit(1), "Extra": F.lit("x"), "other": F.lit(2.0)})
+    wide.write.parquet(f"{workdir}/wide")
+    zone = zone_pings(spark.read.parquet(f"{workdir}/wide"), CFG)
+    assert zone.columns == ["ts", "vessel_id", "lat", "lon", "sog", "cog", "heading", "name", "group_key", "event_id"]
+    read = plan_text(zone).split("ReadSchema:")[1].split("\n")[0]
+    assert "heading" in read and "Extra" not in read and "other" not in read
+    assert "Extra" in zone_pings(wide, CFG, keep=("Extra",)).columns
+    assert materialize(zone, f"{workdir}/zone").columns == zone.columns
+
+
 def test_report_of_a_run_is_in_order(spark, workdir):
     """However many files the report is written to."""
     from nearmiss.sources import write_ping_lake
