@@ -26,7 +26,7 @@ _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from nearmiss import EncounterConfig, ScoreWeights  # noqa: E402
@@ -35,7 +35,9 @@ from nearmiss.operators import (  # noqa: E402
     close_pairs,
     closest_per_pair,
     complete_events,
+    crowded_cells,
     danger_score,
+    dense_slices,
     encounter_report,
     event_targets,
     event_track_points,
@@ -49,6 +51,8 @@ from nearmiss.operators import (  # noqa: E402
     pings_per_vessel,
     reliable_vessels,
     top_encounters,
+    track_chunks,
+    track_summary,
     with_time_bucket,
 )
 from nearmiss.plans import (  # noqa: E402
@@ -172,6 +176,15 @@ def q_ping_history(spark, d):
                     "interval_s", "delta_sog", "delta_cog", "is_last_signal", "vessel_pings")
 
 
+def q_ping_history_dense(spark, d):
+    """The history with slices of a week, cut in four where a vessel has over ten pings."""
+    pings, week = ping_view(spark, d), 7 * 86400
+    dense = materialize(dense_slices(pings, slice_seconds=week, max_pings=10, parts=4), f"{run_dir(spark, 'dense')}/cuts")
+    h = ping_history(pings, TEST_CFG.order_by, slice_seconds=week, dense=dense)
+    return h.select("event_id", "vessel_id", "ts", "prev_sog", "prev_cog", "prev_ts", "next_ts",
+                    "interval_s", "delta_sog", "delta_cog", "is_last_signal", "vessel_pings")
+
+
 def q_time_bucket(spark, d):
     return with_time_bucket(ping_view(spark, d), TEST_CFG.bucket_seconds).select(
         "event_id", "epoch", "bucket")
@@ -196,6 +209,13 @@ def q_close_pairs_wide_cells(spark, d):
     return _pairs_out(close_pairs(_pair_input(spark, d), TEST_CFG.dmax_nm, cell_factor=8))
 
 
+def q_close_pairs_crowded(spark, d):
+    """Every cell of more than one ping cut into quadrants, down to one reach."""
+    pings = _pair_input(spark, d)
+    cells = materialize(crowded_cells(pings, TEST_CFG.dmax_nm, max_pings=1), f"{run_dir(spark, 'crowded')}/cells")
+    return _pairs_out(close_pairs(pings, TEST_CFG.dmax_nm, crowded=cells))
+
+
 PAIR_TOLERANCE_S = 1800  # time tolerance instead of tumbling buckets (half a test bucket)
 
 
@@ -450,6 +470,28 @@ def q_event_series(spark, d):
         "event_rank", "side", "point_no", "ts", "sog", "cog", "speed_band")
 
 
+def q_all_events(spark, d):
+    """Every encounter as an event, windows of many time cells: points and vessels of each."""
+    rep = _report(spark, d)
+    within_day = Window.partitionBy("group_key").orderBy("distance_nm", "vessel_a", "vessel_b")
+    targets = event_targets(rep.withColumn("event_rank", F.row_number().over(within_day)), ODD_HALF_WINDOW)
+    p = event_track_points(_zone(spark, d), targets, tie_break=("event_id",), partition_days="group_key")
+    return p.groupBy("event_rank", "vessel_a", "vessel_b", "side").agg(
+        F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+        _r(F.sum("sog"), 6).alias("sum_sog"))
+
+
+def q_track_chunks(spark, d):
+    """Tracks of long windows in chunks of two points, beside the summary of the whole track."""
+    cfg_targets = event_targets(_top(spark, d), TEST_CFG.half_window_minutes)
+    points = event_track_points(_zone(spark, d), cfg_targets, tie_break=("event_id",), partition_days="group_key")
+    chunks = track_chunks(points, 2).select("event_rank", "side", "chunk", "vessel_id", "first_point",
+                                            F.col("n_points").alias("chunk_points"), F.col("track")[0]["ts"].alias("chunk_ts"))
+    whole = track_summary(points).select("event_rank", "side", "n_points", "legend_label", "severity",
+                                         F.col("middle.ts").alias("mid_ts"))
+    return chunks.join(whole, ["event_rank", "side"])
+
+
 def q_nameless_points(spark, d):
     """Track points of a table without a name column."""
     p = _odd_events(spark, d, odd_ping_view(spark, d).drop("name"))
@@ -560,9 +602,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pings_per_vessel": q_pings_per_vessel,
     "reliable_vessels": q_reliable_vessels,
     "ping_history": q_ping_history,
+    "ping_history_dense": q_ping_history_dense,
     "time_bucket": q_time_bucket,
     "close_pairs_grid": q_close_pairs_grid,
     "close_pairs_wide_cells": q_close_pairs_wide_cells,
+    "close_pairs_crowded": q_close_pairs_crowded,
     "close_pairs_tolerance": q_close_pairs_tolerance,
     "closest_per_pair": q_closest_per_pair,
     "danger_score": q_danger_score,
@@ -589,6 +633,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "odd_tracks": q_odd_tracks,
     "event_series": q_event_series,
     "nameless_points": q_nameless_points,
+    "all_events": q_all_events,
+    "track_chunks": q_track_chunks,
     "incomplete_events": q_incomplete_events,
     "events_from_report": q_events_from_report,
     "extract_events": q_extract_events,
@@ -864,10 +910,12 @@ WHERE vessel_id IS NOT NULL GROUP BY vessel_id"""),
         "reliable_vessels": _with(_PINGS, f"""SELECT event_id, vessel_id FROM pings
 WHERE vessel_id IN (SELECT vessel_id FROM pings GROUP BY vessel_id HAVING count(*) >= {ALONE_MIN_PINGS})"""),
         "ping_history": _with(",\n".join([_PINGS, _history("pings")]), hist_select),
+        "ping_history_dense": _with(",\n".join([_PINGS, _history("pings")]), hist_select),
         "time_bucket": _with(",\n".join([_PINGS, _bucketed("pings", "b")]),
                              "SELECT event_id, epoch, bucket FROM b"),
         "close_pairs_grid": _with(pair_input, pairs_select),
         "close_pairs_wide_cells": _with(pair_input, pairs_select),
+        "close_pairs_crowded": _with(pair_input, pairs_select),
         "close_pairs_tolerance": _with(",\n".join([
             _PINGS,
             "moving AS (SELECT * FROM pings WHERE vessel_id IS NOT NULL AND ts IS NOT NULL AND sog >= 2.0 AND sog <= 45.0)",
@@ -952,6 +1000,21 @@ SELECT event_rank, side, min(vessel_id) AS vessel_id,
        {_sr('sum(sog)', 6)} AS sum_sog, {_sr('sum(cog)', 6)} AS sum_cog
 FROM points GROUP BY event_rank, side)"""),
         "event_series": _with(_EVENTS_CHAIN, "SELECT event_rank, side, point_no, ts, sog, cog, speed_band FROM points"),
+        "all_events": _with(_SCORED_CHAIN, f"""SELECT event_rank, vessel_a, vessel_b, side, count(*) AS n, min(p.ts) AS first_ts,
+       max(p.ts) AS last_ts, {_sr('sum(p.sog)', 6)} AS sum_sog
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY group_key ORDER BY distance_nm, vessel_a, vessel_b) AS INTEGER) AS event_rank,
+        unnest(['A', 'B']) AS side, unnest([vessel_a, vessel_b]) AS v FROM report WHERE ts_a IS NOT NULL) e
+  JOIN zone p ON p.vessel_id = e.v AND p.ts BETWEEN e.ts_a - INTERVAL {ODD_HALF_WINDOW} MINUTE AND e.ts_a + INTERVAL {ODD_HALF_WINDOW} MINUTE
+GROUP BY event_rank, vessel_a, vessel_b, side"""),
+        "track_chunks": _with(_EVENTS_CHAIN, f"""SELECT *, CASE WHEN label IS NULL THEN 'MMSI ' || vessel_id ELSE label END AS legend_label
+FROM (SELECT event_rank, side, CAST((point_no - 1) // 2 AS INTEGER) AS chunk, min(vessel_id) AS vessel_id,
+        min(point_no) AS first_point, count(*) AS chunk_points, min(ts) AS chunk_ts FROM points GROUP BY 1, 2, 3)
+  JOIN (SELECT event_rank, side, count(*) AS n_points,
+          substr(arg_min(vessel_name, point_no) FILTER (length(vessel_name) > 0), 1, 15) AS label,
+          CASE WHEN max(danger_score) >= {SEVERE_SCORE} THEN '{SEVERE_COLOUR}' ELSE '{NORMAL_COLOUR}' END AS severity,
+          max(ts) FILTER (point_no = n // 2 + 1) AS mid_ts
+        FROM (SELECT *, count(*) OVER (PARTITION BY event_rank, side) AS n FROM points) GROUP BY event_rank, side)
+  USING (event_rank, side)""").replace("SELECT *, CASE WHEN label IS NULL", "SELECT * EXCLUDE (label), CASE WHEN label IS NULL"),
         "nameless_points": _with(_odd_chain("odd"), """SELECT event_rank, side, point_no, ts, sog, cog, '' AS vessel_name, speed_band
 FROM points"""),
         "incomplete_events": _with(_odd_chain("fewer"), """SELECT event_rank, danger_score, vessel_a, vessel_b, points_a, points_b

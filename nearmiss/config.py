@@ -64,6 +64,17 @@ SPEED_BAND_MISSING = "blue"
 # into time slices keeps a hot vessel id (shared or spoofed ids hold millions of
 # pings) from landing in a single task; 0 or None means one window per vessel.
 HISTORY_SLICE_SECONDS = 3600
+# Pings of one vessel in one such slice beyond which the slice is cut further
+# (``dense_slices``), and into how many parts.
+DENSE_SLICE_PINGS = 500_000
+DENSE_SLICE_PARTS = 64
+# Pings of one grid cell and time bucket beyond which the cell is cut into
+# quadrants (``crowded_cells``).
+CROWDED_CELL_PINGS = 2_000
+# Length of the time cells that event windows are joined by (a window of the
+# published half width), and points of one row of a long track.
+EVENT_CELL_SECONDS = 2 * 60 * HALF_WINDOW_MINUTES
+TRACK_CHUNK_POINTS = 10_000
 
 
 @dataclass(frozen=True)
@@ -111,6 +122,9 @@ class EncounterConfig:
     grid_cell_factor: float = 4.0
     order_by: tuple[str, ...] = ("ts", "lat", "lon", "sog", "cog")
     history_slice_seconds: int | None = HISTORY_SLICE_SECONDS
+    # beyond these a slice of one vessel's history, or a grid cell, is cut further
+    dense_slice_pings: int = DENSE_SLICE_PINGS
+    crowded_cell_pings: int = CROWDED_CELL_PINGS
     weights: ScoreWeights = field(default_factory=ScoreWeights)
     top_n: int = TOP_N
     half_window_minutes: int = HALF_WINDOW_MINUTES

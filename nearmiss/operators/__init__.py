@@ -6,9 +6,11 @@ from nearmiss.operators.events import (
     event_track_points,
     event_tracks,
     top_encounters,
+    track_chunks,
+    track_summary,
 )
-from nearmiss.operators.history import ping_history
-from nearmiss.operators.pairs import close_pairs, closest_per_pair, with_time_bucket
+from nearmiss.operators.history import dense_slices, ping_history
+from nearmiss.operators.pairs import close_pairs, closest_per_pair, crowded_cells, with_time_bucket
 from nearmiss.operators.quality import (
     exclude_named,
     moving_pings,
@@ -27,8 +29,9 @@ from nearmiss.operators.zone import geofence
 
 __all__ = [
     "REPORT_COLUMNS", "SCORE_COMPONENTS", "close_pairs", "closest_per_pair",
-    "complete_events", "danger_score", "encounter_report", "event_targets",
+    "complete_events", "crowded_cells", "danger_score", "dense_slices", "encounter_report", "event_targets",
     "event_track_points", "event_tracks", "exclude_named", "geofence", "incident_report",
     "incident_summary", "moving_pings", "ping_history", "pings_per_vessel", "reliable_vessels",
-    "report_order", "top_encounters", "with_time_bucket",
+    "report_order", "top_encounters", "track_chunks", "track_summary",
+    "with_time_bucket",
 ]

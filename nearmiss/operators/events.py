@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nearmiss.config import HALF_WINDOW_MINUTES, LEGEND_CHARS, SEVERE_SCORE, TOP_N
+from nearmiss.config import EVENT_CELL_SECONDS, HALF_WINDOW_MINUTES, LEGEND_CHARS, SEVERE_SCORE, TOP_N, TRACK_CHUNK_POINTS
 from nearmiss.functions.display import event_key, severity, speed_band
+from nearmiss.functions.motion import epoch_seconds
 from nearmiss.operators.scoring import report_order
 
 
@@ -55,17 +56,21 @@ def event_track_points(
     name: str = "name",
     tie_break=(),
     partition_days=None,
+    cell_seconds: int = EVENT_CELL_SECONDS,
 ) -> DataFrame:
     """Every ping of either event vessel inside the event's window (inclusive).
 
     Instead of the disjunctive ``id = A OR id = B`` condition (a nested-loop
-    join), each target is exploded into one row per (event, vessel): an equi
-    join on the vessel id with the time range as a residual condition.
+    join), each target is exploded into one row per (event, vessel, time cell): an
+    equi join on the vessel id and the ``cell_seconds``-long cells that the window touches.
+    The time range itself is a residual condition on those cells' pings only, at most
+    about twice the matches where a cell is as long as a window, also when every
+    encounter is an event and a vessel has many in a day.
 
     ``partition_days`` names the pings' day partition column(s): a date column,
     or ``("Year", "Month", "Day")``. The targets are then also exploded over the
-    days their window touches and joined on them, which lets dynamic partition
-    pruning skip every day without an event.
+    days their window touches (a cell over midnight counts in both) and joined on
+    them, which lets dynamic partition pruning skip every day without an event.
 
     Adds ``side`` (A/B), ``point_no`` (1.. in time order per event and vessel),
     ``speed_band``; a missing speed or course reads 0.0 and a missing name "".
@@ -90,8 +95,11 @@ def event_track_points(
         name_col.alias("vessel_name"), *tie_break, *day_cols,
     )
 
-    cond = ((F.col("vessel_id") == F.col("_vessel")) & (F.col("ts") >= F.col("window_start"))
-            & (F.col("ts") <= F.col("window_end")))
+    cell = lambda c: F.floor(epoch_seconds(c) / F.lit(cell_seconds))
+    src = src.withColumn("_cell", cell("ts"))
+    cond = ((F.col("vessel_id") == F.col("_vessel")) & (F.col("_cell") == F.col("_window_cell"))
+            & (F.col("ts") >= F.col("window_start")) & (F.col("ts") <= F.col("window_end")))
+    first, last = F.col("window_start"), F.col("window_end")
     if day_cols:
         t = t.withColumn("_day", F.explode(F.sequence(F.to_date("window_start"),
                                                       F.to_date("window_end"))))
@@ -106,6 +114,11 @@ def event_track_points(
                  .withColumn("_d", F.dayofmonth("_day")))
             cond = (cond & (F.col(y) == F.col("_y")) & (F.col(m) == F.col("_m"))
                     & (F.col(d) == F.col("_d")))
+        # the cells of the window's part of that day
+        midnight = F.col("_day").cast(targets.schema["window_start"].dataType)
+        first = F.greatest(first, midnight)
+        last = F.least(last, midnight + F.make_dt_interval(days=F.lit(1)))
+    t = t.withColumn("_window_cell", F.explode(F.sequence(cell(first), cell(last))))
 
     joined = src.join(t, on=cond, how="inner")
     w = Window.partitionBy("event_rank", "side").orderBy("ts", *tie_break)
@@ -141,22 +154,59 @@ def event_tracks(points: DataFrame, severe_score: int = SEVERE_SCORE) -> DataFra
 
     A track holds the pings of one vessel inside one event window: its size is
     bounded by the caller's half window and how often a vessel reports (one to
-    a few hundred points at the published ten minutes), not by the data.
+    a few hundred points at the published ten minutes), not by the data. For windows of
+    days use ``track_summary`` and ``track_chunks``, whose rows are bounded.
     """
-    named = F.when(F.length("vessel_name") > 0, F.col("vessel_name"))
     g = points.groupBy("event_rank", "side").agg(
+        *_track_columns(),
+        F.sort_array(F.collect_list(_point())).alias("track"),
+    )
+    middle = F.element_at("track", (F.floor(F.col("n_points") / 2) + 1).cast("int"))
+    return _labelled(g, severe_score).withColumn("middle", middle)
+
+
+def _point():
+    return F.struct("point_no", "ts", "lat", "lon", "sog", "cog", "speed_band")
+
+
+def _track_columns():
+    named = F.when(F.length("vessel_name") > 0, F.col("vessel_name"))
+    return (
         F.min("vessel_id").alias("vessel_id"),
         F.max("danger_score").alias("danger_score"),
         F.count(F.lit(1)).alias("n_points"),
-        F.sort_array(F.collect_list(F.struct(
-            "point_no", "ts", "lat", "lon", "sog", "cog", "speed_band"))).alias("track"),
         F.min_by(named, F.when(named.isNotNull(), F.col("point_no"))).alias("_name"),
     )
-    return (
-        g.withColumn("vessel_label",
-                     F.coalesce(F.col("_name"), F.concat(F.lit("MMSI "), F.col("vessel_id"))))
-        .withColumn("legend_label", F.substring("vessel_label", 1, LEGEND_CHARS))
-        .withColumn("middle", F.element_at("track", (F.floor(F.col("n_points") / 2) + 1).cast("int")))
-        .withColumn("severity", severity("danger_score", severe_score))
-        .drop("_name")
+
+
+def _labelled(tracks: DataFrame, severe_score: int) -> DataFrame:
+    label = F.coalesce(F.col("_name"), F.concat(F.lit("MMSI "), F.col("vessel_id")))
+    return tracks.withColumns({
+        "vessel_label": label,
+        "legend_label": F.substring(label, 1, LEGEND_CHARS),
+        "severity": severity("danger_score", severe_score),
+    }).drop("_name")
+
+
+def track_summary(points: DataFrame, severe_score: int = SEVERE_SCORE) -> DataFrame:
+    """``event_tracks`` without its arrays, for tracks of any length: sums combine
+    map-side, and the middle point is joined by its number."""
+    g = points.groupBy("event_rank", "side").agg(*_track_columns())
+    half = (F.floor(F.col("n_points") / 2) + 1).cast("int")
+    at = points.select("event_rank", "side", "point_no", _point().alias("middle"))
+    return _labelled(g, severe_score).withColumn("point_no", half).join(
+        at, ["event_rank", "side", "point_no"]).drop("point_no")
+
+
+def track_chunks(points: DataFrame, chunk_points: int = TRACK_CHUNK_POINTS) -> DataFrame:
+    """Tracks in rows of at most ``chunk_points`` points: ``event_rank, side, chunk`` (from 0),
+    ``vessel_id, first_point, n_points, track``. Chunks of a track in order are the track
+    of ``event_tracks``; a point's chunk follows from its number, so chunks of one track are made in
+    many tasks."""
+    chunk = F.floor((F.col("point_no") - 1) / F.lit(chunk_points)).cast("int")
+    return points.withColumn("chunk", chunk).groupBy("event_rank", "side", "chunk").agg(
+        F.min("vessel_id").alias("vessel_id"),
+        F.min("point_no").alias("first_point"),
+        F.count(F.lit(1)).alias("n_points"),
+        F.sort_array(F.collect_list(_point())).alias("track"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nearmiss.config import HISTORY_SLICE_SECONDS
+from nearmiss.config import DENSE_SLICE_PARTS, DENSE_SLICE_PINGS, HISTORY_SLICE_SECONDS
 from nearmiss.functions.motion import course_change, epoch_seconds, speed_change
 
 # Slice number given to pings without a time; sorts before every real slice,
@@ -23,6 +23,40 @@ def _finish(df: DataFrame, ts: str, sog: str, cog: str) -> DataFrame:
     })
 
 
+def _slice(ts: str, slice_seconds: int):
+    return F.coalesce(F.floor(epoch_seconds(ts) / F.lit(slice_seconds)), F.lit(_NO_TIME_SLICE))
+
+
+def _micros(ts: str):
+    """Microseconds of a time, whatever its zone: of the same use within one vessel's pings."""
+    return F.unix_micros(F.col(ts).cast("timestamp"))
+
+
+def dense_slices(
+    df: DataFrame,
+    *,
+    vessel: str = "vessel_id",
+    ts: str = "ts",
+    slice_seconds: int = HISTORY_SLICE_SECONDS,
+    max_pings: int = DENSE_SLICE_PINGS,
+    parts: int = DENSE_SLICE_PARTS,
+) -> DataFrame:
+    """``vessel, _slice, _bounds``: the (vessel, time slice) groups with over ``max_pings`` pings, and
+    the times that cut each into ``parts`` parts of about equally many.
+
+    One id can send without end (spoofed or shared ids), so a slice of fixed length bounds no
+    task. Counts are combined map-side; the quantiles (a mergeable sketch) are taken of the dense
+    groups only, at most one row for every ``max_pings`` pings. Pings of one vessel at one
+    moment stay together, as do those without a time, which the ingest rejects.
+    """
+    pings = df.filter(F.col(vessel).isNotNull() & F.col(ts).isNotNull())
+    pings = pings.select(vessel, _slice(ts, slice_seconds).alias("_slice"), _micros(ts).alias("_us"))
+    crowded = pings.groupBy(vessel, "_slice").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_pings)
+    hot = pings.join(crowded.select(vessel, "_slice"), [vessel, "_slice"], "left_semi")
+    shares = [k / parts for k in range(1, parts)]
+    return hot.groupBy(vessel, "_slice").agg(F.array_distinct(F.percentile_approx("_us", shares, 100 * parts)).alias("_bounds"))
+
+
 def ping_history(
     df: DataFrame,
     order_by=("ts", "lat", "lon", "sog", "cog"),
@@ -32,6 +66,7 @@ def ping_history(
     sog: str = "sog",
     cog: str = "cog",
     slice_seconds: int | None = HISTORY_SLICE_SECONDS,
+    dense: DataFrame | None = None,
 ) -> DataFrame:
     """Add each ping's history within its vessel's time-ordered track.
 
@@ -53,6 +88,10 @@ def ping_history(
     them, and joined back on the same keys, so the pings are scanned and
     shuffled once. ``slice_seconds=None`` runs one window
     per vessel (one task holds each vessel's whole history): small data only.
+
+    ``dense`` (``dense_slices`` of the same pings, written as a table so that its size
+    is known) cuts the slices that hold very many pings further, at times
+    between which about equally many lie. Any table gives the same result.
     """
     order = [F.col(c) for c in order_by]
     pings = df.filter(F.col(vessel).isNotNull())
@@ -68,11 +107,17 @@ def ping_history(
         })
         return _finish(out, ts, sog, cog)
 
-    slice_col = F.coalesce(
-        F.floor(epoch_seconds(ts) / F.lit(slice_seconds)), F.lit(_NO_TIME_SLICE)
-    )
-    pings = pings.withColumn("_slice", slice_col)
-    w = Window.partitionBy(vessel, "_slice").orderBy(*order)
+    pings = pings.withColumn("_slice", _slice(ts, slice_seconds))
+    if dense is None:
+        pings = pings.withColumn("_part", F.lit(0))
+    else:
+        cuts = dense.select(F.col(vessel).alias("_dense_vessel"), F.col("_slice").alias("_dense_slice"), "_bounds")
+        found = (F.col(vessel) == F.col("_dense_vessel")) & (F.col("_slice") == F.col("_dense_slice"))
+        before = F.size(F.filter("_bounds", lambda b: b <= _micros(ts)))
+        pings = pings.join(cuts, found, "left").withColumn("_part", F.coalesce(before, F.lit(0)))
+        pings = pings.drop("_dense_vessel", "_dense_slice", "_bounds")
+    keys = (vessel, "_slice", "_part")
+    w = Window.partitionBy(*keys).orderBy(*order)
     local = pings.withColumns({
         "_rn": F.row_number().over(w),
         "_more": F.lead(F.lit(1)).over(w),
@@ -87,7 +132,7 @@ def ping_history(
     # Spark shuffles the pings once for both.
     plain = [f.name for f in pings.schema if not isinstance(f.dataType, T.MapType)]
     first, last = F.col("_rn") == 1, F.col("_more").isNull()
-    per_slice = local.filter(first | last).groupBy(vessel, "_slice").agg(
+    per_slice = local.filter(first | last).groupBy(*keys).agg(
         F.max(F.when(last, F.col("_rn"))).cast("long").alias("_n"),
         F.max(F.when(last, F.col(sog))).alias("_last_sog"),
         F.max(F.when(last, F.col(cog))).alias("_last_cog"),
@@ -95,10 +140,9 @@ def ping_history(
         F.min(F.when(first, F.col(ts))).alias("_first_ts"),
         F.max(F.when(last, F.hash(*[F.col(f"`{c}`") for c in plain]))).alias("_whole"),
     ).filter(F.col("_whole").isNotNull())
-    sw = Window.partitionBy(vessel).orderBy("_slice")
+    sw = Window.partitionBy(vessel).orderBy("_slice", "_part")
     stitch = per_slice.select(
-        vessel,
-        "_slice",
+        *keys,
         F.lag("_last_sog").over(sw).alias("_before_sog"),
         F.lag("_last_cog").over(sw).alias("_before_cog"),
         F.lag("_last_ts").over(sw).alias("_before_ts"),
@@ -108,13 +152,13 @@ def ping_history(
     # The stitch table grows with vessels × slices: keep it a shuffle join on
     # the window's own partitioning keys (the pings are not shuffled again).
     out = (
-        local.join(stitch.hint("merge"), [vessel, "_slice"], "inner")
+        local.join(stitch.hint("merge"), list(keys), "inner")
         .withColumns({
             "prev_sog": F.when(first, F.col("_before_sog")).otherwise(F.col("prev_sog")),
             "prev_cog": F.when(first, F.col("_before_cog")).otherwise(F.col("prev_cog")),
             "prev_ts": F.when(first, F.col("_before_ts")).otherwise(F.col("prev_ts")),
             "next_ts": F.when(last, F.col("_after_ts")).otherwise(F.col("next_ts")),
         })
-        .drop("_slice", "_rn", "_more", "_before_sog", "_before_cog", "_before_ts", "_after_ts")
+        .drop("_slice", "_part", "_rn", "_more", "_before_sog", "_before_cog", "_before_ts", "_after_ts")
     )
     return _finish(out, ts, sog, cog)

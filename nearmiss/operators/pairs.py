@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nearmiss.config import BUCKET_SECONDS, EARTH_RADIUS_NM, ENCOUNTER_NM
+from nearmiss.config import BUCKET_SECONDS, CROWDED_CELL_PINGS, EARTH_RADIUS_NM, ENCOUNTER_NM
 from nearmiss.functions.geo import (
     GRID_CELL_FACTOR,
     grid_column,
@@ -77,6 +79,109 @@ def with_grid_cell(
     return df.withColumn(col_col, F.pmod(cx, nc)).drop("_wr", "_nc")
 
 
+# Columns that name the place of a ping in the pair join: its cell, and the part of a crowded cell.
+_CELL = ("_cy", "_cx")
+
+
+def _max_level(cell_factor: float) -> int:
+    """How often a cell can be halved until its side is one reach."""
+    return int(math.log2(cell_factor))
+
+
+def _time_cell(epoch: str, cell: int):
+    return F.floor(F.col(epoch) / F.lit(cell))
+
+
+def crowded_cells(
+    df: DataFrame,
+    dmax_nm: float = ENCOUNTER_NM,
+    *,
+    group_key: str = "group_key",
+    bucket: str = "bucket",
+    lat: str = "lat",
+    lon: str = "lon",
+    cell_factor: float = GRID_CELL_FACTOR,
+    tolerance_s: int | None = None,
+    epoch: str = "epoch",
+    earth_radius_nm: float = EARTH_RADIUS_NM,
+    max_pings: int = CROWDED_CELL_PINGS,
+) -> DataFrame:
+    """The grid cells of ``close_pairs`` (same arguments) that hold over ``max_pings`` pings in one
+    group and time: their keys and ``_level``, how often each is to be halved in both directions.
+
+    A level is added for every four times ``max_pings``, until a part's side is one reach. Counts
+    are combined map-side; there is at most one row for every ``max_pings`` pings.
+    """
+    by = [F.col(group_key).alias("_g")]
+    if tolerance_s is None:
+        by.append(F.col(bucket).alias("_k"))
+    else:
+        if isinstance(df.schema[group_key].dataType, T.DateType):
+            by = []
+        by.append(_time_cell(epoch, _time_cell_seconds(tolerance_s, cell_factor)).alias("_k"))
+    cells = with_grid_cell(df, dmax_nm, lat=lat, lon=lon, cell_factor=cell_factor, earth_radius_nm=earth_radius_nm)
+    counts = cells.select(*by, *_CELL).groupBy(*[c for c in ("_g",) if len(by) == 2], "_k", *_CELL).agg(
+        F.count(F.lit(1)).alias("_n"))
+    times = F.ceil(F.log(4.0, F.col("_n") / F.lit(max_pings)))
+    level = F.least(F.greatest(times, F.lit(1)), F.lit(_max_level(cell_factor))).cast("int")
+    return counts.filter(F.col("_n") > max_pings).select(*counts.columns[:-1], level.alias("_level"))
+
+
+def _time_cell_seconds(tolerance_s: int, cell_factor: float) -> int:
+    return int(cell_factor * max(int(tolerance_s), 1))
+
+
+def _with_level(df: DataFrame, crowded: DataFrame, keys: dict[str, str]) -> DataFrame:
+    """Adds ``_level`` (0 where the cell isn't crowded); ``keys`` name the cell's keys in ``df``."""
+    c = crowded.toDF(*[f"_c{name}" for name in crowded.columns])
+    on = [F.col(mine) == F.col(f"_c{name}") for name, mine in keys.items() if name in crowded.columns]
+    out = df.join(c, on, "left").withColumn("_level", F.coalesce("_c_level", F.lit(0)))
+    return out.drop(*c.columns)
+
+
+def _with_part(df: DataFrame, dmax_nm: float, lat: str, lon: str, cell_factor: float, radius: float, *,
+               row_col: str, col_col: str, out: str, neighbours: bool) -> DataFrame:
+    """Adds ``out``, the part of the cell ``(row_col, col_col)`` that a ping lies in; with
+    ``neighbours`` a row for each part of that cell within reach of the ping.
+
+    A cell of level 0 has one part; one of level n has 2^n rows of parts, each cut into as many
+    columns. Rows of the grid with fewer than three columns (next to the poles) are cut into rows
+    only, as a ping can reach a column from both sides there."""
+    y = grid_row(lat, dmax_nm, radius, cell_factor) - F.col(row_col)
+    reach_deg = grid_reach_deg(F.col(row_col), dmax_nm, radius, cell_factor)
+    df = df.withColumn("_nc", grid_columns(reach_deg, cell_factor))
+    nc = F.col("_nc")
+    x = grid_column(lon, nc) - F.col(col_col)
+    x = x - nc * F.round((x - 0.5) / nc)  # the nearer way round
+    rows = F.expr("shiftleft(1, _level)")
+    df = df.withColumns({"_py": y, "_px": x, "_rx": reach_deg * nc / F.lit(360.0), "_rows": rows,
+                         "_cols": F.when(nc < 3, F.lit(1)).otherwise(rows)})
+    if not neighbours:
+        def index(p, n):
+            return F.least(F.greatest(F.floor(F.col(p) * F.col(n)), F.lit(0)), F.col(n) - 1).cast("int")
+
+        part = index("_py", "_rows") * F.col("_cols") + index("_px", "_cols")
+        return df.withColumn(out, part).drop("_nc", "_py", "_px", "_rx", "_rows", "_cols")
+    slack = 1e-9
+
+    def within(p, n, reach):
+        # first and last part, as numbers, that [p - reach, p + reach] touches
+        lo = F.floor((F.col(p) - reach - slack) * F.col(n))
+        hi = F.floor((F.col(p) + reach + slack) * F.col(n))
+        return F.greatest(lo, F.lit(0)).cast("int"), F.least(hi, F.col(n) - 1).cast("int")
+
+    lo_y, hi_y = within("_py", "_rows", F.lit(1.0 / cell_factor))
+    lo_x, hi_x = within("_px", "_cols", F.col("_rx"))
+    lo_x, hi_x = (F.when(F.col("_cols") == 1, F.lit(0)).otherwise(c) for c in (lo_x, hi_x))
+    df = df.withColumns({"_ly": lo_y, "_hy": hi_y, "_lx": lo_x, "_hx": hi_x})
+    df = df.filter((F.col("_ly") <= F.col("_hy")) & (F.col("_lx") <= F.col("_hx")))
+    n_x = F.col("_hx") - F.col("_lx") + 1
+    df = df.withColumn("_t", F.explode(F.sequence(F.lit(0), (F.col("_hy") - F.col("_ly") + 1) * n_x - 1)))
+    part = (F.col("_ly") + F.floor(F.col("_t") / n_x)) * F.col("_cols") + F.col("_lx") + F.col("_t") % n_x
+    return df.withColumn(out, part.cast("int")).drop(
+        "_nc", "_py", "_px", "_rx", "_rows", "_cols", "_ly", "_hy", "_lx", "_hx", "_t")
+
+
 def _side(df: DataFrame, suffix: str, rename: dict[str, str]) -> DataFrame:
     # one call renames every column (and gives the side fresh attribute ids)
     return df.toDF(*[rename.get(c, f"{c}{suffix}") for c in df.columns])
@@ -95,6 +200,7 @@ def close_pairs(
     tolerance_s: int | None = None,
     epoch: str = "epoch",
     earth_radius_nm: float = EARTH_RADIUS_NM,
+    crowded: DataFrame | None = None,
 ) -> DataFrame:
     """All ping pairs of two different vessels in the same group and time
     bucket whose great-circle distance is at most ``dmax_nm``.
@@ -120,10 +226,29 @@ def close_pairs(
     two pings then (they may lie before and after midnight): the pair's group
     is A's. Any other group, such as a file, still does.
 
+    ``crowded`` (``crowded_cells`` of the same pings, written as a table so that its
+    size is known) cuts cells that hold very many pings into parts down to one reach wide, and
+    side B is copied into each part it can reach: fewer candidates a ping, and a harbour
+    spread over several join keys. Any such table gives the same result.
+
     Both sides grow with the data, so the join is pinned to a shuffle
     (sort-merge) join: a size estimate that ignores the replication must not
     pick a broadcast. AQE still splits skewed partitions.
     """
+    a, b, cond, la, loa, lb, lob = _join_sides(
+        df, dmax_nm, group_key, bucket, vessel, lat, lon, cell_factor, tolerance_s, epoch, earth_radius_nm, crowded)
+    cond.append(F.col(f"{vessel}_a") < F.col(f"{vessel}_b"))
+    dist = haversine_nm(la, loa, lb, lob, earth_radius_nm)
+    return (
+        a.join(b.hint("merge"), on=cond, how="inner")
+        .withColumn("distance_nm", dist)
+        .filter(F.col("distance_nm") <= F.lit(dmax_nm))
+        .drop("_g", "_k", "_ka", "_cy", "_cx", "_cy_b", "_cx_b", "_level", "_level_b", "_part", "_part_b")
+    )
+
+
+def _join_sides(df, dmax_nm, group_key, bucket, vessel, lat, lon, cell_factor, tolerance_s, epoch, earth_radius_nm, crowded):
+    """Both sides of the pair join with their keys, and the join's condition on them."""
     tol = tolerance_s is not None
     dated = tol and isinstance(df.schema[group_key].dataType, T.DateType)
     time_key = epoch if tol else bucket
@@ -137,12 +262,12 @@ def close_pairs(
     cond = [] if dated else [F.col(group_key) == F.col("_g")]
     if tol:
         tol_s = max(int(tolerance_s), 1)
-        cell = int(cell_factor * tol_s)
+        cell = _time_cell_seconds(tolerance_s, cell_factor)
         ea, eb = F.col(f"{epoch}_a"), F.col(f"{epoch}_b")
         own = F.floor(eb / F.lit(cell))
         pos = eb - own * cell
         cells = F.array(own, F.when(pos <= tol_s, own - 1), F.when(pos >= cell - tol_s, own + 1))
-        a = a.withColumns({"_ka": F.floor(ea / F.lit(cell)), bucket: F.col(f"{bucket}_a")}).drop(
+        a = a.withColumns({"_ka": _time_cell(f"{epoch}_a", cell), bucket: F.col(f"{bucket}_a")}).drop(
             f"{bucket}_a")
         b = b.withColumn("_k", F.explode(cells)).filter(F.col("_k").isNotNull())
         cond += [F.col("_ka") == F.col("_k"), F.abs(ea - eb) <= F.lit(tolerance_s)]
@@ -153,15 +278,15 @@ def close_pairs(
     b = with_grid_cell(b, dmax_nm, lat=lb, lon=lob, neighbours=True, cell_factor=cell_factor,
                        earth_radius_nm=earth_radius_nm, row_col="_cy_b", col_col="_cx_b")
     cond += [F.col("_cy") == F.col("_cy_b"), F.col("_cx") == F.col("_cx_b")]
-    cond.append(F.col(f"{vessel}_a") < F.col(f"{vessel}_b"))
-
-    dist = haversine_nm(la, loa, lb, lob, earth_radius_nm)
-    return (
-        a.join(b.hint("merge"), on=cond, how="inner")
-        .withColumn("distance_nm", dist)
-        .filter(F.col("distance_nm") <= F.lit(dmax_nm))
-        .drop("_g", "_k", "_ka", "_cy", "_cx", "_cy_b", "_cx_b")
-    )
+    if crowded is not None:
+        a = _with_level(a, crowded, {"_g": group_key, "_k": "_ka" if tol else bucket, "_cy": "_cy", "_cx": "_cx"})
+        a = _with_part(a, dmax_nm, la, loa, cell_factor, earth_radius_nm, row_col="_cy", col_col="_cx",
+                       out="_part", neighbours=False)
+        b = _with_level(b, crowded, {"_g": "_g", "_k": "_k", "_cy": "_cy_b", "_cx": "_cx_b"})
+        b = _with_part(b, dmax_nm, lb, lob, cell_factor, earth_radius_nm, row_col="_cy_b", col_col="_cx_b",
+                       out="_part_b", neighbours=True).withColumnRenamed("_level", "_level_b")
+        cond.append(F.col("_part") == F.col("_part_b"))
+    return a, b, cond, la, loa, lb, lob
 
 
 def closest_per_pair(

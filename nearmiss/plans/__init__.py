@@ -1,6 +1,8 @@
 """Stage chains composed from the operators, and where their outputs live."""
 
 from nearmiss.plans.stages import (
+    crowded_pings,
+    dense_pings,
     detect_encounters,
     extract_events,
     ingest,
@@ -14,6 +16,6 @@ from nearmiss.plans.stages import (
 from nearmiss.plans.storage import materialize, run_dir, shared_dir
 
 __all__ = [
-    "detect_encounters", "extract_events", "ingest", "ingest_new_files", "materialize",
+    "crowded_pings", "dense_pings", "detect_encounters", "extract_events", "ingest", "ingest_new_files", "materialize",
     "pair_tie_break", "prepare_pings", "run_dir", "run_pipeline", "score_encounters", "shared_dir", "zone_pings",
 ]

@@ -9,8 +9,10 @@ from nearmiss.config import EncounterConfig
 from nearmiss.operators import (
     close_pairs,
     closest_per_pair,
+    crowded_cells,
     complete_events,
     danger_score,
+    dense_slices,
     encounter_report,
     event_targets,
     event_track_points,
@@ -116,7 +118,7 @@ def zone_pings(pings: DataFrame, cfg: EncounterConfig = EncounterConfig(), *,
 
 
 def prepare_pings(pings: DataFrame, cfg: EncounterConfig = EncounterConfig(), *,
-                  keep=()) -> DataFrame:
+                  keep=(), dense: DataFrame | None = None) -> DataFrame:
     """In-zone pings → the pings that may pair: deny list, history, reliable
     vessels, moving pings, time bucket.
 
@@ -125,24 +127,40 @@ def prepare_pings(pings: DataFrame, cfg: EncounterConfig = EncounterConfig(), *,
 
     Order matters and follows the analysis: the deny list applies before the
     history; history and the ping count are taken before the speed filter, so
-    slow pings still count and still feed the previous-ping values.
+    slow pings still count and still feed the previous-ping values. ``dense``
+    (``dense_pings`` as a table) cuts the history of very frequent senders finer.
     """
     named = exclude_named(pings, cfg.deny_tokens, keep_null=cfg.keep_unnamed)
     needed = dict.fromkeys(("vessel_id", "ts", "lat", "lon", "sog", "cog", cfg.group_key,
                             *cfg.order_by, *keep))
-    hist = ping_history(named.select(*needed), cfg.order_by, slice_seconds=cfg.history_slice_seconds)
+    hist = ping_history(named.select(*needed), cfg.order_by, slice_seconds=cfg.history_slice_seconds,
+                        dense=dense)
     moving = moving_pings(reliable_vessels(hist, cfg.min_pings), cfg.min_sog, cfg.max_sog)
     return with_time_bucket(moving, cfg.bucket_seconds)
 
 
+def dense_pings(pings: DataFrame, cfg: EncounterConfig = EncounterConfig()) -> DataFrame:
+    """``dense_slices`` of in-zone pings, as ``prepare_pings`` takes it."""
+    named = exclude_named(pings, cfg.deny_tokens, keep_null=cfg.keep_unnamed)
+    return dense_slices(named, slice_seconds=cfg.history_slice_seconds, max_pings=cfg.dense_slice_pings)
+
+
+def crowded_pings(prepared: DataFrame, cfg: EncounterConfig = EncounterConfig()) -> DataFrame:
+    """``crowded_cells`` of prepared pings, as ``score_encounters`` takes it."""
+    return crowded_cells(prepared, cfg.dmax_nm, group_key=cfg.group_key, cell_factor=cfg.grid_cell_factor,
+                         tolerance_s=cfg.pair_tolerance_s, earth_radius_nm=cfg.earth_radius_nm,
+                         max_pings=cfg.crowded_cell_pings)
+
+
 def score_encounters(prepared: DataFrame, cfg: EncounterConfig = EncounterConfig(), *,
-                     sort: bool = True) -> DataFrame:
+                     sort: bool = True, crowded: DataFrame | None = None) -> DataFrame:
     """Prepared pings → encounter report: grid pair join, closest moment per
     pair and group, danger score. ``sort=False`` leaves out the final sort, for
-    callers that aggregate or write the report."""
+    callers that aggregate or write the report. ``crowded`` (``crowded_pings`` as
+    a table) cuts the busiest grid cells finer."""
     pairs = close_pairs(prepared, cfg.dmax_nm, group_key=cfg.group_key,
                         cell_factor=cfg.grid_cell_factor, tolerance_s=cfg.pair_tolerance_s,
-                        earth_radius_nm=cfg.earth_radius_nm)
+                        earth_radius_nm=cfg.earth_radius_nm, crowded=crowded)
     best = closest_per_pair(pairs, group_key=cfg.group_key,
                             tie_break=pair_tie_break(cfg.order_by))
     return encounter_report(danger_score(best, cfg.weights), group_key=cfg.group_key, sort=sort)
@@ -168,7 +186,8 @@ def extract_events(report: DataFrame, pings: DataFrame,
     top = top_encounters(report, cfg.top_n)
     targets = event_targets(top, cfg.half_window_minutes)
     tie = tuple(c for c in cfg.order_by if c != "ts")
-    points = event_track_points(pings, targets, tie_break=tie, partition_days=partition_days)
+    points = event_track_points(pings, targets, tie_break=tie, partition_days=partition_days,
+                                cell_seconds=max(1, 2 * 60 * cfg.half_window_minutes))
     complete = complete_events(points)
     return {
         "top": top,
@@ -210,11 +229,22 @@ def run_pipeline(spark: SparkSession, cfg: EncounterConfig = EncounterConfig(),
     # written.
     zone = materialize(zone_pings(lake, cfg, lineage=cfg.group_key == "source_file"),
                        f"{work}/zone", partition_by=("group_key",))
+    # Where one id or one harbour sends very much, history and pairs are cut finer. The
+    # tables are small (one row for each such place), and their size is known from
+    # their files, so that Spark broadcasts them, or doesn't.
+    dense = _if_any(dense_pings(zone, cfg), f"{work}/dense") if cfg.history_slice_seconds else None
     # The prepared pings come hash-partitioned by vessel: written per day they
     # would make (tasks × days) small files, and the pair join reads all of them.
-    prepared = materialize(prepare_pings(zone, cfg), f"{work}/prepared")
+    prepared = materialize(prepare_pings(zone, cfg, dense=dense), f"{work}/prepared")
+    crowded = _if_any(crowded_pings(prepared, cfg), f"{work}/crowded")
     # A table has no order of its own, so the report is sorted when it is read.
-    report = materialize(score_encounters(prepared, cfg, sort=False), f"{work}/report")
+    report = materialize(score_encounters(prepared, cfg, sort=False, crowded=crowded), f"{work}/report")
     out = {"zone": zone, "prepared": prepared, "report": report.orderBy(*report_order())}
     out.update(extract_events(report, zone, cfg, partition_days="group_key"))
     return out
+
+
+def _if_any(df: DataFrame, path: str) -> DataFrame | None:
+    """``df`` as a written table, None where it has no rows."""
+    table = materialize(df, path)
+    return None if table.isEmpty() else table

@@ -89,6 +89,63 @@ def test_track_points_prune_days(spark, workdir):
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
 
 
+def _many_events(spark):
+    """A vessel of one ping a second for a day, with 40 events; another of one a minute."""
+    import random
+
+    rnd = random.Random(2)
+    day = [(k, "a", k, 55.0, 14.0, 5.0, 0.0, "A" if k % 7 else None) for k in range(0, 80000, 20)]
+    day += [(100000 + k, "b", k, 55.0, 14.0, 5.0, 0.0, "B") for k in range(0, 80000, 60)]
+    rows = [(50, "a", "b", 0.01 * (k + 1), 18.5, ts(rnd.randrange(0, 80000)), ts(0), 5.0, 5.0) for k in range(40)]
+    return pings(spark, day), event_targets(top_encounters(_report(spark, rows), 40))
+
+
+def test_time_cells_bound_the_candidates(spark):
+    """Equal to the plain range join, with at most about twice its rows compared."""
+    from pyspark.sql import functions as F
+
+    zone, targets = _many_events(spark)
+    key = lambda d: sorted((r.event_rank, r.side, r.ts) for r in d.collect())
+    t, p = targets.alias("t"), zone.alias("p")
+    plain = p.join(t, F.col("p.ts").between(F.col("t.window_start"), F.col("t.window_end"))).select(
+        "event_rank", "ts", F.when(F.col("vessel_id") == F.col("vessel_a"), "A").when(F.col("vessel_id") == F.col("vessel_b"), "B").alias("side"))
+    want = key(plain)
+    for kind in (None, "group_key"):
+        for seconds in (1200, 7, 100_000):
+            assert key(event_track_points(zone, targets, partition_days=kind, cell_seconds=seconds)) == want
+    # rows of equal keys, without the residual range
+    cell = F.floor(F.unix_timestamp("ts") / 1200)
+    cells = targets.select("event_rank", F.explode(F.array("vessel_a", "vessel_b")).alias("vessel_id"), F.explode(F.sequence(
+        F.floor(F.unix_timestamp("window_start") / 1200), F.floor(F.unix_timestamp("window_end") / 1200))).alias("cell"))
+    compared = zone.withColumn("cell", cell).join(cells, ["vessel_id", "cell"]).count()
+    assert len(want) <= compared <= 2.2 * len(want)
+    assert zone.join(targets.select(F.explode(F.array("vessel_a", "vessel_b")).alias("vessel_id")), "vessel_id").count() > 10 * compared
+
+
+def test_long_tracks_in_chunks(spark):
+    from nearmiss.operators import track_chunks, track_summary
+
+    zone, targets = _many_events(spark)
+    pts = event_track_points(zone, targets, tie_break=("event_id",))
+    whole = {(r.event_rank, r.side): r for r in event_tracks(pts).collect()}
+    chunks = track_chunks(pts, 7).collect()
+    assert max(len(r.track) for r in chunks) == 7
+    for k, r in whole.items():
+        mine = sorted((c for c in chunks if (c.event_rank, c.side) == k), key=lambda c: c.chunk)
+        assert [p for c in mine for p in c.track] == r.track
+        assert [c.first_point for c in mine] == list(range(1, r.n_points + 1, 7)) and sum(c.n_points for c in mine) == r.n_points
+    columns = ("vessel_id", "vessel_label", "legend_label", "n_points", "severity", "middle")
+    assert {(r.event_rank, r.side): tuple(r[c] for c in columns) for r in track_summary(pts).collect()} == {
+        k: tuple(r[c] for c in columns) for k, r in whole.items()}
+
+
+def test_legend_label_is_cut(spark):
+    zone = pings(spark, [(1, "a", 0, 55.0, 14.0, 5.0, 0.0, "A name of many letters"), (2, "b", 0, 55.0, 14.0, 5.0, 0.0, None)])
+    _, _, targets = _points(spark)
+    got = {r.side: (r.vessel_label, r.legend_label) for r in event_tracks(event_track_points(zone, targets)).collect()}
+    assert got == {"A": ("A name of many letters", "A name of many "), "B": ("MMSI b", "MMSI b")}
+
+
 def test_incident_summary(spark):
     rep = _report(spark, [(50, "1", "2", 0.02, 37.0, ts(0), ts(1), 5.0, 5.0),
                           (90, "4", "5", 0.03, 55.6, ts(5), ts(1), 5.0, 5.0),

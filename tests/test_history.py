@@ -45,6 +45,55 @@ def test_slices_equal_single_window(spark):
         assert _rows(ping_history(df, order, slice_seconds=s)) == base
 
 
+def _hot_vessel(n):
+    """A third of all pings are one vessel's, within a minute of one hour; the rest are spread."""
+    rnd = random.Random(8)
+    hot = [(i, "hot", 3600 + rnd.randint(0, 59), 55.0, 14.0, round(rnd.uniform(0, 20), 1), rnd.uniform(0, 359.9)) for i in range(n)]
+    rest = [(n + i, f"v{rnd.randint(0, 40)}", rnd.randint(0, 9000), 55.0, 14.0, round(rnd.uniform(0, 20), 1), rnd.uniform(0, 359.9))
+            for i in range(2 * n)]
+    return hot + rest
+
+
+def test_dense_slice_is_spread_and_equals_the_plain_window(spark, workdir):
+    from nearmiss.operators import dense_slices
+    from nearmiss.plans import materialize
+
+    df = pings(spark, _hot_vessel(3000)).repartition(4)
+    found = dense_slices(df, max_pings=500, parts=16)
+    (cut,) = found.collect()
+    assert cut.vessel_id == "hot" and 12 <= len(cut._bounds) <= 15
+    dense = materialize(found, f"{workdir}/dense")
+    out = ping_history(df, ("ts", "event_id"), dense=dense)
+    assert _rows(out) == _rows(ping_history(df, ("ts", "event_id"), slice_seconds=None))
+    assert set(out.columns) == set(ping_history(df, ("ts", "event_id")).columns)
+    # the join with the cuts moves no pings, and both branches of the history share one exchange
+    plan = plan_text(out)
+    assert "BroadcastHashJoin LeftOuter" in plan
+    # no window of the hot vessel is much over its share
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        from pyspark.sql import functions as F
+
+        sizes = [r.n for r in ping_history(df, ("ts", "event_id"), dense=dense).filter("vessel_id = 'hot'")
+                 .groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        fixed = [r.n for r in ping_history(df, ("ts", "event_id")).filter("vessel_id = 'hot'")
+                 .groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert fixed == [3000] and len(sizes) >= 8 and max(sizes) < 1000
+
+
+def test_no_slice_is_dense(spark):
+    from nearmiss.operators import dense_slices
+
+    df = pings(spark, _hot_vessel(30))
+    none = dense_slices(df, max_pings=500)
+    assert none.count() == 0
+    assert _rows(ping_history(df, ("ts", "event_id"), dense=none)) == _rows(ping_history(df, ("ts", "event_id")))
+
+
 def test_null_time_sorts_first_and_null_vessel_dropped(spark):
     df = pings(spark, [
         (1, "a", None, 55.0, 14.0, 7.0, 90.0),

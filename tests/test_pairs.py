@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nearmiss.functions import haversine_nm
-from nearmiss.operators import close_pairs, closest_per_pair, with_time_bucket
+from nearmiss.operators import close_pairs, closest_per_pair, crowded_cells, pairs, with_time_bucket
 from tests.conftest import plan_text, pings
 
 KEY = ("group_key", "bucket", "event_id_a", "event_id_b")
@@ -71,6 +71,71 @@ def test_grid_equals_brute_force(spark, centre_lat, centre_lon, spread, dmax, ce
     assert _keys(close_pairs(df, dmax, cell_factor=cell_factor)) == want
 
 
+@pytest.mark.parametrize("centre_lat,centre_lon,spread,dmax", [
+    (55.2, 14.2, 0.02, 0.054), (0.0, 179.99, 0.02, 0.054), (-0.01, -179.995, 0.05, 1.0),
+    (89.95, 0.0, 0.2, 3.0), (89.5, 30.0, 2.0, 30.0), (-75.0, 60.0, 1.0, 20.0), (0.0, 179.9995, 0.00002, 0.001),
+    (80.0, 0.0, 60.0, 600.0),  # rows of few columns around the pole
+])
+@pytest.mark.parametrize(("cell_factor", "max_pings"), [(4.0, 1), (9.0, 2)])
+def test_crowded_cells_equal_brute_force(spark, centre_lat, centre_lon, spread, dmax, cell_factor, max_pings):
+    rnd = random.Random(hash((centre_lat, dmax)) & 0xFFFF)
+    rows = []
+    for i in range(500):
+        lat = max(-90.0, min(90.0, centre_lat + rnd.uniform(-spread, spread)))
+        lon = (centre_lon + rnd.uniform(-spread, spread) * 3 + 180.0) % 360.0 - 180.0
+        rows.append((i, f"v{rnd.randint(0, 60)}", rnd.randint(0, 29), lat, lon, 5.0, 0.0))
+    df = _bucketed(spark, rows, 10)
+    cells = crowded_cells(df, dmax, cell_factor=cell_factor, max_pings=max_pings)
+    assert cells.count() > 0 or max_pings > 1
+    assert _keys(close_pairs(df, dmax, cell_factor=cell_factor, crowded=cells)) == _keys(brute(df, dmax))
+
+
+def test_crowded_cells_with_a_tolerance(spark):
+    rnd = random.Random(5)
+    rows = [(i, f"v{rnd.randint(0, 25)}", 79200 + rnd.randint(-60, 60), 55.0 + rnd.uniform(0, 0.002),
+             14.0 + rnd.uniform(0, 0.003), 5.0, 0.0) for i in range(300)]
+    df = _bucketed(spark, rows)
+    cells = crowded_cells(df, 0.054, tolerance_s=5, max_pings=2)
+    assert cells.count() > 0
+    key = lambda p: sorted((r.event_id_a, r.event_id_b) for r in p.collect())
+    assert key(close_pairs(df, 0.054, tolerance_s=5, crowded=cells)) == key(brute(df, 0.054, 5))
+
+
+def _candidates(df, dmax, crowded=None):
+    """Pairs that the join compares, and the largest number in one of its keys, by counts of the keys."""
+    a, b, _, *_ = pairs._join_sides(df, dmax, "group_key", "bucket", "vessel_id", "lat", "lon", 4.0, None, "epoch", 3440.065, crowded)
+    parts = (["_part"], ["_part_b"]) if crowded is not None else ([], [])
+    na = a.groupBy("group_key", "bucket", "_cy", "_cx", *parts[0]).agg(F.count("*").alias("na"))
+    nb = b.groupBy(F.col("_g").alias("group_key"), F.col("_k").alias("bucket"), F.col("_cy_b").alias("_cy"), F.col("_cx_b").alias("_cx"),
+                   *[F.col(c).alias("_part") for c in parts[1]]).agg(F.count("*").alias("nb"))
+    r = na.join(nb, ["group_key", "bucket", "_cy", "_cx", *parts[0]]).agg(
+        F.sum(F.col("na") * F.col("nb")), F.max(F.col("na") * F.col("nb"))).first()
+    return r[0], r[1]
+
+
+def test_a_harbour_of_many_pings_in_one_cell(spark, workdir):
+    """100,000 pings in one bucket of about one cell: under half the candidates (four cells in a row would give a
+    quarter), and none of the join keys of the old size."""
+    from nearmiss.plans import materialize
+
+    lat0, lon0, side = 55.0, 14.0, 0.054 * 4 / 60  # about a cell
+    ids = spark.range(100_000)
+    df = ids.select(
+        F.col("id").alias("event_id"), F.concat(F.lit("v"), F.col("id")).alias("vessel_id"),
+        F.to_date(F.lit("2021-12-13")).alias("group_key"), F.lit(1).alias("bucket"), F.lit(0).alias("epoch"),
+        (lat0 + side * F.pmod(F.xxhash64("id"), F.lit(99991)) / 99991).alias("lat"),
+        (lon0 + 1.7 * side * F.pmod(F.xxhash64("id", F.lit(1)), F.lit(99991)) / 99991).alias("lon"))
+    cells = materialize(crowded_cells(df, 0.054), f"{workdir}/cells")
+    fixed, fixed_key = _candidates(df, 0.054)
+    finer, finer_key = _candidates(df, 0.054, cells)
+    assert fixed > 2 * finer and fixed_key > 10 * finer_key, (fixed, finer, fixed_key, finer_key)
+    few = df.filter("event_id % 50 = 0")
+    cells = materialize(crowded_cells(few, 0.054, max_pings=100), f"{workdir}/few")
+    got = close_pairs(few, 0.054, crowded=cells)
+    assert "BroadcastHashJoin" in plan_text(got) and "SortMergeJoin" in plan_text(got)
+    assert _keys(got) == _keys(close_pairs(few, 0.054)) and got.count() > 10_000
+
+
 def test_grid_pair_over_cell_corner_found_once(spark):
     # both points straddle row and column boundaries of the grid
     df = _bucketed(spark, [
