@@ -64,6 +64,7 @@ from nearmiss.plans import (  # noqa: E402
     pair_tie_break,
     run_dir,
     run_pipeline,
+    update_report,
     zone_pings,
 )
 from nearmiss.sources import (  # noqa: E402
@@ -585,6 +586,18 @@ def q_all_stages(spark, d):
     return _report_out(out["report"])
 
 
+def q_incremental_report(spark, d):
+    """The report kept up with a lake: two drops, the second with late pings of two days, and a
+    call that finds nothing new."""
+    work = run_dir(spark, "incremental")
+    pings = ping_view(spark, d)
+    late = "event_id % 3 = 0 AND group_key IN (DATE '2024-01-10', DATE '2024-01-20')"
+    for rows in (f"NOT ({late})", late, "false"):
+        write_ping_lake(pings.filter(rows), f"{work}/lake", "append")
+        out = update_report(spark, f"{work}/lake", f"{work}/state", TEST_CFG)
+    return _report_out(out["report"])
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the sorted encounter report on sf0.001 (geofence → deny list →
     history → reliable vessels → moving pings → grid pair join → closest
@@ -626,6 +639,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zone_pings": q_zone_pings,
     "report_csv_roundtrip": q_report_csv_roundtrip,
     "all_stages": q_all_stages,
+    "incremental_report": q_incremental_report,
     "lake_two_drops": q_lake_two_drops,
     "lake_days": q_lake_days,
     "rejected_malformed": q_rejected_malformed,
@@ -931,6 +945,7 @@ WHERE {_hav('a.lat', 'a.lon', 'b.lat', 'b.lon')} <= {TEST_CFG.dmax_nm}"""),
        proximity_points, course_points, speed_points, stale_penalty, signal_points, danger_score
 FROM report"""),
         "encounter_report": _with(_SCORED_CHAIN, _REPORT_SELECT),
+        "incremental_report": _with(_SCORED_CHAIN, _REPORT_SELECT),
         "top_encounters": _with(_EVENTS_CHAIN, f"""SELECT event_rank, danger_score, vessel_a, vessel_b,
        {_sr('distance_nm', 6)} AS distance_nm, distance_m, ts_a, ts_b FROM top"""),
         "event_targets": _with(_EVENTS_CHAIN, f"""SELECT event_rank, danger_score, vessel_a, vessel_b,

@@ -9,7 +9,7 @@ from nearmiss.operators.events import (
     track_chunks,
     track_summary,
 )
-from nearmiss.operators.history import dense_slices, ping_history
+from nearmiss.operators.history import dense_slices, ping_history, with_changes
 from nearmiss.operators.pairs import close_pairs, closest_per_pair, crowded_cells, with_time_bucket
 from nearmiss.operators.quality import (
     exclude_named,
@@ -33,5 +33,5 @@ __all__ = [
     "event_track_points", "event_tracks", "exclude_named", "geofence", "incident_report",
     "incident_summary", "moving_pings", "ping_history", "pings_per_vessel", "reliable_vessels",
     "report_order", "top_encounters", "track_chunks", "track_summary",
-    "with_time_bucket",
+    "with_changes", "with_time_bucket",
 ]

@@ -14,7 +14,9 @@ from nearmiss.functions.motion import course_change, epoch_seconds, speed_change
 _NO_TIME_SLICE = -(2**62)
 
 
-def _finish(df: DataFrame, ts: str, sog: str, cog: str) -> DataFrame:
+def with_changes(df: DataFrame, ts: str = "ts", sog: str = "sog", cog: str = "cog") -> DataFrame:
+    """Add what follows from a ping's own and its neighbours' values: ``interval_s``, ``delta_sog``,
+    ``delta_cog`` and ``is_last_signal``."""
     return df.withColumns({
         "interval_s": epoch_seconds(ts) - epoch_seconds("prev_ts"),
         "delta_sog": speed_change(sog, "prev_sog"),
@@ -105,7 +107,7 @@ def ping_history(
             "next_ts": F.lead(ts).over(w),
             "vessel_pings": F.count(F.lit(1)).over(Window.partitionBy(vessel)),
         })
-        return _finish(out, ts, sog, cog)
+        return with_changes(out, ts, sog, cog)
 
     pings = pings.withColumn("_slice", _slice(ts, slice_seconds))
     if dense is None:
@@ -161,4 +163,4 @@ def ping_history(
         })
         .drop("_slice", "_part", "_rn", "_more", "_before_sog", "_before_cog", "_before_ts", "_after_ts")
     )
-    return _finish(out, ts, sog, cog)
+    return with_changes(out, ts, sog, cog)

@@ -28,7 +28,7 @@ from nearmiss.operators import (
     top_encounters,
     with_time_bucket,
 )
-from nearmiss.plans.storage import materialize, run_dir
+from nearmiss.plans.storage import if_any, materialize, run_dir
 from nearmiss.sources import (
     accepted,
     batches,
@@ -232,19 +232,13 @@ def run_pipeline(spark: SparkSession, cfg: EncounterConfig = EncounterConfig(),
     # Where one id or one harbour sends very much, history and pairs are cut finer. The
     # tables are small (one row for each such place), and their size is known from
     # their files, so that Spark broadcasts them, or doesn't.
-    dense = _if_any(dense_pings(zone, cfg), f"{work}/dense") if cfg.history_slice_seconds else None
+    dense = if_any(dense_pings(zone, cfg), f"{work}/dense") if cfg.history_slice_seconds else None
     # The prepared pings come hash-partitioned by vessel: written per day they
     # would make (tasks × days) small files, and the pair join reads all of them.
     prepared = materialize(prepare_pings(zone, cfg, dense=dense), f"{work}/prepared")
-    crowded = _if_any(crowded_pings(prepared, cfg), f"{work}/crowded")
+    crowded = if_any(crowded_pings(prepared, cfg), f"{work}/crowded")
     # A table has no order of its own, so the report is sorted when it is read.
     report = materialize(score_encounters(prepared, cfg, sort=False, crowded=crowded), f"{work}/report")
     out = {"zone": zone, "prepared": prepared, "report": report.orderBy(*report_order())}
     out.update(extract_events(report, zone, cfg, partition_days="group_key"))
     return out
-
-
-def _if_any(df: DataFrame, path: str) -> DataFrame | None:
-    """``df`` as a written table, None where it has no rows."""
-    table = materialize(df, path)
-    return None if table.isEmpty() else table

@@ -38,3 +38,9 @@ def materialize(df: DataFrame, path: str, *, partition_by=None) -> DataFrame:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def if_any(df: DataFrame, path: str) -> DataFrame | None:
+    """``df`` as a written table, None where it has no rows."""
+    table = materialize(df, path)
+    return None if table.isEmpty() else table

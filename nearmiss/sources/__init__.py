@@ -18,6 +18,7 @@ from nearmiss.sources.driver_tables import (
 from nearmiss.sources.lake import (
     LAKE_PARTITIONS,
     compact_ping_lake,
+    lake_files,
     read_ping_lake,
     with_calendar_parts,
     with_source,
@@ -35,7 +36,7 @@ from nearmiss.sources.reports import (
 
 __all__ = [
     "AIS_HEADERS", "LAKE_PARTITIONS", "REPORT_HEADERS", "REPORT_SCHEMA", "accepted",
-    "compact_ping_lake", "from_report_layout", "load_table", "normalize_pings", "odd_ping_view", "parse_pings",
+    "compact_ping_lake", "from_report_layout", "lake_files", "load_table", "normalize_pings", "odd_ping_view", "parse_pings",
     "ping_view", "raw_ping_text", "read_ping_lake", "read_pings_csv", "read_report", "rejected",
     "rejected_pings", "rejected_report", "to_report_layout", "with_calendar_parts", "with_source",
     "write_ping_lake", "write_report",

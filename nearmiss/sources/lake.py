@@ -128,6 +128,14 @@ def compact_ping_lake(spark: SparkSession, path: str, *, file_bytes: int = FILE_
     return done
 
 
+def lake_files(spark: SparkSession, path: str) -> DataFrame:
+    """``group_key, file``: the day and name of every data file of the lake; none is opened. (One
+    write gives its files the same name in every day.)"""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    name = F.regexp_extract("path", "[^/]*$", 0)
+    return listed.select(F.make_date(*LAKE_PARTITIONS).alias("group_key"), name.alias("file"))
+
+
 def with_source(df: DataFrame, out: str = "source_file") -> DataFrame:
     """Add the base name of the file each row was read from.
 

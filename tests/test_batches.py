@@ -122,6 +122,17 @@ def test_compaction_leaves_full_files_and_other_days_alone(spark, workdir, monke
     assert len(_files(workdir, "lake")) == 3
 
 
+def test_a_broken_off_compaction_of_one_day_hides_no_other(spark, workdir, monkeypatch):
+    """Files of one write have the same name in every day."""
+    _drops(spark, workdir, 4)
+    at = f"{workdir}/lake"
+    with monkeypatch.context() as m:
+        _break_after(m, Files, "delete_all", 0)
+        with pytest.raises(Broken):
+            compact_ping_lake(spark, at, start="2021-12-14", end="2021-12-14")
+    assert sorted(r.event_id for r in read_ping_lake(spark, at).collect()) == list(range(16))
+
+
 COMPACTION_STEPS = [
     (batches, "commit", 0), (Files, "move_all", 0), (Files, "move", 1), (Files, "move", 3), (Files, "delete_all", 0),
     (Files, "delete", 0), (Files, "delete", 3), (Files, "delete", 12), (Files, "delete", 13),
