@@ -31,9 +31,8 @@ def _break_after(monkeypatch, owner, name, calls):
 
 # the steps of an ingest at which it can break off: a function and how often it works before
 STEPS = [
-    (batches, "stage", 0), (batches, "commit", 0), (Files, "write", 0), (batches, "finish", 1), (batches, "_enter", 0),
-    (Files, "move_all", 0), (Files, "move", 1), (Files, "move", 3), (Files, "move", 4), (Files, "delete_all", 0),
-    (Files, "delete", 0), (Files, "delete", 1),
+    (batches, "commit", 0), (Files, "write", 0), (batches, "finish", 1), (batches, "_enter", 0), (Files, "move", 1),
+    (Files, "move", 4), (Files, "delete_all", 0), (Files, "delete", 1),
 ]
 
 
@@ -134,8 +133,7 @@ def test_a_broken_off_compaction_of_one_day_hides_no_other(spark, workdir, monke
 
 
 COMPACTION_STEPS = [
-    (batches, "commit", 0), (Files, "move_all", 0), (Files, "move", 1), (Files, "move", 3), (Files, "delete_all", 0),
-    (Files, "delete", 0), (Files, "delete", 3), (Files, "delete", 12), (Files, "delete", 13),
+    (batches, "commit", 0), (Files, "move", 1), (Files, "move", 3), (Files, "delete_all", 0), (Files, "delete", 3), (Files, "delete", 13),
 ]
 
 
