@@ -14,13 +14,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nearmiss.llm.common import arrow_batch, mix64, segments, text_slices
 
-#: Labelled documents the model is fitted on, of each language the first by a hash of the id.
-TRAINING_DOCUMENTS = 1000
+#: Labelled documents the model is fitted on: of each language at most so many, the first by a
+#: hash of the id, and fewer where all languages together would have more than the second number
+#: (one at least; a language is never left out).
+TRAINING_DOCUMENTS, TRAINING_TOTAL = 1000, 8000
+#: Bytes of a text whose n-grams are hashed at a time.
+PIECE_BYTES = 1 << 20
 BUCKETS, WIDTH = 1 << 15, 16
 GRAMS = (2, 3, 4)
 UNKNOWN = "und"
@@ -39,18 +43,15 @@ LOWER[[9, 10, 11, 12, 13]] = 32
 @dataclass
 class LanguageModel:
     languages: list[str]
-    table: np.ndarray  # bucket -> what the n-gram adds to each language: embeddings times layer
+    table: np.ndarray  # bucket -> embedding, or, for few languages, embedding times layer
+    layer: np.ndarray | None  # embedding -> languages, None where the table holds the product
     bias: np.ndarray
     temperature: float
     threshold: float
 
 
-def buckets(encoded: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all n-grams of the texts, text by text, and how many each text has. A space
-    is put before and behind each text; an n-gram never spans two."""
-    lengths, starts = segments([len(e) + 2 for e in encoded])
-    joined = LOWER[np.frombuffer(b"".join(b" " + e + b" " for e in encoded), dtype=np.uint8)]
-    room = np.repeat(starts + lengths, lengths) - np.arange(len(joined))  # bytes left in the text
+def _hashed(joined: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """Buckets of the n-grams that begin at each byte; 0 where ``room`` bytes are too few."""
     out = np.zeros((len(joined), len(GRAMS)), dtype=np.int32)
     code = joined.astype(np.uint64)
     for k, gram in enumerate(range(1, max(GRAMS) + 1)):
@@ -61,7 +62,25 @@ def buckets(encoded: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if gram in GRAMS:
             own = (mix64(code + np.uint64(gram << 40)) % np.uint64(BUCKETS - 1)).astype(np.int32) + 1
             out[:, GRAMS.index(gram)] = np.where(room >= gram, own, 0)  # bucket 0 is none
-    return out, lengths
+    return out
+
+
+def buckets(encoded: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all n-grams of the texts, text by text, and how many each text has. A space
+    is put before and behind each text; an n-gram never spans two."""
+    lengths, starts = segments([len(e) + 2 for e in encoded])
+    joined = LOWER[np.frombuffer(b"".join(b" " + e + b" " for e in encoded), dtype=np.uint8)]
+    room = np.repeat(starts + lengths, lengths) - np.arange(len(joined))  # bytes left in the text
+    return _hashed(joined, room), lengths
+
+
+def bucket_pieces(encoded: bytes) -> Iterator[np.ndarray]:
+    """``buckets`` of one text, PIECE_BYTES of it at a time."""
+    joined = np.frombuffer(b" " + encoded + b" ", dtype=np.uint8)
+    for at in range(0, len(joined), PIECE_BYTES):
+        part = LOWER[joined[at : at + PIECE_BYTES + max(GRAMS) - 1]]
+        room = len(joined) - at - np.arange(len(part))
+        yield _hashed(part, room)[:PIECE_BYTES]
 
 
 def train(bags: list[tuple], languages: list[str], *, epochs: int = 5, rate: float = 1.0, seed: int = 7) -> LanguageModel:
@@ -92,9 +111,8 @@ def train(bags: list[tuple], languages: list[str], *, epochs: int = 5, rate: flo
             embed[g] -= now * 20 * share[:, None] * back
             step += 1
     embed[0] = 0
-    table = embed @ layer
     kept_out = np.flatnonzero(out) if out.any() else learn
-    z = np.stack([shares[i] @ table[grams[i]] for i in kept_out]) + bias
+    z = np.stack([shares[i] @ embed[grams[i]] for i in kept_out]) @ layer + bias
     best, temperature = np.inf, 1.0
     for t in np.exp(np.linspace(-3, 3, 61)):
         s = z / t
@@ -108,14 +126,19 @@ def train(bags: list[tuple], languages: list[str], *, epochs: int = 5, rate: flo
     share = np.cumsum(right[order]) / np.arange(1, len(order) + 1)
     good = np.flatnonzero(share >= 0.99)
     threshold = float(p.max(1)[order[good[-1]]]) if len(good) else 1.0
-    return LanguageModel(names, table, bias, temperature, min(threshold, 0.5))
+    if len(names) <= WIDTH:
+        return LanguageModel(names, embed @ layer, None, bias, temperature, threshold)
+    return LanguageModel(names, embed, layer, bias, temperature, threshold)
 
 
 def bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The different buckets of a text's n-grams, and the share of n-grams in each."""
-    own = buckets([text])[0].ravel()
-    found, counts = np.unique(own[own > 0], return_counts=True)
-    return found, counts / max(counts.sum(), 1)
+    counts = np.zeros(BUCKETS, dtype=np.int64)
+    for own in bucket_pieces(text):
+        counts += np.bincount(own.ravel(), minlength=BUCKETS)
+    counts[0] = 0
+    found = np.flatnonzero(counts)
+    return found, counts[found] / max(counts.sum(), 1)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -129,39 +152,53 @@ def predict(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], n
     able = [i for i, t in enumerate(texts) if t and LETTER.search(t)] if model.languages else []
     names, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
     rejected = np.ones(len(texts), dtype=bool)
-    for lo, hi in text_slices([texts[i] for i in able], 1 << 20):
-        own, n = buckets([texts[i].encode() for i in able[lo:hi]])
-        sums = np.zeros((len(n), len(model.languages)))
-        starts = np.cumsum(n) - n
-        for k in range(len(model.languages)):
-            column = model.table[:, k]
-            sums[:, k] = np.add.reduceat(column[own].sum(axis=1), starts)
-        grams = np.add.reduceat((own > 0).sum(axis=1), starts)
-        p = softmax((sums / grams[:, None] + model.bias) / model.temperature)
+    width = model.table.shape[1] if model.languages else 0
+    for lo, hi in text_slices([texts[i] for i in able], PIECE_BYTES):
+        encoded = [texts[i].encode() for i in able[lo:hi]]
+        sums, grams = np.zeros((len(encoded), width)), np.zeros(len(encoded))
+        if len(encoded) == 1:  # as long as it likes
+            for own in bucket_pieces(encoded[0]):
+                grams += (own > 0).sum()
+                for k in range(width):
+                    sums[0, k] += model.table[:, k][own].sum()
+        else:
+            own, n = buckets(encoded)
+            starts = np.cumsum(n) - n
+            for k in range(width):
+                sums[:, k] = np.add.reduceat(model.table[:, k][own].sum(axis=1), starts)
+            grams = np.add.reduceat((own > 0).sum(axis=1), starts)
+        mean = sums / grams[:, None]
+        p = softmax(((mean if model.layer is None else mean @ model.layer) + model.bias) / model.temperature)
         for i, best, s in zip(able[lo:hi], p.argmax(axis=1), p.max(axis=1)):
             names[i], score[i], rejected[i] = model.languages[best], min(float(s), 1.0), s < model.threshold
     return names, score, rejected
 
 
 def train_languages(
-    documents: DataFrame, *, id_col="doc_id", text_col="text", lang_col="lang", n_documents: int = TRAINING_DOCUMENTS
+    documents: DataFrame, *, id_col="doc_id", text_col="text", lang_col="lang",
+    n_documents: int = TRAINING_DOCUMENTS, n_total: int = TRAINING_TOTAL,
 ) -> LanguageModel:
-    """The model fitted on labelled documents, whole: of each language the first ``n_documents``
-    by a hash of the id. The driver gets their bags, each of at most BUCKETS numbers however
-    long the text is."""
+    """The model fitted on labelled documents, whole: of every language at most ``n_documents`` rows,
+    the first by a hash of the id, then by a hash of the text, and at most its share of ``n_total``
+    (one at least). Rows of one id count one by one. The driver gets the bags of those rows,
+    each of at most BUCKETS numbers however long the text is.
+    """
+    nothing = LanguageModel([], np.zeros((BUCKETS, 0)), None, np.zeros(0), 1.0, 1.0)
     learnable = documents.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
         F.col(lang_col).cast("string").alias("lang"),
     ).dropna()
     # ids first, so that no text is sorted; ties of the hash go to the smaller id
     ids = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang")).dropna()
-    names = [r.lang for r in ids.select("lang").distinct().orderBy("lang").limit(1000).collect()]
-    if not names:
-        return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 1.0)
-    chosen = None
-    for name in names:
-        part = ids.filter(F.col("lang") == name).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(n_documents)
-        chosen = part if chosen is None else chosen.unionAll(part)
+    n_languages = ids.select("lang").distinct().count()
+    if not n_languages:
+        return nothing
+    each = min(n_documents, max(1, n_total // n_languages))
+    by_id = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = ids.withColumn("_k", F.row_number().over(by_id)).filter(F.col("_k") <= each).select("doc_id", "lang").distinct()
+    # an id may have many rows: they are limited, too, each task handing on its first ones only
+    by_text = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
+    rows_of = learnable.join(chosen, ["doc_id", "lang"]).withColumn("_k", F.row_number().over(by_text)).filter(F.col("_k") <= each)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = {"doc_id": pa.int64(), "lang": pa.string(), "found": pa.binary(), "shares": pa.binary()}
@@ -178,12 +215,12 @@ def train_languages(
             )
 
     rows = (
-        learnable.join(F.broadcast(chosen.distinct()), "doc_id")  # n_documents of each language at most
+        rows_of.select("doc_id", "lang", "text")
         .mapInArrow(run, "doc_id long, lang string, found binary, shares binary")
         .collect()
     )
     if not rows:
-        return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 1.0)
+        return nothing
     rows.sort(key=lambda r: (hash_of(r.doc_id), r.doc_id, r.lang, bytes(r.found), bytes(r.shares)))
     bags = [(np.frombuffer(r.found, "<i4"), np.frombuffer(r.shares, "<f4").astype(np.float64)) for r in rows]
     return train(bags, [r.lang for r in rows])

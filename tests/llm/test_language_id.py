@@ -62,3 +62,43 @@ def test_a_slice_does_not_change_a_prediction():
     some = [text(rng, "bb", 400_000), "ba", text(rng, "cc", 3)]
     together = li.predict(model, some)[1]
     assert np.allclose(together, [li.predict(model, [t])[1][0] for t in some])
+
+
+def test_pieces_of_a_text_have_its_grams(monkeypatch):
+    data = text(random.Random(7), "cc", 300).encode()
+    whole = li.buckets([data])[0]
+    found, shares = li.bag(data)
+    for size in (1, 5, 1000):
+        monkeypatch.setattr(li, "PIECE_BYTES", size)
+        assert (np.concatenate(list(li.bucket_pieces(data))) == whole).all()
+    assert (li.bag(data)[0] == found).all() and np.allclose(li.bag(data)[1], shares)
+
+
+def _seen(monkeypatch):
+    seen = []
+    real = li.train
+    monkeypatch.setattr(li, "train", lambda bags, names: seen.append(names) or real(bags, names, epochs=1))
+    return seen
+
+
+def test_the_bound_counts_rows_not_ids(spark, monkeypatch):
+    """3,000 rows of one id: as many are fitted as the bound says."""
+    rng = random.Random(8)
+    rows = [(5, text(rng, "aa", 5), "aa") for _ in range(3000)] + [(6, text(rng, "bb", 5), "bb")]
+    seen = _seen(monkeypatch)
+    model = li.train_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"), n_documents=10)
+    (names,) = seen
+    assert sorted(set(names)) == model.languages == ["aa", "bb"] and names.count("aa") == 10 and names.count("bb") == 1
+
+
+def test_no_language_is_left_out(spark, monkeypatch):
+    """1,200 languages: all are learned, under one bound for all together, in one plan."""
+    rng = random.Random(9)
+    rows = [(i, text(rng, "aa", 3) + f" w{i % 1200}", f"l{i % 1200:04d}") for i in range(3600)]
+    seen = _seen(monkeypatch)
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = li.train_languages(frame, n_total=2400)
+    assert len(model.languages) == 1200 and len(seen[0]) == 2400
+    assert model.table.shape == (li.BUCKETS, li.WIDTH) and model.layer.shape == (li.WIDTH, 1200)
+    got = li.identify_languages(frame.limit(5), model, F.lit(False)).collect()
+    assert all(r.lang_pred in model.languages for r in got)
