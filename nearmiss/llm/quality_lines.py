@@ -21,6 +21,8 @@ from nearmiss.llm.common import arrow_batch, segments, text_slices
 CONTENT, BOILERPLATE = 0, 1
 #: Labelled documents that the field is fitted on, the first by a hash of the id.
 TRAINING_DOCUMENTS = 2000
+#: Lines of one of them that count.
+TRAINING_LINES = 2000
 #: A document is kept from this share of words in content lines on.
 CONTENT_SHARE = 0.5
 
@@ -261,9 +263,11 @@ def train_field(
     n_documents: int = TRAINING_DOCUMENTS,
 ) -> Field:
     """The field fitted on ``n_documents`` labelled documents (the first by a hash of the id;
-    quality 0 is bad; null labels and ids don't count, of contrary ones the lowest does).
+    quality 0 is bad; null labels and ids don't count, of contrary ones the lowest does; of
+    several rows of one id that with the smallest hash of its text does).
 
-    Only line features of that bounded sample reach the driver.
+    Only line features of that bounded sample reach the driver: of each document those of at
+    most TRAINING_LINES lines, from its first.
     """
     chosen = (
         labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(quality_col).cast("int").alias("quality"))
@@ -282,13 +286,15 @@ def train_field(
             for lo, hi in text_slices(texts):
                 _, n_lines, features, _ = describe(texts[lo:hi])
                 ends = np.cumsum(n_lines)
-                own = [features[e - n : e].ravel() for n, e in zip(n_lines, ends)]
+                own = [features[e - n : e][:TRAINING_LINES].ravel() for n, e in zip(n_lines, ends)]
                 part = batch.slice(lo, hi - lo)
                 bad = [q == 0 for q in part.column("quality").to_pylist()]
                 yield arrow_batch({"doc_id": part.column("doc_id"), "bad": bad, "features": own}, types)
 
     rows = (
         slim.join(F.broadcast(chosen), "doc_id")  # at most n_documents rows
+        .groupBy("doc_id")
+        .agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.min("quality").alias("quality"))
         .mapInArrow(run, "doc_id long, bad boolean, features array<double>")
         .collect()
     )

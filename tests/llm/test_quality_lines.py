@@ -111,3 +111,14 @@ def test_empty_tables_and_no_labels(docs, spark):
     assert q.label_lines(docs([]), field).count() == 0
     assert q.train_field(docs([good(1)]), labels).emit.tolist() == q.default_field().emit.tolist()
     assert [r.kept for r in q.label_lines(docs([good(1), " ".join(f"a{i}&&&" for i in range(70))]), field).orderBy("doc_id").collect()] == [True, False]
+
+
+def test_training_takes_one_row_of_an_id_and_bounded_lines(spark, monkeypatch):
+    """3,000 rows of one id are one document, and a long one gives TRAINING_LINES lines."""
+    seen = []
+    monkeypatch.setattr(q, "fit", lambda n_lines, features, bad: seen.append((n_lines.tolist(), len(features), bad.tolist())))
+    monkeypatch.setattr(q, "TRAINING_LINES", 50)
+    rows = [(1, f"some line number {k}") for k in range(3000)] + [(2, "a longer line of words\n" * 400)]
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1)], "doc_id long, quality int")
+    q.train_field(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), labels)
+    assert seen == [([1, 50], 51, [True, False])]
