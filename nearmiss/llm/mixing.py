@@ -57,7 +57,8 @@ def fit_domains(
 ) -> DomainModel:
     """The classifier fitted on ``labelled`` (``id_col``, ``domain_col``).
 
-    Null ids and domains don't count; of several domains of one id the smallest does. The
+    Null ids and domains don't count; of several domains of one id the smallest does, of several
+    rows of one id that with the smallest hash of its text. The
     driver gets ``n_terms`` rows of counts. Without labelled documents there are no domains.
     """
     chosen = (
@@ -70,7 +71,9 @@ def fit_domains(
     )
     slim = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = cut(
-        slim.join(F.broadcast(chosen), "doc_id")  # n_documents rows at most
+        slim.join(F.broadcast(chosen), "doc_id")  # n_documents ids at most
+        .groupBy("doc_id")
+        .agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.min("domain").alias("domain"))
         .select("domain", F.array_distinct(F.concat(terms(F.col("text")), marks(F.col("text")))).alias("terms"))
     )
     sizes = {r.domain: r.n for r in found.groupBy("domain").agg(F.count("*").alias("n")).collect()}

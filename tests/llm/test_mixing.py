@@ -109,3 +109,11 @@ def test_draws_meet_the_rate(spark):
 def test_domains_of_labels(spark):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 0, 1), (4, None, None), (5, 1, None)], "doc_id long, quality int, toxic int")
     assert [r.domain for r in m.quality_domains(labels).orderBy("doc_id").collect()] == ["good", "low", "toxic", None, "good"]
+
+
+def test_training_takes_one_row_of_an_id(spark):
+    """3,000 rows of one id weigh as much as one."""
+    rows = [(1, f"alpha beta number{k}") for k in range(3000)] + [(i, "gamma delta") for i in range(2, 8)]
+    labels = spark.createDataFrame([(1, "x"), *[(i, "y") for i in range(2, 8)]], "doc_id long, domain string")
+    model = m.fit_domains(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), labels)
+    assert model.domains == ["x", "y"] and model.prior[0] < model.prior[1]
