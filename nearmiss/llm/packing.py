@@ -5,7 +5,7 @@ how many pieces there are of each length, and lengths go up to the sequence leng
 the instance is a histogram of bounded size. It is solved on that: by Martello and
 Toth's reduction, sets of up to three lengths that dominate every other set with the
 longest length are fixed as often as they can be, which shrinks the instance; the rest
-is filled by best fit. The result is a short list of patterns (lengths of a sequence,
+is placed by best fit, on a histogram of the room in open sequences. The result is a short list of patterns (lengths of a sequence,
 and how many such sequences). Executors number the pieces of each length and read their
 place off the patterns.
 """
@@ -127,8 +127,7 @@ def reduce_and_fit(counts: np.ndarray, size: int) -> tuple[list[tuple[tuple[int,
 
     From the longest length down, a dominating set is fixed as often as its lengths last; a
     length without one is passed over, but may still be part of a later set. Best fit places
-    the rest: the longest piece opens a sequence, which takes the longest piece that still
-    fits, again and again, for as many equal sequences at once as the pieces last.
+    the rest.
     """
     left = np.array(counts, dtype=np.int64)
     patterns: list[tuple[tuple[int, ...], int]] = []
@@ -146,25 +145,44 @@ def reduce_and_fit(counts: np.ndarray, size: int) -> tuple[list[tuple[tuple[int,
                 left[length] -= times
             patterns.append((pattern, times))
             fixed += times
-    while left.any():
-        lengths = np.flatnonzero(left)
-        longest = int(lengths[-1])
-        pattern, room, spare = [longest], size - longest, left.copy()
-        spare[longest] -= 1
-        while room:
-            fit = np.flatnonzero(spare[: room + 1])
-            if not len(fit):
-                break
-            length = int(fit[-1])
-            times = min(int(spare[length]), room // length)
-            pattern += [length] * times
-            spare[length] -= times
-            room -= length * times
-        times = repeats(tuple(pattern), left)
-        for length in pattern:
-            left[length] -= times
-        patterns.append((tuple(pattern), times))
-    return patterns, fixed
+    return patterns + best_fit(left, size), fixed
+
+
+def best_fit(left: np.ndarray, size: int) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns that place the pieces of each length by best fit, longest first: a piece goes into
+    the open sequence with the least room that takes it, or opens one.
+
+    Open sequences are kept by their room, equal ones as one pattern and a number. A sequence
+    that takes a piece has even less room then, so it takes the next ones of that length, too, while
+    they fit: whole groups are filled at once, and each length splits one group at most.
+    """
+    rooms: dict[int, list[tuple[tuple[int, ...], int]]] = {}  # room -> groups of that room
+    open_ = np.zeros(size + 1, dtype=bool)
+
+    def put(room: int, pattern: tuple[int, ...], times: int) -> None:
+        if times:
+            rooms.setdefault(room, []).append((pattern, times))
+            open_[room] = True
+
+    for length in range(size, 0, -1):
+        n = int(left[length])
+        while n:
+            fits = np.flatnonzero(open_[length:])
+            room = length + int(fits[0]) if len(fits) else size
+            pattern, times = rooms[room].pop() if len(fits) else ((), n)
+            if len(fits) and not rooms[room]:
+                open_[room] = False
+            each = room // length
+            full = min(times, n // each)
+            put(room - each * length, pattern + (length,) * each, full)
+            n -= full * each
+            times -= full
+            if n and times and n < each:  # the last pieces of this length
+                put(room - n * length, pattern + (length,) * n, 1)
+                n, times = 0, times - 1
+            if len(fits):
+                put(room, pattern, times)
+    return [group for groups in rooms.values() for group in groups]
 
 
 def repeats(pattern: tuple[int, ...], left: np.ndarray) -> int:
@@ -194,7 +212,8 @@ def pack(pieces: DataFrame, size: int) -> DataFrame:
     """``pieces`` (with ``length`` from 1 to ``size``) plus ``sequence_id`` and ``offset``.
 
     The only data the driver sees is the histogram: ``size`` rows at most. The table of
-    runs sent back is bounded by ``size`` as well (one pattern uses up a length).
+    runs sent back is bounded by ``size`` as well (a fixed pattern uses up a length, and best fit
+    splits one group of equal sequences for each length at most).
     """
     spark = pieces.sparkSession
     pieces = cut(pieces)

@@ -7,6 +7,8 @@ import zlib
 import numpy as np
 import public_tokenizers as tokens
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from nearmiss.llm import packing as p
@@ -67,6 +69,35 @@ def test_large_instance_is_near_the_bound():
     assert len(patterns) < 3 * 2048
 
 
+def _plain_best_fit(lengths, size):
+    rooms = []
+    for x in sorted(lengths, reverse=True):
+        fits = [r for r in rooms if r >= x]
+        if fits:
+            rooms.remove(min(fits))
+        rooms.append((min(fits) if fits else size) - x)
+    return sorted(rooms)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.integers(3, 40).flatmap(lambda size: st.tuples(st.just(size), st.lists(st.integers(1, size), max_size=60))))
+def test_best_fit_equals_a_plain_one(instance):
+    """The same room is left in as many sequences, whatever is placed at once."""
+    size, lengths = instance
+    counts = np.bincount(lengths, minlength=size + 1)
+    patterns = p.best_fit(counts, size)
+    assert sorted(size - sum(x) for x, n in patterns for _ in range(n)) == _plain_best_fit(lengths, size)
+    assert (sum(np.bincount(x, minlength=size + 1) * n for x, n in patterns) == counts).all() or not lengths
+
+
+def test_best_fit_of_very_many_pieces():
+    counts = np.random.default_rng(3).integers(0, 10**9, 2049)
+    counts[0] = 0
+    patterns = p.best_fit(counts, 2048)
+    bound = -(-int((counts * np.arange(2049)).sum()) // 2048)
+    assert len(patterns) < 4 * 2048 and sum(n for _, n in patterns) <= 1.01 * bound
+
+
 def test_pieces_of_long_documents():
     assert p.cut_lengths(2048, 2048) == [2048]
     assert p.cut_lengths(2049, 2048) == [1, 2048]
