@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,7 +40,11 @@ DROPPED = RAW | frozenset(
     "head nav header footer aside form button select option datalist dialog menu object audio video canvas svg math "
     "label input applet frame frameset".split()
 )
-#: Words in class, id or role that mark an element as beside the text.
+#: Roles that never hold main text.
+ROLES = frozenset(
+    "navigation banner contentinfo complementary search form menu menubar toolbar dialog alertdialog alert tooltip".split()
+)
+#: Words of a class or id that stand for what is beside the text.
 BESIDE = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies "
     "consent gdpr notice notices alert popup modal overlay comment comments reply replies disqus respond sidebar "
@@ -47,43 +52,133 @@ BESIDE = frozenset(
     "related recommended newsletter subscribe subscription signup login widget pagination pager contentinfo "
     "complementary search form toc skip".split()
 )
-#: Words that keep an element in spite of the former, unless one of these names stands alone.
+#: Words that say no more than where or how: with these alone beside them, the former still count.
+FRAME = frozenset(
+    "area bar block box bottom button buttons center column container fixed global holder inner item items left "
+    "link links list outer page panel primary region right row secondary section site slot small space sticky thread "
+    "top unit wrap wrapper".split()
+)
+#: Words that keep an element in spite of the former, unless one of these names stands there, too.
 KEPT = frozenset("article body main content text story post entry".split())
-#: Never dropped for their class.
-SAFE = frozenset("html body article main p h1 h2 h3 h4 h5 h6 pre".split())
+STRONG = frozenset("comment comments reply ad ads cookie notice".split())
+#: Never judged by their names.
+SAFE = frozenset("html body main p h1 h2 h3 h4 h5 h6 pre".split())
+#: Share of links from which an element of doubtful name goes, and what its name costs it.
+DOUBT_LINKS, DOUBT = 1 / 3, -10.0
 
 PARAGRAPHS = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6 figcaption div section article main body".split())
 PRIOR = {"article": 25.0, "main": 20.0, "div": 5.0, "section": 5.0, "pre": 3.0, "td": 3.0, "blockquote": 3.0,
          "ol": -3.0, "ul": -3.0, "dl": -3.0, "th": -5.0}
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>", re.DOTALL
-)
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>")
+#: Length up to which every tag is looked for. Longer ones are, too, until the vain looks have cost
+#: a few times the page: a page of unclosed quotes would cost its square otherwise.
+TAG_CHARS, VAIN = 4096, 4
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "beside", "score", "chars", "linked")
+    __slots__ = ("tag", "parent", "children", "beside", "doubt", "score", "chars", "linked")
 
-    def __init__(self, tag: str, parent: Node | None, beside: bool):
-        self.tag, self.parent, self.beside = tag, parent, beside
+    def __init__(self, tag: str, parent: Node | None, beside: bool, doubt: bool = False):
+        self.tag, self.parent, self.beside, self.doubt = tag, parent, beside, doubt
         self.children: list = []
         self.score, self.chars, self.linked = 0.0, 0, 0
 
 
-def is_beside(tag: str, attributes: str) -> bool:
+def judge(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether an element is beside the text by its tag, role or name, and whether its name
+    only hints at it: then its links decide.
+
+    A name counts as a whole: all words of one class or id stand for things beside the text
+    (``cookie-notice``), or with words of place and form only (``sidebar-left``). A name
+    with any other word in it (``side-effects``) is a hint.
+    """
     if tag in DROPPED:
-        return True
-    if tag in SAFE and tag != "article" or not attributes:
-        return False
-    words = set()
+        return True, False
+    if tag in SAFE or not attributes:
+        return False, False
+    doubt = kept = strong = whole = False
     for m in ATTRIBUTE.finditer(attributes):
-        words.update(WORD.findall((m[2] or m[3] or m[4] or "").lower()))
-    found = words & BESIDE
+        value = (m[2] or m[3] or m[4] or "").lower()
+        if m[1].lower() == "role":
+            if value.strip() in ROLES:
+                return True, False
+            continue
+        for name in value.split():
+            words = set(WORD.findall(name))
+            kept = kept or bool(words & KEPT)
+            if words & BESIDE:
+                if words <= BESIDE | FRAME | KEPT:
+                    whole = True
+                    strong = strong or bool(words & STRONG)
+                else:
+                    doubt = True
     if tag == "article":
-        return bool(found & {"comment", "comments", "reply", "ad", "ads", "advert", "sponsored"})
-    return bool(found) and not (words & KEPT and not found & {"comment", "comments", "ad", "ads", "cookie", "notice"})
+        return strong, False
+    beside = whole and (strong or not kept)
+    return beside, not beside and (doubt or whole)
+
+
+class Tags:
+    """Finds the next tag, comment or declaration of a page; linear in the page."""
+
+    def __init__(self, html: str):
+        self.html, self.vain = html, VAIN * len(html)
+        self.last = html.rfind(">")
+
+    def find(self, at: int) -> tuple[int, int, re.Match | None]:
+        """Where the next one begins and ends, and the match of a tag; (end, end, None) if none does."""
+        html = self.html
+        while True:
+            i = html.find("<", at)
+            if i < 0:
+                return len(html), len(html), None
+            if html.startswith("<!--", i):
+                close = html.find("-->", i + 4)
+                return i, close + 3 if close >= 0 else len(html), None
+            if i > self.last:  # nothing is closed any more
+                at = i + 1
+                if html.find("<!--", at) < 0:
+                    return len(html), len(html), None
+                continue
+            m = TAG.match(html, i, i + TAG_CHARS)
+            if m is None and self.vain > 0 and i + TAG_CHARS < len(html):
+                m = TAG.match(html, i)
+                if m is None and html[i + 1 : i + 2].isalpha():
+                    self.vain -= len(html) - i
+            if m is not None:
+                return i, m.end(), m
+            if html[i + 1 : i + 2] in ("!", "?", "/"):
+                return i, html.find(">", i) + 1, None
+            at = i + 1
+
+
+class Open:
+    """How many elements of each name are open, in all and since the nearest container, so that
+    an end tag that closes nothing costs no walk up the tree."""
+
+    def __init__(self):
+        self.all: Counter = Counter()
+        self.scopes = [Counter()]
+
+    def enter(self, node: Node) -> None:
+        self.all[node.tag] += 1
+        self.scopes[-1][node.tag] += 1
+        if node.tag in CONTAINERS:
+            self.scopes.append(Counter())
+
+    def leave(self, node: Node, until: Node) -> None:
+        """Closes the open elements from ``node`` up to ``until``, itself included."""
+        while True:
+            if node.tag in CONTAINERS:
+                self.scopes.pop()
+            self.all[node.tag] -= 1
+            self.scopes[-1][node.tag] -= 1
+            if node is until:
+                return
+            node = node.parent
 
 
 def parse(html: str) -> Node:
@@ -93,7 +188,7 @@ def parse(html: str) -> Node:
     the nearest open element of its name, one without any is skipped.
     """
     root = Node("html", None, False)
-    here, at, end = root, 0, len(html)
+    here, at, end, tags, open_ = root, 0, len(html), Tags(html), Open()
 
     def text(until: int) -> None:
         if until > at:
@@ -101,23 +196,19 @@ def parse(html: str) -> Node:
             here.children.append(entities.unescape(piece) if "&" in piece else piece)
 
     while at < end:
-        m = TOKEN.search(html, at)
-        if not m:
-            text(end)
-            break
-        text(m.start())
-        at = m.end()
-        if not m[2]:
+        start, stop, m = tags.find(at)
+        text(start)
+        at = stop
+        if m is None:
             continue
         tag = m[2].lower()
         if m[1]:
-            found = here
-            while found is not None and found.tag != tag:
-                if tag not in BLOCK and found.tag in CONTAINERS:
-                    found = None
-                    break
-                found = found.parent
-            if found is not None and found.parent is not None:
+            # an inline element's end doesn't reach out of its container
+            if (open_.all if tag in BLOCK else open_.scopes[-1])[tag] > 0:
+                found = here
+                while found.tag != tag or found.parent is None:
+                    found = found.parent
+                open_.leave(here, found)
                 here = found.parent
             continue
         if tag in VOID:
@@ -128,13 +219,16 @@ def parse(html: str) -> Node:
             at = close.end() if close else end
             continue
         if tag in BLOCK:
-            found, ends = here, ENDS.get(tag, frozenset()) | {"p"}
-            while found.parent is not None and found.tag not in ends and found.tag not in CONTAINERS:
-                found = found.parent
-            while found.tag in ends and found.parent is not None:
-                here = found = found.parent
-        node = Node(tag, here, is_beside(tag, m[3]))
+            ends = ENDS.get(tag, frozenset()) | {"p"}
+            while any(open_.scopes[-1][e] > 0 for e in ends):
+                found = here
+                while found.tag not in ends:
+                    found = found.parent
+                open_.leave(here, found)
+                here = found.parent
+        node = Node(tag, here, *judge(tag, m[3]))
         here.children.append(node)
+        open_.enter(node)
         here = node
     return root
 
@@ -174,8 +268,11 @@ def measure(root: Node) -> list[Node]:
             up.score += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
             up, level = up.parent, level + 1
     for node in order:
+        density = node.linked / max(node.chars, 1)
         if node.score:
-            node.score = (node.score + PRIOR.get(node.tag, 0.0)) * (1 - node.linked / max(node.chars, 1))
+            node.score = (node.score + PRIOR.get(node.tag, 0.0) + DOUBT * node.doubt) * (1 - density)
+        if node.doubt and density >= DOUBT_LINKS:
+            node.beside, node.score = True, 0.0
     return order
 
 
