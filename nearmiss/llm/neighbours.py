@@ -1,11 +1,15 @@
 """Nearest neighbours by a block matrix join.
 
 Queries and candidates are dealt into blocks of bounded size, and every pair of blocks
-is one task's tile. In a tile the vectors are rounded to int8; the product of the two
-int8 matrices gives all squared distances up to a proven error, so that a pair whose
+is one task's work, done tile by tile. In a tile the vectors are rounded to int8; the product
+of the two int8 matrices gives all squared distances up to a proven error, so that a pair whose
 lower bound is above the k-th smallest upper bound can be left out. What survives is
 measured again in double precision and kept in a heap for each query; the heaps of a
-query's tiles are merged.
+query's tiles, then those of its blocks, are merged.
+
+All pairs are compared, so a vector travels once for every block of the other side. Blocks are
+large where there are many vectors: one of BLOCK_QUERIES by BLOCK_CANDIDATES costs minutes of
+multiplication for some ten megabytes that travel.
 """
 
 from __future__ import annotations
@@ -23,6 +27,10 @@ from nearmiss.llm.common import cut
 
 #: Rows of a tile: queries and candidates.
 QUERY_ROWS, CANDIDATE_ROWS = 512, 4096
+#: Rows of a block, and the number of blocks up to which a block is one tile, so that few vectors
+#: are many tasks' work, too.
+BLOCK_QUERIES, BLOCK_CANDIDATES = 8192, 65_536
+FEW_BLOCKS = 32
 #: float32 holds whole numbers up to this; it bounds the products of int8 rows of one length.
 EXACT_FLOAT = 1 << 24
 
@@ -65,6 +73,25 @@ def tile(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: n
             yield query_id, heapq.nsmallest(k, zip(distances(queries[i], vectors[at]).tolist(), ids[at].tolist()))
 
 
+def block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, rows: tuple[int, int]):
+    """Yields (query id, its k nearest as (distance, id)) over two blocks, by tiles of ``rows``."""
+    for a in range(0, len(queries), rows[0]):
+        best: dict[int, list] = {}
+        for b in range(0, len(vectors), rows[1]):
+            part = slice(a, a + rows[0]), slice(b, b + rows[1])
+            for query_id, found in tile(query_ids[part[0]], queries[part[0]], ids[part[1]], vectors[part[1]], k):
+                held = best.get(query_id)
+                # rows of one id and several vectors meet here: a neighbour counts once, the same distance too
+                best[query_id] = found if held is None else heapq.nsmallest(k, {*held, *found})
+        yield from best.items()
+
+
+def n_blocks(n, tile_rows: int, block_rows: int):
+    """How many blocks ``n`` (a column) rows are dealt into: tiles while they are few, else whole blocks."""
+    tiles, blocks = F.ceil(n / F.lit(tile_rows)), F.ceil(n / F.lit(block_rows))
+    return F.least(tiles, F.greatest(blocks, F.lit(FEW_BLOCKS))).cast("int")
+
+
 def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Euclidean distances in double precision; where squares leave the range, scaled."""
     d = np.abs(y - x)
@@ -100,11 +127,11 @@ def nearest_neighbours(
     )
     usable = cut(usable.withColumn("is_query", F.coalesce("is_query", F.lit(False))).distinct())
     usable = usable.withColumn("dims", F.size("vector")).withColumn("place", F.xxhash64("vec_id", "vector"))
-    # blocks for each vector length, so that a tile holds vectors of one length only
+    # blocks for each vector length, so that a block holds vectors of one length only
     sizes = usable.groupBy("dims").agg(F.count("*").alias("n"), F.count_if("is_query").alias("n_queries")).select(
         "dims",
-        F.ceil(F.col("n") / candidate_rows).cast("int").alias("rows"),
-        F.ceil(F.col("n_queries") / query_rows).cast("int").alias("columns"),
+        n_blocks(F.col("n"), candidate_rows, BLOCK_CANDIDATES).alias("rows"),
+        n_blocks(F.col("n_queries"), query_rows, BLOCK_QUERIES).alias("columns"),
     ).filter("columns > 0")
     dealt = usable.join(sizes, "dims")
     slim = ["dims", "row", "column", "vec_id", "vector"]
@@ -121,7 +148,7 @@ def nearest_neighbours(
         rows = []
         if len(left) and len(right):
             q, v = np.stack(left["query"]), np.stack(right["vector"])
-            for query_id, found in tile(left["query_id"].to_numpy(), q, right["vec_id"].to_numpy(), v, k):
+            for query_id, found in block(left["query_id"].to_numpy(), q, right["vec_id"].to_numpy(), v, k, (query_rows, candidate_rows)):
                 rows += [(query_id, i, s) for s, i in found]
         return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from nearmiss.llm import neighbours
 from nearmiss.llm.neighbours import distances, nearest_neighbours, quantise, tile
 
 
@@ -17,8 +18,9 @@ def brute(rows, k):
     return out
 
 
-@pytest.mark.parametrize("query_rows,candidate_rows", [(512, 4096), (2, 37)])
-def test_rows_match_brute_force(spark, crowded, query_rows, candidate_rows):
+@pytest.mark.parametrize("query_rows,candidate_rows,few", [(512, 4096, 32), (2, 37, 32), (2, 37, 1)])
+def test_rows_match_brute_force(spark, crowded, monkeypatch, query_rows, candidate_rows, few):
+    monkeypatch.setattr(neighbours, "FEW_BLOCKS", few)  # 1: a block of many tiles
     rng = np.random.default_rng(1)
     vectors = rng.normal(size=(600, 8)).round(1)  # rounded: many ties
     rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
@@ -47,6 +49,14 @@ def test_codes_lose_what_they_say():
     assert np.allclose(np.linalg.norm(x - codes * scale[:, None], axis=1), lost)
 
 
+def test_vectors_travel_once_for_each_block(spark):
+    """Blocks grow before their number does: few copies of a vector, and many tasks for few vectors."""
+    sizes = [1000, 100_000, 1_000_000, 10_000_000, 100_000_000]
+    rows = spark.createDataFrame([(n,) for n in sizes], "n long")
+    got = rows.select(neighbours.n_blocks(F.col("n"), 4096, 65_536)).collect()
+    assert [r[0] for r in got] == [1, 25, 32, 153, 1526]
+
+
 def test_no_queries_and_empty_table(spark):
     frame = spark.createDataFrame([(1, [1.0])], "vec_id long, embedding array<float>")
     assert nearest_neighbours(frame, F.col("vec_id") % 100 == 0).count() == 0
