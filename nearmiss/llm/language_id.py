@@ -23,6 +23,8 @@ from nearmiss.llm.common import arrow_batch, mix64, segments, text_slices
 #: hash of the id, and fewer where all languages together would have more than the second number
 #: (one at least; a language is never left out).
 TRAINING_DOCUMENTS, TRAINING_TOTAL = 1000, 8000
+#: Parts of a language that its first rows are sought in.
+SALTS = 64
 #: Bytes of a text whose n-grams are hashed at a time.
 PIECE_BYTES = 1 << 20
 BUCKETS, WIDTH = 1 << 15, 16
@@ -174,6 +176,16 @@ def predict(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], n
     return names, score, rejected
 
 
+def first_rows(df: DataFrame, order: list, n: int, *, salt) -> DataFrame:
+    """The first ``n`` rows of each ``lang``. A language is ranked in SALTS parts first, so that no
+    task gets more than that many times ``n`` of its rows, however many tasks hand on theirs."""
+    part = Window.partitionBy("lang", "_salt").orderBy(*order)
+    firsts = df.withColumn("_salt", F.pmod(salt, F.lit(SALTS))).withColumn("_k", F.row_number().over(part))
+    firsts = firsts.filter(F.col("_k") <= n).drop("_salt", "_k")
+    whole = firsts.withColumn("_k", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    return whole.filter(F.col("_k") <= n).drop("_k")
+
+
 def train_languages(
     documents: DataFrame, *, id_col="doc_id", text_col="text", lang_col="lang",
     n_documents: int = TRAINING_DOCUMENTS, n_total: int = TRAINING_TOTAL,
@@ -194,11 +206,13 @@ def train_languages(
     if not n_languages:
         return nothing
     each = min(n_documents, max(1, n_total // n_languages))
-    by_id = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = ids.withColumn("_k", F.row_number().over(by_id)).filter(F.col("_k") <= each).select("doc_id", "lang").distinct()
-    # an id may have many rows: they are limited, too, each task handing on its first ones only
-    by_text = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    rows_of = learnable.join(chosen, ["doc_id", "lang"]).withColumn("_k", F.row_number().over(by_text)).filter(F.col("_k") <= each)
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    chosen = first_rows(ids, order, each, salt=F.xxhash64("doc_id", F.lit(1))).distinct()
+    if n_languages <= n_total:
+        chosen = F.broadcast(chosen)  # n_total rows at most
+    # an id may have many rows: they are limited, too
+    found = learnable.join(chosen, ["doc_id", "lang"])
+    rows_of = first_rows(found, [*order, F.xxhash64("text")], each, salt=F.xxhash64("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = {"doc_id": pa.int64(), "lang": pa.string(), "found": pa.binary(), "shares": pa.binary()}
