@@ -51,7 +51,7 @@ def test_stages_against_brute_force(spark):
 
 def test_run_and_registration(spark):
     assert cp.ORACLE_SQL is None and set(ORACLE_SQL) <= set(QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert cp.run(spark, SF).count() > 100
 
 
