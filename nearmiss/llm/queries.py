@@ -17,7 +17,7 @@ from nearmiss.llm.html_extract import extract_main_text
 from nearmiss.llm.importance import resample
 from nearmiss.llm.jaccard_join import near_duplicates
 from nearmiss.llm.language_id import identify_languages, train_languages
-from nearmiss.llm.mixing import mix, quality_domains
+from nearmiss.llm.mixing import PULL, mix, quality_domains
 from nearmiss.llm.neighbours import nearest_neighbours
 from nearmiss.llm.packing import pack_documents
 from nearmiss.llm.quality_lines import label_lines, train_field
@@ -78,7 +78,8 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates, domains = mix(table(spark, sf_dir, "documents"), quality_domains(table(spark, sf_dir, "labels")), DOMAIN_WEIGHTS)
+    labelled = quality_domains(table(spark, sf_dir, "labels"))
+    rates, domains = mix(table(spark, sf_dir, "documents"), labelled, DOMAIN_WEIGHTS, pull=PULL)
     names = {f"p{k}": f"p_{d}" for k, d in enumerate(domains)}
     return rates.withColumnsRenamed(names)
 
