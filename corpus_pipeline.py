@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from nearmiss.llm.common import ensure_checkpoint_dir, table
 from nearmiss.llm.jaccard_join import near_duplicates
-from nearmiss.llm.mixing import draws, mix, quality_domains
+from nearmiss.llm.mixing import PULL, draws, mix, quality_domains
 from nearmiss.llm.packing import pack_documents
 from nearmiss.llm.quality_lines import keep_content, train_field
 from nearmiss.llm.queries import DOMAIN_WEIGHTS, SEQUENCE_TOKENS
@@ -65,7 +65,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their rates say, so that the domains meet their target weights."""
     names = tuple(c for c in docs.columns if c != "doc_id")
-    rates, _ = mix(docs, quality_domains(table(spark, sf_dir, "labels")), DOMAIN_WEIGHTS, carry=names)
+    rates, _ = mix(docs, quality_domains(table(spark, sf_dir, "labels")), DOMAIN_WEIGHTS, pull=PULL, carry=names)
     times = draws(F.col("rate"), "doc_id", "_carry_text")
     taken = rates.select("*", F.explode(F.array_repeat(F.lit(True), times)).alias("taken"))
     return taken.select("doc_id", *(F.col(f"_carry_{c}").alias(c) for c in names)).select(*docs.columns)
