@@ -46,13 +46,16 @@ def split_url(url: str | None) -> tuple[str, str]:
 
 
 def pack_entries(entries: Iterable[tuple[str, int]]) -> bytes:
-    """The file image: count, digests (sorted), text ends, actions, texts."""
+    """The file image: count, longest host, number of path lengths, these, digests (sorted), text
+    ends, actions, texts. So a task opens it without a look at its entries."""
     found = {text: action for text, action in sorted(entries, key=lambda e: (e[0], -e[1]))}
     rows = sorted((xxhash.xxh64_intdigest(t.encode()), t.encode(), a) for t, a in found.items())
+    hosts = [text.find("/") if "/" in text else len(text) for text in found]
+    lengths = sorted({len(text) - host for text, host in zip(found, hosts)})
     keys = np.array([r[0] for r in rows], dtype="<u8")
     ends = np.cumsum([len(r[1]) for r in rows], dtype="<u8") if rows else np.zeros(0, "<u8")
     actions = np.array([r[2] for r in rows], dtype="u1")
-    head = np.array([len(rows)], dtype="<u8")
+    head = np.array([len(rows), max(hosts, default=0), len(lengths), *lengths], dtype="<u8")
     return b"".join([head.tobytes(), keys.tobytes(), ends.tobytes(), actions.tobytes(), *(r[1] for r in rows)])
 
 
@@ -60,19 +63,13 @@ class DigestArray:
     """Read side of ``pack_entries`` over a buffer of bytes (a memory map in tasks)."""
 
     def __init__(self, image: np.ndarray):
-        n = int(image[:8].view("<u8")[0])
-        self.keys = image[8 : 8 + 8 * n].view("<u8")
-        self.ends = image[8 + 8 * n : 8 + 16 * n].view("<u8")
-        self.actions = image[8 + 16 * n : 8 + 17 * n]
-        self.texts = image[8 + 17 * n :]
-        self.path_lengths: list[int] = []
-        self.longest_host = 0
-        lengths = set()
-        for i in range(n):
-            host, slash, path = self.text(i).partition("/")
-            lengths.add(len(slash + path))
-            self.longest_host = max(self.longest_host, len(host))
-        self.path_lengths = sorted(lengths)
+        n, self.longest_host, paths = image[:24].view("<u8").tolist()
+        self.path_lengths: list[int] = image[24 : 24 + 8 * paths].view("<u8").tolist()
+        image = image[24 + 8 * paths :]
+        self.keys = image[: 8 * n].view("<u8")
+        self.ends = image[8 * n : 16 * n].view("<u8")
+        self.actions = image[16 * n : 17 * n]
+        self.texts = image[17 * n :]
 
     def text(self, i: int) -> str:
         start = int(self.ends[i - 1]) if i else 0

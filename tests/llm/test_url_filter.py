@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -67,3 +68,12 @@ def test_query_rows(spark, crowded):
     )
     assert u.filter_urls(frame.limit(0), URL_RULES).count() == 0
     assert {r.verdict for r in u.filter_urls(frame, [], []).collect()} == {"allow"}
+
+
+def test_opening_a_large_list_reads_its_head_only(monkeypatch):
+    entries = [(f"h{i}.example/{'p' * (i % 5)}", u.LISTED) for i in range(20_000)] + [("no-path.example.net", u.LISTED)]
+    image = np.frombuffer(u.pack_entries(entries), dtype=np.uint8)
+    monkeypatch.setattr(u.DigestArray, "text", lambda *a: pytest.fail("an entry was read"))
+    array = u.DigestArray(image)
+    assert array.path_lengths == [0, 1, 2, 3, 4, 5] and array.longest_host == len("no-path.example.net") and len(array.keys) == 20_001
+    assert u.DigestArray(np.frombuffer(u.pack_entries([]), dtype=np.uint8)).path_lengths == []
