@@ -38,9 +38,9 @@ FIRST_STEPS, MOST_STEPS = 2, 6
 
 #: Runs of letters are terms, and so are each of these marks and how often words repeat.
 MARKS = "#*$%&|<>!"
-#: A token is a character of a script written without spaces, or a run of other letters and digits.
-UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
-TOKEN = rf"[{UNSPACED}]|[\p{{L}}\p{{M}}\p{{N}}&&[^{UNSPACED}]]+"
+#: Thai to Burmese, Khmer, kana and Han: scripts written without spaces.
+UNSPACED = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
+
 
 
 @dataclass
@@ -72,8 +72,11 @@ def repetition(words: Column) -> Column:
     return F.when(F.size(words) > 0, F.array(F.concat(F.lit("repeats "), level))).otherwise(F.array().cast("array<string>"))
 
 
-def token_count(text: Column) -> Column:
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(TOKEN)).cast("long")
+def token_count(text: Column, words: Column) -> Column:
+    """Tokens of a text with these ``terms``: runs of letters and runs of digits; in a script
+    written without spaces every further letter of a run is one too."""
+    others = rf"\p{{Nd}}+|[{UNSPACED}](?=[{UNSPACED}])"
+    return (F.size(words) + F.regexp_count(F.coalesce(text, F.lit("")), F.lit(others))).cast("long")
 
 
 def fit_domains(
@@ -103,7 +106,7 @@ def fit_domains(
         .agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.min("domain").alias("domain"))
         .withColumn("_terms", terms(F.col("text")))
         .select(
-            "domain", token_count(F.col("text")).alias("n_tokens"),
+            "domain", token_count(F.col("text"), F.col("_terms")).alias("n_tokens"),
             F.array_distinct(F.concat("_terms", marks(F.col("text")), repetition(F.col("_terms")))).alias("terms"),
             (F.pmod(F.xxhash64(F.lit("kept out"), "doc_id"), F.lit(KEPT_OUT)) == 0).alias("kept_out"),
         )
@@ -245,10 +248,10 @@ def domain_table(
     carried = [F.col(c).alias(f"_carry_{c}") for c in carry]
     words = documents.select(
         F.col(id_col).cast("long").alias("doc_id"), *carried, terms(text).alias("_terms"), marks(text).alias("_marks"),
-        token_count(text).alias("n_tokens"),
+        text.alias("_text"),
     )
     seen = words.select(
-        "doc_id", *(f"_carry_{c}" for c in carry), "n_tokens",
+        "doc_id", *(f"_carry_{c}" for c in carry), token_count(F.col("_text"), F.col("_terms")).alias("n_tokens"),
         F.array_intersect(F.concat("_terms", "_marks", repetition(F.col("_terms"))), known_terms(model)).alias("_present"),
     )
     shift = model.shift or [0.0] * len(model.domains)
@@ -367,7 +370,7 @@ def mix(
         text = F.col(text_col).cast("string")
         plain = documents.select(
             F.col(id_col).cast("long").alias("doc_id"), *(F.col(c).alias(f"_carry_{c}") for c in carry),
-            token_count(text).alias("n_tokens"), F.lit(1.0).alias("rate"), F.lit(0.0).alias("mismatch"),
+            token_count(text, terms(text)).alias("n_tokens"), F.lit(1.0).alias("rate"), F.lit(0.0).alias("mismatch"),
         )
         return plain, []
     n = len(model.domains)

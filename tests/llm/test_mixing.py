@@ -117,7 +117,7 @@ def test_shares_of_labels_outside_the_fit(docs, spark):
 
 def test_tokens_of_any_script(spark):
     texts = {"12 34": 2, "don't stop": 3, "中文文本": 4, "ひらがな x": 5, "été naïve": 2, "": 0, None: 0, "### ---": 0}
-    got = spark.createDataFrame([(t, n) for t, n in texts.items()], "t string, n long").select("n", m.token_count(F.col("t")).alias("got"))
+    got = spark.createDataFrame([(t, n) for t, n in texts.items()], "t string, n long").select("n", m.token_count(F.col("t"), m.terms(F.col("t"))).alias("got"))
     assert all(r.n == r.got for r in got.collect())
 
 
