@@ -8,16 +8,18 @@ from nearmiss.plans.stages import (
     extract_events,
     ingest,
     ingest_new_files,
+    moving_candidates,
     pair_tie_break,
     prepare_pings,
     run_pipeline,
     score_encounters,
+    spread_pairs,
     zone_pings,
 )
 from nearmiss.plans.storage import materialize, run_dir, shared_dir
 
 __all__ = [
     "crowded_pings", "dense_pings", "detect_encounters", "extract_events", "ingest", "ingest_new_files", "materialize",
-    "pair_tie_break", "prepare_pings", "run_dir", "run_pipeline", "score_encounters", "shared_dir",
-    "update_report", "zone_pings",
+    "moving_candidates", "pair_tie_break", "prepare_pings", "run_dir", "run_pipeline", "score_encounters", "shared_dir",
+    "spread_pairs", "update_report", "zone_pings",
 ]
