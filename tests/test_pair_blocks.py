@@ -3,8 +3,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from nearmiss import EncounterConfig
 from nearmiss.operators import close_pairs, closest_per_pair, pair_blocks, with_time_bucket
 from nearmiss.operators.pairs import PairBlocks
+from nearmiss.plans import detect_encounters, extract_events, materialize
 from tests.conftest import pings, plan_text
 
 TIE = ("ts_a", "event_id_a", "ts_b", "event_id_b")
@@ -63,3 +65,30 @@ def test_far_candidates_are_dropped_before_the_distance(spark):
     plan = plan_text(close_pairs(_crowd(spark), 0.054))
     cond = next(line for line in plan.splitlines() if line.startswith("Join condition") and "ATAN2" in line)
     assert cond.index("abs((lat_a") < cond.index("ATAN2") and cond.index("abs((lon_a") < cond.index("ATAN2")
+
+
+def test_both_sides_share_one_shuffle(spark, workdir):
+    df = materialize(_crowd(spark), f"{workdir}/pings")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        pairs = close_pairs(df, 0.054, blocks=PairBlocks(4, 8))
+        plan = plan_text(closest_per_pair(pairs, tie_break=TIE), "simple")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert plan.count("ReusedExchange") == 1
+
+
+def test_the_search_reads_prepared_pings_from_a_table(spark):
+    plan = plan_text(detect_encounters(_crowd(spark), EncounterConfig(order_by=("ts", "event_id"))), "simple")
+    # only the closest moment needs a window: the history is made before, once
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 1 and "vessel_id_b" in windows[0]
+
+
+def test_the_report_is_made_once_for_the_top_events(spark):
+    cfg = EncounterConfig(order_by=("ts", "event_id"), min_pings=1)
+    pings = _crowd(spark)
+    out = extract_events(detect_encounters(pings, cfg, sort=False), pings, cfg, partition_days="group_key")
+    assert out["top"].count() == cfg.top_n
+    for name in ("top", "targets", "points", "tracks", "complete", "cards"):
+        assert "_block_lo" not in plan_text(out[name], "simple") and "_cx" not in plan_text(out[name], "simple")
