@@ -1,10 +1,12 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from nearmiss.operators import event_targets, top_encounters
 from nearmiss.plans import ingest, ingest_new_files, materialize
+from nearmiss.sources.reports import REPORT_HEADERS
 from nearmiss.sources import (
     REPORT_SCHEMA,
     accepted,
@@ -172,6 +174,21 @@ def test_report_csv_roundtrip(spark, workdir):
         165, "219", "2021-12-01 06:01:34", 11, "2021-12-01")
 
 
+def test_report_may_be_written_compressed(spark, workdir):
+    rep = spark.createDataFrame([(k, str(k), "9", 0.5, dt.datetime(2021, 12, 1)) for k in range(50)],
+                                "danger_score int, vessel_a string, vessel_b string, distance_nm double, ts_a timestamp_ntz")
+    for header, col in REPORT_HEADERS:
+        if col not in rep.columns:
+            rep = rep.withColumn(col, F.lit(None).cast(REPORT_SCHEMA[header].dataType))
+    write_report(rep, f"{workdir}/plain")
+    write_report(rep, f"{workdir}/small", compression="gzip")
+    assert all(f.endswith(".csv") for f in os.listdir(f"{workdir}/plain") if f.startswith("part"))
+    assert all(f.endswith(".csv.gz") for f in os.listdir(f"{workdir}/small") if f.startswith("part"))
+    rows = lambda name: sorted(map(str, read_report(spark, f"{workdir}/{name}").collect()))
+    assert len(rows("small")) == 50 and rows("small") == rows("plain")
+    assert rejected_report(spark, f"{workdir}/small").count() == 0
+
+
 def test_with_source_keeps_pushdown(spark, workdir):
     from pyspark.sql import functions as F
 
