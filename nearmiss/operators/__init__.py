@@ -10,7 +10,7 @@ from nearmiss.operators.events import (
     track_summary,
 )
 from nearmiss.operators.history import dense_slices, ping_history, with_changes
-from nearmiss.operators.pairs import close_pairs, closest_per_pair, crowded_cells, pair_blocks, with_time_bucket
+from nearmiss.operators.pairs import BLOCK_PAIR, close_pairs, closest_per_pair, crowded_cells, pair_blocks, with_time_bucket
 from nearmiss.operators.quality import (
     exclude_named,
     moving_pings,
@@ -28,7 +28,7 @@ from nearmiss.operators.scoring import (
 from nearmiss.operators.zone import geofence
 
 __all__ = [
-    "REPORT_COLUMNS", "SCORE_COMPONENTS", "close_pairs", "closest_per_pair",
+    "BLOCK_PAIR", "REPORT_COLUMNS", "SCORE_COMPONENTS", "close_pairs", "closest_per_pair",
     "complete_events", "crowded_cells", "danger_score", "dense_slices", "encounter_report", "event_targets",
     "event_track_points", "event_tracks", "exclude_named", "geofence", "incident_report",
     "incident_summary", "moving_pings", "pair_blocks", "ping_history", "pings_per_vessel",

@@ -174,3 +174,56 @@ def test_track_points_prune_year_month_day_lake(spark, workdir):
     key = lambda d: sorted((r.event_rank, r.side, r.point_no, r.ts) for r in d.collect())
     assert key(pruned) == key(plain)
     assert "dynamicpruning" in plan_text(pruned).lower()
+
+
+def test_pings_go_to_the_targets_where_these_are_many(spark):
+    """Blocks and cells of several pings: the same points, one row of a target, and no shuffle after the join."""
+    from pyspark.sql import functions as F
+
+    from nearmiss.operators import BLOCK_PAIR
+    from nearmiss.operators.pairs import PairBlocks
+
+    zone, targets = _many_events(spark)
+    # an event over midnight, one of unknown vessels, one of an unnamed vessel, one twice
+    extra = targets.limit(4).withColumns({
+        "window_end": F.when(F.col("event_rank") % 4 == 1, F.col("window_end") + F.make_dt_interval(days=F.lit(1))).otherwise(F.col("window_end")),
+        "vessel_a": F.when(F.col("event_rank") % 4 == 2, F.lit(None)).when(F.col("event_rank") % 4 == 3, F.lit("x")).otherwise(F.col("vessel_a")),
+        "event_rank": F.col("event_rank") + 100})
+    targets = targets.unionAll(extra).unionAll(targets.limit(1))
+    columns = ("event_rank", "vessel_a", "vessel_b", "side", "vessel_id", "ts", "point_no", "sog", "vessel_name")
+    key = lambda d: sorted(map(str, d.select(*columns).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for days in (None, "group_key"):
+            want = key(event_track_points(zone, targets, tie_break=("event_id",), partition_days=days))
+            assert len(want) > 2000
+            for cells, blocks in ((2, None), (3, PairBlocks(1, 2)), (1, PairBlocks(3, 5)), (50, PairBlocks(4, 3))):
+                got = event_track_points(zone, targets, tie_break=("event_id",), partition_days=days,
+                                         window_cells=cells, blocks=blocks)
+                assert key(got) == want
+        counted = got.groupBy("event_rank", "vessel_a", "vessel_b", "side", *BLOCK_PAIR).count()
+        plan = plan_text(counted, "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert plan.count("Exchange") == 2 and "Exchange" not in plan[:plan.index("SortMergeJoin")]
+
+
+def test_every_encounter_as_an_event_moves_each_once(spark, tmp_path):
+    """``all_events`` on crowded pings: its targets are dealt before their sides and cells are made."""
+    import __spark_entry__ as E
+
+    rows = [(k, ts(60 * (k % 240)).replace(year=2024), k % 25, "view", 5.0 + 10 * (k % 3), '{"k": 50}') for k in range(1500)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+                          ).write.parquet(f"{tmp_path}/events.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = E.q_all_events(spark, str(tmp_path))
+        plan = plan_text(out, "simple")
+        assert out.count() > 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert "Exchange" not in plan[:plan.index("SortMergeJoin")]

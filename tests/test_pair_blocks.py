@@ -92,3 +92,10 @@ def test_the_report_is_made_once_for_the_top_events(spark):
     assert out["top"].count() == cfg.top_n
     for name in ("top", "targets", "points", "tracks", "complete", "cards"):
         assert "_block_lo" not in plan_text(out[name], "simple") and "_cx" not in plan_text(out[name], "simple")
+
+
+def test_blocks_across_groups_count_all_pairs(spark):
+    crowd = _crowd(spark, n=2000, vessels=500)
+    days = crowd.unionAll(crowd.withColumn("group_key", F.date_add("group_key", 9)))
+    one, all_days = (pair_blocks(days, 0.054, pairs_per_task=500, across_groups=k) for k in (False, True))
+    assert one.blocks == pair_blocks(crowd, 0.054, pairs_per_task=500).blocks < all_days.blocks
