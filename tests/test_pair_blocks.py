@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from nearmiss import EncounterConfig
 from nearmiss.operators import close_pairs, closest_per_pair, pair_blocks, with_time_bucket
 from nearmiss.operators.pairs import PairBlocks
-from nearmiss.plans import detect_encounters, extract_events, materialize
+from nearmiss.plans import detect_encounters, extract_events, materialize, stages
 from tests.conftest import pings, plan_text
 
 TIE = ("ts_a", "event_id_a", "ts_b", "event_id_b")
@@ -99,3 +99,70 @@ def test_blocks_across_groups_count_all_pairs(spark):
     days = crowd.unionAll(crowd.withColumn("group_key", F.date_add("group_key", 9)))
     one, all_days = (pair_blocks(days, 0.054, pairs_per_task=500, across_groups=k) for k in (False, True))
     assert one.blocks == pair_blocks(crowd, 0.054, pairs_per_task=500).blocks < all_days.blocks
+
+
+ORDER = ("ts", "event_id")
+
+
+@pytest.mark.parametrize("n, vessels", [(300, 40), (200, 8), (400, 300)])
+def test_visits_give_the_closest_moments(spark, n, vessels):
+    df = _crowd(spark, n=n, vessels=vessels)
+    df = df.unionAll(df.withColumn("lat", F.col("lat") + 0.01))  # ties: the same distance by other pings
+    best = closest_per_pair(close_pairs(df, 0.054), tie_break=TIE)
+    for blocks in (PairBlocks(1, 3, ORDER), PairBlocks(5, 7, ORDER)):
+        cut = close_pairs(df, 0.054, blocks=blocks)
+        assert _rows(cut) == _rows(close_pairs(df, 0.054))
+        closest = closest_per_pair(cut, tie_break=TIE)
+        assert _rows(closest) == _rows(best) and set(closest.columns) == set(best.columns)
+
+
+def test_other_radii_and_empty_pings(spark):
+    df = _crowd(spark)
+    wide = close_pairs(df, 0.1, earth_radius_nm=7000.0, blocks=PairBlocks(4, 8, ORDER))
+    plain = closest_per_pair(close_pairs(df, 0.1, earth_radius_nm=7000.0), tie_break=TIE)
+    assert _rows(closest_per_pair(wide, tie_break=TIE, earth_radius_nm=7000.0)) == _rows(plain)
+    none = close_pairs(df.filter(F.lit(False)), 0.054, blocks=PairBlocks(4, 8, ORDER))
+    assert _rows(closest_per_pair(none, tie_break=TIE)) == []
+
+
+def test_blocks_follow_the_pings_where_vessels_have_few(spark):
+    crowd = _crowd(spark, n=2000, vessels=500)
+
+    def spread(**kw):
+        return pair_blocks(crowd, 0.054, pairs_per_task=100, order_by=ORDER, **kw)
+
+    many = pair_blocks(crowd, 0.054, pairs_per_task=100)
+    assert spread() == PairBlocks(4, many.partitions, ORDER) and many.blocks > 10
+    assert spread(pings_per_block=200).blocks == 6  # of about 1,000 pings of the larger day
+    assert spread(max_visits=1) == many  # some vessel has more
+    assert spread(tolerance_s=5).order_by == () and spread(across_groups=True).order_by == ()
+    assert pair_blocks(crowd, 0.054, order_by=ORDER) == pair_blocks(crowd, 0.054)  # four blocks do
+
+
+def test_pairs_of_visits_are_neither_shuffled_nor_sorted(spark, workdir):
+    df = materialize(_crowd(spark), f"{workdir}/pings")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        pairs = close_pairs(df, 0.054, blocks=PairBlocks(4, 8, ORDER))
+        plan = plan_text(closest_per_pair(pairs, tie_break=TIE), "simple")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    after = plan[:plan.index("SortMergeJoin")]
+    assert "Exchange" not in after and "Sort " not in after and "Window" not in after and "Generate" in after
+    assert "_visit" not in plan[plan.index("SortMergeJoin"):].splitlines()[0]  # tested after the join
+    assert plan.count("ReusedExchange") == 1
+
+
+def test_the_analysis_uses_visits_for_very_many_pairs(spark, monkeypatch):
+    cfg = EncounterConfig(order_by=("ts", "event_id"), min_pings=1)
+    pings = _crowd(spark, n=1500, vessels=400).drop("epoch", "bucket").filter("event_id is not null")
+
+    def report():
+        return sorted(detect_encounters(pings, cfg, sort=False).collect())
+
+    blocks = []
+    monkeypatch.setattr(stages, "pair_blocks", lambda *a, **kw: blocks.append(pair_blocks(*a, pairs_per_task=100, **kw)) or blocks[-1])
+    many = report()
+    assert blocks[0].blocks == 4 and blocks[0].order_by[:2] == cfg.order_by
+    monkeypatch.undo()
+    assert len(many) > 500 and report() == many
