@@ -8,8 +8,8 @@ they order tokens about as frequent; a set whose prefix is filled with tokens th
 other set has is done without any pair.
 
 Tokens are 64-bit hashes of word shingles; equal sets are one set from the start.
-Tokens that many sets share in their prefix don't make pairs of rows: such sets are
-dealt into blocks, and a task links two blocks, giving back a spanning forest.
+Tokens that many sets share in their prefix don't make pairs of rows: the sets of such
+tokens are dealt into blocks, and a task links two blocks, giving back a spanning forest.
 """
 
 from __future__ import annotations
@@ -340,25 +340,36 @@ def paired_links(candidates: DataFrame, prefix: DataFrame, sets: DataFrame, perc
     return verified.filter(100 * both >= percent * either).select("set_id", "other")
 
 
+def token_groups(prefix: DataFrame) -> DataFrame:
+    """``set_id, group``: every two sets that share a token have a group in common.
+
+    A token belongs to the least set that has it, so tokens of one passage, which the same sets
+    have, belong together; its group has all sets of these tokens. Where half of a group's sets or more
+    have another group as their first, as among near copies, the two are one.
+    """
+    least = cut(prefix.groupBy("token").agg(F.min("set_id").alias("least")))
+    star = cut(prefix.join(least, "token").select("set_id", "least").distinct())
+    first = cut(star.groupBy("set_id").agg(F.min("least").alias("first")))
+    votes = star.join(first, "set_id").groupBy("least", "first").agg(F.count("*").alias("votes"))
+    most = votes.groupBy("least").agg(F.sum("votes").alias("sets"), F.max(F.struct("votes", "first")).alias("most"))
+    whole = F.when(2 * F.col("most.votes") >= F.col("sets"), F.col("most.first")).otherwise(F.col("least"))
+    return cut(star.join(cut(most.select("least", whole.alias("group"))), "least").select("set_id", "group").distinct())
+
+
 def block_links(candidates: DataFrame, prefix: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
     """Links of sets that share a prefix token of the first order with many others.
 
-    Sets connected by such tokens are a family, cut into blocks; each pair of blocks of a
-    family is one task.
+    Sets are grouped by such tokens (``token_groups``); a large group is cut into blocks, and each
+    pair of blocks of a group is one task.
     """
-    least = cut(prefix.groupBy("token").agg(F.min("set_id").alias("least")))
-    star = prefix.join(least, "token").select("set_id", "least").distinct()
-    families = components(star, "set_id", "least")
-    heads = families.select(F.col("component").alias("node"), "component").distinct()
-    members = families.unionAll(heads)
-    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    members = token_groups(prefix)
+    sizes = members.groupBy("group").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     placed = cut(
-        members.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
+        members.join(sizes, "group").withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks").cast("long")).cast("int"))
     )
     # each set goes to the tiles of its block: (own, k) for k from own on, and (k, own) before
     tiles = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "component", F.least("block", "other").alias("row"), F.greatest("block", "other").alias("column"),
-        "block", F.col("node").alias("set_id"),
+        "group", F.least("block", "other").alias("row"), F.greatest("block", "other").alias("column"), "block", "set_id",
     )
     names = [f"order{k}" for k in range(ORDERS)]
     filled = tiles.join(candidates.select("set_id", *names), "set_id").join(sets, "set_id")
@@ -371,7 +382,7 @@ def block_links(candidates: DataFrame, prefix: DataFrame, sets: DataFrame, perce
         links = [(ids[i], ids[j]) for i, j in link_blocks(orders, part["tokens"].tolist(), own == row, own == column, percent)]
         return pd.DataFrame(links, columns=["set_id", "other"])
 
-    return filled.groupBy("component", "row", "column").applyInPandas(run, "set_id long, other long")
+    return filled.groupBy("group", "row", "column").applyInPandas(run, "set_id long, other long")
 
 
 def near_duplicates(

@@ -87,6 +87,29 @@ def test_blocks_give_a_forest():
     assert all(len(np.intersect1d(sets[a], sets[b])) * 100 >= 90 * len(np.union1d(sets[a], sets[b])) for a, b in links)
 
 
+def test_groups_follow_tokens_not_chains_of_tokens(spark):
+    """Passages that chain 400 sets together: every two sets of one token have a group in common, and no
+    group, whose blocks are compared pair by pair, holds the chain. Near copies are one group."""
+    rng = random.Random(3)
+    passages = {p: [p * 10 + k for k in range(12)] for p in range(40)}  # neighbours share two sets
+    rows = [(owner, 1000 * p + t) for p, owners in passages.items() for owner in owners for t in range(5)]
+    copies = [(9000 + k, 90_000 + t) for k in range(60) for t in range(30) if rng.random() < 0.8]
+    got = j.token_groups(spark.createDataFrame(rows + copies, "set_id long, token long")).collect()
+    groups = {}
+    for r in got:
+        groups.setdefault(r["set_id"], set()).add(r["group"])
+    assert len(got) == len({(r["set_id"], r["group"]) for r in got})
+    owners = {}
+    for owner, token in rows + copies:
+        owners.setdefault(token, set()).add(owner)
+    assert all(groups[a] & groups[b] for own in owners.values() for a in own for b in own)
+    sizes = {}
+    for r in got:
+        sizes[r["group"]] = sizes.get(r["group"], 0) + 1
+    assert max(n for g, n in sizes.items() if g < 9000) <= 24
+    assert sum(n for g, n in sizes.items() if g >= 9000) <= 70
+
+
 def test_connected_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + k) for k in range(1, 30)] + [(500, 500), (None, 3)]
